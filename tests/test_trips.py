@@ -1,0 +1,174 @@
+"""Trip cleaning rules (FIXTURES 2.1)."""
+
+from datetime import date, datetime
+
+import pytest
+from pyspark.sql import types as T
+
+from zonehour.config import TripSpec
+from zonehour.operators.trips import TRIPS_CLEAN_COLUMNS, clean_trips
+
+RAW_SCHEMA = T.StructType(
+    [
+        T.StructField("tpep_pickup_datetime", T.TimestampNTZType()),
+        T.StructField("VendorID", T.LongType()),
+        T.StructField("PULocationID", T.LongType()),
+        T.StructField("DOLocationID", T.LongType()),
+        T.StructField("passenger_count", T.DoubleType()),
+        T.StructField("trip_distance", T.DoubleType()),
+        T.StructField("RatecodeID", T.LongType()),
+        T.StructField("payment_type", T.LongType()),
+        T.StructField("store_and_fwd_flag", T.StringType()),
+        T.StructField("fare_amount", T.DoubleType()),
+        T.StructField("total_amount", T.DoubleType()),
+        T.StructField("case", T.StringType()),
+    ]
+)
+
+BASE = dict(
+    tpep_pickup_datetime=datetime(2024, 1, 6, 8, 15),
+    VendorID=1,
+    PULocationID=132,
+    DOLocationID=4,
+    passenger_count=1.0,
+    trip_distance=3.0,
+    RatecodeID=1,
+    payment_type=1,
+    store_and_fwd_flag=" N ",
+    fare_amount=12.0,
+    total_amount=15.0,
+)
+
+CASES = [
+    ("t1", {}),
+    ("t2", {"tpep_pickup_datetime": None}),
+    ("t3a", {"PULocationID": 0}),
+    ("t3b", {"DOLocationID": 0}),
+    ("t3c", {"PULocationID": None}),
+    ("t3d", {"DOLocationID": None}),
+    ("t4", {"passenger_count": 0.0}),
+    ("t5a", {"passenger_count": None}),
+    ("t5b", {"passenger_count": -1.0}),
+    ("t6", {"passenger_count": 1.9}),
+    ("t7", {"trip_distance": 0.0}),
+    ("t8a", {"trip_distance": 5.0}),
+    ("t8b", {"trip_distance": 4.99}),
+    ("t9a", {"fare_amount": 20.0}),
+    ("t9b", {"fare_amount": 19.99}),
+    ("t10", {"fare_amount": 0.0, "total_amount": 0.0}),
+    ("t11a", {"fare_amount": -0.01}),
+    ("t11b", {"total_amount": -0.01}),
+    ("t12a", {"tpep_pickup_datetime": datetime(2023, 12, 31, 23, 59, 59)}),
+    ("t12b", {"tpep_pickup_datetime": datetime(2024, 1, 1, 0, 0, 0)}),
+    ("t12c", {"tpep_pickup_datetime": datetime(2024, 1, 31, 23, 59, 59)}),
+    ("t12d", {"tpep_pickup_datetime": datetime(2024, 2, 1, 0, 0, 0)}),
+    ("t13", {"RatecodeID": None, "payment_type": None, "store_and_fwd_flag": None}),
+    ("t14", {}),
+]
+
+
+@pytest.fixture(scope="module")
+def cleaned(spark):
+    rows = []
+    for name, change in CASES:
+        r = dict(BASE, **change)
+        r["case"] = name
+        rows.append(tuple(r[f.name] for f in RAW_SCHEMA.fields))
+    raw = spark.createDataFrame(rows, RAW_SCHEMA)
+    df = clean_trips(raw, TripSpec())
+    assert tuple(df.columns) == TRIPS_CLEAN_COLUMNS
+    res = {name: [] for name, _ in CASES}
+    for r in clean_trips(raw, TripSpec(), carry=("case",)).collect():
+        res[r.case].append(r)
+    return df, res
+
+
+def test_schema_types(cleaned):
+    df, _ = cleaned
+    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    assert types["pickup_date"] == "date"
+    assert types["pickup_hour"] == "int"
+    assert types["passenger_count"] == "int"
+    assert types["trip_distance"] == "double"
+    assert types["store_and_fwd_flag_normalized"] == "string"
+    assert types["is_long_trip"] == "int"
+
+
+def test_base_row(cleaned):
+    _, res = cleaned
+    (r,) = res["t1"]
+    assert r.pickup_date == date(2024, 1, 6)
+    assert r.pickup_hour == 8
+    assert r.pickup_day_of_week == 7  # Saturday
+    assert r.store_and_fwd_flag_normalized == "n"
+    assert (r.is_long_trip, r.is_high_fare) == (0, 0)
+
+
+@pytest.mark.parametrize(
+    "case,kept",
+    [
+        ("t2", False),
+        ("t3a", False),
+        ("t3b", False),
+        ("t3c", False),
+        ("t3d", False),
+        ("t4", True),
+        ("t5a", False),
+        ("t5b", False),
+        ("t6", True),
+        ("t7", False),
+        ("t10", True),
+        ("t11a", False),
+        ("t11b", False),
+        ("t12a", False),
+        ("t12b", True),
+        ("t12c", True),
+        ("t12d", False),
+        ("t13", True),
+    ],
+)
+def test_validity_and_window(cleaned, case, kept):
+    _, res = cleaned
+    assert (len(res[case]) == 1) == kept
+
+
+def test_truncating_cast(cleaned):
+    _, res = cleaned
+    assert res["t6"][0].passenger_count == 1
+    assert res["t4"][0].passenger_count == 0
+
+
+def test_thresholds_inclusive(cleaned):
+    _, res = cleaned
+    assert res["t8a"][0].is_long_trip == 1
+    assert res["t8b"][0].is_long_trip == 0
+    assert res["t9a"][0].is_high_fare == 1
+    assert res["t9b"][0].is_high_fare == 0
+
+
+def test_nullable_codes_stay_null(cleaned):
+    _, res = cleaned
+    r = res["t13"][0]
+    assert r.RatecodeID is None and r.payment_type is None and r.store_and_fwd_flag_normalized is None
+
+
+def test_no_dedup(cleaned):
+    df, _ = cleaned
+    base = df.where("pickup_hour = 8 and trip_distance = 3.0 and fare_amount = 12.0 and total_amount = 15.0 "
+                    "and passenger_count = 1 and RatecodeID = 1").count()
+    assert base >= 2  # t1 and t14 both survive
+
+
+def test_session_zone_does_not_matter(spark):
+    rows = [tuple(dict(BASE, case="z")[f.name] for f in RAW_SCHEMA.fields)]
+    raw = spark.createDataFrame(rows, RAW_SCHEMA)
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        a = clean_trips(raw).collect()
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        b = clean_trips(raw).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert a == b
+    assert a[0].pickup_hour == 8

@@ -26,9 +26,10 @@ TRIPS_CLEAN_COLUMNS = (
 )
 
 
-def typed_trips(raw: DataFrame, spec: TripSpec = TripSpec()) -> DataFrame:
+def typed_trips(raw: DataFrame, spec: TripSpec = TripSpec(), carry: tuple[str, ...] = ()) -> DataFrame:
     """The ten analytic columns, renamed and cast. Integer casts truncate
-    (1.9 -> 1); a value that cannot be cast becomes null."""
+    (1.9 -> 1); a value that cannot be cast becomes null. ``carry`` names
+    extra input columns passed through unchanged (e.g. a record id)."""
     return raw.select(
         F.col(spec.pickup_ts).try_cast("timestamp_ntz").alias("pickup_ts"),
         F.col(spec.pickup_zone).try_cast("int").alias("PULocationID"),
@@ -40,6 +41,7 @@ def typed_trips(raw: DataFrame, spec: TripSpec = TripSpec()) -> DataFrame:
         normalize_text(spec.store_flag).alias("store_and_fwd_flag_normalized"),
         F.col(spec.fare).try_cast("double").alias("fare_amount"),
         F.col(spec.total).try_cast("double").alias("total_amount"),
+        *carry,
     )
 
 
@@ -75,10 +77,10 @@ def date_window(df: DataFrame, ts_col: str, window: tuple[str, str] | None) -> D
     return df.where(in_date_window(ts_col, lo, day_after(hi)))
 
 
-def clean_trips(raw: DataFrame, spec: TripSpec = TripSpec()) -> DataFrame:
+def clean_trips(raw: DataFrame, spec: TripSpec = TripSpec(), carry: tuple[str, ...] = ()) -> DataFrame:
     """C3. Narrow transformation only (project + filter): no shuffle, one
     pass, and the window and non-null tests reach the parquet reader."""
-    typed = typed_trips(raw, spec)
+    typed = typed_trips(raw, spec, carry)
     kept = date_window(valid_trips(typed), "pickup_ts", spec.window)
     return kept.select(
         F.to_date("pickup_ts").alias("pickup_date"),
@@ -95,4 +97,5 @@ def clean_trips(raw: DataFrame, spec: TripSpec = TripSpec()) -> DataFrame:
         "total_amount",
         threshold_flag("trip_distance", spec.long_trip_miles).alias("is_long_trip"),
         threshold_flag("fare_amount", spec.high_fare_amount).alias("is_high_fare"),
+        *carry,
     )
