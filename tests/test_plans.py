@@ -42,7 +42,7 @@ def test_narrow_projection_reads_two_columns(raw_parquet):
 
 def test_partition_pruning_on_clean_table(spark, tmp_path):
     path = str(tmp_path / "clean")
-    write_partitioned(C.trips_clean_df(spark, SF), path, "pickup_date", 2)
+    write_partitioned(C.trips_clean_df(spark, SF), path, "pickup_date")
     df = read_clean(spark, path)
     p = plan(df.where(df.pickup_date.cast("date") <= "2024-01-10"))
     assert "PartitionFilters: [isnotnull(pickup_date" in p and "<= 2024-01-10" in p
@@ -66,12 +66,18 @@ def test_mode_top_limits_before_shuffle(spark):
 
 
 def test_partitioned_write_spreads_one_date(spark, tmp_path):
-    """A single hot date is cut into several files (salted range layout)."""
-    path = str(tmp_path / "hot")
-    df = spark.range(0, 4000).selectExpr("id", "DATE'2024-01-05' AS d")
-    write_partitioned(df, path, "d", files_per_value=4, num_partitions=8)
+    """A hot date is split over several writer tasks (AQE rebalance)."""
     from pathlib import Path
 
-    files = list(Path(path).glob("d=2024-01-05/*.parquet"))
-    assert len(files) >= 2
-    assert spark.read.parquet(path).count() == 4000
+    path = str(tmp_path / "hot")
+    df = spark.range(0, 40000, numPartitions=4).selectExpr(
+        "id", "CASE WHEN id % 3 = 0 THEN DATE'2024-01-06' ELSE DATE'2024-01-05' END AS d"
+    )
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2k")
+    try:
+        write_partitioned(df, path, "d")
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    assert len(list(Path(path).glob("d=2024-01-05/*.parquet"))) >= 2
+    assert spark.read.parquet(path).count() == 40000

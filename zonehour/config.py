@@ -149,13 +149,10 @@ class ScaleSpec:
     size is known before any job runs; above the cap the join is left to the
     planner (sort-merge, or an AQE runtime broadcast).
     ``row_bytes_bound`` is the per-row size used for that estimate.
-    ``files_per_date`` spreads one date directory over several writer tasks so
-    a date holding a third of all rows does not land in a single task.
     """
 
     broadcast_bytes: int = 64 * 1024 * 1024
     row_bytes_bound: int = 128
-    files_per_date: int = 8
 
 
 @dataclass(frozen=True)

@@ -8,32 +8,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def write_partitioned(
-    df: DataFrame,
-    path: str,
-    by: str | Sequence[str],
-    files_per_value: int = 8,
-    num_partitions: int | None = None,
-) -> None:
+def write_partitioned(df: DataFrame, path: str, by: str | Sequence[str]) -> None:
     """K1: overwrite ``path`` with one directory per value of ``by``.
 
-    Rows are range-partitioned on ``by`` plus a deterministic per-row salt
-    (a hash of the row, ``files_per_value`` buckets). Range partitioning
-    samples the data, so a date that holds a third of all rows is cut into
-    many writer tasks instead of one, while a small date still ends up in one
-    file. The salt is a pure function of the row, so a retried task after a
-    lost executor writes exactly the same rows.
+    The ``rebalance`` hint adds one hash shuffle on ``by`` that AQE then
+    re-sizes from the real map output: a date holding a third of all rows
+    is split over as many writer tasks as its bytes need, small dates are
+    merged, so files land near ``spark.sql.adaptive.advisoryPartitionSizeInBytes``.
+    No sampling pass over the input (unlike a range layout), and the split
+    follows map-output ranges, so a retried task writes the same rows.
     """
     cols = [by] if isinstance(by, str) else list(by)
-    spread = max(1, int(files_per_value))
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(spread))
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    laid_out = (
-        df.withColumn("_zh_salt", salt)
-        .repartitionByRange(n, *[F.col(c) for c in cols], F.col("_zh_salt"))
-        .drop("_zh_salt")
-    )
-    laid_out.write.mode("overwrite").partitionBy(*cols).parquet(path)
+    df.hint("rebalance", *cols).write.mode("overwrite").partitionBy(*cols).parquet(path)
 
 
 def write_table(df: DataFrame, path: str) -> None:
