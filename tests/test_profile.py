@@ -78,3 +78,21 @@ def test_profile_jobs_are_lazy_dicts(spark):
     weather = profile_weather(C.weather_lines(spark, sf))
     assert {"distinct_stations", "numeric_stats", "mode_top10"} <= set(weather)
     assert weather["distinct_stations"].count() == 2
+
+
+def test_numeric_stats_kll_tree(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    vals = [float(v) for v in rng.normal(10, 4, 20000).round(1)]
+    df = spark.createDataFrame([(v,) for v in vals], "x double").repartition(16)
+    (exact,) = numeric_stats(df, ["x"]).collect()
+    (tree,) = numeric_stats(df, ["x"], method="kll", fanin=4).collect()
+    assert tree.non_null_count == exact.non_null_count and tree.mean_value == pytest.approx(exact.mean_value)
+    srt = np.sort(vals)
+    rank = np.searchsorted(srt, tree.median_value, side="right") / len(srt)
+    assert abs(rank - 0.5) < 0.01
+    from pyspark.sql import functions as F
+
+    (empty,) = numeric_stats(df.where(F.lit(False)), ["x"], method="kll").collect()
+    assert empty.non_null_count == 0 and empty.median_value is None

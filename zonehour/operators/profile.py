@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from zonehour.config import TripSpec, WeatherSpec
@@ -49,33 +49,56 @@ def numeric_range(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.agg(*aggs)
 
 
-def numeric_stats(df: DataFrame, columns: Sequence[str], accuracy: int = 10000) -> DataFrame:
+def numeric_stats(
+    df: DataFrame,
+    columns: Sequence[str],
+    accuracy: int = 10000,
+    method: str = "percentile_approx",
+    fanin: int = 1024,
+    kll_k: int = 1000,
+) -> DataFrame:
     """A8 + F5: per column the non-null count, mean, approximate median,
     sample standard deviation, min and max; one row per column.
 
     All aggregates skip nulls, which is the reference's per-column
     ``isNotNull`` filter. One aggregate over every column (a single scan),
     then the one wide row is turned into one row per column.
+
+    ``method="percentile_approx"`` (default) is the reference's median: a GK
+    summary per task, merged in the single final task of the global
+    aggregate. That merge receives one summary of O(1/accuracy) entries per
+    map task, which is fine for weather-sized inputs but grows with the task
+    count. ``method="kll"`` builds a mergeable KLL sketch per task and merges
+    them through a layer of ``fanin`` reducers first, so the final task sees
+    at most ``fanin`` small sketches however many tasks read the input
+    (rank error about 1/``kll_k``).
     """
+    if method not in ("percentile_approx", "kll"):
+        raise ValueError(f"unknown median method {method!r}")
     aggs = []
     for i, c in enumerate(columns):
         x = F.col(c).cast("double")
         aggs += [
             F.count(x).alias(f"c{i}_n"),
             F.avg(x).alias(f"c{i}_mean"),
-            F.percentile_approx(x, 0.5, accuracy).alias(f"c{i}_median"),
             F.stddev_samp(x).alias(f"c{i}_sd"),
             F.min(x).alias(f"c{i}_min"),
             F.max(x).alias(f"c{i}_max"),
         ]
+        if method == "percentile_approx":
+            aggs.append(F.percentile_approx(x, 0.5, accuracy).alias(f"c{i}_median"))
     wide = df.agg(*aggs)
+    if method == "kll":
+        wide = wide.select("*", _kll_medians(df, columns, fanin, kll_k).alias("_zh_med")).select(
+            "*", *[F.col(f"_zh_med.m{i}").alias(f"c{i}_median") for i in range(len(columns))]
+        )
     rows = F.array(
         *[
             F.struct(
                 F.lit(c).alias("column_name"),
                 F.col(f"c{i}_n").alias("non_null_count"),
                 F.col(f"c{i}_mean").alias("mean_value"),
-                F.col(f"c{i}_median").alias("median_value"),
+                F.col(f"c{i}_median").cast("double").alias("median_value"),
                 F.col(f"c{i}_sd").alias("stddev_value"),
                 F.col(f"c{i}_min").alias("min_value"),
                 F.col(f"c{i}_max").alias("max_value"),
@@ -86,6 +109,28 @@ def numeric_stats(df: DataFrame, columns: Sequence[str], accuracy: int = 10000)
     return wide.select(F.inline(rows))
 
 
+def _kll_medians(df: DataFrame, columns: Sequence[str], fanin: int, k: int) -> Column:
+    """Tree-merged KLL medians as one scalar subquery (a struct m0, m1, ...).
+
+    Level 1 groups by the input task (``spark_partition_id`` modulo
+    ``fanin``, stable across task retries because scan splits are), so each
+    map task emits one partial sketch per column; level 2 merges at most
+    ``fanin`` sketches per column into one.
+    """
+    bucket = F.pmod(F.spark_partition_id(), F.lit(fanin)).alias("_zh_bucket")
+    level1 = df.groupBy(bucket).agg(
+        *[F.kll_sketch_agg_double(F.col(c).cast("double"), k).alias(f"s{i}") for i, c in enumerate(columns)]
+    )
+    merged = level1.agg(*[F.kll_merge_agg_double(f"s{i}").alias(f"s{i}") for i in range(len(columns))])
+    medians = merged.select(
+        *[
+            F.when(F.kll_sketch_get_n_double(f"s{i}") > 0, F.kll_sketch_get_quantile_double(f"s{i}", F.lit(0.5))).alias(f"m{i}")
+            for i in range(len(columns))
+        ]
+    )
+    return medians.select(F.struct(*[f"m{i}" for i in range(len(columns))]).alias("m")).scalar()
+
+
 def distinct_values(
     df: DataFrame,
     column: str,
