@@ -63,7 +63,7 @@ def profile_job(spark: SparkSession, paths: PipelinePaths, cfg: Config = Config(
     written = {}
     for name, df in profiles.items():
         path = paths.out(f"profile/{name}")
-        write_table(df.coalesce(1), path)
+        write_table(df, path)
         written[name] = path
     return written
 
@@ -95,7 +95,8 @@ def features_job(spark: SparkSession, trips_path: str, weather_path: str, out_pa
         lo, hi = cfg.trips.window
         trips = taxi.where(taxi["pickup_date"].between(lo, hi))
     features = build_features(hourly_demand(trips), hourly_weather(weather), cfg.forecast, cfg.weather, cfg.scale)
-    write_table(features, out_path)
+    # sorted by date inside each file, so the split's date filter skips row groups
+    write_table(features.sortWithinPartitions("pickup_date"), out_path)
     return spark.read.parquet(out_path)
 
 
