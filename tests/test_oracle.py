@@ -9,7 +9,7 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parents[1] / "tools"))
 
 import __spark_entry__ as E  # noqa: E402
-from check_oracle import canon, duck  # noqa: E402
+from check_oracle import canon, duck, type_diff  # noqa: E402
 
 SF = "/root/testdata/sf0.01"
 SQL = E.oracle_sql()
@@ -29,7 +29,9 @@ def test_every_query_has_sql_or_is_model():
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_duckdb(spark, con, name):
-    spdf = QUERIES[name](spark, SF).toPandas()
+    sdf = QUERIES[name](spark, SF)
+    assert type_diff(sdf, con, SQL[name]) == {}
+    spdf = sdf.toPandas()
     dpdf = con.execute(SQL[name]).df()
     sc, sr = canon(spdf)
     dc, dr = canon(dpdf)
