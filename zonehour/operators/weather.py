@@ -49,11 +49,16 @@ def parse_weather(lines: DataFrame, spec: WeatherSpec = WeatherSpec(), path_col:
     tokens = lines.select(F.col(path_col).alias("_path"), parts.alias("_parts")).where(
         F.size("_parts") >= spec.min_tokens
     )
-    return tokens.select(
+    record = F.struct(
         F.regexp_extract("_path", spec.station_pattern, 1).alias("station_id"),
         normalize_text("_path").alias("source_path_normalized"),
         *[F.get("_parts", i).try_cast("int").alias(name) for i, name in enumerate(spec.fields)],
     )
+    # One parsed record per line, emitted through a generator: filters on the
+    # parsed fields (the local-date window) then run on the record instead of
+    # being pushed below it, which would re-run the regex split once per
+    # field the filter references.
+    return tokens.select(F.inline(F.array(record)))
 
 
 def decode_weather(parsed: DataFrame, spec: WeatherSpec = WeatherSpec()) -> DataFrame:
