@@ -83,7 +83,7 @@ _LINES_CACHE: dict[tuple[str, str], str] = {}
 def write_weather_files(events: DataFrame, root: str) -> str:
     """Write the lines as gzip text, one directory per station (the station id
     is then part of every file path, as in the raw weather archive).
-    Returns a glob over the files."""
+    Returns a glob over the files; ``root`` itself can be read recursively."""
     (
         weather_line_rows(events)
         .write.mode("overwrite")
@@ -101,9 +101,9 @@ def weather_lines_from_events(spark: SparkSession, events_path: str) -> DataFram
     session and input path; the content is a pure function of the input.
     """
     key = (spark.sparkContext.applicationId, events_path)
-    glob = _LINES_CACHE.get(key)
-    if glob is None:
-        events = spark.read.parquet(events_path)
-        glob = write_weather_files(events, scratch_path(spark, "weather-lines"))
-        _LINES_CACHE[key] = glob
-    return read_weather_lines(spark, glob)
+    root = _LINES_CACHE.get(key)
+    if root is None:
+        root = scratch_path(spark, "weather-lines")
+        write_weather_files(spark.read.parquet(events_path), root)
+        _LINES_CACHE[key] = root
+    return read_weather_lines(spark, root, recursive=True)

@@ -15,16 +15,20 @@ def read_trips(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.parquet(*paths)
 
 
-def read_weather_lines(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
+def read_weather_lines(
+    spark: SparkSession, path: str, min_partitions: int | None = None, recursive: bool = False
+) -> DataFrame:
     """S2 + S4: weather text (gzip or plain, glob allowed) as ``value`` plus
-    the ``source_path`` of the file each line came from.
+    the ``source_path`` of the file each line came from. ``recursive`` reads
+    every file below a folder (no partition columns are inferred).
 
     A gzip file is not splittable, so one file is one task. Hourly station
     files are small; pass ``min_partitions`` when a few large files would
     otherwise leave most executors idle (round-robin after a local sort, so a
     retried task sees the same rows).
     """
-    lines = with_source_path(spark.read.text(path))
+    reader = spark.read.option("recursiveFileLookup", "true") if recursive else spark.read
+    lines = with_source_path(reader.text(path))
     if min_partitions:
         lines = lines.repartition(min_partitions)
     return lines
