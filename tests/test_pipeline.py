@@ -50,5 +50,6 @@ def test_metrics_csv_read_back(spark, result):
 
 def test_profiles_written(spark, result):
     _, res = result
-    assert "trips_null_counts" in res["profiles"] and "weather_mode_top10" in res["profiles"]
-    assert spark.read.parquet(res["profiles"]["weather_distinct_stations"]).count() == 2
+    assert {"trips_overview", "trips_distinct_values", "weather_mode_top10"} <= set(res["profiles"])
+    lists = spark.read.parquet(res["profiles"]["weather_distinct_values"])
+    assert lists.where("column_name = 'station_id'").count() == 2

@@ -73,11 +73,20 @@ def test_profile_jobs_are_lazy_dicts(spark):
     from zonehour.plans import catalog as C
 
     sf = "/root/testdata/sf0.001"
-    trips = profile_trips(C.raw_trips(spark, sf))
-    assert {"record_count", "null_counts", "numeric_range", "distinct_RatecodeID"} <= set(trips)
+    raw = C.raw_trips(spark, sf)
+    trips = profile_trips(raw)
+    assert set(trips) == {"overview", "distinct_values"}
+    (o,) = trips["overview"].collect()
+    assert o.record_count == raw.count() and o.null_pickup_ts == 0
+    assert o.min_trip_distance == raw.agg({"trip_distance": "min"}).first()[0]
+    lists = trips["distinct_values"].collect()
+    rate = [r.value for r in sorted(lists, key=lambda r: r.position) if r.column_name == "RatecodeID"]
+    assert rate == [str(v) for v in sorted(r.RatecodeID for r in raw.select("RatecodeID").distinct().collect() if r.RatecodeID is not None)]
     weather = profile_weather(C.weather_lines(spark, sf))
-    assert {"distinct_stations", "numeric_stats", "mode_top10"} <= set(weather)
-    assert weather["distinct_stations"].count() == 2
+    assert {"line_count", "distinct_values", "numeric_stats", "mode_top10"} <= set(weather)
+    stations = weather["distinct_values"].where("column_name = 'station_id'").count()
+    assert stations == 2
+    assert weather["distinct_values"].where("column_name = 'sky_cover_code' AND value = '-9999'").count() == 0
 
 
 def test_numeric_stats_kll_tree(spark):
@@ -96,3 +105,14 @@ def test_numeric_stats_kll_tree(spark):
 
     (empty,) = numeric_stats(df.where(F.lit(False)), ["x"], method="kll").collect()
     assert empty.non_null_count == 0 and empty.median_value is None
+
+
+def test_distinct_lists_orders_by_type(spark):
+    from zonehour.operators.profile import distinct_lists
+
+    df = spark.createDataFrame([(10, "b"), (2, "a"), (None, "10"), (2, "2"), (-9999, None)], "n int, s string")
+    got = distinct_lists(df, ["n", "s"], exclude={"n": [-9999]}).collect()
+    assert [r.value for r in got if r.column_name == "n"] == ["2", "10"]
+    assert [r.value for r in got if r.column_name == "s"] == ["10", "2", "a", "b"]
+    top = distinct_lists(df, ["n", "s"], n=1).collect()
+    assert sorted((r.column_name, r.value, r.position) for r in top) == [("n", "-9999", 1), ("s", "10", 1)]

@@ -29,12 +29,15 @@ from zonehour.operators.profile import (
     TRIP_NULL_COUNT_NAMES,
     TRIP_RANGE_COLUMNS,
     WEATHER_STAT_COLUMNS,
+    TRIP_DISTINCT_COLUMNS,
+    distinct_lists,
     distinct_values,
     keyed_count,
     mode_top,
     null_counts,
     numeric_range,
     numeric_stats,
+    overview,
     stage_counts,
 )
 from zonehour.operators.trips import TRIPS_CLEAN_COLUMNS, clean_trips
@@ -188,6 +191,14 @@ def q_record_count(spark, sf_dir):
     return keyed_count(raw_trips(spark, sf_dir))
 
 
+def q_trip_overview(spark, sf_dir):
+    return rounded(overview(raw_trips(spark, sf_dir), dict(TRIP_NULL_COUNT_NAMES), TRIP_RANGE_COLUMNS))
+
+
+def q_distinct_lists(spark, sf_dir):
+    return distinct_lists(raw_trips(spark, sf_dir), list(TRIP_DISTINCT_COLUMNS))
+
+
 def q_distinct_values(spark, sf_dir):
     return distinct_values(raw_trips(spark, sf_dir), "RatecodeID")
 
@@ -267,7 +278,9 @@ QUERIES: dict[str, Query] = {
     "null_counts": q_null_counts,
     "numeric_range": q_numeric_range,
     "record_count": q_record_count,
+    "trip_overview": q_trip_overview,
     "distinct_values": q_distinct_values,
+    "distinct_lists": q_distinct_lists,
     "distinct_store_flags": q_distinct_store_flags,
     "distinct_stations": q_distinct_stations,
     "distinct_sky_cover_codes": q_distinct_sky_cover_codes,

@@ -228,6 +228,30 @@ def _stage_counts_sql() -> str:
     return _with(*_FEATURE_CTES, _SPLITS) + body
 
 
+def _trip_overview_sql() -> str:
+    names = [
+        ("tpep_pickup_datetime", "null_pickup_ts"),
+        ("PULocationID", "null_pu_location"),
+        ("DOLocationID", "null_do_location"),
+        ("trip_distance", "null_trip_distance"),
+        ("fare_amount", "null_fare_amount"),
+        ("total_amount", "null_total_amount"),
+    ]
+    cols = ["count(*) AS record_count"]
+    cols += [f"CAST(sum(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS {n}" for c, n in names]
+    for c in ("trip_distance", "fare_amount", "total_amount"):
+        cols += [f"round(min({c}), 6) AS min_{c}", f"round(max({c}), 6) AS max_{c}", f"round(avg({c}), 6) AS avg_{c}"]
+    return _with(_TRIPS_RAW) + f"SELECT {', '.join(cols)} FROM trips_raw"
+
+
+def _distinct_lists_sql() -> str:
+    parts = [
+        f"SELECT DISTINCT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value FROM trips_raw WHERE {c} IS NOT NULL"
+        for c in ("VendorID", "RatecodeID", "payment_type", "store_and_fwd_flag")
+    ]
+    return _with(_TRIPS_RAW) + "\nUNION ALL\n".join(parts)
+
+
 ORACLE_SQL: dict[str, str] = {
     "trips_clean": _with(*_TRIP_CTES) + f"SELECT {_CLEAN_COLS} FROM trips_clean",
     "hourly_demand": _with(*_TRIP_CTES, _DEMAND)
@@ -264,6 +288,8 @@ FROM baseline_preds WHERE prediction IS NOT NULL AND label IS NOT NULL""",
     "null_counts": _null_counts_sql(),
     "numeric_range": _numeric_range_sql(),
     "record_count": _with(_TRIPS_RAW) + "SELECT 'record_count' AS metric, count(*) AS value FROM trips_raw",
+    "trip_overview": _trip_overview_sql(),
+    "distinct_lists": _distinct_lists_sql(),
     "distinct_values": _with(_TRIPS_RAW)
     + "SELECT DISTINCT RatecodeID FROM trips_raw WHERE RatecodeID IS NOT NULL ORDER BY RatecodeID",
     "distinct_store_flags": _with(_TRIPS_RAW)
