@@ -46,8 +46,12 @@ def test_model_queries_return_rows(spark, name):
     rows = df.collect()
     assert rows
     if name == "model_metrics":
-        assert {r.model_name for r in rows} == {"baseline_zone_hour_mean", "weather_aware_linear_regression"}
+        by = {r.model_name: r for r in rows}
+        assert set(by) == {"baseline_zone_hour_mean", "weather_aware_linear_regression"}
         assert all(r.test_rows == 722 for r in rows)
+        # regression values recorded for sf0.01
+        assert by["weather_aware_linear_regression"].mae == pytest.approx(0.157236, abs=1e-5)
+        assert by["weather_aware_linear_regression"].rmse == pytest.approx(0.282014, abs=1e-5)
     else:
         assert len(rows) == 722 and all(r.prediction is not None for r in rows)
 

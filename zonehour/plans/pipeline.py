@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from zonehour.config import Config
 from zonehour.operators.features import build_features, hourly_demand, hourly_weather
-from zonehour.operators.forecast import baseline_forecast, fit_linear, score_linear, time_split
+from zonehour.operators.forecast import baseline_forecast, fit_linear, score_linear, split_counts, time_split
 from zonehour.operators.metrics import compare_models
 from zonehour.operators.profile import profile_trips, profile_weather
 from zonehour.operators.trips import clean_trips
@@ -26,10 +26,10 @@ from zonehour.sources.readers import (
     read_trips,
     read_weather_lines,
     require_columns,
-    require_rows,
 )
 from zonehour.sources.sinks import write_metrics, write_partitioned, write_table
 
+METRICS_CSV_SCHEMA = "model_name string, mae double, rmse double, mape double, test_rows bigint, train_end_date string"
 TAXI_REQUIRED = ("pickup_date", "pickup_hour", "PULocationID", "trip_distance", "fare_amount")
 WEATHER_REQUIRED = (
     "observation_date_local",
@@ -112,8 +112,12 @@ def evaluate_job(spark: SparkSession, features: DataFrame, paths: PipelinePaths,
     """Split, both models, metrics. Returns the metrics table."""
     fc = cfg.forecast
     train, test = time_split(features, fc.train_end)
-    require_rows(train, f"No training rows found on or before {fc.train_end}")
-    require_rows(test, f"No test rows found after {fc.train_end}")
+    # both sides checked with one aggregate over the (small) feature table
+    counts = split_counts(features, fc.train_end).first()
+    if counts.train_rows == 0:
+        raise ValueError(f"No training rows found on or before {fc.train_end}")
+    if counts.test_rows == 0:
+        raise ValueError(f"No test rows found after {fc.train_end}")
 
     baseline_path = paths.out("baseline_predictions")
     write_table(baseline_forecast(train, test), baseline_path)
@@ -131,7 +135,7 @@ def evaluate_job(spark: SparkSession, features: DataFrame, paths: PipelinePaths,
     )
     metrics_path = paths.out("metrics")
     write_metrics(metrics, metrics_path)
-    return spark.read.option("header", True).option("inferSchema", True).csv(metrics_path)
+    return spark.read.option("header", True).schema(METRICS_CSV_SCHEMA).csv(metrics_path)
 
 
 def run_pipeline(spark: SparkSession, paths: PipelinePaths, cfg: Config = Config(), profile: bool = True) -> dict:
