@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from zonehour.config import ForecastSpec, ScaleSpec, WeatherSpec, window_days
 from zonehour.functions.columns import day_of_week, weekend_flag
 
+# --- fixed values: column order of the feature table ---
 FEATURE_COLUMNS = (
     "pickup_date",
     "pickup_hour",

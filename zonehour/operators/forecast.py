@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from zonehour.config import ForecastSpec
 
+# --- fixed values: column order of the prediction tables ---
 PREDICTION_COLUMNS = ("pickup_date", "pickup_hour", "PULocationID", "label", "prediction")
 MODEL_OUTPUT_COLUMNS = PREDICTION_COLUMNS + (
     "avg_temp_c",

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# --- fixed values: column order of the metrics table ---
 METRIC_COLUMNS = ("model_name", "mae", "rmse", "mape", "test_rows", "train_end_date")
 
 

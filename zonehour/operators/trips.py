@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from zonehour.config import TripSpec, day_after
 from zonehour.functions.columns import day_of_week, in_date_window, normalize_text, threshold_flag
 
+# --- fixed values: column order of the clean trip table ---
 TRIPS_CLEAN_COLUMNS = (
     "pickup_date",
     "pickup_hour",

@@ -18,6 +18,7 @@ from zonehour.functions.columns import (
 )
 from zonehour.operators.trips import date_window
 
+# --- fixed values: column order of the clean weather table ---
 WEATHER_CLEAN_COLUMNS = (
     "station_id",
     "source_path_normalized",
