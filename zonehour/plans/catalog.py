@@ -42,7 +42,7 @@ from zonehour.operators.profile import (
 )
 from zonehour.operators.trips import TRIPS_CLEAN_COLUMNS, clean_trips
 from zonehour.operators.weather import clean_weather, decode_weather, parse_weather
-from zonehour.session import scratch_path
+from zonehour.session import ensure_checkpoint_dir, scratch_path
 from zonehour.sources.adapters import trips_from_events, weather_lines_from_events
 from zonehour.sources.readers import read_clean
 from zonehour.sources.sinks import preview, write_partitioned
@@ -156,6 +156,7 @@ def q_baseline_metrics(spark, sf_dir):
 def _checkpointed_splits(spark, sf_dir):
     """The model makes many passes over the training split; cut the lineage
     once into the shared checkpoint folder so each pass reads that copy."""
+    ensure_checkpoint_dir(spark)
     features = features_df(spark, sf_dir).checkpoint(eager=True)
     return time_split(features, QUERY_CONFIG.forecast.train_end)
 
