@@ -44,14 +44,18 @@ WEATHER_REQUIRED = (
 
 @dataclass(frozen=True)
 class PipelinePaths:
-    """Inputs and the output root (a shared file system on a cluster)."""
+    """Inputs and the output root (a shared file system on a cluster).
+    ``overrides`` maps an output name (``features``, ``metrics``, ...) to a
+    path of its own."""
 
     raw_trips: str
     raw_weather: str
     output_root: str
+    overrides: tuple[tuple[str, str], ...] = ()
 
     def out(self, name: str) -> str:
-        return f"{self.output_root.rstrip('/')}/{name}"
+        own = dict(self.overrides).get(name)
+        return own or f"{self.output_root.rstrip('/')}/{name}"
 
 
 def profile_job(spark: SparkSession, paths: PipelinePaths, cfg: Config = Config()) -> dict[str, str]:
