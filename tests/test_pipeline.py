@@ -36,6 +36,7 @@ def test_counts_match_catalogue(spark, result):
     c = res["counts"]
     assert c["trips_clean"] == C.trips_clean_df(spark, SF).count()
     assert c["weather_clean"] == C.weather_clean_df(spark, SF).count()
+    assert c["weather_lines"] == C.weather_lines(spark, SF).count()
     assert c["features"] == C.features_df(spark, SF).count()
 
 
