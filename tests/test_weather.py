@@ -160,3 +160,13 @@ def test_real_gzip_files_and_path_station(spark, tmp_out):
     parsed = parse_weather(lines).collect()
     assert sorted(r.station_id for r in parsed) == ["725030-14732-2024", STATION]
     assert all(r.source_path_normalized.endswith(".gz") for r in parsed)
+
+
+def test_min_partitions_spreads_lines(spark, tmp_out):
+    rows = spark.createDataFrame([(STATION, LINES["w1"])] * 50, "station string, value string").coalesce(1)
+    rows.write.mode("overwrite").option("compression", "gzip").partitionBy("station").text(tmp_out + "/one")
+    lines = read_weather_lines(spark, tmp_out + "/one/*/*.gz", min_partitions=4)
+    assert lines.rdd.getNumPartitions() == 4
+    assert parse_weather(lines).count() == 50
+    recursive = read_weather_lines(spark, tmp_out + "/one", recursive=True)
+    assert recursive.columns == ["value", "source_path"] and recursive.count() == 50
