@@ -217,3 +217,37 @@ def test_two_fits_agree(spark):
     b = fit_linear(feats).stages[-1]
     assert np.allclose(a.coefficients.toArray(), b.coefficients.toArray(), atol=1e-6)
     assert a.intercept == pytest.approx(b.intercept, abs=1e-6)
+
+
+def test_linear_model_kkt_on_query_input(spark):
+    """Brute-force check of the registered model query's fit: the KKT
+    conditions of the elastic-net objective hold on the real sf0.01 training
+    split (one-hot zones included)."""
+    from zonehour.plans import catalog as C
+
+    feats = C.features_df(spark, "/root/testdata/sf0.01")
+    train, _ = time_split(feats, C.QUERY_TRAIN_END)
+    spec = C.QUERY_CONFIG.forecast
+    model = fit_linear(train, spec)
+    lr = model.stages[-1]
+    pdf = model.transform(train).select("features", "trip_count").toPandas()
+    X = np.stack([v.toArray() for v in pdf["features"]])
+    y = pdf["trip_count"].to_numpy(float)
+    coef = lr.coefficients.toArray()
+    sx = X.std(axis=0, ddof=1)
+    const = sx == 0
+    assert np.all(coef[const] == 0)
+    Xs = (X[:, ~const] - X[:, ~const].mean(axis=0)) / sx[~const]
+    sy = y.std(ddof=1)
+    ys = (y - y.mean()) / sy
+    w = coef[~const] * sx[~const] / sy
+    lam, alpha = spec.reg_param / sy, spec.elastic_net
+    g = Xs.T @ (Xs @ w - ys) / len(y) + lam * (1 - alpha) * w
+    for gj, wj in zip(g, w):
+        if abs(wj) > 1e-10:
+            assert abs(gj + lam * alpha * np.sign(wj)) < 1e-3
+        else:
+            assert abs(gj) <= lam * alpha + 1e-3
+    # the intercept makes the mean residual zero
+    pred = X @ coef + lr.intercept
+    assert abs((y - pred).mean()) < 1e-6
