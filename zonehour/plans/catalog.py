@@ -240,7 +240,9 @@ def q_mode_top10(spark, sf_dir):
 def q_stage_counts(spark, sf_dir):
     raw = raw_trips(spark, sf_dir)
     lines = weather_lines(spark, sf_dir)
-    features = features_df(spark, sf_dir)
+    # features, train and test are counted from one checkpointed feature table
+    ensure_checkpoint_dir(spark)
+    features = features_df(spark, sf_dir).checkpoint(eager=True)
     train, test = time_split(features, QUERY_CONFIG.forecast.train_end)
     return stage_counts(
         {
