@@ -120,5 +120,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     return result
 
 
-if __name__ == "__main__":
+def run() -> None:
+    """Console-script entry point (exit status 0 on success)."""
     main()
+
+
+if __name__ == "__main__":
+    run()
