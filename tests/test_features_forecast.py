@@ -251,3 +251,24 @@ def test_linear_model_kkt_on_query_input(spark):
     # the intercept makes the mean residual zero
     pred = X @ coef + lr.intercept
     assert abs((y - pred).mean()) < 1e-6
+
+
+def test_open_weather_window_sets_no_broadcast_hint(spark):
+    from dataclasses import replace
+
+    demand = spark.createDataFrame([(date(2024, 1, 7), 8, 1, 3, 2.0, 10.0)], DEMAND_SCHEMA)
+    weather = spark.createDataFrame([], HOURLY_W_SCHEMA)
+    bounded = build_features(demand, weather, ForecastSpec(), WeatherSpec())
+    open_window = build_features(demand, weather, ForecastSpec(), replace(WeatherSpec(), window=None))
+    assert "broadcast" in bounded._jdf.queryExecution().analyzed().toString().lower()
+    assert "broadcast" not in open_window._jdf.queryExecution().analyzed().toString().lower()
+
+
+def test_metrics_csv_keeps_nan(spark, tmp_out):
+    from zonehour.plans.pipeline import METRICS_CSV_SCHEMA
+    from zonehour.sources.sinks import write_metrics
+
+    preds = spark.createDataFrame([(0, 1.0), (0, 2.0)], "label bigint, prediction double")
+    write_metrics(compare_models({"m": preds}, "2024-01-24"), tmp_out + "/metrics")
+    (r,) = spark.read.option("header", True).schema(METRICS_CSV_SCHEMA).csv(tmp_out + "/metrics").collect()
+    assert r.model_name == "m" and r.mae == 1.5 and np.isnan(r.mape) and r.test_rows == 2
