@@ -28,6 +28,7 @@ def main() -> None:
         # scratch folder names change every run; keep the plans diff-stable
         text = re.sub(r"file:/[^\s,\]]*", "<path>", text)
         text = re.sub(r"#\d+", "", text)
+        text = re.sub(r"(plan_id=|subquery|id=#?|RDD\[)\d+", r"\1", text)
         (out / f"{name}.txt").write_text(text)
         print(name, len(text))
     spark.stop()
