@@ -29,6 +29,7 @@ def main() -> None:
         text = re.sub(r"file:/[^\s,\]]*", "<path>", text)
         text = re.sub(r"#\d+", "", text)
         text = re.sub(r"(plan_id=|subquery|id=#?|RDD\[)\d+", r"\1", text)
+        text = re.sub(r"_(VectorAssembler|OneHotEncoder|StringIndexer)_[0-9a-f]{12}", r"_\1", text)
         (out / f"{name}.txt").write_text(text)
         print(name, len(text))
     spark.stop()
