@@ -81,3 +81,14 @@ def test_partitioned_write_spreads_one_date(spark, tmp_path):
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
     assert len(list(Path(path).glob("d=2024-01-05/*.parquet"))) >= 2
     assert spark.read.parquet(path).count() == 40000
+
+
+def test_local_layout_writes_without_a_shuffle(spark, tmp_path):
+    from pathlib import Path
+
+    df = C.trips_clean_df(spark, SF)
+    path = str(tmp_path / "local")
+    write_partitioned(df, path, "pickup_date", layout="local")
+    assert "Exchange" not in plan(df.sortWithinPartitions("pickup_date"))
+    assert spark.read.parquet(path).count() == df.count()
+    assert len(list(Path(path).glob("pickup_date=*"))) == df.select("pickup_date").distinct().count()

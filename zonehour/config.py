@@ -149,10 +149,17 @@ class ScaleSpec:
     size is known before any job runs; above the cap the join is left to the
     planner (sort-merge, or an AQE runtime broadcast).
     ``row_bytes_bound`` is the per-row size used for that estimate.
+    ``trips_layout`` / ``weather_layout`` choose how the clean tables are laid
+    out on write (see ``sources.sinks.write_partitioned``). Trips default to
+    no shuffle, since raw trip files are clustered by time and the table is
+    the big one. Weather is rebalanced: one file per station spans every date,
+    and the shuffle of a small table is cheap.
     """
 
     broadcast_bytes: int = 64 * 1024 * 1024
     row_bytes_bound: int = 128
+    trips_layout: str = "local"
+    weather_layout: str = "rebalance"
 
 
 @dataclass(frozen=True)

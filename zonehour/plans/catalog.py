@@ -260,7 +260,7 @@ def q_stage_counts(spark, sf_dir):
 
 def q_trips_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "trips-clean")
-    write_partitioned(trips_clean_df(spark, sf_dir), path, "pickup_date")
+    write_partitioned(trips_clean_df(spark, sf_dir), path, "pickup_date", QUERY_CONFIG.scale.trips_layout)
     return read_clean(spark, path).select(*TRIPS_CLEAN_COLUMNS)
 
 

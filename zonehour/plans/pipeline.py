@@ -75,7 +75,7 @@ def profile_job(spark: SparkSession, paths: PipelinePaths, cfg: Config = Config(
 def clean_trips_job(spark: SparkSession, raw_path: str, out_path: str, cfg: Config = Config()) -> dict[str, int]:
     """C3 + K1: raw parquet -> trips_clean partitioned by pickup_date."""
     raw = read_trips(spark, raw_path)
-    write_partitioned(clean_trips(raw, cfg.trips), out_path, "pickup_date")
+    write_partitioned(clean_trips(raw, cfg.trips), out_path, "pickup_date", cfg.scale.trips_layout)
     # both counts come from parquet footers, not from another pass over rows
     return {"raw_trips": raw.count(), "trips_clean": read_clean(spark, out_path).count()}
 
@@ -90,7 +90,7 @@ def clean_weather_job(spark: SparkSession, raw_glob: str, out_path: str, cfg: Co
     loss.
     """
     lines = read_weather_lines(spark, raw_glob)
-    write_partitioned(clean_weather(lines, cfg.weather), out_path, "observation_date_local")
+    write_partitioned(clean_weather(lines, cfg.weather), out_path, "observation_date_local", cfg.scale.weather_layout)
     return {"weather_lines": lines.count(), "weather_clean": read_clean(spark, out_path).count()}
 
 
