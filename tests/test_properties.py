@@ -9,11 +9,14 @@ import re
 from datetime import date, datetime, timedelta
 from zoneinfo import ZoneInfo
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import types as T
 
 from zonehour.config import WeatherSpec
+from zonehour.operators.features import build_features, hourly_weather
+from zonehour.operators.metrics import forecast_metrics
 from zonehour.operators.trips import clean_trips
 from zonehour.operators.weather import clean_weather, parse_weather
 
@@ -172,3 +175,80 @@ def test_trips_match_python_model(spark, trips):
             assert i not in got, t
         else:
             assert got[i] == want, t
+
+
+# ---- features and metrics ---------------------------------------------------
+
+days = st.integers(1, 6).map(lambda d: date(2024, 1, d))
+hours = st.integers(0, 3)
+
+
+@st.composite
+def weather_rows(draw):
+    return (
+        draw(st.sampled_from(["s1", "s2", "s3"])),
+        draw(days),
+        draw(hours),
+        draw(maybe(st.integers(-50, 50).map(lambda v: v / 10))),
+        draw(maybe(st.integers(0, 90).map(lambda v: v / 10))),
+        draw(maybe(st.sampled_from([0.0, 0.1, 2.5]))),
+    )
+
+
+@st.composite
+def demand_rows(draw):
+    return (draw(days), draw(hours), draw(st.integers(1, 4)), draw(st.integers(1, 9)), 1.5, 12.0)
+
+
+@settings(**SETTINGS)
+@given(st.lists(weather_rows(), min_size=0, max_size=40), st.lists(demand_rows(), min_size=1, max_size=40, unique_by=lambda r: r[:3]))
+def test_features_match_python_model(spark, weather, demand):
+    wdf = spark.createDataFrame(
+        [(s, d, h, t, w, p, 1 if (p or 0) > 0 else 0) for s, d, h, t, w, p in weather],
+        "station_id string, observation_date_local date, observation_hour_local int, air_temp_c double, "
+        "wind_speed_mps double, precipitation_1hr_mm double, is_rain_1hr int",
+    )
+    ddf = spark.createDataFrame(
+        demand,
+        "pickup_date date, pickup_hour int, PULocationID int, trip_count bigint, avg_trip_distance double, avg_fare_amount double",
+    )
+    got = {(r.pickup_date, r.pickup_hour, r.PULocationID): r for r in build_features(ddf, hourly_weather(wdf), weather_spec=WeatherSpec()).collect()}
+    assert len(got) == len(demand)
+
+    def mean(xs):
+        xs = [x for x in xs if x is not None]
+        return sum(xs) / len(xs) if xs else None
+
+    for d, h, z, n, dist, fare in demand:
+        obs = [w for w in weather if w[1] == d and w[2] == h]
+        r = got[(d, h, z)]
+        want_temp = mean([w[3] for w in obs]) or 0.0
+        assert r.trip_count == n and r.avg_trip_distance == dist
+        assert abs(r.avg_temp_c - want_temp) < 1e-9
+        assert abs(r.avg_wind_speed_mps - (mean([w[4] for w in obs]) or 0.0)) < 1e-9
+        assert abs(r.avg_precipitation_1hr_mm - (mean([w[5] for w in obs]) or 0.0)) < 1e-9
+        assert r.is_rain_hour == max([1 if (w[5] or 0) > 0 else 0 for w in obs], default=0)
+        assert r.station_count == len({w[0] for w in obs})
+        dow = d.isoweekday() % 7 + 1
+        assert r.day_of_week == dow and r.is_weekend == int(dow in (1, 7))
+
+
+@settings(**SETTINGS)
+@given(st.lists(st.tuples(maybe(st.integers(0, 20)), maybe(st.integers(-5, 25).map(float))), min_size=1, max_size=50))
+def test_metrics_match_python_model(spark, pairs):
+    usable = [(y, p) for y, p in pairs if y is not None and p is not None]
+    df = spark.createDataFrame(pairs, "label bigint, prediction double")
+    if not usable:
+        with pytest.raises(Exception, match="No usable rows"):
+            forecast_metrics(df).collect()
+        return
+    (m,) = forecast_metrics(df).collect()
+    n = len(usable)
+    assert m.test_rows == n
+    assert abs(m.mae - sum(abs(p - y) for y, p in usable) / n) < 1e-9
+    assert abs(m.rmse - math.sqrt(sum((p - y) ** 2 for y, p in usable) / n)) < 1e-9
+    pos = [(y, p) for y, p in usable if y > 0]
+    if pos:
+        assert abs(m.mape - sum(abs((p - y) / y) for y, p in pos) / len(pos)) < 1e-9
+    else:
+        assert math.isnan(m.mape)
