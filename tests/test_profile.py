@@ -75,7 +75,9 @@ def test_profile_jobs_are_lazy_dicts(spark):
     sf = "/root/testdata/sf0.001"
     raw = C.raw_trips(spark, sf)
     trips = profile_trips(raw)
-    assert set(trips) == {"overview", "distinct_values"}
+    assert set(trips) == {"overview", "distinct_values", "sample"}
+    sample = trips["sample"].collect()
+    assert len(sample) == 20 and len(sample[0]) == 9
     (o,) = trips["overview"].collect()
     assert o.record_count == raw.count() and o.null_pickup_ts == 0
     assert o.min_trip_distance == raw.agg({"trip_distance": "min"}).first()[0]
@@ -83,7 +85,8 @@ def test_profile_jobs_are_lazy_dicts(spark):
     rate = [r.value for r in sorted(lists, key=lambda r: r.position) if r.column_name == "RatecodeID"]
     assert rate == [str(v) for v in sorted(r.RatecodeID for r in raw.select("RatecodeID").distinct().collect() if r.RatecodeID is not None)]
     weather = profile_weather(C.weather_lines(spark, sf))
-    assert {"line_count", "distinct_values", "numeric_stats", "mode_top10"} <= set(weather)
+    assert {"line_count", "distinct_values", "numeric_stats", "mode_top10", "sample"} <= set(weather)
+    assert weather["sample"].count() == 20
     stations = weather["distinct_values"].where("column_name = 'station_id'").count()
     assert stations == 2
     assert weather["distinct_values"].where("column_name = 'sky_cover_code' AND value = '-9999'").count() == 0
