@@ -41,7 +41,7 @@ from zonehour.operators.profile import (
     stage_counts,
 )
 from zonehour.operators.trips import TRIPS_CLEAN_COLUMNS, clean_trips
-from zonehour.operators.weather import clean_weather, decode_weather, parse_weather
+from zonehour.operators.weather import WEATHER_CLEAN_COLUMNS, clean_weather, decode_weather, parse_weather
 from zonehour.session import ensure_checkpoint_dir, scratch_path
 from zonehour.sources.adapters import trips_from_events, weather_lines_from_events
 from zonehour.sources.readers import read_clean
@@ -264,6 +264,13 @@ def q_trips_roundtrip(spark, sf_dir):
     return read_clean(spark, path).select(*TRIPS_CLEAN_COLUMNS)
 
 
+def q_weather_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "weather-clean")
+    write_partitioned(weather_clean_df(spark, sf_dir), path, "observation_date_local", QUERY_CONFIG.scale.weather_layout)
+    cols = [c for c in WEATHER_CLEAN_COLUMNS if c != "source_path_normalized"]
+    return read_clean(spark, path).select(*cols)
+
+
 def q_trips_preview(spark, sf_dir):
     return preview(trips_clean_df(spark, sf_dir), None, 20)
 
@@ -296,5 +303,6 @@ QUERIES: dict[str, Query] = {
     "mode_top10": q_mode_top10,
     "stage_counts": q_stage_counts,
     "trips_roundtrip": q_trips_roundtrip,
+    "weather_roundtrip": q_weather_roundtrip,
     "trips_preview": q_trips_preview,
 }

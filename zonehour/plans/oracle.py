@@ -304,5 +304,6 @@ FROM baseline_preds WHERE prediction IS NOT NULL AND label IS NOT NULL""",
     "mode_top10": _mode_top10_sql(),
     "stage_counts": _stage_counts_sql(),
     "trips_roundtrip": _with(*_TRIP_CTES) + f"SELECT {_CLEAN_COLS} FROM trips_clean",
+    "weather_roundtrip": _with(*_WEATHER_CTES) + f"SELECT {_WEATHER_CLEAN_COLS} FROM weather_clean",
     "trips_preview": _with(*_TRIP_CTES) + f"SELECT {_CLEAN_COLS} FROM trips_clean ORDER BY {_PREVIEW_ORDER} LIMIT 20",
 }
