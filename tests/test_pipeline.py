@@ -54,3 +54,13 @@ def test_profiles_written(spark, result):
     assert {"trips_overview", "trips_distinct_values", "weather_mode_top10"} <= set(res["profiles"])
     lists = spark.read.parquet(res["profiles"]["weather_distinct_values"])
     assert lists.where("column_name = 'station_id'").count() == 2
+
+
+def test_features_through_written_tables_equal_in_memory(spark, result):
+    """K1 -> S3 -> C5 (partitioned clean tables read back) gives the same
+    feature rows as composing the operators in memory."""
+    paths, _ = result
+    written = C.rounded(spark.read.parquet(paths.out("features")))
+    direct = C.rounded(C.features_df(spark, SF))
+    assert written.count() == direct.count()
+    assert written.exceptAll(direct).count() == 0 and direct.exceptAll(written).count() == 0
