@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from zonehour.config import ForecastSpec, WeatherSpec
 from zonehour.operators.features import FEATURE_COLUMNS, build_features, hourly_demand, hourly_weather
 from zonehour.operators.forecast import (
+    MODEL_OUTPUT_COLUMNS,
+    PREDICTION_COLUMNS,
     baseline_forecast,
     fit_linear,
     linear_forecast,
@@ -111,7 +113,9 @@ def test_b1_b2_baseline(spark):
         [_row(d0, 8, 1, 2), _row(d0, 8, 1, 4), _row(d0, 9, 2, 9), _row(d1, 8, 1, 5), _row(d1, 8, 7, 1)],
     )
     train, test = time_split(feats, "2024-01-24")
-    preds = {r.PULocationID: r.prediction for r in baseline_forecast(train, test).collect()}
+    out = baseline_forecast(train, test)
+    assert tuple(out.columns) == PREDICTION_COLUMNS
+    preds = {r.PULocationID: r.prediction for r in out.collect()}
     assert preds[1] == 3.0
     assert preds[7] == 5.0
 
@@ -173,7 +177,9 @@ def test_l1_unseen_zone_scores(spark):
     feats = _signal_features(spark, 10)
     train = feats
     test = _features(spark, [(date(2024, 1, 26), 8, 99, 5, 1.0, 10.0, 0.0, 0.0, 0.0, 0, 1, 6, 0)])
-    (r,) = linear_forecast(train, test).collect()
+    scored = linear_forecast(train, test)
+    assert tuple(scored.columns) == MODEL_OUTPUT_COLUMNS
+    (r,) = scored.collect()
     assert r.prediction is not None and np.isfinite(r.prediction)
 
 
