@@ -72,6 +72,11 @@ DEFAULT_FEATURE_FILL = (
 # Model names in the metrics table.
 BASELINE_MODEL_NAME = "baseline_zone_hour_mean"
 LINEAR_MODEL_NAME = "weather_aware_linear_regression"
+# Contract error messages (same wording as the source jobs).
+MSG_MISSING_COLUMNS = "{name} is missing required columns: {columns}"
+MSG_NO_USABLE_ROWS = "No usable rows found for metrics on prediction={prediction} label={label}"
+MSG_NO_TRAIN_ROWS = "No training rows found on or before {date}"
+MSG_NO_TEST_ROWS = "No test rows found after {date}"
 # --- end of fixed values -----------------------------------------------------
 
 

@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from zonehour.config import MSG_NO_USABLE_ROWS
+
 # --- fixed values: column order of the metrics table ---
 METRIC_COLUMNS = ("model_name", "mae", "rmse", "mape", "test_rows", "train_end_date")
 
@@ -28,7 +30,7 @@ def forecast_metrics(predictions: DataFrame, label: str = "label", prediction: s
         F.avg(F.when(y > F.lit(0.0), F.abs(err / y))).alias("mape"),
         F.count(F.lit(1)).alias("test_rows"),
     )
-    message = f"No usable rows found for metrics on prediction={prediction} label={label}"
+    message = MSG_NO_USABLE_ROWS.format(prediction=prediction, label=label)
     return agg.select(
         F.when(F.col("test_rows") > 0, F.col("mae")).otherwise(F.raise_error(F.lit(message))).cast("double").alias("mae"),
         "rmse",

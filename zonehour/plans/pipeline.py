@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonehour.config import Config
+from zonehour.config import MSG_NO_TEST_ROWS, MSG_NO_TRAIN_ROWS, Config
 from zonehour.operators.features import build_features, hourly_demand, hourly_weather
 from zonehour.operators.forecast import baseline_forecast, fit_linear, score_linear, split_counts, time_split
 from zonehour.operators.metrics import compare_models
@@ -126,9 +126,9 @@ def evaluate_job(spark: SparkSession, features: DataFrame, paths: PipelinePaths,
     # both sides checked with one aggregate over the (small) feature table
     counts = split_counts(features, fc.train_end).first()
     if counts.train_rows == 0:
-        raise ValueError(f"No training rows found on or before {fc.train_end}")
+        raise ValueError(MSG_NO_TRAIN_ROWS.format(date=fc.train_end))
     if counts.test_rows == 0:
-        raise ValueError(f"No test rows found after {fc.train_end}")
+        raise ValueError(MSG_NO_TEST_ROWS.format(date=fc.train_end))
 
     baseline_path = paths.out("baseline_predictions")
     write_table(baseline_forecast(train, test), baseline_path)

@@ -7,6 +7,8 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from zonehour.config import MSG_MISSING_COLUMNS
+
 
 def read_trips(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Raw trip parquet. Projection and filters applied later are pushed
@@ -50,7 +52,7 @@ def require_columns(df: DataFrame, required: Iterable[str], name: str) -> DataFr
     have = set(df.columns)
     missing = [c for c in required if c not in have]
     if missing:
-        raise ValueError(f"{name} is missing required columns: {', '.join(missing)}")
+        raise ValueError(MSG_MISSING_COLUMNS.format(name=name, columns=", ".join(missing)))
     return df
 
 
