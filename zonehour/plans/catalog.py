@@ -73,9 +73,23 @@ def rounded(df: DataFrame, places: int = 6, only: tuple[str, ...] | None = None)
 
 # ---- inputs -----------------------------------------------------------------
 
+_SCHEMAS: dict[tuple[str, str], object] = {}
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """Parquet read whose inferred schema is remembered per session and path:
+    later reads pass it in and skip the footer-reading inference job."""
+    key = (spark.sparkContext.applicationId, path)
+    schema = _SCHEMAS.get(key)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _SCHEMAS[key] = df.schema
+        return df
+    return spark.read.schema(schema).parquet(path)
+
 
 def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trips_from_events(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    return trips_from_events(read_table(spark, f"{sf_dir}/events.parquet"))
 
 
 def weather_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
