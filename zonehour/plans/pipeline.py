@@ -9,6 +9,7 @@ repeated passes over the training split read the feature files.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -58,17 +59,21 @@ class PipelinePaths:
         return own or f"{self.output_root.rstrip('/')}/{name}"
 
 
-def profile_job(spark: SparkSession, paths: PipelinePaths, cfg: Config = Config()) -> dict[str, str]:
-    """C1 + C2: every profile written as a small parquet table."""
+def profile_job(spark: SparkSession, paths: PipelinePaths, cfg: Config = Config(), parallel: int = 4) -> dict[str, str]:
+    """C1 + C2: every profile written as a small parquet table.
+
+    The profiles are independent jobs. Their writes are submitted from up to
+    ``parallel`` threads so Spark can schedule them side by side; no data
+    passes through the driver.
+    """
     profiles = {
         **{f"trips_{k}": v for k, v in profile_trips(read_trips(spark, paths.raw_trips), cfg.trips).items()},
         **{f"weather_{k}": v for k, v in profile_weather(read_weather_lines(spark, paths.raw_weather), cfg.weather).items()},
     }
-    written = {}
-    for name, df in profiles.items():
-        path = paths.out(f"profile/{name}")
-        write_table(df, path)
-        written[name] = path
+    written = {name: paths.out(f"profile/{name}") for name in profiles}
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        for job in [pool.submit(write_table, df, written[name]) for name, df in profiles.items()]:
+            job.result()
     return written
 
 
