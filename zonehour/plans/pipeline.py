@@ -136,11 +136,16 @@ def evaluate_job(spark: SparkSession, features: DataFrame, paths: PipelinePaths,
         raise ValueError(MSG_NO_TEST_ROWS.format(date=fc.train_end))
 
     baseline_path = paths.out("baseline_predictions")
-    write_table(baseline_forecast(train, test), baseline_path)
-
-    model = fit_linear(train, fc)
     model_path = paths.out("model_predictions")
-    write_table(score_linear(model, test), model_path)
+
+    def model_predictions() -> None:
+        write_table(score_linear(fit_linear(train, fc), test), model_path)
+
+    # the baseline write and the model fit are independent jobs
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        jobs = [pool.submit(write_table, baseline_forecast(train, test), baseline_path), pool.submit(model_predictions)]
+        for job in jobs:
+            job.result()
 
     metrics = compare_models(
         {
@@ -155,15 +160,17 @@ def evaluate_job(spark: SparkSession, features: DataFrame, paths: PipelinePaths,
 
 
 def run_pipeline(spark: SparkSession, paths: PipelinePaths, cfg: Config = Config(), profile: bool = True) -> dict:
-    """The whole chain in stage order in one session."""
+    """The whole chain in stage order in one session. The profiles and
+    the two cleaning jobs read only raw input, so they run side by side."""
     result: dict = {}
-    if profile:
-        result["profiles"] = profile_job(spark, paths, cfg)
     trips_path, weather_path = paths.out("trips_clean"), paths.out("weather_clean")
-    result["counts"] = {
-        **clean_trips_job(spark, paths.raw_trips, trips_path, cfg),
-        **clean_weather_job(spark, paths.raw_weather, weather_path, cfg),
-    }
+    with ThreadPoolExecutor(max_workers=3) as pool:
+        profiles = pool.submit(profile_job, spark, paths, cfg) if profile else None
+        trips = pool.submit(clean_trips_job, spark, paths.raw_trips, trips_path, cfg)
+        weather = pool.submit(clean_weather_job, spark, paths.raw_weather, weather_path, cfg)
+        result["counts"] = {**trips.result(), **weather.result()}
+        if profiles is not None:
+            result["profiles"] = profiles.result()
     features = features_job(spark, trips_path, weather_path, paths.out("features"), cfg)
     result["counts"]["features"] = features.count()
     result["metrics"] = evaluate_job(spark, features, paths, cfg)
