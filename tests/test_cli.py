@@ -39,3 +39,17 @@ def test_job_by_job(spark, tmp_out):
     (expected,) = C.q_baseline_metrics(spark, SF).collect()
     base = next(m for m in a["metrics"] if m["model_name"] == "baseline_zone_hour_mean")
     assert abs(base["mae"] - expected.mae) < 1e-6
+
+
+def test_all_in_one(spark, tmp_out):
+    raw = tmp_out + "/raw_trips"
+    C.raw_trips(spark, SF).write.parquet(raw)
+    weather = write_weather_files(spark.read.parquet(f"{SF}/events.parquet"), tmp_out + "/raw_weather")
+    out = main(
+        ["all", "--raw-trips", raw, "--raw-weather", weather, "--output-root", tmp_out + "/out",
+         "--train-end-date", C.QUERY_TRAIN_END, "--no-profile", *WIN],
+        spark,
+    )
+    assert out["counts"]["trips_clean"] == C.trips_clean_df(spark, SF).count()
+    assert {m["model_name"] for m in out["metrics"]} == {"baseline_zone_hour_mean", "weather_aware_linear_regression"}
+    assert not Path(tmp_out + "/out/profile").exists()
