@@ -26,7 +26,9 @@ def write_partitioned(df: DataFrame, path: str, by: str | Sequence[str], layout:
       for input that is not clustered by the partition column, such as one
       weather file per station covering every date, where a local layout
       would leave files-per-task × dates tiny files. It needs no sampling pass
-      (unlike a range layout), and a retried task writes the same rows.
+      (unlike a range layout), and a retried task writes the same rows. The
+      splitting and merging come from AQE (``spark.sql.adaptive.enabled``, on
+      by default). With AQE off the hint is a plain hash repartition on ``by``.
     """
     cols = [by] if isinstance(by, str) else list(by)
     if layout == "rebalance":
