@@ -62,27 +62,38 @@ def trip_rules() -> dict[str, Column]:
 
 def valid_trips(typed: DataFrame, rules: dict[str, Column] | None = None) -> DataFrame:
     """F1 as one conjunctive filter."""
-    rules = rules or trip_rules()
-    cond = None
-    for rule in rules.values():
-        cond = rule if cond is None else cond & rule
+    cond = _conjunction(list((rules or trip_rules()).values()))
     return typed if cond is None else typed.where(cond)
 
 
-def date_window(df: DataFrame, ts_col: str, window: tuple[str, str] | None) -> DataFrame:
-    """keep rows whose date of ``ts_col`` lies in the inclusive window.
-    Written as a half-open timestamp range so the parquet scan receives it."""
+def _conjunction(conds: list[Column]) -> Column | None:
+    out = None
+    for c in conds:
+        out = c if out is None else out & c
+    return out
+
+
+def window_condition(ts_col: str, window: tuple[str, str] | None) -> Column | None:
+    """F2/F4 as a column: the date of ``ts_col`` lies in the inclusive window,
+    written as a half-open timestamp range so the parquet scan receives it."""
     if window is None:
-        return df
+        return None
     lo, hi = window
-    return df.where(in_date_window(ts_col, lo, day_after(hi)))
+    return in_date_window(ts_col, lo, day_after(hi))
+
+
+def date_window(df: DataFrame, ts_col: str, window: tuple[str, str] | None) -> DataFrame:
+    """keep rows whose date of ``ts_col`` lies in the inclusive window."""
+    cond = window_condition(ts_col, window)
+    return df if cond is None else df.where(cond)
 
 
 def clean_trips(raw: DataFrame, spec: TripSpec = TripSpec(), carry: tuple[str, ...] = ()) -> DataFrame:
     """C3. Narrow transformation only (project + filter): no shuffle, one
     pass, and the window and non-null tests reach the parquet reader."""
     typed = typed_trips(raw, spec, carry)
-    kept = date_window(valid_trips(typed), "pickup_ts", spec.window)
+    window = window_condition("pickup_ts", spec.window)
+    kept = typed.where(_conjunction(list(trip_rules().values()) + ([window] if window is not None else [])))
     return kept.select(
         F.to_date("pickup_ts").alias("pickup_date"),
         F.hour("pickup_ts").alias("pickup_hour"),

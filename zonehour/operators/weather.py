@@ -86,16 +86,14 @@ def clean_weather(lines: DataFrame, spec: WeatherSpec = WeatherSpec(), path_col:
     Wind direction and sky cover keep their sentinel."""
     decoded = decode_weather(parse_weather(lines, spec, path_col), spec)
     ts_utc = utc_timestamp("year", "month", "day", "hour_utc")
-    with_ts = decoded.withColumn("observation_ts_utc", ts_utc).withColumn(
-        "observation_ts_local", to_local("observation_ts_utc", spec.local_zone)
-    )
-    out = with_ts.select(
+    ts_local = to_local(ts_utc, spec.local_zone)
+    out = decoded.select(
         "station_id",
         "source_path_normalized",
-        "observation_ts_utc",
-        "observation_ts_local",
-        local_date("observation_ts_local").alias("observation_date_local"),
-        local_hour("observation_ts_local").alias("observation_hour_local"),
+        ts_utc.alias("observation_ts_utc"),
+        ts_local.alias("observation_ts_local"),
+        local_date(ts_local).alias("observation_date_local"),
+        local_hour(ts_local).alias("observation_hour_local"),
         "air_temp_c",
         "dew_point_c",
         "sea_level_pressure_hpa",
