@@ -170,3 +170,19 @@ def test_min_partitions_spreads_lines(spark, tmp_out):
     assert parse_weather(lines).count() == 50
     recursive = read_weather_lines(spark, tmp_out + "/one", recursive=True)
     assert recursive.columns == ["value", "source_path"] and recursive.count() == 50
+
+
+def test_station_id_from_file_name(spark, tmp_out):
+    """Raw archives name the station in the file itself (``jfk_<id>.gz``)."""
+    import gzip
+    from pathlib import Path
+
+    root = Path(tmp_out) / "isd"
+    root.mkdir()
+    for name, line in (("jfk_744860-94789-2024.gz", LINES["w1"]), ("lga_725030-14732-2024.gz", LINES["w3"])):
+        with gzip.open(root / name, "wt") as fh:
+            fh.write(line + "\n" + LINES["w4"] + "\n")
+    lines = read_weather_lines(spark, str(root / "*.gz"))
+    assert lines.count() == 4
+    got = sorted((r.station_id, r.year) for r in parse_weather(lines).collect())
+    assert got == [("725030-14732-2024", 2024), ("744860-94789-2024", 2024)]
