@@ -37,3 +37,13 @@ def test_bare_session_gets_its_own_folder():
     lines = dict(line.split(" ", 1) for line in out.splitlines() if line.startswith(("BEFORE", "AFTER")))
     assert lines["BEFORE"] == "None"
     assert "zonehour-ckpt-" in lines["AFTER"]
+
+
+def test_cluster_conf_scales_with_cores():
+    from zonehour.session import cluster_conf
+
+    conf = cluster_conf(1000)
+    assert conf["spark.sql.shuffle.partitions"] == "3000"
+    assert conf["spark.sql.adaptive.enabled"] == "true"
+    assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    assert "spark.checkpoint.dir" not in conf  # taken from the cluster, never set here

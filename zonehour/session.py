@@ -20,6 +20,27 @@ RECOMMENDED_CONF = {
 }
 
 
+def cluster_conf(total_cores: int, split_bytes: int = 128 * 1024 * 1024) -> dict[str, str]:
+    """Settings for a spark-submit run on ``total_cores`` executor cores.
+
+    The trip table is read in ``split_bytes`` splits and written without a
+    shuffle; every shuffle in the chain carries partial aggregates, not
+    trips. So the shuffle partition count only has to give every core work
+    (3 per core); AQE coalesces what turns out small and splits a skewed
+    partition. Lost executors are retried rather than failing the job, and
+    their shuffle files are recomputed from lineage or the written tables.
+    """
+    return {
+        **{k: v for k, v in RECOMMENDED_CONF.items() if k != "spark.ui.enabled"},
+        "spark.sql.files.maxPartitionBytes": str(split_bytes),
+        "spark.sql.shuffle.partitions": str(max(1, 3 * total_cores)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(split_bytes),
+        "spark.task.maxFailures": "8",
+        "spark.stage.maxConsecutiveAttempts": "8",
+        "spark.excludeOnFailure.enabled": "true",
+    }
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "zonehour", extra: dict | None = None) -> SparkSession:
     """Local/test session. On a cluster the session comes from spark-submit;
     size ``spark.sql.shuffle.partitions`` there to ~input_bytes / 128 MB."""
