@@ -31,7 +31,7 @@ def cluster_conf(total_cores: int, split_bytes: int = 128 * 1024 * 1024) -> dict
     their shuffle files are recomputed from lineage or the written tables.
     """
     return {
-        **{k: v for k, v in RECOMMENDED_CONF.items() if k != "spark.ui.enabled"},
+        **RECOMMENDED_CONF,
         "spark.sql.files.maxPartitionBytes": str(split_bytes),
         "spark.sql.shuffle.partitions": str(max(1, 3 * total_cores)),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(split_bytes),
@@ -42,8 +42,8 @@ def cluster_conf(total_cores: int, split_bytes: int = 128 * 1024 * 1024) -> dict
 
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "zonehour", extra: dict | None = None) -> SparkSession:
-    """Local/test session. On a cluster the session comes from spark-submit;
-    size ``spark.sql.shuffle.partitions`` there to ~input_bytes / 128 MB."""
+    """Local/test session. On a cluster the session comes from spark-submit,
+    with the settings of ``cluster_conf``."""
     b = SparkSession.builder.master(master).appName(app)
     conf = dict(RECOMMENDED_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
