@@ -14,7 +14,7 @@ def test_job_by_job(spark, tmp_out):
     raw = tmp_out + "/raw_trips"
     C.raw_trips(spark, SF).write.parquet(raw)
     weather = write_weather_files(spark.read.parquet(f"{SF}/events.parquet"), tmp_out + "/raw_weather")
-    t = main(["clean-trips", "--input", raw, "--output", tmp_out + "/trips_clean", *WIN], spark)
+    t = main(["--show", "3", "clean-trips", "--input", raw, "--output", tmp_out + "/trips_clean", *WIN], spark)
     assert t["trips_clean"] == C.trips_clean_df(spark, SF).count()
     w = main(["clean-weather", "--input", weather, "--output", tmp_out + "/weather_clean", *WIN], spark)
     assert w["weather_clean"] == C.weather_clean_df(spark, SF).count()

@@ -35,8 +35,14 @@ from zonehour.plans.pipeline import (  # noqa: E402
     run_pipeline,
 )
 from zonehour.session import ensure_checkpoint_dir  # noqa: E402
-from zonehour.sources.readers import read_trips, read_weather_lines  # noqa: E402
-from zonehour.sources.sinks import write_table  # noqa: E402
+from zonehour.sources.readers import read_clean, read_trips, read_weather_lines  # noqa: E402
+from zonehour.sources.sinks import preview, write_table  # noqa: E402
+
+
+def _show(spark: SparkSession, path: str, n: int, parquet: bool = True) -> None:
+    if n > 0:
+        df = read_clean(spark, path) if parquet else spark.read.option("header", True).csv(path)
+        preview(df, None, n).show(n, truncate=False)
 
 
 def _config(args) -> Config:
@@ -54,6 +60,7 @@ def _windows(p: argparse.ArgumentParser) -> None:
 
 def parser() -> argparse.ArgumentParser:
     ap = argparse.ArgumentParser(prog="zonehour", description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
+    ap.add_argument("--show", type=int, default=0, metavar="N", help="print an ordered N-row preview of each main output")
     sub = ap.add_subparsers(dest="command", required=True)
     for name in ("clean-trips", "clean-weather", "profile-trips", "profile-weather"):
         p = sub.add_parser(name)
@@ -85,8 +92,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     cfg = _config(args)
     if args.command == "clean-trips":
         result = clean_trips_job(spark, args.input, args.output, cfg)
+        _show(spark, args.output, args.show)
     elif args.command == "clean-weather":
         result = clean_weather_job(spark, args.input, args.output, cfg)
+        _show(spark, args.output, args.show)
     elif args.command in ("profile-trips", "profile-weather"):
         frames = (
             profile_trips(read_trips(spark, args.input), cfg.trips)
@@ -110,6 +119,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         )
         paths = PipelinePaths(args.taxi_input, args.weather_input, args.output_root, overrides)
         features = features_job(spark, args.taxi_input, args.weather_input, paths.out("features"), cfg)
+        _show(spark, paths.out("features"), args.show)
         metrics = evaluate_job(spark, features, paths, cfg)
         result = {"metrics": [r.asDict() for r in metrics.collect()]}  # two rows, one per model
     else:
