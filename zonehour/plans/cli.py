@@ -39,10 +39,10 @@ from zonehour.sources.readers import read_clean, read_trips, read_weather_lines
 from zonehour.sources.sinks import preview, write_table  # noqa: E402
 
 
-def _show(spark: SparkSession, path: str, n: int, parquet: bool = True) -> None:
+def _show(spark: SparkSession, path: str, n: int) -> None:
+    """Print an ordered ``n``-row preview of a written parquet table."""
     if n > 0:
-        df = read_clean(spark, path) if parquet else spark.read.option("header", True).csv(path)
-        preview(df, None, n).show(n, truncate=False)
+        preview(read_clean(spark, path), None, n).show(n, truncate=False)
 
 
 def _config(args) -> Config:
