@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from zonehour.config import TripSpec, WeatherSpec
 from zonehour.operators.weather import decode_weather, parse_weather
-from zonehour.sources.sinks import preview
+from zonehour.sources.sinks import sample_rows
 
 # --- fixed values: output names of the trip profile -------------------------
 TRIP_NULL_COUNT_NAMES = (
@@ -263,14 +263,14 @@ def stage_counts(stages: Mapping[str, DataFrame]) -> DataFrame:
 
 def profile_trips(raw: DataFrame, spec: TripSpec = TripSpec(), preview_n: int | None = TRIP_DISTINCT_PREVIEW) -> dict[str, DataFrame]:
     """The trip profile as lazy DataFrames (nothing runs here): the
-    overview and the distinct lists (two scans of the raw table), plus an
-    ordered 20-row sample (a per-task top 20, then a merge)."""
+    overview and the distinct lists (two scans of the raw table), plus a
+    20-row sample (each task stops after 20 rows, no full scan)."""
     distinct_cols = [c for c in TRIP_DISTINCT_COLUMNS if c in raw.columns]
     sample_cols = [c for c in TRIP_SAMPLE_COLUMNS if c in raw.columns]
     return {
         "overview": overview(raw, dict(TRIP_NULL_COUNT_NAMES), TRIP_RANGE_COLUMNS),
         "distinct_values": distinct_lists(raw, distinct_cols, n=preview_n),
-        "sample": preview(raw.select(*sample_cols), None, SAMPLE_ROWS),
+        "sample": sample_rows(raw.select(*sample_cols), SAMPLE_ROWS),
     }
 
 
@@ -287,5 +287,5 @@ def profile_weather(lines: DataFrame, spec: WeatherSpec = WeatherSpec(), preview
         ),
         "numeric_stats": numeric_stats(parsed, WEATHER_STAT_COLUMNS),
         "mode_top10": mode_top(parsed, WEATHER_STAT_COLUMNS, MODE_TOP_N),
-        "sample": preview(parsed.drop("source_path_normalized"), None, SAMPLE_ROWS),
+        "sample": sample_rows(parsed.drop("source_path_normalized"), SAMPLE_ROWS),
     }

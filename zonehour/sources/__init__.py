@@ -6,7 +6,7 @@ from zonehour.sources.readers import (
     require_rows,
     with_source_path,
 )
-from zonehour.sources.sinks import preview, write_metrics, write_partitioned, write_table
+from zonehour.sources.sinks import preview, sample_rows, write_metrics, write_partitioned, write_table
 
 __all__ = [
     "preview",
@@ -15,6 +15,7 @@ __all__ = [
     "read_weather_lines",
     "require_columns",
     "require_rows",
+    "sample_rows",
     "with_source_path",
     "write_metrics",
     "write_partitioned",

@@ -57,3 +57,11 @@ def preview(df: DataFrame, keys: Sequence[str] | None = None, n: int = 20) -> Da
     only n rows per task reach the final merge."""
     order = list(keys) if keys else list(df.columns)
     return df.orderBy(*[F.col(c).asc_nulls_first() for c in order]).limit(n)
+
+
+def sample_rows(df: DataFrame, n: int = 20) -> DataFrame:
+    """K5 for profile samples: any ``n`` rows, as a printed sample shows.
+    Each task stops after ``n`` rows (local limit), so a sample of a 100 TB
+    table reads a batch per split, not the table. Use ``preview`` when the
+    rows must be the same on every run."""
+    return df.limit(n)
