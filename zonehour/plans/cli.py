@@ -36,13 +36,15 @@ from zonehour.plans.pipeline import (  # noqa: E402
 )
 from zonehour.session import ensure_checkpoint_dir  # noqa: E402
 from zonehour.sources.readers import read_clean, read_trips, read_weather_lines  # noqa: E402
-from zonehour.sources.sinks import preview, write_table  # noqa: E402
+from zonehour.sources.sinks import write_table  # noqa: E402
 
 
 def _show(spark: SparkSession, path: str, n: int) -> None:
-    """Print an ordered ``n``-row preview of a written parquet table."""
+    """Print ``n`` rows of a written parquet table. ``show`` fetches
+    incrementally (one split, then more only if needed), so a preview of a
+    100 TB table reads a split, not the table."""
     if n > 0:
-        preview(read_clean(spark, path), None, n).show(n, truncate=False)
+        read_clean(spark, path).show(n, truncate=False)
 
 
 def _config(args) -> Config:
@@ -60,7 +62,7 @@ def _windows(p: argparse.ArgumentParser) -> None:
 
 def parser() -> argparse.ArgumentParser:
     ap = argparse.ArgumentParser(prog="zonehour", description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
-    ap.add_argument("--show", type=int, default=0, metavar="N", help="print an ordered N-row preview of each main output")
+    ap.add_argument("--show", type=int, default=0, metavar="N", help="print N rows of each main output")
     sub = ap.add_subparsers(dest="command", required=True)
     for name in ("clean-trips", "clean-weather", "profile-trips", "profile-weather"):
         p = sub.add_parser(name)
