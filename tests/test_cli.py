@@ -53,3 +53,31 @@ def test_all_in_one(spark, tmp_out):
     assert out["counts"]["trips_clean"] == C.trips_clean_df(spark, SF).count()
     assert {m["model_name"] for m in out["metrics"]} == {"baseline_zone_hour_mean", "weather_aware_linear_regression"}
     assert not Path(tmp_out + "/out/profile").exists()
+
+
+def test_analyze_with_the_source_jobs_arguments(spark, tmp_out):
+    """The same argument names as the source analytics job, no output root."""
+    import pytest
+
+    raw = tmp_out + "/raw_trips"
+    C.raw_trips(spark, SF).write.parquet(raw)
+    weather = write_weather_files(spark.read.parquet(f"{SF}/events.parquet"), tmp_out + "/raw_weather")
+    main(["clean-trips", "--input", raw, "--output", tmp_out + "/taxi_clean", *WIN], spark)
+    main(["clean-weather", "--input", weather, "--output", tmp_out + "/weather_clean", *WIN], spark)
+    args = [
+        "analyze",
+        "--taxi-input", tmp_out + "/taxi_clean",
+        "--weather-input", tmp_out + "/weather_clean",
+        "--features-output", tmp_out + "/analytics/features",
+        "--baseline-output", tmp_out + "/analytics/baseline_predictions",
+        "--model-output", tmp_out + "/analytics/weather_aware_predictions",
+        "--metrics-output", tmp_out + "/analytics/metrics",
+        "--train-end-date", C.QUERY_TRAIN_END,
+        *WIN,
+    ]
+    out = main(args, spark)
+    assert len(out["metrics"]) == 2
+    for name in ("features", "baseline_predictions", "weather_aware_predictions", "metrics"):
+        assert Path(tmp_out + "/analytics/" + name).exists(), name
+    with pytest.raises(SystemExit):
+        main(["analyze", "--taxi-input", "t", "--weather-input", "w"], spark)

@@ -4,8 +4,9 @@
     spark-submit zonehour/plans/cli.py clean-weather --input 'RAW/*.gz' --output OUT
     spark-submit zonehour/plans/cli.py profile-trips --input RAW.parquet --output OUT
     spark-submit zonehour/plans/cli.py profile-weather --input 'RAW/*.gz' --output OUT
-    spark-submit zonehour/plans/cli.py analyze --taxi-input T --weather-input W --output-root OUT \\
-        [--features-output P] [--baseline-output P] [--model-output P] [--metrics-output P] [--train-end-date D]
+    spark-submit zonehour/plans/cli.py analyze --taxi-input T --weather-input W \\
+        (--output-root OUT | --features-output P --baseline-output P --model-output P --metrics-output P) \\
+        [--train-end-date D]
     spark-submit zonehour/plans/cli.py all --raw-trips RAW.parquet --raw-weather 'RAW/*.gz' --output-root OUT
 
 Windows, zone and split date default to the January 2024 study (``Config()``).
@@ -72,7 +73,7 @@ def parser() -> argparse.ArgumentParser:
     a = sub.add_parser("analyze")
     a.add_argument("--taxi-input", required=True)
     a.add_argument("--weather-input", required=True)
-    a.add_argument("--output-root", required=True)
+    a.add_argument("--output-root", help="folder for every output not given its own path")
     for out in ("features", "baseline", "model", "metrics"):
         a.add_argument(f"--{out}-output")
     a.add_argument("--train-end-date")
@@ -88,7 +89,12 @@ def parser() -> argparse.ArgumentParser:
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> dict:
-    args = parser().parse_args(argv)
+    ap = parser()
+    args = ap.parse_args(argv)
+    if args.command == "analyze" and args.output_root is None:
+        missing = [f"--{o}-output" for o in ("features", "baseline", "model", "metrics") if not getattr(args, f"{o}_output")]
+        if missing:
+            ap.error(f"analyze needs --output-root or all of: {', '.join(missing)}")
     spark = spark or SparkSession.builder.appName(f"zonehour-{args.command}").getOrCreate()
     ensure_checkpoint_dir(spark)
     cfg = _config(args)
@@ -119,7 +125,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
             )
             if path
         )
-        paths = PipelinePaths(args.taxi_input, args.weather_input, args.output_root, overrides)
+        paths = PipelinePaths(args.taxi_input, args.weather_input, args.output_root or "", overrides)
         features = features_job(spark, args.taxi_input, args.weather_input, paths.out("features"), cfg)
         _show(spark, paths.out("features"), args.show)
         metrics = evaluate_job(spark, features, paths, cfg)
