@@ -6,7 +6,9 @@ Spark job.
 
 import math
 import re
+from collections import Counter
 from datetime import date, datetime, timedelta
+from statistics import mean, stdev
 from zoneinfo import ZoneInfo
 
 import pytest
@@ -17,6 +19,7 @@ from pyspark.sql import types as T
 from zonehour.config import WeatherSpec
 from zonehour.operators.features import build_features, hourly_weather
 from zonehour.operators.metrics import forecast_metrics
+from zonehour.operators.profile import distinct_lists, mode_top, numeric_stats
 from zonehour.operators.trips import clean_trips
 from zonehour.operators.weather import clean_weather, parse_weather
 
@@ -252,3 +255,48 @@ def test_metrics_match_python_model(spark, pairs):
         assert abs(m.mape - sum(abs((p - y) / y) for y, p in pos) / len(pos)) < 1e-9
     else:
         assert math.isnan(m.mape)
+
+
+# ---- profiles ---------------------------------------------------------------
+
+small_values = st.lists(maybe(st.integers(-30, 30).map(lambda v: v / 2)), min_size=1, max_size=60)
+
+
+@settings(**SETTINGS)
+@given(small_values, small_values)
+def test_profiles_match_python_model(spark, a, b):
+    n = max(len(a), len(b))
+    a, b = a + [None] * (n - len(a)), b + [None] * (n - len(b))
+    df = spark.createDataFrame(list(zip(a, b)), "a double, b double")
+
+    stats = {r.column_name: r for r in numeric_stats(df, ["a", "b"]).collect()}
+    modes = {}
+    for r in mode_top(df, ["a", "b"], 10).collect():
+        modes.setdefault(r.column_name, []).append((r["rank"], r.value, r["count"]))
+    for name, col in (("a", a), ("b", b)):
+        vals = [v for v in col if v is not None]
+        s = stats[name]
+        assert s.non_null_count == len(vals)
+        if not vals:
+            assert s.mean_value is None and s.median_value is None and name not in modes
+            continue
+        assert abs(s.mean_value - mean(vals)) < 1e-9
+        assert s.min_value == min(vals) and s.max_value == max(vals)
+        assert s.median_value == sorted(vals)[(len(vals) - 1) // 2]  # exact lower median at this size
+        if len(vals) > 1:
+            assert abs(s.stddev_value - stdev(vals)) < 1e-9
+        want = sorted(Counter(vals).items(), key=lambda kv: (-kv[1], kv[0]))[:10]
+        assert [(v, c) for _, v, c in sorted(modes[name])] == want
+
+
+@settings(**SETTINGS)
+@given(st.lists(st.tuples(maybe(st.integers(-20, 20)), maybe(st.sampled_from(["b", "a", "10", "9", " x"]))), min_size=1, max_size=40))
+def test_distinct_lists_match_python_model(spark, rows):
+    df = spark.createDataFrame(rows, "n int, s string")
+    got = {}
+    for r in distinct_lists(df, ["n", "s"], exclude={"n": [0]}).collect():
+        got.setdefault(r.column_name, []).append(r.value)
+    want_n = [str(v) for v in sorted({n for n, _ in rows if n is not None and n != 0})]
+    want_s = sorted({s for _, s in rows if s is not None})
+    assert got.get("n", []) == want_n
+    assert got.get("s", []) == want_s
