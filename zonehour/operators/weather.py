@@ -47,19 +47,19 @@ def parse_weather(lines: DataFrame, spec: WeatherSpec = WeatherSpec(), path_col:
     then the twelve integer fields.
     """
     parts = F.split(F.trim(F.col("value")), r"\s+")
-    tokens = lines.select(F.col(path_col).alias("_path"), parts.alias("_parts")).where(
-        F.size("_parts") >= spec.min_tokens
-    )
+    tokens = lines.select(F.col(path_col).alias("_path"), parts.alias("_parts"))
     record = F.struct(
+        F.size("_parts").alias("_tokens"),
         F.regexp_extract("_path", spec.station_pattern, 1).alias("station_id"),
         normalize_text("_path").alias("source_path_normalized"),
         *[F.get("_parts", i).try_cast("int").alias(name) for i, name in enumerate(spec.fields)],
     )
-    # One parsed record per line, emitted through a generator: filters on the
-    # parsed fields (the local-date window) then run on the record instead of
-    # being pushed below it, which would re-run the regex split once per
-    # field the filter references.
-    return tokens.select(F.inline(F.array(record)))
+    # One parsed record per line, emitted through a generator. Filters on the
+    # record (the token count here, the local-date window in clean_weather)
+    # run above it instead of being pushed below, so the regex split runs
+    # once per line, not once per field a filter references.
+    parsed = tokens.select(F.inline(F.array(record)))
+    return parsed.where(F.col("_tokens") >= spec.min_tokens).drop("_tokens")
 
 
 def decode_weather(parsed: DataFrame, spec: WeatherSpec = WeatherSpec()) -> DataFrame:
