@@ -186,3 +186,26 @@ def test_station_id_from_file_name(spark, tmp_out):
     assert lines.count() == 4
     got = sorted((r.station_id, r.year) for r in parse_weather(lines).collect())
     assert got == [("725030-14732-2024", 2024), ("744860-94789-2024", 2024)]
+
+
+def test_spring_forward_hour_has_no_weather(spark):
+    """2024-03-10 06:00 and 07:00 UTC are 01:00 and 03:00 in New York: local
+    hour 2 has no weather, so demand in that hour gets zeros and
+    station_count 0 (the only trace of the gap)."""
+    from zonehour.config import ForecastSpec
+    from zonehour.operators.features import build_features
+
+    spec = replace(WeatherSpec(), window=("2024-03-09", "2024-03-11"))
+    lines = spark.createDataFrame(
+        [("2024 03 10 06 40 0 10000 0 10 0 0 0", _path("a")), ("2024 03 10 07 60 0 10000 0 30 0 0 0", _path("b"))],
+        "value string, source_path string",
+    )
+    weather = hourly_weather(clean_weather(lines, spec))
+    assert sorted(r.observation_hour_local for r in weather.collect()) == [1, 3]
+    demand = spark.createDataFrame(
+        [(date(2024, 3, 10), h, 1, 5, 1.0, 10.0) for h in (1, 2, 3)],
+        "pickup_date date, pickup_hour int, PULocationID int, trip_count bigint, avg_trip_distance double, avg_fare_amount double",
+    )
+    rows = {r.pickup_hour: r for r in build_features(demand, weather, ForecastSpec(), spec).collect()}
+    assert rows[1].avg_temp_c == 4.0 and rows[3].avg_temp_c == 6.0
+    assert (rows[2].avg_temp_c, rows[2].avg_wind_speed_mps, rows[2].station_count) == (0.0, 0.0, 0)
