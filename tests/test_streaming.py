@@ -50,3 +50,22 @@ def test_stream_restart_processes_only_new_files(spark, tmp_out):
     stream_clean_trips(spark, src + "/*", raw.schema, sink, C.QUERY_CONFIG.trips, checkpoint=ckpt).awaitTermination(120)
     total = read_clean(spark, sink).count()
     assert first < total == clean_trips(raw, C.QUERY_CONFIG.trips).count()
+
+
+def test_weather_stream_restart_processes_only_new_files(spark, tmp_out):
+    from zonehour.sources.adapters import weather_line_rows
+
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    lines = weather_line_rows(events)
+    src, sink, ckpt = tmp_out + "/landing", tmp_out + "/clean", tmp_out + "/ckpt"
+    first_half = lines.where("station_id = '744860-94789-2024'")
+    second_half = lines.where("station_id <> '744860-94789-2024'")
+    first_half.write.option("compression", "gzip").partitionBy("station_id").text(src + "/a")
+    glob = src + "/*/*/*.gz"
+    stream_clean_weather(spark, glob, sink, C.QUERY_CONFIG.weather, checkpoint=ckpt).awaitTermination(120)
+    first = read_clean(spark, sink).count()
+    second_half.write.option("compression", "gzip").partitionBy("station_id").text(src + "/b")
+    stream_clean_weather(spark, glob, sink, C.QUERY_CONFIG.weather, checkpoint=ckpt).awaitTermination(120)
+    total = read_clean(spark, sink).count()
+    want = clean_weather(read_weather_lines(spark, glob), C.QUERY_CONFIG.weather).count()
+    assert 0 < first < total == want
