@@ -68,3 +68,18 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["model_name", "mae", "rmse", "mape", "test_rows", "train_end_date"]
     assert df.count() == 2
+
+
+@pytest.mark.parametrize("name", ["trips_clean", "weather_clean", "features", "baseline_metrics"])
+def test_results_do_not_depend_on_session_settings(spark, con, name):
+    """Same rows with ANSI off and another session time zone."""
+    keys = {"spark.sql.ansi.enabled": "false", "spark.sql.session.timeZone": "Asia/Tokyo"}
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        got = canon(QUERIES[name](spark, SF).toPandas())
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert got == canon(con.execute(SQL[name]).df())
