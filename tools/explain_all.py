@@ -22,6 +22,16 @@ def main() -> None:
     out = ROOT / "docs" / "plans"
     out.mkdir(parents=True, exist_ok=True)
     spark = build_session("local[8]", 8)
+    summary = [
+        "# Plan summary (generated by tools/explain_all.py)",
+        "",
+        "Counts of operators in each query's physical plan at sf0.01: scans, shuffles (`Exchange` other than",
+        "broadcasts), broadcasts, scalar subqueries, generators, and scans with pushed filters. Python evaluation",
+        "nodes would be listed in the last column; there are none.",
+        "",
+        "| query | scans | shuffles | broadcasts | subqueries | generators | scans with pushed filters | Python nodes |",
+        "| --- | --- | --- | --- | --- | --- | --- | --- |",
+    ]
     for name, fn in E.queries().items():
         df = fn(spark, sf_dir)
         text = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
@@ -31,7 +41,18 @@ def main() -> None:
         text = re.sub(r"(plan_id=|subquery|id=#?|RDD\[)\d+", r"\1", text)
         text = re.sub(r"_(VectorAssembler|OneHotEncoder|StringIndexer)_[0-9a-f]{12}", r"_\1", text)
         (out / f"{name}.txt").write_text(text)
+        tree = text.split("\n\n\n", 1)[0]
+        scans = len(re.findall(r"Scan (parquet|text|ExistingRDD)", tree))
+        broadcasts = tree.count("BroadcastExchange")
+        shuffles = tree.count("Exchange") - broadcasts
+        pushed = len(re.findall(r"PushedFilters: \[[^\]]+\]", text))
+        python_nodes = len(re.findall(r"EvalPython|MapInPandas|FlatMapGroupsInPandas|PythonUDF", text))
+        summary.append(
+            f"| {name} | {scans} | {shuffles} | {broadcasts} | {len(re.findall(r'^Subquery:', text, re.M))} | "
+            f"{tree.count('Generate')} | {pushed} | {python_nodes} |"
+        )
         print(name, len(text))
+    (out / "SUMMARY.md").write_text("\n".join(summary) + "\n")
     spark.stop()
 
 
