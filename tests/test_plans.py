@@ -103,3 +103,15 @@ def test_kll_median_is_merged_through_a_tree(spark):
     assert "kll_merge_agg_double" in p  # merged after the bucket shuffle
     assert "SPARK_PARTITION_ID" in p.upper()
     assert "percentile_approx" not in p
+
+
+def test_no_query_runs_python_per_row(spark):
+    """Every registered query stays JVM-side: no Python evaluation node."""
+    import re
+
+    import __spark_entry__ as E
+
+    for name, fn in E.queries().items():
+        p = plan(fn(spark, SF))
+        assert not re.search(r"EvalPython|MapInPandas|FlatMapGroupsInPandas|PythonUDF|MapInArrow", p), name
+        assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
