@@ -1,6 +1,7 @@
 from zonehour.operators.features import build_features, hourly_demand, hourly_weather
 from zonehour.operators.forecast import (
     baseline_forecast,
+    evaluate,
     fit_linear,
     global_mean,
     linear_forecast,
@@ -23,7 +24,7 @@ from zonehour.operators.profile import (
     stage_counts,
     value_counts,
 )
-from zonehour.operators.trips import clean_trips, date_window, trip_rules, typed_trips, valid_trips
+from zonehour.operators.trips import clean_trips, date_window, trip_rules, typed_trips, valid_trips, with_calendar
 from zonehour.operators.weather import clean_weather, decode_weather, parse_weather
 
 __all__ = [
@@ -35,6 +36,7 @@ __all__ = [
     "date_window",
     "decode_weather",
     "distinct_values",
+    "evaluate",
     "fit_linear",
     "forecast_metrics",
     "global_mean",
@@ -59,5 +61,6 @@ __all__ = [
     "typed_trips",
     "valid_trips",
     "value_counts",
+    "with_calendar",
     "zone_hour_mean",
 ]

@@ -115,3 +115,16 @@ def linear_forecast(
 ) -> DataFrame:
     """M5 + M6."""
     return score_linear(fit_linear(train, spec, target), test, target)
+
+
+def evaluate(features: DataFrame, spec: ForecastSpec = ForecastSpec(), target: str = "trip_count"):
+    """C6 in memory: split at ``spec.train_end``, then both models and their
+    metrics. Returns (baseline predictions, model predictions, metrics table).
+    The model fit runs here; everything else stays lazy."""
+    from zonehour.operators.metrics import compare_models
+
+    train, test = time_split(features, spec.train_end)
+    baseline = baseline_forecast(train, test, target)
+    model = linear_forecast(train, test, spec, target)
+    metrics = compare_models({spec.baseline_name: baseline, spec.linear_name: model}, spec.train_end)
+    return baseline, model, metrics

@@ -88,16 +88,25 @@ def date_window(df: DataFrame, ts_col: str, window: tuple[str, str] | None) -> D
     return df if cond is None else df.where(cond)
 
 
+def with_calendar(df: DataFrame, ts_col: str, prefix: str) -> DataFrame:
+    """``<prefix>_date``, ``<prefix>_hour`` and ``<prefix>_day_of_week``
+    (1 = Sunday) of a wall-clock timestamp column, in one projection."""
+    ts = F.col(ts_col)
+    return df.withColumns(
+        {f"{prefix}_date": F.to_date(ts), f"{prefix}_hour": F.hour(ts), f"{prefix}_day_of_week": day_of_week(ts)}
+    )
+
+
 def clean_trips(raw: DataFrame, spec: TripSpec = TripSpec(), carry: tuple[str, ...] = ()) -> DataFrame:
     """C3. Narrow transformation only (project + filter): no shuffle, one
     pass, and the window and non-null tests reach the parquet reader."""
     typed = typed_trips(raw, spec, carry)
     window = window_condition("pickup_ts", spec.window)
     kept = typed.where(_conjunction(list(trip_rules().values()) + ([window] if window is not None else [])))
-    return kept.select(
-        F.to_date("pickup_ts").alias("pickup_date"),
-        F.hour("pickup_ts").alias("pickup_hour"),
-        day_of_week("pickup_ts").alias("pickup_day_of_week"),
+    return with_calendar(kept, "pickup_ts", "pickup").select(
+        "pickup_date",
+        "pickup_hour",
+        "pickup_day_of_week",
         "PULocationID",
         "DOLocationID",
         "passenger_count",

@@ -18,13 +18,14 @@ from zonehour.config import Config
 from zonehour.operators.features import build_features, hourly_demand, hourly_weather
 from zonehour.operators.forecast import (
     baseline_forecast,
+    evaluate,
     global_mean,
     linear_forecast,
     split_counts,
     time_split,
     zone_hour_mean,
 )
-from zonehour.operators.metrics import compare_models, model_metrics
+from zonehour.operators.metrics import model_metrics
 from zonehour.operators.profile import (
     TRIP_NULL_COUNT_NAMES,
     TRIP_RANGE_COLUMNS,
@@ -185,15 +186,10 @@ def q_linear_predictions(spark, sf_dir):
 
 
 def q_model_metrics(spark, sf_dir):
-    train, test = _checkpointed_splits(spark, sf_dir)
-    fc = QUERY_CONFIG.forecast
-    return compare_models(
-        {
-            fc.baseline_name: baseline_forecast(train, test),
-            fc.linear_name: linear_forecast(train, test, fc),
-        },
-        fc.train_end,
-    )
+    ensure_checkpoint_dir(spark)
+    features = features_df(spark, sf_dir).checkpoint(eager=True)
+    _, _, metrics = evaluate(features, QUERY_CONFIG.forecast)
+    return metrics
 
 
 def q_null_counts(spark, sf_dir):
