@@ -172,3 +172,16 @@ def test_session_zone_does_not_matter(spark):
         spark.conf.set("spark.sql.session.timeZone", old)
     assert a == b
     assert a[0].pickup_hour == 8
+
+
+def test_with_calendar(spark):
+    from zonehour.operators.trips import with_calendar
+
+    df = spark.createDataFrame(
+        [(datetime(2024, 1, 7, 23, 59, 59),), (datetime(2024, 1, 13, 0, 0, 0),)], "ts timestamp_ntz"
+    )
+    rows = with_calendar(df, "ts", "x").orderBy("ts").collect()
+    assert [(r.x_date, r.x_hour, r.x_day_of_week) for r in rows] == [
+        (date(2024, 1, 7), 23, 1),  # Sunday
+        (date(2024, 1, 13), 0, 7),  # Saturday
+    ]
