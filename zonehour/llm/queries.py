@@ -14,8 +14,12 @@ from pyspark.sql import functions as F
 
 from zonehour.llm.best_fit_packing import best_fit_packing
 from zonehour.llm.chat_format import END, TURN, format_conversations, load_tokenizer, read_back
-from zonehour.llm.common import read_table
+from zonehour.llm.common import id_remainder, read_table
+from zonehour.llm.decontaminate import match_benchmark
 from zonehour.llm.exact_shuffle import exact_shuffle
+from zonehour.llm.language_id import fit_language_model, predict_languages
+from zonehour.llm.ngram_quality import MEASURES, judge_quality
+from zonehour.llm.simhash_dedup import simhash_components
 from zonehour.llm.token_codes import encode_documents
 from zonehour.llm.url_reputation import ReputationSpec, Rule, filter_urls
 
@@ -32,6 +36,11 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(format_conversations(turns, load_tokenizer(TOKENIZER)))
 
 
+def op2_ngram_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = judge_quality(read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    return judged.select("doc_id", *MEASURES, "base_failed", "kept", "log_ppl")
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing(read_table(spark, sf_dir, "documents"))
 
@@ -47,6 +56,23 @@ def op4_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", (F.round(F.col("bound") * 1e6) / 1e6).alias("bound"))
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    matched = match_benchmark(docs, read_table(spark, sf_dir, "benchmark"))
+    return matched.select(
+        "doc_id",
+        "n_words",
+        F.size("hits").cast("long").alias("n_hit"),
+        F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "item_ids").cast("binary"), 256).alias("items_sha256"),
+        (F.size("hits") > 0).alias("contaminated"),
+    )
+
+
+def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(read_table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
+
+
 def op8_exact_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select(
         "doc_id",
@@ -56,6 +82,12 @@ def op8_exact_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_shuffle(docs, SHARDS).select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", id_remainder(F.col("doc_id"), 3) == 1)
+    model = fit_language_model(docs.where(~F.col("held_out")).select("text", "lang"))
+    return predict_languages(docs.select("doc_id", "held_out", "text"), model).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op10_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(read_table(spark, sf_dir, "documents"), load_tokenizer(TOKENIZER))
 
@@ -129,13 +161,39 @@ select page_id, host, path, {rules_sql("name")} as rule,
 from parts left join bounds using (host)
 """
 
+OP6_SQL = """
+with doc_words as (
+  select row_number() over () as r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\\x{80}-\\x{10FFFF}]+') as w from documents
+), item_words as (
+  select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\\x{80}-\\x{10FFFF}]+') as w from benchmark
+), item_windows as (
+  select distinct item_id, least(len(w), 10) as n, array_to_string(w[s:s + least(len(w), 10) - 1], ' ') as phrase
+  from (select *, unnest(range(1, greatest(len(w) - 10, 0) + 2)) as s from item_words where len(w) > 0)
+), doc_windows as (
+  select r, n, s, array_to_string(w[s:s + n - 1], ' ') as phrase
+  from (select r, w, n, unnest(range(1, len(w) - n + 2)) as s from doc_words, (select distinct n from item_windows))
+), found as (
+  select r, item_id, s, n from doc_windows join item_windows using (n, phrase)
+), hits as (
+  select r, count(distinct p) as n_hit from (select r, unnest(range(s, s + n)) as p from found) group by r
+), items as (
+  select r, count(*) as n_items, string_agg(i, ',' order by i) as ids from (select distinct r, cast(item_id as varchar) as i from found where item_id is not null) group by r
+)
+select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, sha256(coalesce(ids, '')) as items_sha256, n_hit is not null as contaminated
+from doc_words left join hits using (r) left join items using (r)
+"""
+
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
+    "op2_ngram_quality": op2_ngram_quality,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_url_reputation": op4_url_reputation,
+    "op6_decontaminate": op6_decontaminate,
+    "op7_simhash_dedup": op7_simhash_dedup,
     "op8_exact_shuffle": op8_exact_shuffle,
+    "op9_language_id": op9_language_id,
     "op10_token_codes": op10_token_codes,
 }
 
-ORACLE_SQL: dict[str, str] = {"op1_chat_format": OP1_SQL, "op4_url_reputation": op4_sql()}
+ORACLE_SQL: dict[str, str] = {"op1_chat_format": OP1_SQL, "op4_url_reputation": op4_sql(), "op6_decontaminate": OP6_SQL}
