@@ -78,9 +78,10 @@ def match_benchmark(docs: DataFrame, benchmark: DataFrame, spec: MatchSpec = Mat
     either table change nothing for the others.
     """
     added = ("n_words", "hits", "item_ids", "near_ids")
-    kept = [F.col(f"`{c}`") for c in docs.columns if c not in added]
+    kept = [c for c in docs.columns if c not in added]
     # a document's key; rows alike in id and text match alike and share it
-    keyed = docs.select(F.struct(*kept).alias("row"), "text", F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("k"), F.xxhash64(F.col("doc_id").cast("long"), "text").alias("h"))
+    row = F.struct(F.lit(0).alias("__"), *[F.col(f"`{c}`") for c in kept if c != "text"])
+    keyed = docs.select(row.alias("row"), "text", F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("k"), F.xxhash64(F.col("doc_id").cast("long"), "text").alias("h"))
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), words_of("text").alias("item_words")).where(F.size("item_words") > 0).distinct()
     items = stored(items.withColumn("ino", F.xxhash64("item_id", "item_words")), "benchmark-items")
 
@@ -101,27 +102,27 @@ def match_benchmark(docs: DataFrame, benchmark: DataFrame, spec: MatchSpec = Mat
     places = stored(places, "alignments")
 
     # word by word, against the whole text
-    n, w = F.size("words"), spec.window
-
-    def check(a: Column) -> Column:
+    def check(a: Column, words: Column) -> Column:
         m = F.size(a["item_words"])
-        full = F.least(m, F.lit(w))
-        equal = F.transform(F.sequence(F.lit(0), m - 1), lambda i: F.coalesce(F.get("words", a["diag"] + i) == F.get(a["item_words"], i), F.lit(False)))
+        full = F.least(m, F.lit(spec.window))
+        equal = F.transform(F.sequence(F.lit(0), m - 1), lambda i: F.coalesce(F.get(words, a["diag"] + i) == F.get(a["item_words"], i), F.lit(False)))
         starts = F.filter(F.sequence(F.lit(0), m - full), lambda s: F.forall(F.slice(equal, s + 1, full), lambda x: x))
-        around = F.slice("words", F.greatest(a["diag"] - spec.slop, F.lit(0)) + 1, m + 2 * spec.slop)
+        around = F.slice(words, F.greatest(a["diag"] - spec.slop, F.lit(0)) + 1, m + 2 * spec.slop)
         near = F.size(F.array_intersect(around, a["item_words"])) >= spec.near_share * F.size(F.array_distinct(a["item_words"]))
         return F.struct(a["item_id"].alias("item_id"), F.flatten(F.transform(starts, lambda s: F.sequence(a["diag"] + s, a["diag"] + s + full - 1))).alias("hits"), near.alias("near"))
 
     def ids(keep) -> Column:
-        found = F.filter(F.coalesce("checked", F.array()), lambda c: keep(c) & c["item_id"].isNotNull())
-        return F.array_sort(F.array_distinct(F.transform(found, lambda c: c["item_id"])))
-
-    both = keyed.withColumn("words", words_of("text")).withColumn("n_words", F.size("words").cast("long"))
-    both = both.join(places, ["k", "h"], "left").select("row", "n_words", F.transform("places", check).alias("checked"))
-    return both.select(
-        *[F.col("row").getField(c).alias(c) for c in docs.columns if c not in added],
+        found = F.filter("checked", lambda c: keep(c) & c["item_id"].isNotNull())
+        return F.coalesce(F.array_sort(F.array_distinct(F.transform(found, lambda c: c["item_id"]))), F.array().cast("array<string>"))
+
+    both = keyed.withColumn("n_words", F.size(words_of("text")).cast("long")).join(places, ["k", "h"], "left")
+    # split again where there is something to check, once per document
+    checked = F.when(F.col("places").isNotNull(), F.get(F.transform(F.array(words_of("text")), lambda words: F.transform("places", lambda a: check(a, words))), 0))
+    hits = F.array_sort(F.array_distinct(F.flatten(F.transform("checked", lambda c: c["hits"]))))
+    return both.select("row", "text", "n_words", checked.alias("checked")).select(
+        *[F.col("text") if c == "text" else F.col("row").getField(c).alias(c) for c in kept],
         "n_words",
-        F.coalesce(F.array_sort(F.array_distinct(F.flatten(F.transform("checked", lambda c: c["hits"])))), F.array().cast("array<int>")).alias("hits"),
-        ids(lambda c: F.size(c["hits"]) > 0).cast("array<string>").alias("item_ids"),
-        ids(lambda c: c["near"]).cast("array<string>").alias("near_ids"),
+        F.coalesce(hits, F.array().cast("array<int>")).alias("hits"),
+        ids(lambda c: F.size(c["hits"]) > 0).alias("item_ids"),
+        ids(lambda c: c["near"]).alias("near_ids"),
     )

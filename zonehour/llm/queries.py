@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ from zonehour.llm.decontaminate import match_benchmark
 from zonehour.llm.exact_shuffle import exact_shuffle
 from zonehour.llm.language_id import fit_language_model, predict_languages
 from zonehour.llm.ngram_quality import MEASURES, judge_quality
+from zonehour.llm.ppm_scoring import score_documents
 from zonehour.llm.simhash_dedup import simhash_components
 from zonehour.llm.token_codes import encode_documents
 from zonehour.llm.url_reputation import ReputationSpec, Rule, filter_urls
@@ -56,6 +58,11 @@ def op4_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", (F.round(F.col("bound") * 1e6) / 1e6).alias("bound"))
 
 
+def op5_ppm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", (id_remainder(F.col("doc_id"), 5) != 1).alias("train"))
+    return score_documents(docs).select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     matched = match_benchmark(docs, read_table(spark, sf_dir, "benchmark"))
@@ -189,11 +196,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_ngram_quality": op2_ngram_quality,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_url_reputation": op4_url_reputation,
+    "op5_ppm_scoring": op5_ppm_scoring,
     "op6_decontaminate": op6_decontaminate,
     "op7_simhash_dedup": op7_simhash_dedup,
     "op8_exact_shuffle": op8_exact_shuffle,
     "op9_language_id": op9_language_id,
     "op10_token_codes": op10_token_codes,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE_SQL: dict[str, str] = {"op1_chat_format": OP1_SQL, "op4_url_reputation": op4_sql(), "op6_decontaminate": OP6_SQL}
