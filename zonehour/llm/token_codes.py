@@ -16,6 +16,8 @@ per level ``chunks``, ``more`` (the bitmap, least significant bit first) and
 from __future__ import annotations
 
 import re
+import sys
+import types
 import zlib
 from collections.abc import Iterator
 
@@ -105,7 +107,17 @@ class PieceEncoder:
     once.
     """
 
-    CACHE = 400_000  # pieces kept; the cache starts anew beyond it
+    CACHE = 700_000  # pieces kept; the cache starts anew beyond it
+
+    @staticmethod
+    def of_worker(tokenizer_json: str) -> PieceEncoder:
+        """The encoder of this Python worker, whose cache outlives a task."""
+        state = sys.modules.setdefault("token_codes_worker", types.ModuleType("token_codes_worker"))
+        encoders = state.__dict__.setdefault("encoders", {})
+        key = zlib.crc32(tokenizer_json.encode())
+        if key not in encoders:
+            encoders[key] = PieceEncoder(tokenizer_json)
+        return encoders[key]
 
     def __init__(self, tokenizer_json: str):
         from tokenizers import Tokenizer
@@ -202,7 +214,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer_json: str, end_id: int = 0)
 
         for batch in batches:
             for ids, texts in small(batch):
-                coder = coder or PieceEncoder(shipped.value)
+                coder = coder or PieceEncoder.of_worker(shipped.value)
                 for k, x in zip(ids, coder.encode(texts)):
                     doc_ids.append(k)
                     found.append(np.append(x, np.uint32(end_id)))
