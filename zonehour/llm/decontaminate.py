@@ -115,7 +115,7 @@ def match_benchmark(docs: DataFrame, benchmark: DataFrame, spec: MatchSpec = Mat
         found = F.filter("checked", lambda c: keep(c) & c["item_id"].isNotNull())
         return F.coalesce(F.array_sort(F.array_distinct(F.transform(found, lambda c: c["item_id"]))), F.array().cast("array<string>"))
 
-    both = keyed.withColumn("n_words", F.size(words_of("text")).cast("long")).join(places, ["k", "h"], "left")
+    both = keyed.withColumn("n_words", F.size(words_of("text")).cast("long")).join(places.hint("merge"), ["k", "h"], "left")
     # split again where there is something to check, once per document
     checked = F.when(F.col("places").isNotNull(), F.get(F.transform(F.array(words_of("text")), lambda words: F.transform("places", lambda a: check(a, words))), 0))
     hits = F.array_sort(F.array_distinct(F.flatten(F.transform("checked", lambda c: c["hits"]))))
