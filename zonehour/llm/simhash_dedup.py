@@ -149,8 +149,8 @@ def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
     as they are."""
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
     marked = fingerprints(packed, shingle).select("row", "doc_id", "fp", F.monotonically_increasing_id().alias("id"))
-    rows = stored(marked, "simhash-docs")
+    rows = stored(marked, "simhash-docs", "zstd")
     distinct = stored(rows.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "id")).alias("first")), "simhash-distinct")
     groups = fingerprint_groups(distinct, max_bits)
     winners = distinct.join(groups, "fp").groupBy("grp").agg(F.min("first").alias("first")).select("first.id")
-    return rows.join(stored(winners, "simhash-winners"), "id", "left_semi").select("row.*")
+    return rows.join(stored(winners, "simhash-winners").hint("merge"), "id", "left_semi").select("row.*")
