@@ -29,7 +29,8 @@ class MatchSpec:
     ``lists``: postings lists of a window that must meet. ``near_share`` of
     an item's distinct words within ``slop`` words of its aligned place are
     a proximity match. ``block_rows``: terms or anchors that are broadcast
-    at a time; a benchmark with more takes several turns."""
+    at a time, and a tenth of the words of items; a benchmark with more takes
+    several turns."""
 
     window: int = 10
     lists: int = 2
@@ -44,10 +45,10 @@ def words_of(text: str) -> Column:
     return F.filter(F.split(F.translate(F.coalesce(F.col(text), F.lit("")), UPPER, LOWER), NOT_WORD), lambda w: w != "")
 
 
-def joined_in_blocks(big: DataFrame, small: DataFrame, on: str, block_rows: int) -> DataFrame:
-    """Inner join with a table of a known row count, broadcast in blocks of
-    about ``block_rows`` rows."""
-    blocks = -(-small.count() // block_rows) or 1
+def joined_in_blocks(big: DataFrame, small: DataFrame, on: str, size: Column, block_size: int) -> DataFrame:
+    """Inner join with a table of a measured size, broadcast in blocks of
+    about ``block_size``; ``size`` is that of all rows of a block."""
+    blocks = -(-(small.agg(size).first()[0] or 0) // block_size) or 1
     key = F.pmod(F.xxhash64(on), F.lit(blocks))
     out = None
     for k in range(blocks):
@@ -88,16 +89,18 @@ def match_benchmark(docs: DataFrame, benchmark: DataFrame, spec: MatchSpec = Mat
     # the index
     terms = stored(items.select(F.explode("item_words").alias("word")).distinct(), "benchmark-terms")
     tokens = keyed.select("k", "h", F.posexplode(words_of("text")).alias("pos", "word"))
-    index = stored(joined_in_blocks(tokens, terms, "word", spec.block_rows).select("word", "k", "h", "pos"), "postings")
+    index = stored(joined_in_blocks(tokens, terms, "word", F.count("*"), spec.block_rows).select("word", "k", "h", "pos"), "postings")
 
     # lists of the rarest terms, moved back by their offsets, and where those of a window meet
     df = stored(index.groupBy("word").agg(F.count("*").alias("n")), "term-counts")
     windows = stored(item_windows(items, df, spec), "benchmark-windows")
     anchors = stored(windows.select("ino", F.explode("anchors").alias("a")).select(F.col("a.word").alias("word"), "ino", F.col("a.ipos").alias("ipos")).distinct(), "benchmark-anchors")
-    moved = joined_in_blocks(index, anchors, "word", spec.block_rows).select("k", "h", "ino", (F.col("pos") - F.col("ipos")).alias("diag"), "ipos")
+    moved = joined_in_blocks(index, anchors, "word", F.count("*"), spec.block_rows).select("k", "h", "ino", (F.col("pos") - F.col("ipos")).alias("diag"), "ipos")
     met = moved.groupBy("k", "h", "ino", "diag").agg(F.collect_set("ipos").alias("found"))
     wanted = windows.groupBy("ino").agg(F.collect_set(F.transform("anchors", lambda a: a["ipos"])).alias("wanted")).join(items, "ino")
-    aligned = met.join(wanted, "ino").where(F.exists("wanted", lambda w: F.size(F.array_except(w, F.col("found"))) == 0))
+    wanted = stored(wanted, "benchmark-wanted")
+    words = F.sum(F.size("item_words") + F.lit(spec.lists) * F.size("wanted"))
+    aligned = joined_in_blocks(met, wanted, "ino", words, 10 * spec.block_rows).where(F.exists("wanted", lambda w: F.size(F.array_except(w, F.col("found"))) == 0))
     places = aligned.groupBy("k", "h").agg(F.collect_list(F.struct("item_id", "diag", "item_words")).alias("places"))
     places = stored(places, "alignments")
 
