@@ -6,6 +6,8 @@ import subprocess
 import sys
 from pathlib import Path
 
+from zonehour.plans.catalog import QUERIES
+
 ROOT = Path(__file__).resolve().parents[1]
 
 
@@ -20,5 +22,5 @@ def test_bench_prints_one_json_line():
     out = json.loads(lines[0])
     assert {"metric", "value", "unit", "queries", "sf"} <= set(out)
     assert out["unit"] == "sec" and out["sf"] == 0.001
-    assert set(out["queries"]) == set(__import__("__spark_entry__").queries())
+    assert set(out["queries"]) == set(QUERIES)
     assert abs(out["value"] - sum(out["queries"].values())) < 1e-3

@@ -11,9 +11,11 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1] / "tools"))
 import __spark_entry__ as E  # noqa: E402
 from check_oracle import canon, duck, type_diff  # noqa: E402
 
+from zonehour.plans.catalog import QUERIES  # noqa: E402
+from zonehour.plans.oracle import ORACLE_SQL  # noqa: E402
+
 SF = "/root/testdata/sf0.01"
-SQL = E.oracle_sql()
-QUERIES = E.queries()
+SQL = ORACLE_SQL
 
 
 @pytest.fixture(scope="module")

@@ -64,3 +64,18 @@ def test_features_through_written_tables_equal_in_memory(spark, result):
     direct = C.rounded(C.features_df(spark, SF))
     assert written.count() == direct.count()
     assert written.exceptAll(direct).count() == 0 and direct.exceptAll(written).count() == 0
+
+
+def test_features_job_keeps_rows_outside_the_default_window(spark, tmp_path):
+    from datetime import date
+
+    from zonehour.config import Config
+    from zonehour.operators.features import DEMAND_INPUT_COLUMNS, HOURLY_WEATHER_INPUT_COLUMNS
+    from zonehour.plans.pipeline import features_job
+
+    days = [date(2023, 6, 1), date(2024, 1, 10), date(2024, 3, 5)]
+    trips, weather, out = (str(tmp_path / n) for n in ("trips", "weather", "features"))
+    spark.createDataFrame([(d, 8, 1, 2.0, 10.0) for d in days], list(DEMAND_INPUT_COLUMNS)).write.parquet(trips)
+    spark.createDataFrame([(d, 8, "s", 5.0, 1.0, 0.0, 0) for d in days], list(HOURLY_WEATHER_INPUT_COLUMNS)).write.parquet(weather)
+    rows = features_job(spark, trips, weather, out, Config()).collect()
+    assert {r.pickup_date: r.avg_temp_c for r in rows} == {d: 5.0 for d in days}

@@ -2,6 +2,10 @@
 
 import pytest
 
+from dataclasses import replace
+
+from zonehour.config import TripSpec
+
 from zonehour.operators.profile import (
     distinct_values,
     keyed_count,
@@ -65,11 +69,11 @@ def test_numeric_range_and_counts(spark):
     (r,) = numeric_range(df, ["x"]).collect()
     assert (r.min_x, r.max_x, r.avg_x) == (1.0, 3.0, 2.0)
     assert keyed_count(df).collect()[0].asDict() == {"metric": "record_count", "value": 2}
-    sc = {r.stage: r.rows for r in stage_counts({"all": df, "big": df.where("x > 2")}).collect()}
+    sc = {r.stage: r.rows for r in stage_counts([(df, {"all": None, "big": df["x"] > 2})]).collect()}
     assert sc == {"all": 2, "big": 1}
 
 
-def test_profile_jobs_are_lazy_dicts(spark):
+def test_profile_jobs_return_dicts(spark):
     from zonehour.plans import catalog as C
 
     sf = "/root/testdata/sf0.001"
@@ -82,7 +86,7 @@ def test_profile_jobs_are_lazy_dicts(spark):
     assert o.record_count == raw.count() and o.null_pickup_ts == 0
     assert o.min_trip_distance == raw.agg({"trip_distance": "min"}).first()[0]
     lists = trips["distinct_values"].collect()
-    rate = [r.value for r in sorted(lists, key=lambda r: r.position) if r.column_name == "RatecodeID"]
+    rate = [r.value for r in lists if r.column_name == "RatecodeID"]
     assert rate == [str(v) for v in sorted(r.RatecodeID for r in raw.select("RatecodeID").distinct().collect() if r.RatecodeID is not None)]
     weather = profile_weather(C.weather_lines(spark, sf))
     assert {"line_count", "distinct_values", "numeric_stats", "mode_top10", "sample"} <= set(weather)
@@ -92,22 +96,28 @@ def test_profile_jobs_are_lazy_dicts(spark):
     assert weather["distinct_values"].where("column_name = 'sky_cover_code' AND value = '-9999'").count() == 0
 
 
-def test_numeric_stats_kll_tree(spark):
+def test_numeric_stats_exact_median(spark):
     import numpy as np
 
     rng = np.random.default_rng(3)
-    vals = [float(v) for v in rng.normal(10, 4, 20000).round(1)]
-    df = spark.createDataFrame([(v,) for v in vals], "x double").repartition(16)
-    (exact,) = numeric_stats(df, ["x"]).collect()
-    (tree,) = numeric_stats(df, ["x"], method="kll", fanin=4).collect()
-    assert tree.non_null_count == exact.non_null_count and tree.mean_value == pytest.approx(exact.mean_value)
+    vals = [float(v) for v in rng.normal(10, 4, 20001).round(1)] + [1e9]  # an outlier stretches the buckets
+    df = spark.createDataFrame([(v, None) for v in vals], "x double, empty double").repartition(16)
+    got = {r.column_name: r for r in numeric_stats(df, ["x", "empty"]).collect()}
     srt = np.sort(vals)
-    rank = np.searchsorted(srt, tree.median_value, side="right") / len(srt)
-    assert abs(rank - 0.5) < 0.01
-    from pyspark.sql import functions as F
+    assert got["x"].median_value == srt[(len(srt) + 1) // 2 - 1]
+    assert got["x"].stddev_value == pytest.approx(np.std(vals, ddof=1))
+    assert got["empty"].non_null_count == 0 and got["empty"].median_value is None
+
+
+def test_profile_lists_are_whole(spark):
+    from zonehour.operators.profile import TRIP_PROFILE_FIELDS
 
-    (empty,) = numeric_stats(df.where(F.lit(False)), ["x"], method="kll").collect()
-    assert empty.non_null_count == 0 and empty.median_value is None
+    spec = replace(TripSpec(), vendor="vendor_no")
+    cols = [getattr(spec, f) for f in TRIP_PROFILE_FIELDS]
+    raw = spark.range(1000).selectExpr(*[f"cast(id as double) as {c}" for c in cols])
+    assert profile_trips(raw, spec)["distinct_values"].where("column_name = 'VendorID'").count() == 1000
+    with pytest.raises(ValueError, match="vendor_no"):
+        profile_trips(raw.drop("vendor_no"), spec)
 
 
 def test_distinct_lists_orders_by_type(spark):

@@ -17,7 +17,7 @@ def test_uses_the_configured_checkpoint_dir(spark):
     got = ensure_checkpoint_dir(spark)
     if configured:
         assert configured.rstrip("/").split(":")[-1] in got
-    assert scratch_path(spark, "x").startswith(got.rstrip("/") + "/zonehour-x-")
+    assert scratch_path(spark, "x").startswith(got.rstrip("/") + "/zonehour-scratch-")
 
 
 def test_bare_session_gets_its_own_folder():

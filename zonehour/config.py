@@ -72,13 +72,14 @@ DEFAULT_FEATURE_FILL = (
 # Model names in the metrics table.
 BASELINE_MODEL_NAME = "baseline_zone_hour_mean"
 LINEAR_MODEL_NAME = "weather_aware_linear_regression"
-# Contract error messages (same wording as the source jobs).
-MSG_MISSING_COLUMNS = "{name} is missing required columns: {columns}"
-MSG_NO_USABLE_ROWS = "No usable rows found for metrics on prediction={prediction} label={label}"
-MSG_NO_TRAIN_ROWS = "No training rows found on or before {date}"
-MSG_NO_TEST_ROWS = "No test rows found after {date}"
 # --- end of fixed values -----------------------------------------------------
 
+# Contract error messages.
+MSG_MISSING_COLUMNS = "the {name} table lacks these columns: {columns}"
+MSG_NO_USABLE_ROWS = "metrics need at least one row with both {prediction} and {label}"
+MSG_NO_TRAIN_ROWS = "the training side is empty: no date up to {date}"
+MSG_NO_TEST_ROWS = "the test side is empty: no date later than {date}"
+
 
 def _as_date(value: str | date) -> date:
     return value if isinstance(value, date) else date.fromisoformat(value)
@@ -155,15 +156,15 @@ class ScaleSpec:
     planner (sort-merge, or an AQE runtime broadcast).
     ``row_bytes_bound`` is the per-row size used for that estimate.
     ``trips_layout`` / ``weather_layout`` choose how the clean tables are laid
-    out on write (see ``sources.sinks.write_partitioned``). Trips default to
-    no shuffle, since raw trip files are clustered by time and the table is
-    the big one. Weather is rebalanced: one file per station spans every date,
-    and the shuffle of a small table is cheap.
+    out on write (see ``sources.sinks.write_partitioned``). Both are
+    rebalanced, which holds the number of files whatever the order of the
+    input. ``trips_layout="local"`` writes without a shuffle, for raw files
+    known to be in time order.
     """
 
     broadcast_bytes: int = 64 * 1024 * 1024
     row_bytes_bound: int = 128
-    trips_layout: str = "local"
+    trips_layout: str = "rebalance"
     weather_layout: str = "rebalance"
 
 

@@ -25,7 +25,17 @@ FEATURE_COLUMNS = (
     "is_weekend",
 )
 
-HOURLY_WEATHER_COLUMNS = 7  # date, hour, 3 averages, rain, station count
+# what hourly_demand and hourly_weather read
+DEMAND_INPUT_COLUMNS = ("pickup_date", "pickup_hour", "PULocationID", "trip_distance", "fare_amount")
+HOURLY_WEATHER_INPUT_COLUMNS = (
+    "observation_date_local",
+    "observation_hour_local",
+    "station_id",
+    "air_temp_c",
+    "wind_speed_mps",
+    "precipitation_1hr_mm",
+    "is_rain_1hr",
+)
 
 
 def hourly_demand(trips: DataFrame) -> DataFrame:
@@ -73,29 +83,27 @@ def build_features(
     forecast: ForecastSpec = ForecastSpec(),
     weather_spec: WeatherSpec | None = None,
     scale: ScaleSpec = ScaleSpec(),
+    weather_rows: int | None = None,
 ) -> DataFrame:
     """LEFT join demand to weather on (date, hour) only (weather is
     city-wide), add calendar features, fill the listed columns.
 
-    The weather side has one row per local (date, hour). When its window is
-    known (``weather_spec``) the side is restricted to that window, so it
-    holds at most 24 rows per day of it. That bound times a row-size bound is
-    compared with ``scale.broadcast_bytes``. Under it the side is broadcast,
-    and the demand side, the only one that grows with trip volume, is never
-    shuffled for the join. Otherwise the planner decides at runtime (AQE).
+    No row of either side is filtered. The weather side has one row per local
+    (date, hour). Its size is known from ``weather_rows`` (a counted table),
+    or from ``weather_spec`` when the weather was cleaned with that window: at
+    most 24 rows per day. That many rows times a row-size bound is compared
+    with ``scale.broadcast_bytes``. Under it the side is broadcast, and the
+    demand side, the only one that grows with trip volume, is never shuffled
+    for the join. Otherwise the planner decides at runtime (AQE).
     """
     w = weather_hourly.withColumnRenamed("observation_date_local", "pickup_date").withColumnRenamed(
         "observation_hour_local", "pickup_hour"
     )
-    bound = weather_rows_bound(weather_spec) if weather_spec is not None else None
-    if bound is not None:
-        # Keep only the window's dates (cleaning already did, so nothing
-        # changes), which makes the row bound hold by construction: one row
-        # per (date, hour) of the window.
-        lo, hi = weather_spec.window
-        w = w.where(F.col("pickup_date").between(F.lit(lo).cast("date"), F.lit(hi).cast("date")))
-        if bound * scale.row_bytes_bound <= scale.broadcast_bytes:
-            w = F.broadcast(w)
+    bound = weather_rows
+    if bound is None and weather_spec is not None:
+        bound = weather_rows_bound(weather_spec)
+    if bound is not None and bound * scale.row_bytes_bound <= scale.broadcast_bytes:
+        w = F.broadcast(w)
     joined = demand.join(w, ["pickup_date", "pickup_hour"], "left")
     dow = day_of_week("pickup_date")
     with_cal = joined.withColumn("day_of_week", dow).withColumn("is_weekend", weekend_flag("day_of_week"))

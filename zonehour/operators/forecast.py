@@ -9,7 +9,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonehour.config import ForecastSpec
+from zonehour.config import MSG_NO_TEST_ROWS, MSG_NO_TRAIN_ROWS, ForecastSpec
 from zonehour.operators.metrics import compare_models
 
 # --- fixed values: column order of the prediction tables ---
@@ -42,6 +42,16 @@ def split_counts(features: DataFrame, train_end: str, date_col: str = "pickup_da
     )
 
 
+def require_both_sides(features: DataFrame, train_end: str) -> None:
+    """Error naming the split date if either side has no rows (one aggregate
+    over the feature table)."""
+    counts = split_counts(features, train_end).first()
+    if counts.train_rows == 0:
+        raise ValueError(MSG_NO_TRAIN_ROWS.format(date=train_end))
+    if counts.test_rows == 0:
+        raise ValueError(MSG_NO_TEST_ROWS.format(date=train_end))
+
+
 def global_mean(train: DataFrame, target: str = "trip_count") -> DataFrame:
     """A3: mean of the target over all training zone-hours (one row)."""
     return train.agg(F.avg(target).alias("mean_trip_count"))
@@ -76,7 +86,9 @@ def baseline_forecast(train: DataFrame, test: DataFrame, target: str = "trip_cou
 
 def linear_pipeline(spec: ForecastSpec = ForecastSpec(), target: str = "trip_count") -> Pipeline:
     """M1-M4: zone index (unseen zones kept) -> sparse one-hot -> assembled
-    vector -> elastic-net linear regression (distributed L-BFGS/OWL-QN)."""
+    vector -> elastic-net linear regression. Up to 4,096 features the solver
+    takes the normal equations: one distributed pass sums a d x d / 2 matrix,
+    which the driver holds and iterates on (d = zones + 5)."""
     indexer = StringIndexer(inputCol="PULocationID", outputCol="PULocationID_indexed", handleInvalid="keep")
     encoder = OneHotEncoder(inputCol="PULocationID_indexed", outputCol="PULocationID_ohe", handleInvalid="keep")
     assembler = VectorAssembler(inputCols=list(spec.features), outputCol="features")
@@ -121,7 +133,8 @@ def linear_forecast(
 def evaluate(features: DataFrame, spec: ForecastSpec = ForecastSpec(), target: str = "trip_count"):
     """C6 in memory: split at ``spec.train_end``, then both models and their
     metrics. Returns (baseline predictions, model predictions, metrics table).
-    The model fit runs here; everything else stays lazy."""
+    The row check and the model fit run here; everything else stays lazy."""
+    require_both_sides(features, spec.train_end)
     train, test = time_split(features, spec.train_end)
     baseline = baseline_forecast(train, test, target)
     model = linear_forecast(train, test, spec, target)

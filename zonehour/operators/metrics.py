@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zonehour.config import MSG_NO_USABLE_ROWS
@@ -19,7 +19,8 @@ def forecast_metrics(predictions: DataFrame, label: str = "label", prediction: s
     Only rows where both columns are non-null count. MAPE is a fraction over
     rows with label > 0 (the guard sits inside ``when``, so no division by
     zero is evaluated) and NaN when no such row exists. Zero usable rows
-    raises when the row is computed, inside the same single aggregate job.
+    raises when any of the columns is computed, inside the same single
+    aggregate job.
     """
     p, y = F.col(prediction), F.col(label)
     usable = predictions.where(p.isNotNull() & y.isNotNull())
@@ -31,11 +32,16 @@ def forecast_metrics(predictions: DataFrame, label: str = "label", prediction: s
         F.count(F.lit(1)).alias("test_rows"),
     )
     message = MSG_NO_USABLE_ROWS.format(prediction=prediction, label=label)
+    some = F.col("test_rows") > 0
+
+    def guarded(value: Column, kind: str) -> Column:
+        return F.when(some, value).otherwise(F.raise_error(F.lit(message)).cast(kind))
+
     return agg.select(
-        F.when(F.col("test_rows") > 0, F.col("mae")).otherwise(F.raise_error(F.lit(message))).cast("double").alias("mae"),
-        "rmse",
-        F.coalesce(F.col("mape"), F.lit(float("nan"))).alias("mape"),
-        "test_rows",
+        guarded(F.col("mae"), "double").alias("mae"),
+        guarded(F.col("rmse"), "double").alias("rmse"),
+        guarded(F.coalesce(F.col("mape"), F.lit(float("nan"))), "double").alias("mape"),
+        guarded(F.col("test_rows"), "bigint").alias("test_rows"),
     )
 
 

@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 
 from zonehour.config import TripSpec, WeatherSpec
 from zonehour.operators.weather import decode_weather, parse_weather
-from zonehour.sources.sinks import sample_rows
+from zonehour.session import scratch_path
+from zonehour.sources.readers import require_columns
+from zonehour.sources.sinks import sample_rows, write_table
 
 # --- fixed values: output names of the trip profile -------------------------
 TRIP_NULL_COUNT_NAMES = (
@@ -38,13 +40,14 @@ TRIP_SAMPLE_COLUMNS = (
     "fare_amount",
     "total_amount",
 )
+# fields of TripSpec that the trip profile reads
+TRIP_PROFILE_FIELDS = ("pickup_ts", "pickup_zone", "dropoff_zone", "passengers", "distance", "rate_code", "payment", "store_flag", "fare", "total", "vendor")
 SAMPLE_ROWS = 20
-# Preview sizes of the reference's printed lists.
-TRIP_DISTINCT_PREVIEW = 30
-WEATHER_DISTINCT_PREVIEW = 50
 MODE_TOP_N = 10
 # --- end of fixed values -----------------------------------------------------
 
+MEDIAN_BUCKETS = 4096
+
 
 def null_count_aggs(columns: Mapping[str, str] | Sequence[str]) -> list[Column]:
     named = dict(columns) if isinstance(columns, Mapping) else {c: f"null_{c}" for c in columns}
@@ -79,86 +82,65 @@ def overview(
     return df.agg(F.count(F.lit(1)).alias(count_name), *null_count_aggs(null_columns), *range_aggs(range_columns))
 
 
-def numeric_stats(
-    df: DataFrame,
-    columns: Sequence[str],
-    accuracy: int = 10000,
-    method: str = "percentile_approx",
-    fanin: int = 1024,
-    kll_k: int = 1000,
-) -> DataFrame:
-    """A8 + F5: per column the non-null count, mean, approximate median,
-    sample standard deviation, min and max; one row per column.
-
-    All aggregates skip nulls, which is the reference's per-column
-    ``isNotNull`` filter. One aggregate over every column (a single scan),
-    then the one wide row is turned into one row per column.
-
-    ``method="percentile_approx"`` (default) is the reference's median: a GK
-    summary per task, merged in the single final task of the global
-    aggregate. That merge receives one summary of O(1/accuracy) entries per
-    map task, which is fine for weather-sized inputs but grows with the task
-    count. ``method="kll"`` builds a mergeable KLL sketch per task and merges
-    them through a layer of ``fanin`` reducers first, so the final task sees
-    at most ``fanin`` small sketches however many tasks read the input
-    (rank error about 1/``kll_k``).
-    """
-    if method not in ("percentile_approx", "kll"):
-        raise ValueError(f"unknown median method {method!r}")
-    aggs = []
-    for i, c in enumerate(columns):
-        x = F.col(c).cast("double")
-        aggs += [
-            F.count(x).alias(f"c{i}_n"),
-            F.avg(x).alias(f"c{i}_mean"),
-            F.stddev_samp(x).alias(f"c{i}_sd"),
-            F.min(x).alias(f"c{i}_min"),
-            F.max(x).alias(f"c{i}_max"),
-        ]
-        if method == "percentile_approx":
-            aggs.append(F.percentile_approx(x, 0.5, accuracy).alias(f"c{i}_median"))
-    wide = df.agg(*aggs)
-    if method == "kll":
-        wide = wide.select("*", _kll_medians(df, columns, fanin, kll_k).alias("_zh_med")).select(
-            "*", *[F.col(f"_zh_med.m{i}").alias(f"c{i}_median") for i in range(len(columns))]
-        )
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("column_name"),
-                F.col(f"c{i}_n").alias("non_null_count"),
-                F.col(f"c{i}_mean").alias("mean_value"),
-                F.col(f"c{i}_median").cast("double").alias("median_value"),
-                F.col(f"c{i}_sd").alias("stddev_value"),
-                F.col(f"c{i}_min").alias("min_value"),
-                F.col(f"c{i}_max").alias("max_value"),
-            )
-            for i, c in enumerate(columns)
-        ]
-    )
-    return wide.select(F.inline(rows))
+def value_histogram(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """column_name, value, count of the non-null values of every column, as
+    doubles; counted in each task before the shuffle, in one scan."""
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], list(columns), "column_name", "value")
+    return long.where(F.col("value").isNotNull()).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("count"))
+
+
+def numeric_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """A8 + F5: per column the non-null count, mean, median (the least value
+    with half of the values up to it), sample standard deviation, min and
+    max; one row per column, nulls and zero for a column without values."""
+    return histogram_stats(value_histogram(df, columns), columns)
 
 
-def _kll_medians(df: DataFrame, columns: Sequence[str], fanin: int, k: int) -> Column:
-    """Tree-merged KLL medians as one scalar subquery (a struct m0, m1, ...).
+def histogram_stats(histogram: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """A8 from a ``value_histogram``; see ``numeric_stats``.
 
-    Level 1 groups by the input task (``spark_partition_id`` modulo
-    ``fanin``, stable across task retries because scan splits are), so each
-    map task emits one partial sketch per column; level 2 merges at most
-    ``fanin`` sketches per column into one.
+    The median is exact. Values are counted in MEDIAN_BUCKETS ranges of a
+    column first, and only the range that holds the median is ordered by
+    value, so no task orders a whole column.
     """
-    bucket = F.pmod(F.spark_partition_id(), F.lit(fanin)).alias("_zh_bucket")
-    level1 = df.groupBy(bucket).agg(
-        *[F.kll_sketch_agg_double(F.col(c).cast("double"), k).alias(f"s{i}") for i, c in enumerate(columns)]
+    n, x = F.col("count"), F.col("value")
+    moments = histogram.groupBy("column_name").agg(
+        F.sum(n).alias("n"), (F.sum(n * x) / F.sum(n)).alias("mean"), F.min(x).alias("lo"), F.max(x).alias("hi")
     )
-    merged = level1.agg(*[F.kll_merge_agg_double(f"s{i}").alias(f"s{i}") for i in range(len(columns))])
-    medians = merged.select(
-        *[
-            F.when(F.kll_sketch_get_n_double(f"s{i}") > 0, F.kll_sketch_get_quantile_double(f"s{i}", F.lit(0.5))).alias(f"m{i}")
-            for i in range(len(columns))
-        ]
+    placed = histogram.join(F.broadcast(moments), "column_name")  # a row per column asked for
+    width = (F.col("hi") - F.col("lo")) / MEDIAN_BUCKETS
+    bucket = F.when(width > 0, F.least(F.lit(MEDIAN_BUCKETS - 1), F.floor((x - F.col("lo")) / width))).otherwise(F.lit(0))
+    placed = placed.withColumn("bucket", bucket.cast("int"))
+    spread = F.sum(n * F.pow(x - F.col("mean"), F.lit(2.0))).alias("spread")
+    buckets = placed.groupBy("column_name", "n", "bucket").agg(F.sum(n).alias("in_bucket"), spread)
+    in_order = Window.partitionBy("column_name").orderBy("bucket")
+    buckets = buckets.withColumn("before", F.sum("in_bucket").over(in_order) - F.col("in_bucket"))
+    half = F.ceil(F.col("n") / 2)
+    middle = buckets.where((F.col("before") < half) & (half <= F.col("before") + F.col("in_bucket"))).select("column_name", "bucket", "before")
+    by_value = Window.partitionBy("column_name").orderBy("value")
+    inside = placed.join(F.broadcast(middle), ["column_name", "bucket"]).withColumn("upto", F.col("before") + F.sum(n).over(by_value))
+    medians = inside.where(F.col("upto") >= half).groupBy("column_name").agg(F.min(x).alias("median"))
+    spreads = buckets.groupBy("column_name").agg(F.sum("spread").alias("spread"))
+    names = df_of_names(histogram, columns)
+    return (
+        names.join(moments, "column_name", "left")
+        .join(medians, "column_name", "left")
+        .join(spreads, "column_name", "left")
+        .select(
+            "column_name",
+            F.coalesce("n", F.lit(0)).cast("bigint").alias("non_null_count"),
+            F.col("mean").alias("mean_value"),
+            F.col("median").alias("median_value"),
+            F.when(F.col("n") > 1, F.sqrt(F.col("spread") / (F.col("n") - 1))).alias("stddev_value"),
+            F.col("lo").alias("min_value"),
+            F.col("hi").alias("max_value"),
+        )
     )
-    return medians.select(F.struct(*[f"m{i}" for i in range(len(columns))]).alias("m")).scalar()
+
+
+def df_of_names(like: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """column_name, one row per given column."""
+    return like.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in columns])).alias("column_name"))
 
 
 def distinct_values(
@@ -236,14 +218,13 @@ def mode_top(df: DataFrame, columns: Sequence[str], n: int = MODE_TOP_N) -> Data
     partial group limit before the shuffle, so each task ships at most n rows
     per column to the final ranking.
     """
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
-        [], list(columns), "column_name", "value"
-    )
-    counted = long.where(F.col("value").isNotNull()).groupBy("column_name", "value").agg(
-        F.count(F.lit(1)).alias("count")
-    )
+    return histogram_modes(value_histogram(df, columns), n)
+
+
+def histogram_modes(histogram: DataFrame, n: int = MODE_TOP_N) -> DataFrame:
+    """A12 from a ``value_histogram``; see ``mode_top``."""
     w = Window.partitionBy("column_name").orderBy(F.desc("count"), F.asc("value"))
-    ranked = counted.withColumn("rank", F.row_number().over(w))
+    ranked = histogram.withColumn("rank", F.row_number().over(w))
     return ranked.where(F.col("rank") <= n)
 
 
@@ -252,31 +233,48 @@ def keyed_count(df: DataFrame, key: str = "record_count") -> DataFrame:
     return df.groupBy(F.lit(key).alias("metric")).agg(F.count(F.lit(1)).alias("value"))
 
 
-def stage_counts(stages: Mapping[str, DataFrame]) -> DataFrame:
-    """(stage, rows) for each named frame, as one DataFrame."""
-    parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("stage"), "rows") for name, df in stages.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+def stage_counts(inputs: Sequence[tuple[DataFrame, Mapping[str, Column | None]]]) -> DataFrame:
+    """(stage, rows). Each input is read once: a stage counts its rows
+    that meet the condition, all rows for None."""
+    out = None
+    for df, stages in inputs:
+        one = F.lit(1)
+        counts = df.agg(*[F.count(one if c is None else F.when(c, one)).alias(name) for name, c in stages.items()])
+        rows = counts.unpivot([], list(stages), "stage", "rows")
+        out = rows if out is None else out.unionByName(rows)
     return out
 
 
-def profile_trips(raw: DataFrame, spec: TripSpec = TripSpec(), preview_n: int | None = TRIP_DISTINCT_PREVIEW) -> dict[str, DataFrame]:
-    """The trip profile as lazy DataFrames (nothing runs here): the
-    overview and the distinct lists (two scans of the raw table), plus a
-    20-row sample (each task stops after 20 rows, no full scan)."""
-    distinct_cols = [c for c in TRIP_DISTINCT_COLUMNS if c in raw.columns]
-    sample_cols = [c for c in TRIP_SAMPLE_COLUMNS if c in raw.columns]
+def standard_trip_columns(raw: DataFrame, spec: TripSpec) -> DataFrame:
+    """The profiled columns of ``raw`` under their usual names; an error names
+    those that are missing."""
+    usual = TripSpec()
+    own = {getattr(usual, f): getattr(spec, f) for f in TRIP_PROFILE_FIELDS}
+    require_columns(raw, tuple(own.values()), "trips")
+    return raw.select(*[F.col(c).alias(name) for name, c in own.items()])
+
+
+def profile_trips(raw: DataFrame, spec: TripSpec = TripSpec(), preview_n: int | None = None) -> dict[str, DataFrame]:
+    """The trip profile: the overview and the distinct lists (lazy, two
+    scans of the raw table) and a 20-row sample, taken here. The lists are
+    whole unless ``preview_n`` cuts them."""
+    trips = standard_trip_columns(raw, spec)
     return {
-        "overview": overview(raw, dict(TRIP_NULL_COUNT_NAMES), TRIP_RANGE_COLUMNS),
-        "distinct_values": distinct_lists(raw, distinct_cols, n=preview_n),
-        "sample": sample_rows(raw.select(*sample_cols), SAMPLE_ROWS),
+        "overview": overview(trips, dict(TRIP_NULL_COUNT_NAMES), TRIP_RANGE_COLUMNS),
+        "distinct_values": distinct_lists(trips, list(TRIP_DISTINCT_COLUMNS), n=preview_n),
+        "sample": sample_rows(trips.select(*TRIP_SAMPLE_COLUMNS), SAMPLE_ROWS),
     }
 
 
-def profile_weather(lines: DataFrame, spec: WeatherSpec = WeatherSpec(), preview_n: int | None = WEATHER_DISTINCT_PREVIEW) -> dict[str, DataFrame]:
-    """The weather profile over parsed, decoded (not windowed) lines."""
+def profile_weather(lines: DataFrame, spec: WeatherSpec = WeatherSpec(), preview_n: int | None = None) -> dict[str, DataFrame]:
+    """The weather profile over parsed, decoded (not windowed) lines. The
+    lists are whole unless ``preview_n`` cuts them. Statistics and modes come
+    from one histogram, written to the shared scratch folder here, so the
+    lines are read once for both."""
     parsed = decode_weather(parse_weather(lines, spec), spec)
+    path = scratch_path(lines.sparkSession, "weather-histogram")
+    write_table(value_histogram(parsed, WEATHER_STAT_COLUMNS), path)
+    histogram = lines.sparkSession.read.parquet(path)
     return {
         "line_count": keyed_count(lines, "raw_line_count"),
         "distinct_values": distinct_lists(
@@ -285,7 +283,7 @@ def profile_weather(lines: DataFrame, spec: WeatherSpec = WeatherSpec(), preview
             exclude={"wind_direction_degrees": [spec.missing], "sky_cover_code": [spec.missing]},
             n=preview_n,
         ),
-        "numeric_stats": numeric_stats(parsed, WEATHER_STAT_COLUMNS),
-        "mode_top10": mode_top(parsed, WEATHER_STAT_COLUMNS, MODE_TOP_N),
+        "numeric_stats": histogram_stats(histogram, WEATHER_STAT_COLUMNS),
+        "mode_top10": histogram_modes(histogram, MODE_TOP_N),
         "sample": sample_rows(parsed.drop("source_path_normalized"), SAMPLE_ROWS),
     }

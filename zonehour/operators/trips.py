@@ -49,14 +49,11 @@ def typed_trips(raw: DataFrame, spec: TripSpec = TripSpec(), carry: tuple[str, .
 def trip_rules() -> dict[str, Column]:
     """the validity rules, by name. Rate code, payment type and the flag
     are not checked and may stay null. Zero passengers are valid."""
+    # a comparison with null keeps no row, so nulls need no test of their own
     return {
         "pickup_present": F.col("pickup_ts").isNotNull(),
-        "pickup_zone_valid": F.col("PULocationID").isNotNull() & (F.col("PULocationID") > 0),
-        "dropoff_zone_valid": F.col("DOLocationID").isNotNull() & (F.col("DOLocationID") > 0),
-        "passengers_valid": F.col("passenger_count").isNotNull() & (F.col("passenger_count") >= 0),
-        "distance_positive": F.col("trip_distance").isNotNull() & (F.col("trip_distance") > 0.0),
-        "fare_non_negative": F.col("fare_amount").isNotNull() & (F.col("fare_amount") >= 0.0),
-        "total_non_negative": F.col("total_amount").isNotNull() & (F.col("total_amount") >= 0.0),
+        **{f"{c} positive": F.col(c) > 0 for c in ("PULocationID", "DOLocationID", "trip_distance")},
+        **{f"{c} not negative": F.col(c) >= 0 for c in ("passenger_count", "fare_amount", "total_amount")},
     }
 
 
@@ -97,12 +94,17 @@ def with_calendar(df: DataFrame, ts_col: str, prefix: str) -> DataFrame:
     )
 
 
+def valid_trip_condition(spec: TripSpec = TripSpec()) -> Column:
+    """F1 + F2 as one condition over ``typed_trips``."""
+    window = window_condition("pickup_ts", spec.window)
+    return _conjunction(list(trip_rules().values()) + ([window] if window is not None else []))
+
+
 def clean_trips(raw: DataFrame, spec: TripSpec = TripSpec(), carry: tuple[str, ...] = ()) -> DataFrame:
     """C3. Narrow transformation only (project + filter): no shuffle, one
     pass, and the window and non-null tests reach the parquet reader."""
     typed = typed_trips(raw, spec, carry)
-    window = window_condition("pickup_ts", spec.window)
-    kept = typed.where(_conjunction(list(trip_rules().values()) + ([window] if window is not None else [])))
+    kept = typed.where(valid_trip_condition(spec))
     return with_calendar(kept, "pickup_ts", "pickup").select(
         "pickup_date",
         "pickup_hour",

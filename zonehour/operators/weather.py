@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zonehour.config import WeatherSpec
@@ -79,6 +79,11 @@ def decode_weather(parsed: DataFrame, spec: WeatherSpec = WeatherSpec()) -> Data
     )
 
 
+def local_timestamp(spec: WeatherSpec = WeatherSpec()) -> Column:
+    """P6 + P7 of a parsed line: its wall clock in the local zone."""
+    return to_local(utc_timestamp("year", "month", "day", "hour_utc"), spec.local_zone)
+
+
 def clean_weather(lines: DataFrame, spec: WeatherSpec = WeatherSpec(), path_col: str = "source_path") -> DataFrame:
     """C4. Timestamps are TIMESTAMP_NTZ wall clocks: the UTC hour is built
     from its parts (impossible dates -> null), then shifted to the local
@@ -86,7 +91,7 @@ def clean_weather(lines: DataFrame, spec: WeatherSpec = WeatherSpec(), path_col:
     Wind direction and sky cover keep their sentinel."""
     decoded = decode_weather(parse_weather(lines, spec, path_col), spec)
     ts_utc = utc_timestamp("year", "month", "day", "hour_utc")
-    ts_local = to_local(ts_utc, spec.local_zone)
+    ts_local = local_timestamp(spec)
     out = decoded.select(
         "station_id",
         "source_path_normalized",

@@ -10,6 +10,7 @@ projection (``round(x * 1e6) / 1e6``, the same arithmetic DuckDB's
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ from zonehour.operators.features import build_features, hourly_demand, hourly_we
 from zonehour.operators.forecast import (
     baseline_forecast,
     evaluate,
+    fit_linear,
     global_mean,
     linear_forecast,
     split_counts,
@@ -39,14 +41,16 @@ from zonehour.operators.profile import (
     numeric_range,
     numeric_stats,
     overview,
+    profile_trips,
     stage_counts,
 )
-from zonehour.operators.trips import TRIPS_CLEAN_COLUMNS, clean_trips
-from zonehour.operators.weather import WEATHER_CLEAN_COLUMNS, clean_weather, decode_weather, parse_weather
-from zonehour.session import ensure_checkpoint_dir, scratch_path
+from zonehour.operators.trips import TRIPS_CLEAN_COLUMNS, clean_trips, typed_trips, valid_trip_condition, window_condition
+from zonehour.operators.weather import WEATHER_CLEAN_COLUMNS, clean_weather, decode_weather, local_timestamp, parse_weather
+from zonehour.plans.pipeline import METRICS_CSV_SCHEMA, PipelinePaths, evaluate_job, features_job
+from zonehour.session import file_identity, scratch_path
 from zonehour.sources.adapters import trips_from_events, weather_lines_from_events
 from zonehour.sources.readers import read_clean
-from zonehour.sources.sinks import preview, write_partitioned
+from zonehour.sources.sinks import preview, write_metrics, write_partitioned, write_table
 
 # --- fixed values: the query configuration (FIXTURES section 3.3) -----------
 # Windows narrower than the data, so both window filters drop rows.
@@ -74,13 +78,13 @@ def rounded(df: DataFrame, places: int = 6, only: tuple[str, ...] | None = None)
 
 # ---- inputs -----------------------------------------------------------------
 
-_SCHEMAS: dict[tuple[str, str], object] = {}
+_SCHEMAS: dict[tuple[str, tuple], object] = {}
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet read whose inferred schema is remembered per session and path:
-    later reads pass it in and skip the footer-reading inference job."""
-    key = (spark.sparkContext.applicationId, path)
+    """Parquet read whose inferred schema is remembered per session and
+    state of the files: later reads pass it in and skip the footer-reading inference job."""
+    key = (spark.sparkContext.applicationId, file_identity(spark, path))
     schema = _SCHEMAS.get(key)
     if schema is None:
         df = spark.read.parquet(path)
@@ -111,10 +115,6 @@ def features_df(spark: SparkSession, sf_dir: str, cfg: Config = QUERY_CONFIG) ->
     return build_features(demand, weather, cfg.forecast, cfg.weather, cfg.scale)
 
 
-def _splits(spark: SparkSession, sf_dir: str, cfg: Config = QUERY_CONFIG):
-    return time_split(features_df(spark, sf_dir, cfg), cfg.forecast.train_end)
-
-
 # ---- queries ----------------------------------------------------------------
 
 
@@ -143,55 +143,116 @@ def q_features(spark, sf_dir):
     return rounded(features_df(spark, sf_dir))
 
 
+def _demand(spark, sf_dir):
+    """The zone-hours without weather: the join adds columns, no rows."""
+    return hourly_demand(trips_clean_df(spark, sf_dir))
+
+
 def q_split_counts(spark, sf_dir):
-    return split_counts(features_df(spark, sf_dir), QUERY_CONFIG.forecast.train_end)
+    return split_counts(_demand(spark, sf_dir), QUERY_CONFIG.forecast.train_end)
 
 
 def q_global_mean(spark, sf_dir):
-    train, _ = _splits(spark, sf_dir)
+    train, _ = time_split(_demand(spark, sf_dir), QUERY_CONFIG.forecast.train_end)
     return rounded(global_mean(train))
 
 
 def q_zone_hour_mean(spark, sf_dir):
-    train, _ = _splits(spark, sf_dir)
+    train, _ = time_split(_demand(spark, sf_dir), QUERY_CONFIG.forecast.train_end)
     return rounded(zone_hour_mean(train))
 
 
-def _checkpointed_splits(spark, sf_dir):
-    """Train and test from one feature table, checkpointed into the shared
-    checkpoint folder. The baseline reads the training side twice (lookup
-    and fallback mean) and the test side once; the model makes many passes.
-    Without the cut each branch would re-aggregate the raw trips of its
-    dates (about 1.8 raw passes for the baseline); with it the raw trips are
-    aggregated once and every branch reads the small zone-hour table."""
-    ensure_checkpoint_dir(spark)
-    features = features_df(spark, sf_dir).checkpoint(eager=True)
-    return time_split(features, QUERY_CONFIG.forecast.train_end)
+def _written_features(spark, sf_dir):
+    """The feature table, written to the shared scratch folder by date order
+    within files and read back. The raw trips are aggregated once; each
+    branch that follows reads only its columns and dates."""
+    path = scratch_path(spark, "features")
+    write_table(features_df(spark, sf_dir).sortWithinPartitions("pickup_date"), path)
+    return spark.read.parquet(path)
+
+
+def _written_splits(spark, sf_dir):
+    return time_split(_written_features(spark, sf_dir), QUERY_CONFIG.forecast.train_end)
 
 
 def q_baseline_predictions(spark, sf_dir):
-    train, test = _checkpointed_splits(spark, sf_dir)
+    train, test = _written_splits(spark, sf_dir)
     return rounded(baseline_forecast(train, test))
 
 
 def q_baseline_metrics(spark, sf_dir):
-    train, test = _checkpointed_splits(spark, sf_dir)
+    train, test = _written_splits(spark, sf_dir)
     fc = QUERY_CONFIG.forecast
     return rounded(model_metrics(baseline_forecast(train, test), fc.baseline_name, fc.train_end))
 
 
 def q_linear_predictions(spark, sf_dir):
-    train, test = _checkpointed_splits(spark, sf_dir)
+    train, test = _written_splits(spark, sf_dir)
     return linear_forecast(train, test, QUERY_CONFIG.forecast)
 
 
 def q_model_metrics(spark, sf_dir):
-    ensure_checkpoint_dir(spark)
-    features = features_df(spark, sf_dir).checkpoint(eager=True)
-    _, _, metrics = evaluate(features, QUERY_CONFIG.forecast)
+    _, _, metrics = evaluate(_written_features(spark, sf_dir), QUERY_CONFIG.forecast)
     return metrics
 
 
+OLS = replace(QUERY_CONFIG.forecast, features=("avg_temp_c",), reg_param=0.0, elastic_net=0.0, linear_name="ols_temperature")
+
+
+def q_ols_predictions(spark, sf_dir):
+    train, test = _written_splits(spark, sf_dir)
+    return rounded(linear_forecast(train, test, OLS))
+
+
+def q_model_comparison(spark, sf_dir):
+    _, _, metrics = evaluate(_written_features(spark, sf_dir), OLS)
+    return rounded(metrics)
+
+
+def q_elastic_net_coefficients(spark, sf_dir):
+    """Slope and intercept of a one-feature elastic net, at 4 decimals (the
+    fit is iterative)."""
+    train, _ = _written_splits(spark, sf_dir)
+    fitted = fit_linear(train, replace(OLS, reg_param=0.02, elastic_net=0.1)).stages[-1]
+    row = spark.range(1).select(F.lit(float(fitted.coefficients[0])).alias("slope"), F.lit(float(fitted.intercept)).alias("intercept"))
+    return rounded(row, 4)
+
+
+def _pipeline_paths(spark, sf_dir):
+    """Clean tables written by the clean jobs' sinks, for the jobs after them."""
+    paths = PipelinePaths("", "", scratch_path(spark, "pipeline"))
+    write_partitioned(trips_clean_df(spark, sf_dir), paths.out("trips_clean"), "pickup_date", QUERY_CONFIG.scale.trips_layout)
+    write_partitioned(weather_clean_df(spark, sf_dir), paths.out("weather_clean"), "observation_date_local", QUERY_CONFIG.scale.weather_layout)
+    return paths
+
+
+def q_pipeline_features(spark, sf_dir):
+    """What ``features_job`` wrote, with the default configuration."""
+    paths = _pipeline_paths(spark, sf_dir)
+    return rounded(features_job(spark, paths.out("trips_clean"), paths.out("weather_clean"), paths.out("features")))
+
+
+def q_pipeline_baseline_predictions(spark, sf_dir):
+    """What ``evaluate_job`` wrote as the baseline's predictions."""
+    paths = _pipeline_paths(spark, sf_dir)
+    features = features_job(spark, paths.out("trips_clean"), paths.out("weather_clean"), paths.out("features"), QUERY_CONFIG)
+    evaluate_job(spark, features, paths, QUERY_CONFIG)
+    return rounded(spark.read.parquet(paths.out("baseline_predictions")))
+
+
+def q_profile_trip_tables(spark, sf_dir):
+    """The whole distinct lists as the profile job writes them."""
+    path = scratch_path(spark, "profile-trips")
+    write_table(profile_trips(raw_trips(spark, sf_dir), QUERY_CONFIG.trips)["distinct_values"], path)
+    return spark.read.parquet(path)
+
+
+def q_metrics_csv_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "metrics")
+    write_metrics(q_baseline_metrics(spark, sf_dir), path)
+    return spark.read.option("header", True).schema(METRICS_CSV_SCHEMA).csv(path)
+
+
 def q_null_counts(spark, sf_dir):
     names = dict(TRIP_NULL_COUNT_NAMES)
     names.update({"passenger_count": "null_passenger_count", "RatecodeID": "null_ratecode", "store_and_fwd_flag": "null_store_and_fwd_flag"})
@@ -248,23 +309,22 @@ def q_mode_top10(spark, sf_dir):
 
 
 def q_stage_counts(spark, sf_dir):
-    raw = raw_trips(spark, sf_dir)
+    """One aggregate over each of raw trips, weather lines (a line count and
+    one over the parsed lines) and the zone-hours."""
+    cfg = QUERY_CONFIG
+    valid = valid_trip_condition(cfg.trips)
+    trips = typed_trips(raw_trips(spark, sf_dir), cfg.trips)
     lines = weather_lines(spark, sf_dir)
-    # features, train and test are counted from one checkpointed feature table
-    ensure_checkpoint_dir(spark)
-    features = features_df(spark, sf_dir).checkpoint(eager=True)
-    train, test = time_split(features, QUERY_CONFIG.forecast.train_end)
+    parsed = parse_weather(lines, cfg.weather).select(local_timestamp(cfg.weather).alias("at"))
+    in_window = window_condition("at", cfg.weather.window)
+    is_train = F.col("pickup_date") <= F.lit(cfg.forecast.train_end).cast("date")
     return stage_counts(
-        {
-            "raw_trips": raw,
-            "trips_clean": clean_trips(raw, QUERY_CONFIG.trips),
-            "weather_lines": lines,
-            "weather_parsed": parse_weather(lines, QUERY_CONFIG.weather),
-            "weather_clean": clean_weather(lines, QUERY_CONFIG.weather),
-            "features": features,
-            "train": train,
-            "test": test,
-        }
+        [
+            (trips, {"raw_trips": None, "trips_clean": valid}),
+            (lines, {"weather_lines": None}),
+            (parsed, {"weather_parsed": None, "weather_clean": in_window}),
+            (_demand(spark, sf_dir), {"features": None, "train": is_train, "test": ~is_train}),
+        ]
     )
 
 
@@ -299,6 +359,13 @@ QUERIES: dict[str, Query] = {
     "baseline_metrics": q_baseline_metrics,
     "linear_predictions": q_linear_predictions,
     "model_metrics": q_model_metrics,
+    "ols_predictions": q_ols_predictions,
+    "model_comparison": q_model_comparison,
+    "elastic_net_coefficients": q_elastic_net_coefficients,
+    "pipeline_features": q_pipeline_features,
+    "pipeline_baseline_predictions": q_pipeline_baseline_predictions,
+    "profile_trip_tables": q_profile_trip_tables,
+    "metrics_csv_roundtrip": q_metrics_csv_roundtrip,
     "null_counts": q_null_counts,
     "numeric_range": q_numeric_range,
     "record_count": q_record_count,

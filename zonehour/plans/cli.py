@@ -26,6 +26,7 @@ if __package__ in (None, ""):
 from pyspark.sql import SparkSession  # noqa: E402
 
 from zonehour.config import Config  # noqa: E402
+from zonehour.operators.forecast import split_counts  # noqa: E402
 from zonehour.operators.profile import profile_trips, profile_weather  # noqa: E402
 from zonehour.plans.pipeline import (  # noqa: E402
     PipelinePaths,
@@ -129,7 +130,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         features = features_job(spark, args.taxi_input, args.weather_input, paths.out("features"), cfg)
         _show(spark, paths.out("features"), args.show)
         metrics = evaluate_job(spark, features, paths, cfg)
-        result = {"metrics": [r.asDict() for r in metrics.collect()]}  # two rows, one per model
+        sides = split_counts(features, cfg.forecast.train_end).first()
+        result = {
+            "counts": {"features": features.count(), "train": sides.train_rows, "test": sides.test_rows},
+            "metrics": [r.asDict() for r in metrics.collect()],  # two rows, one per model
+        }
     else:
         paths = PipelinePaths(args.raw_trips, args.raw_weather, args.output_root)
         out = run_pipeline(spark, paths, cfg, profile=not args.no_profile)

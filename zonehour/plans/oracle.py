@@ -252,6 +252,26 @@ def _distinct_lists_sql() -> str:
     return _with(_TRIPS_RAW) + "\nUNION ALL\n".join(parts)
 
 
+_OLS_PREDS = """ols_preds AS (
+  SELECT pickup_date, pickup_hour, PULocationID, trip_count AS label, i + s * avg_temp_c AS prediction,
+         avg_temp_c, avg_wind_speed_mps, avg_precipitation_1hr_mm, is_rain_hour
+  FROM test, (SELECT regr_slope(trip_count, avg_temp_c) AS s, regr_intercept(trip_count, avg_temp_c) AS i FROM train)
+)"""
+
+# closed form of the one-feature elastic net on standardised x and y
+_ELASTIC_NET = """SELECT round(slope, 4) AS slope, round(my - slope * mx, 4) AS intercept FROM (
+  SELECT *, sign(c) * greatest(abs(c) - 0.02 / sy * 0.1, 0) / ((n - 1) / n + 0.02 / sy * 0.9) * sy / sx AS slope FROM (
+    SELECT covar_pop(avg_temp_c, trip_count) / (stddev_samp(avg_temp_c) * stddev_samp(trip_count)) AS c, CAST(count(*) AS DOUBLE) AS n,
+           stddev_samp(avg_temp_c) AS sx, stddev_samp(trip_count) AS sy, avg(avg_temp_c) AS mx, avg(trip_count) AS my FROM train))"""
+
+
+def _metrics_sql(name: str, table: str) -> str:
+    return f"""SELECT '{name}' AS model_name, round(avg(abs(prediction - label)), 6) AS mae,
+       round(sqrt(avg(pow(prediction - label, 2))), 6) AS rmse,
+       round(coalesce(avg(CASE WHEN label > 0 THEN abs((prediction - label) / label) END), 'NaN'::DOUBLE), 6) AS mape,
+       count(*) AS test_rows, '{_END}' AS train_end_date FROM {table}"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "trips_clean": _with(*_TRIP_CTES) + f"SELECT {_CLEAN_COLS} FROM trips_clean",
     "hourly_demand": _with(*_TRIP_CTES, _DEMAND)
@@ -302,8 +322,28 @@ FROM baseline_preds WHERE prediction IS NOT NULL AND label IS NOT NULL""",
     "WHERE wind_direction_degrees IS NOT NULL AND wind_direction_degrees <> -9999 ORDER BY 1",
     "numeric_stats": _numeric_stats_sql(),
     "mode_top10": _mode_top10_sql(),
+    "ols_predictions": _with(*_FEATURE_CTES, _SPLITS, _OLS_PREDS)
+    + "SELECT pickup_date, pickup_hour, PULocationID, label, round(prediction, 6) AS prediction, "
+    "round(avg_temp_c, 6) AS avg_temp_c, round(avg_wind_speed_mps, 6) AS avg_wind_speed_mps, "
+    "round(avg_precipitation_1hr_mm, 6) AS avg_precipitation_1hr_mm, is_rain_hour FROM ols_preds",
+    "elastic_net_coefficients": _with(*_FEATURE_CTES, _SPLITS) + _ELASTIC_NET,
+    "pipeline_features": "",
+    "pipeline_baseline_predictions": "",
+    "profile_trip_tables": "",
+    "metrics_csv_roundtrip": "",
+    "model_comparison": "",
     "stage_counts": _stage_counts_sql(),
     "trips_roundtrip": _with(*_TRIP_CTES) + f"SELECT {_CLEAN_COLS} FROM trips_clean",
     "weather_roundtrip": _with(*_WEATHER_CTES) + f"SELECT {_WEATHER_CLEAN_COLS} FROM weather_clean",
     "trips_preview": _with(*_TRIP_CTES) + f"SELECT {_CLEAN_COLS} FROM trips_clean ORDER BY {_PREVIEW_ORDER} LIMIT 20",
 }
+
+# what the jobs write equals what the functions return
+ORACLE_SQL["pipeline_features"] = ORACLE_SQL["features"]
+ORACLE_SQL["pipeline_baseline_predictions"] = ORACLE_SQL["baseline_predictions"]
+ORACLE_SQL["profile_trip_tables"] = ORACLE_SQL["distinct_lists"]
+ORACLE_SQL["metrics_csv_roundtrip"] = ORACLE_SQL["baseline_metrics"]
+ORACLE_SQL["model_comparison"] = (
+    _with(*_FEATURE_CTES, _SPLITS, _BASELINE_PREDS, _OLS_PREDS)
+    + "\nUNION ALL\n".join(_metrics_sql(name, table) for name, table in ((_BASELINE, "baseline_preds"), ("ols_temperature", "ols_preds")))
+)

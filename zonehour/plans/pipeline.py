@@ -12,16 +12,22 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from zonehour.config import MSG_NO_TEST_ROWS, MSG_NO_TRAIN_ROWS, Config
-from zonehour.operators.features import build_features, hourly_demand, hourly_weather
-from zonehour.operators.forecast import baseline_forecast, fit_linear, score_linear, split_counts, time_split
+from pyspark.sql import DataFrame, SparkSession
+
+from zonehour.config import Config
+from zonehour.operators.features import (
+    DEMAND_INPUT_COLUMNS,
+    HOURLY_WEATHER_INPUT_COLUMNS,
+    build_features,
+    hourly_demand,
+    hourly_weather,
+)
+from zonehour.operators.forecast import baseline_forecast, fit_linear, require_both_sides, score_linear, time_split
 from zonehour.operators.metrics import compare_models
 from zonehour.operators.profile import profile_trips, profile_weather
 from zonehour.operators.trips import clean_trips
 from zonehour.operators.weather import clean_weather
+from zonehour.session import scratch_path
 from zonehour.sources.readers import (
     read_clean,
     read_trips,
@@ -31,16 +37,9 @@ from zonehour.sources.readers import (
 from zonehour.sources.sinks import write_metrics, write_partitioned, write_table
 
 METRICS_CSV_SCHEMA = "model_name string, mae double, rmse double, mape double, test_rows bigint, train_end_date string"
-TAXI_REQUIRED = ("pickup_date", "pickup_hour", "PULocationID", "trip_distance", "fare_amount")
-WEATHER_REQUIRED = (
-    "observation_date_local",
-    "observation_hour_local",
-    "station_id",
-    "air_temp_c",
-    "wind_speed_mps",
-    "precipitation_1hr_mm",
-    "is_rain_1hr",
-)
+# the columns that hourly_demand and hourly_weather read
+TAXI_REQUIRED = DEMAND_INPUT_COLUMNS
+WEATHER_REQUIRED = HOURLY_WEATHER_INPUT_COLUMNS
 
 
 @dataclass(frozen=True)
@@ -100,40 +99,27 @@ def clean_weather_job(spark: SparkSession, raw_glob: str, out_path: str, cfg: Co
 
 
 def features_job(spark: SparkSession, trips_path: str, weather_path: str, out_path: str, cfg: Config = Config()) -> DataFrame:
-    """C5 + K2: clean tables -> feature table (written, then read back)."""
+    """C5 + K2: clean tables -> feature table (written, then read back).
+
+    All rows of the clean tables count, whatever their dates: the windows of
+    ``cfg`` are those of cleaning. The hourly weather is written first, so
+    that its counted rows decide on the broadcast."""
     taxi = require_columns(read_clean(spark, trips_path), TAXI_REQUIRED, "taxi")
     weather = require_columns(read_clean(spark, weather_path), WEATHER_REQUIRED, "weather")
-    # Re-applying the weather window prunes date directories and is what
-    # bounds the hourly weather table for the broadcast decision.
-    weather = weather.where(date_window_on_date(weather, cfg))
-    trips = taxi
-    if cfg.trips.window is not None:
-        lo, hi = cfg.trips.window
-        trips = taxi.where(taxi["pickup_date"].between(lo, hi))
-    features = build_features(hourly_demand(trips), hourly_weather(weather), cfg.forecast, cfg.weather, cfg.scale)
+    hourly_path = scratch_path(spark, "hourly-weather")
+    write_table(hourly_weather(weather), hourly_path)
+    hourly = spark.read.parquet(hourly_path)
+    features = build_features(hourly_demand(taxi), hourly, cfg.forecast, scale=cfg.scale, weather_rows=hourly.count())
     # sorted by date inside each file, so the split's date filter skips row groups
     write_table(features.sortWithinPartitions("pickup_date"), out_path)
     return spark.read.parquet(out_path)
 
 
-def date_window_on_date(weather: DataFrame, cfg: Config) -> Column:
-    """Weather window on the (partition) date column."""
-    if cfg.weather.window is None:
-        return F.lit(True)
-    lo, hi = cfg.weather.window
-    return F.col("observation_date_local").between(F.lit(lo).cast("date"), F.lit(hi).cast("date"))
-
-
 def evaluate_job(spark: SparkSession, features: DataFrame, paths: PipelinePaths, cfg: Config = Config()) -> DataFrame:
     """Split, both models, metrics. Returns the metrics table."""
     fc = cfg.forecast
     train, test = time_split(features, fc.train_end)
-    # both sides checked with one aggregate over the (small) feature table
-    counts = split_counts(features, fc.train_end).first()
-    if counts.train_rows == 0:
-        raise ValueError(MSG_NO_TRAIN_ROWS.format(date=fc.train_end))
-    if counts.test_rows == 0:
-        raise ValueError(MSG_NO_TEST_ROWS.format(date=fc.train_end))
+    require_both_sides(features, fc.train_end)
 
     baseline_path = paths.out("baseline_predictions")
     model_path = paths.out("model_predictions")

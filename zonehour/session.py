@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -41,6 +40,9 @@ def cluster_conf(total_cores: int, split_bytes: int = 128 * 1024 * 1024) -> dict
     }
 
 
+_SCRATCH_ROOTS: set[str] = set()
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "zonehour", extra: dict | None = None) -> SparkSession:
     """Local/test session. On a cluster the session comes from spark-submit,
     with the settings of ``cluster_conf``."""
@@ -60,8 +62,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
     Reads ``spark.checkpoint.dir`` / the context's checkpoint dir from the
-    session; only when neither is set (a bare local test session) does it
-    create one under the system temp folder.
+    session. Where neither is set, a local session (``local[...]``) gets a
+    folder under the system temp folder; any other master is an error, as its
+    executors could not see such a folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -71,21 +74,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
+    if not sc.master.startswith("local[") and sc.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="zonehour-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared checkpoint folder."""
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{root}/zonehour-{name}-{uuid.uuid4().hex}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for python-side checks in tests."""
-    if path.startswith("file:"):
-        path = path[5:]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)
+    """A fresh, unique path under the shared checkpoint folder, in a folder of
+    this application that is deleted when its JVM ends."""
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/zonehour-scratch-{spark.sparkContext.applicationId}"
+    if root not in _SCRATCH_ROOTS:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+        fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        fs.mkdirs(folder)
+        fs.deleteOnExit(folder)
+        _SCRATCH_ROOTS.add(root)
+    return f"{root}/{name}-{uuid.uuid4().hex}"
+
+
+def file_identity(spark: SparkSession, path: str) -> tuple:
+    """Name, length and modification time of the file ``path`` or of every
+    file in it: equal as long as the input is not rewritten."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return tuple(sorted((s.getPath().toString(), s.getLen(), s.getModificationTime()) for s in fs.listStatus(folder)))

@@ -3,7 +3,6 @@ from zonehour.sources.readers import (
     read_trips,
     read_weather_lines,
     require_columns,
-    require_rows,
     with_source_path,
 )
 from zonehour.sources.sinks import preview, sample_rows, write_metrics, write_partitioned, write_table
@@ -14,7 +13,6 @@ __all__ = [
     "read_trips",
     "read_weather_lines",
     "require_columns",
-    "require_rows",
     "sample_rows",
     "with_source_path",
     "write_metrics",

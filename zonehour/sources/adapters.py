@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from zonehour.session import scratch_path
+from zonehour.session import file_identity, scratch_path
 from zonehour.sources.readers import read_weather_lines
 
 TRIP_EVENT_FILTER = "event_type <> 'error'"
@@ -77,7 +77,7 @@ def weather_line_rows(events: DataFrame) -> DataFrame:
     return fields.selectExpr("station_id", f"{WEATHER_LINE_EXPR} AS value")
 
 
-_LINES_CACHE: dict[tuple[str, str], str] = {}
+_LINES_CACHE: dict[tuple[str, tuple], str] = {}
 
 
 def write_weather_files(events: DataFrame, root: str) -> str:
@@ -98,9 +98,9 @@ def weather_lines_from_events(spark: SparkSession, events_path: str) -> DataFram
     """Weather lines read back from real gzip files through ``read_weather_lines``.
 
     The files go to the shared checkpoint folder and are written once per
-    session and input path; the content is a pure function of the input.
+    session and state of the input files (name, length, time).
     """
-    key = (spark.sparkContext.applicationId, events_path)
+    key = (spark.sparkContext.applicationId, file_identity(spark, events_path))
     root = _LINES_CACHE.get(key)
     if root is None:
         root = scratch_path(spark, "weather-lines")

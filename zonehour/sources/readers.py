@@ -54,10 +54,3 @@ def require_columns(df: DataFrame, required: Iterable[str], name: str) -> DataFr
     if missing:
         raise ValueError(MSG_MISSING_COLUMNS.format(name=name, columns=", ".join(missing)))
     return df
-
-
-def require_rows(df: DataFrame, message: str) -> DataFrame:
-    """Fail when ``df`` is empty. ``isEmpty`` stops at the first row."""
-    if df.isEmpty():
-        raise ValueError(message)
-    return df

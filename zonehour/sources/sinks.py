@@ -61,7 +61,8 @@ def preview(df: DataFrame, keys: Sequence[str] | None = None, n: int = 20) -> Da
 
 def sample_rows(df: DataFrame, n: int = 20) -> DataFrame:
     """K5 for profile samples: any ``n`` rows, as a printed sample shows.
-    Each task stops after ``n`` rows (local limit), so a sample of a 100 TB
-    table reads a batch per split, not the table. Use ``preview`` when the
-    rows must be the same on every run."""
-    return df.limit(n)
+    ``take`` reads one split first and goes on only while rows are missing,
+    so a sample of a 100 TB table runs a few tasks; the ``n`` rows come to the
+    driver here. Use ``preview`` when the rows must be the same on every
+    run."""
+    return df.sparkSession.createDataFrame(df.take(n), df.schema)

@@ -18,15 +18,14 @@ from pyspark.sql.types import StructType
 from zonehour.config import TripSpec, WeatherSpec
 from zonehour.operators.trips import clean_trips
 from zonehour.operators.weather import clean_weather
-from zonehour.session import scratch_path
 from zonehour.sources.readers import with_source_path
 
 
-def _start(df, sink_path: str, partition_col: str, checkpoint: str | None, available_now: bool, spark: SparkSession, name: str) -> StreamingQuery:
+def _start(df, sink_path: str, partition_col: str, checkpoint: str, available_now: bool) -> StreamingQuery:
     writer = (
         df.writeStream.format("parquet")
         .option("path", sink_path)
-        .option("checkpointLocation", checkpoint or scratch_path(spark, f"{name}-stream-ckpt"))
+        .option("checkpointLocation", checkpoint)
         .partitionBy(partition_col)
         .outputMode("append")
     )
@@ -41,7 +40,8 @@ def stream_clean_trips(
     schema: StructType,
     sink_path: str,
     spec: TripSpec = TripSpec(),
-    checkpoint: str | None = None,
+    *,
+    checkpoint: str,
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
@@ -50,7 +50,7 @@ def stream_clean_trips(
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.parquet(source_dir)
-    return _start(clean_trips(raw, spec), sink_path, "pickup_date", checkpoint, available_now, spark, "trips")
+    return _start(clean_trips(raw, spec), sink_path, "pickup_date", checkpoint, available_now)
 
 
 def stream_clean_weather(
@@ -58,9 +58,10 @@ def stream_clean_weather(
     source_glob: str,
     sink_path: str,
     spec: WeatherSpec = WeatherSpec(),
-    checkpoint: str | None = None,
+    *,
+    checkpoint: str,
     available_now: bool = True,
 ) -> StreamingQuery:
     """Weather text files arriving under ``source_glob`` -> weather_clean."""
     lines = with_source_path(spark.readStream.text(source_glob))
-    return _start(clean_weather(lines, spec), sink_path, "observation_date_local", checkpoint, available_now, spark, "weather")
+    return _start(clean_weather(lines, spec), sink_path, "observation_date_local", checkpoint, available_now)
