@@ -70,10 +70,14 @@ def mask_tokens(offsets: np.ndarray, spans: list[tuple[int, int]]) -> tuple[np.n
     if not spans or not len(offsets):
         return np.zeros(len(offsets), np.int8), []
     starts, ends = (np.array(x, np.int64) for x in zip(*spans))
-    near = np.minimum(np.searchsorted(ends, offsets[:, 0], side="right"), len(ends) - 1)
-    lo, hi = np.maximum(offsets[:, 0], starts[near]), np.minimum(offsets[:, 1], ends[near])
-    mask = lo < hi
-    lo, hi = lo[mask], hi[mask]
+    first = np.searchsorted(ends, offsets[:, 0], side="right")
+    n = np.maximum(np.searchsorted(starts, offsets[:, 1], side="left") - first, 0)  # spans that a token meets
+    token = np.repeat(np.arange(len(offsets)), n)
+    span = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
+    lo, hi = np.maximum(offsets[token, 0], starts[span]), np.minimum(offsets[token, 1], ends[span])
+    token, lo, hi = token[lo < hi], lo[lo < hi], hi[lo < hi]
+    mask = np.zeros(len(offsets), bool)
+    mask[token] = True
     if not len(lo):
         return mask.astype(np.int8), []
     top = np.maximum.accumulate(hi)  # tokens that share a character overlap
