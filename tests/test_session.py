@@ -7,6 +7,8 @@ import sys
 import tempfile
 from pathlib import Path
 
+import pytest
+
 from zonehour.session import ensure_checkpoint_dir, scratch_path
 
 ROOT = Path(__file__).resolve().parents[1]
@@ -39,6 +41,21 @@ def test_bare_session_gets_its_own_folder():
     assert "zonehour-ckpt-" in lines["AFTER"]
 
 
+def test_other_masters_need_a_shared_folder():
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())
+
+
 def test_cluster_conf_scales_with_cores():
     from zonehour.session import cluster_conf
 
