@@ -75,22 +75,25 @@ def has_letter(text: str) -> bool:
     return any(map(str.isalpha, text))
 
 
-def fit_svm(x: np.ndarray, y: np.ndarray, cost: float, rounds: int) -> np.ndarray:
+def fit_svm(x: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, dim: int, cost: float, rounds: int) -> np.ndarray:
     """Weights of a linear support vector machine (squared hinge loss, dual
-    coordinate descent, the classes weighed alike), the bias last."""
-    x = np.hstack([x, np.ones((len(x), 1), np.float32)]).astype(np.float64)
+    coordinate descent, the classes weighed alike), the bias last. A row of
+    ``x`` is the places below ``dim`` and the values of its other than zero
+    features."""
+    x = [(np.append(at, dim).astype(np.int64), np.append(v, 1).astype(np.float64)) for at, v in x]
     weight = np.where(y > 0, len(y) / (2 * max(1, (y > 0).sum())), len(y) / (2 * max(1, (y < 0).sum())))
     slack = 1 / (2 * cost * weight)
-    diagonal = (x * x).sum(axis=1) + slack
-    alpha, w = np.zeros(len(x)), np.zeros(x.shape[1])
+    diagonal = np.array([v @ v for _, v in x]) + slack
+    alpha, w = np.zeros(len(x)), np.zeros(dim + 1)
     order = np.random.default_rng(7)
     for _ in range(rounds):
         largest = 0.0
         for i in order.permutation(len(x)):
-            g = y[i] * (x[i] @ w) - 1 + slack[i] * alpha[i]
+            at, v = x[i]
+            g = y[i] * (w[at] @ v) - 1 + slack[i] * alpha[i]
             new = max(0.0, alpha[i] - g / diagonal[i])
             if step := new - alpha[i]:
-                w += step * y[i] * x[i]
+                w[at] += step * y[i] * v
                 alpha[i] = new
                 largest = max(largest, abs(step))
         if largest < 1e-3:
@@ -150,13 +153,14 @@ def fit_language_model(docs: DataFrame, spec: LanguageSpec = LanguageSpec()) ->
                 for k in range(spec.slices):
                     at = (h + k * 7919) % max(1, len(text) - spec.slice_chars)
                     parts.append(text[at : at + spec.slice_chars])
-                parts = [x for x in parts if has_letter(x)]
+                made = [features(x, spec.dim) for x in parts if has_letter(x)]
+                at = [np.flatnonzero(x).astype(np.int32) for x in made]
                 yield pa.RecordBatch.from_pydict(
-                    {"lang": [lang] * len(parts), "hash": [h] * len(parts), "part": list(range(len(parts))), "x": [features(x, spec.dim).tobytes() for x in parts]},
-                    schema=pa.schema([("lang", pa.string()), ("hash", pa.int64()), ("part", pa.int32()), ("x", pa.binary())]),
+                    {"lang": [lang] * len(made), "hash": [h] * len(made), "part": list(range(len(made))), "at": [a.tobytes() for a in at], "x": [x[a].tobytes() for x, a in zip(made, at)]},
+                    schema=pa.schema([("lang", pa.string()), ("hash", pa.int64()), ("part", pa.int32()), ("at", pa.binary()), ("x", pa.binary())]),
                 )
 
-    made = sample.mapInArrow(vectors, "lang string, hash bigint, part int, x binary").dropDuplicates(["lang", "hash", "part"])
+    made = sample.mapInArrow(vectors, "lang string, hash bigint, part int, at binary, x binary").dropDuplicates(["lang", "hash", "part"])
     made = stored(made, "language-features")
     families: dict[str, list[str]] = {}
     for lang in sorted(r.lang for r in made.select("lang").distinct().collect()):
@@ -170,8 +174,8 @@ def fit_language_model(docs: DataFrame, spec: LanguageSpec = LanguageSpec()) ->
 
     def fit(table: pa.Table) -> pa.Table:
         table = table.sort_by([("lang", "ascending"), ("hash", "ascending"), ("part", "ascending")])
-        x = np.frombuffer(b"".join(table.column("x").to_pylist()), np.float32).reshape(table.num_rows, spec.dim)
-        w = fit_svm(x, np.array(table.column("side").to_pylist(), np.float64), spec.cost, spec.max_rounds)
+        x = [(np.frombuffer(a.as_py(), np.int32), np.frombuffer(v.as_py(), np.float32)) for a, v in zip(table.column("at"), table.column("x"))]
+        w = fit_svm(x, np.array(table.column("side").to_pylist(), np.float64), spec.dim, spec.cost, spec.max_rounds)
         return pa.table({**{c: table.column(c)[:1].cast(pa.string()) for c in ("level", "a", "b")}, "w": pa.array([w.tobytes()], pa.binary())})
 
     fitted = made.join(sides, "lang").groupBy("level", "a", "b").applyInArrow(fit, "level string, a string, b string, w binary")
