@@ -28,6 +28,7 @@ FAMILIES = {
     "indic": ("hi", "mr", "ne", "bn", "pa", "gu"),
 }
 UNDETERMINED = "und"
+HASH_RANGE_BITS = 12  # 4,096 ranges of hashes
 
 
 @dataclass(frozen=True)
@@ -135,6 +136,18 @@ class LanguageModel:
         return lang, p * q
 
 
+def smallest_hashes(rows: DataFrame, n: int) -> DataFrame:
+    """lang and hash of the ``n`` smallest distinct hashes of each lang of
+    ``rows``. The counts of ranges of hashes tell which ranges can hold them,
+    so that no task reads all hashes of a language."""
+    known = stored(rows.select("lang", "hash", F.shiftright("hash", 64 - HASH_RANGE_BITS).alias("range")).distinct(), "language-hashes")
+    counts = known.groupBy("lang", "range").agg(F.count("*").alias("n"))
+    below = F.sum("n").over(Window.partitionBy("lang").orderBy("range")) - F.col("n")
+    ranges = stored(counts.withColumn("below", below).where(F.col("below") < n).select("lang", "range"), "language-ranges")
+    first = Window.partitionBy("lang").orderBy("hash")
+    return known.join(ranges, ["lang", "range"]).withColumn("k", F.row_number().over(first)).where(F.col("k") <= n).select("lang", "hash")
+
+
 def fit_language_model(docs: DataFrame, spec: LanguageSpec = LanguageSpec()) -> LanguageModel:
     """Fit on the rows of ``docs`` (text, lang). Rows with a null text or lang
     are left out. The fitting sample has up to ``sample_texts`` distinct
@@ -142,9 +155,7 @@ def fit_language_model(docs: DataFrame, spec: LanguageSpec = LanguageSpec()) ->
     of languages bounds the machines, which the driver holds."""
     spark = docs.sparkSession
     rows = docs.select("text", "lang", F.xxhash64("text").alias("hash")).where("text is not null and lang is not null")
-    first = Window.partitionBy("lang").orderBy("hash")
-    chosen = rows.select("lang", "hash").distinct().withColumn("k", F.row_number().over(first)).where(F.col("k") <= spec.sample_texts)
-    sample = rows.join(stored(chosen.select("lang", "hash"), "language-sample"), ["lang", "hash"])
+    sample = rows.join(stored(smallest_hashes(rows, spec.sample_texts), "language-sample"), ["lang", "hash"]).dropDuplicates(["lang", "hash"])
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -160,7 +171,7 @@ def fit_language_model(docs: DataFrame, spec: LanguageSpec = LanguageSpec()) ->
                     schema=pa.schema([("lang", pa.string()), ("hash", pa.int64()), ("part", pa.int32()), ("at", pa.binary()), ("x", pa.binary())]),
                 )
 
-    made = sample.mapInArrow(vectors, "lang string, hash bigint, part int, at binary, x binary").dropDuplicates(["lang", "hash", "part"])
+    made = sample.mapInArrow(vectors, "lang string, hash bigint, part int, at binary, x binary")
     made = stored(made, "language-features")
     families: dict[str, list[str]] = {}
     for lang in sorted(r.lang for r in made.select("lang").distinct().collect()):
