@@ -19,7 +19,7 @@ from zonehour.llm.chat_format import format_conversations, load_tokenizer, read_
 from zonehour.llm.components import connected_components  # noqa: E402
 from zonehour.llm.decontaminate import match_benchmark  # noqa: E402
 from zonehour.llm.exact_shuffle import exact_shuffle, hypergeometric  # noqa: E402
-from zonehour.llm.language_id import fit_language_model, predict_languages  # noqa: E402
+from zonehour.llm.language_id import fit_language_model, predict_languages, smallest_hashes  # noqa: E402
 from zonehour.llm.ngram_quality import judge_quality  # noqa: E402
 from zonehour.llm.ppm_scoring import score_documents  # noqa: E402
 from zonehour.llm.simhash_dedup import keep_one, simhash_components  # noqa: E402
@@ -116,6 +116,17 @@ def test_language_held_out_accuracy(spark, odd):
     assert {r.lang_pred for r in predict_languages(odd, fit_language_model(odd.where("false"))).collect()} == {"und"}
 
 
+@pytest.mark.parametrize("n", [1, 300, 5000])
+def test_smallest_hashes_equal_brute_force(spark, n):
+    rows = spark.range(6000).select(F.when(F.col("id") % 3 > 0, F.lit("a")).otherwise(F.lit("b")).alias("lang"), F.xxhash64(F.col("id") % 4001).alias("hash"))
+    by_lang = {}
+    for r in rows.distinct().collect():
+        by_lang.setdefault(r.lang, []).append(r.hash)
+    got = [(r.lang, r.hash) for r in smallest_hashes(rows, n).collect()]
+    assert sorted(got) == sorted((k, h) for k, hashes in by_lang.items() for h in sorted(hashes)[:n])
+    assert smallest_hashes(rows.where("false"), n).count() == 0
+
+
 def test_quality_odd_rows(spark, odd):
     rows = judge_quality(odd.withColumn("text", F.when(F.col("doc_id") == 2, F.concat(*[F.lit(f"w{i} ") for i in range(60)])).otherwise(F.col("text")))).collect()
     assert len(rows) == len(ROWS)
