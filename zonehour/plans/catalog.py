@@ -12,6 +12,8 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 
+from pyspark.ml import Pipeline
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +25,7 @@ from zonehour.operators.forecast import (
     fit_linear,
     global_mean,
     linear_forecast,
+    linear_pipeline,
     split_counts,
     time_split,
     zone_hour_mean,
@@ -42,6 +45,7 @@ from zonehour.operators.profile import (
     numeric_stats,
     overview,
     profile_trips,
+    profile_weather,
     stage_counts,
 )
 from zonehour.operators.trips import TRIPS_CLEAN_COLUMNS, clean_trips, typed_trips, valid_trip_condition, window_condition
@@ -127,8 +131,10 @@ def q_hourly_demand(spark, sf_dir):
 
 
 def q_weather_parse(spark, sf_dir):
-    # the path column is left out: it names a scratch folder
-    return parse_weather(weather_lines(spark, sf_dir), QUERY_CONFIG.weather).drop("source_path_normalized")
+    # of the path, the station's folder; what comes before it names a scratch folder
+    parsed = parse_weather(weather_lines(spark, sf_dir), QUERY_CONFIG.weather)
+    folder = F.regexp_extract("source_path_normalized", "([^/]*)/[^/]*$", 1).alias("source_folder")
+    return parsed.select("*", folder).drop("source_path_normalized")
 
 
 def q_weather_clean(spark, sf_dir):
@@ -218,6 +224,32 @@ def q_elastic_net_coefficients(spark, sf_dir):
     return rounded(row, 4)
 
 
+def q_model_features(spark, sf_dir):
+    """M1-M3 of the training rows: zone index, place of the zone's 1 in the
+    assembled vector, the vector's size and its values beside the one-hot."""
+    train, _ = _written_splits(spark, sf_dir)
+    fc = QUERY_CONFIG.forecast
+    prepared = Pipeline(stages=linear_pipeline(fc).getStages()[:-1]).fit(train).transform(train)
+    vector = vector_to_array("features")
+    zones = fc.features.index("PULocationID_ohe")
+    others = len(fc.features) - 1
+    hot = F.slice(vector, F.lit(zones + 1), F.size(vector) - others)
+    back = {c: k - len(fc.features) for k, c in enumerate(fc.features) if k > zones}  # counted from the end
+    at = {c: k + 1 for k, c in enumerate(fc.features) if k < zones} | back
+    return rounded(
+        prepared.select(
+            "pickup_date",
+            "pickup_hour",
+            "PULocationID",
+            F.col("PULocationID_indexed").cast("int").alias("zone_index"),
+            (F.array_position(hot, 1.0) - 1).alias("hot_place"),
+            F.aggregate(hot, F.lit(0.0), lambda a, x: a + x).alias("hot_sum"),
+            F.size(vector).alias("vector_size"),
+            *[F.element_at(vector, k).alias(f"x_{c}") for c, k in at.items()],
+        )
+    )
+
+
 def _pipeline_paths(spark, sf_dir):
     """Clean tables written by the clean jobs' sinks, for the jobs after them."""
     paths = PipelinePaths("", "", scratch_path(spark, "pipeline"))
@@ -247,6 +279,34 @@ def q_profile_trip_tables(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+def q_profile_weather_tables(spark, sf_dir):
+    """What the profile job writes for the weather, one row per entry: the
+    line count, the whole distinct lists, the medians and the modes."""
+    tables = {}
+    for name, df in profile_weather(weather_lines(spark, sf_dir), QUERY_CONFIG.weather).items():
+        path = scratch_path(spark, f"profile-{name}")
+        write_table(df, path)
+        tables[name] = spark.read.schema(df.schema).parquet(path)
+    no_text, no_value, no_n = F.lit(None).cast("string"), F.lit(None).cast("double"), F.lit(None).cast("bigint")
+    entries = {
+        "line_count": ("metric", no_text, no_value, "value"),
+        "distinct_values": ("column_name", F.col("value"), no_value, no_n),
+        "numeric_stats": ("column_name", no_text, F.col("median_value"), "non_null_count"),
+        "mode_top10": ("column_name", no_text, F.col("value"), "count"),
+    }
+    out = None
+    for name, (key, text, value, n) in entries.items():
+        rows = tables[name].select(
+            F.lit(name).alias("profile"),
+            F.col(key).alias("column_name"),
+            text.alias("text"),
+            value.alias("value"),
+            (F.col(n) if isinstance(n, str) else n).alias("n"),
+        )
+        out = rows if out is None else out.unionByName(rows)
+    return rounded(out)
+
+
 def q_metrics_csv_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "metrics")
     write_metrics(q_baseline_metrics(spark, sf_dir), path)
@@ -362,9 +422,11 @@ QUERIES: dict[str, Query] = {
     "ols_predictions": q_ols_predictions,
     "model_comparison": q_model_comparison,
     "elastic_net_coefficients": q_elastic_net_coefficients,
+    "model_features": q_model_features,
     "pipeline_features": q_pipeline_features,
     "pipeline_baseline_predictions": q_pipeline_baseline_predictions,
     "profile_trip_tables": q_profile_trip_tables,
+    "profile_weather_tables": q_profile_weather_tables,
     "metrics_csv_roundtrip": q_metrics_csv_roundtrip,
     "null_counts": q_null_counts,
     "numeric_range": q_numeric_range,

@@ -177,6 +177,17 @@ def _mode_top10_sql() -> str:
     )
 
 
+def _profile_weather_sql() -> str:
+    nothing = "NULL::VARCHAR AS text, NULL::DOUBLE AS value"
+    lists = [f"SELECT DISTINCT 'distinct_values', '{c}', CAST({c} AS VARCHAR), NULL::DOUBLE, NULL::BIGINT FROM weather_decoded WHERE {keep}"
+             for c, keep in (("station_id", "station_id IS NOT NULL"), ("wind_direction_degrees", "wind_direction_degrees <> -9999"), ("sky_cover_code", "sky_cover_code <> -9999"))]
+    stats = [f"SELECT 'numeric_stats', '{c}', NULL::VARCHAR, round(quantile_disc({c}, 0.5), 6), count({c}) FROM weather_decoded" for c in _STAT_COLUMNS]
+    modes = [f"""SELECT * FROM (SELECT 'mode_top10', '{c}', NULL::VARCHAR, round({c}, 6), count(*) FROM weather_decoded
+      WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 10)""" for c in _STAT_COLUMNS]
+    counted = f"SELECT 'line_count' AS profile, 'raw_line_count' AS column_name, {nothing}, count(*) AS n FROM wlines"
+    return _with(*_WEATHER_PARSE_CTES) + "\nUNION ALL\n".join([counted, *lists, *stats, *modes])
+
+
 def _null_counts_sql() -> str:
     names = [
         ("tpep_pickup_datetime", "null_pickup_ts"),
@@ -258,6 +269,16 @@ _OLS_PREDS = """ols_preds AS (
   FROM test, (SELECT regr_slope(trip_count, avg_temp_c) AS s, regr_intercept(trip_count, avg_temp_c) AS i FROM train)
 )"""
 
+# zones by number of rows, then as text; the one-hot has one place more, for zones unseen in training
+_ZONES = """zones AS (
+  SELECT PULocationID, row_number() OVER (ORDER BY count(*) DESC, CAST(PULocationID AS VARCHAR)) - 1 AS zone_index, count(*) OVER () AS n_zones
+  FROM train GROUP BY PULocationID)"""
+_DENSE = [c for c in QUERY_CONFIG.forecast.features if c != "PULocationID_ohe"]
+_MODEL_FEATURES = f"""SELECT pickup_date, pickup_hour, PULocationID, CAST(zone_index AS INTEGER) AS zone_index, zone_index AS hot_place,
+  1.0::DOUBLE AS hot_sum, CAST(n_zones + 1 + {len(_DENSE)} AS INTEGER) AS vector_size,
+  {", ".join(f"round(CAST({c} AS DOUBLE), 6) AS x_{c}" for c in _DENSE)}
+FROM train JOIN zones USING (PULocationID)"""
+
 # closed form of the one-feature elastic net on standardised x and y
 _ELASTIC_NET = """SELECT round(slope, 4) AS slope, round(my - slope * mx, 4) AS intercept FROM (
   SELECT *, sign(c) * greatest(abs(c) - 0.02 / sy * 0.1, 0) / ((n - 1) / n + 0.02 / sy * 0.9) * sy / sx AS slope FROM (
@@ -277,7 +298,7 @@ ORACLE_SQL: dict[str, str] = {
     "hourly_demand": _with(*_TRIP_CTES, _DEMAND)
     + "SELECT pickup_date, pickup_hour, PULocationID, trip_count, round(avg_trip_distance, 6) AS avg_trip_distance, "
     "round(avg_fare_amount, 6) AS avg_fare_amount FROM demand",
-    "weather_parse": _with(*_WEATHER_PARSE_CTES[:-1]) + "SELECT * FROM weather_parsed",
+    "weather_parse": _with(*_WEATHER_PARSE_CTES[:-1]) + "SELECT *, 'station_id=' || lower(station_id) AS source_folder FROM weather_parsed",
     "weather_clean": _with(*_WEATHER_CTES) + f"SELECT {_WEATHER_CLEAN_COLS} FROM weather_clean",
     "hourly_weather": _with(*_WEATHER_CTES, _HOURLY_WEATHER)
     + "SELECT observation_date_local, observation_hour_local, round(avg_temp_c, 6) AS avg_temp_c, "
@@ -327,9 +348,11 @@ FROM baseline_preds WHERE prediction IS NOT NULL AND label IS NOT NULL""",
     "round(avg_temp_c, 6) AS avg_temp_c, round(avg_wind_speed_mps, 6) AS avg_wind_speed_mps, "
     "round(avg_precipitation_1hr_mm, 6) AS avg_precipitation_1hr_mm, is_rain_hour FROM ols_preds",
     "elastic_net_coefficients": _with(*_FEATURE_CTES, _SPLITS) + _ELASTIC_NET,
+    "model_features": _with(*_FEATURE_CTES, _SPLITS, _ZONES) + _MODEL_FEATURES,
     "pipeline_features": "",
     "pipeline_baseline_predictions": "",
     "profile_trip_tables": "",
+    "profile_weather_tables": _profile_weather_sql(),
     "metrics_csv_roundtrip": "",
     "model_comparison": "",
     "stage_counts": _stage_counts_sql(),
