@@ -1,7 +1,9 @@
 """Physical-plan assertions: pushdown, pruning, join strategy, top-k shape."""
 
 import pytest
+from pyspark.sql import functions as F
 
+from zonehour.config import Config
 from zonehour.operators.features import hourly_demand
 from zonehour.operators.profile import mode_top
 from zonehour.operators.trips import clean_trips
@@ -83,6 +85,22 @@ def test_partitioned_write_spreads_one_date(spark, tmp_path):
     assert spark.read.parquet(path).count() == 40000
 
 
+def test_default_layout_bounds_the_files_of_unordered_input(spark, tmp_path):
+    """Every task holds every date; the default write makes a file per date,
+    not one per task and date."""
+    rows = spark.range(0, 4000, numPartitions=40).select((F.col("id") % 10).alias("pickup_date"), "id")
+    write_partitioned(rows, str(tmp_path / "default"), "pickup_date", Config().scale.trips_layout)
+    write_partitioned(rows, str(tmp_path / "local"), "pickup_date", "local")
+    assert len(list((tmp_path / "default").glob("*/*.parquet"))) == 10
+    assert len(list((tmp_path / "local").glob("*/*.parquet"))) == 400
+
+
+def test_stage_counts_scan_each_input_once(spark):
+    p = plan(C.QUERIES["stage_counts"](spark, SF))
+    assert p.count(") Scan text") == 1
+    assert p.count(") Scan parquet") == 2  # trip rows, and the zone-hours
+
+
 def test_local_layout_writes_without_a_shuffle(spark, tmp_path):
     from pathlib import Path
 

@@ -38,13 +38,10 @@ WEATHER_CLEAN_COLUMNS = (
 )
 
 
-def parse_weather(lines: DataFrame, spec: WeatherSpec = WeatherSpec(), path_col: str = "source_path") -> DataFrame:
-    """P2 + F3: split a trimmed line on whitespace runs; lines with fewer than
-    ``min_tokens`` tokens are dropped, extra tokens ignored. Each token is
-    cast by position; a non-numeric token becomes null.
-
-    Output: station_id ('' when the path carries none), source_path_normalized,
-    then the twelve integer fields.
+def weather_records(lines: DataFrame, spec: WeatherSpec = WeatherSpec(), path_col: str = "source_path") -> DataFrame:
+    """A record of every line, split on whitespace runs after a trim, with
+    the number of its tokens (``_tokens``). Each token is cast by position; a
+    non-numeric or missing token becomes null, extra tokens are ignored.
     """
     parts = F.split(F.trim(F.col("value")), r"\s+")
     tokens = lines.select(F.col(path_col).alias("_path"), parts.alias("_parts"))
@@ -55,11 +52,19 @@ def parse_weather(lines: DataFrame, spec: WeatherSpec = WeatherSpec(), path_col:
         *[F.get("_parts", i).try_cast("int").alias(name) for i, name in enumerate(spec.fields)],
     )
     # One parsed record per line, emitted through a generator. Filters on the
-    # record (the token count here, the local-date window in clean_weather)
-    # run above it instead of being pushed below, so the regex split runs
-    # once per line, not once per field a filter references.
-    parsed = tokens.select(F.inline(F.array(record)))
-    return parsed.where(F.col("_tokens") >= spec.min_tokens).drop("_tokens")
+    # record (the token count in parse_weather, the local-date window in
+    # clean_weather) run above it instead of being pushed below, so the regex
+    # split runs once per line, not once per field a filter references.
+    return tokens.select(F.inline(F.array(record)))
+
+
+def parse_weather(lines: DataFrame, spec: WeatherSpec = WeatherSpec(), path_col: str = "source_path") -> DataFrame:
+    """P2 + F3: the records of the lines with at least ``min_tokens`` tokens.
+
+    Output: station_id ('' when the path carries none), source_path_normalized,
+    then the twelve integer fields.
+    """
+    return weather_records(lines, spec, path_col).where(F.col("_tokens") >= spec.min_tokens).drop("_tokens")
 
 
 def decode_weather(parsed: DataFrame, spec: WeatherSpec = WeatherSpec()) -> DataFrame:

@@ -49,7 +49,7 @@ from zonehour.operators.profile import (
     stage_counts,
 )
 from zonehour.operators.trips import TRIPS_CLEAN_COLUMNS, clean_trips, typed_trips, valid_trip_condition, window_condition
-from zonehour.operators.weather import WEATHER_CLEAN_COLUMNS, clean_weather, decode_weather, local_timestamp, parse_weather
+from zonehour.operators.weather import WEATHER_CLEAN_COLUMNS, clean_weather, decode_weather, local_timestamp, parse_weather, weather_records
 from zonehour.plans.pipeline import METRICS_CSV_SCHEMA, PipelinePaths, evaluate_job, features_job
 from zonehour.session import file_identity, scratch_path
 from zonehour.sources.adapters import trips_from_events, weather_lines_from_events
@@ -369,20 +369,18 @@ def q_mode_top10(spark, sf_dir):
 
 
 def q_stage_counts(spark, sf_dir):
-    """One aggregate over each of raw trips, weather lines (a line count and
-    one over the parsed lines) and the zone-hours."""
+    """One aggregate over each of raw trips, weather lines and zone-hours."""
     cfg = QUERY_CONFIG
     valid = valid_trip_condition(cfg.trips)
     trips = typed_trips(raw_trips(spark, sf_dir), cfg.trips)
-    lines = weather_lines(spark, sf_dir)
-    parsed = parse_weather(lines, cfg.weather).select(local_timestamp(cfg.weather).alias("at"))
+    lines = weather_records(weather_lines(spark, sf_dir), cfg.weather).select("_tokens", local_timestamp(cfg.weather).alias("at"))
+    parsed = F.col("_tokens") >= cfg.weather.min_tokens
     in_window = window_condition("at", cfg.weather.window)
     is_train = F.col("pickup_date") <= F.lit(cfg.forecast.train_end).cast("date")
     return stage_counts(
         [
             (trips, {"raw_trips": None, "trips_clean": valid}),
-            (lines, {"weather_lines": None}),
-            (parsed, {"weather_parsed": None, "weather_clean": in_window}),
+            (lines, {"weather_lines": None, "weather_parsed": parsed, "weather_clean": parsed & in_window}),
             (_demand(spark, sf_dir), {"features": None, "train": is_train, "test": ~is_train}),
         ]
     )

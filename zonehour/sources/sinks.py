@@ -13,22 +13,18 @@ def write_partitioned(df: DataFrame, path: str, by: str | Sequence[str], layout:
 
     ``layout`` picks how rows reach the writers:
 
+    * ``"rebalance"`` (default): one hash shuffle on ``by``, re-sized by AQE
+      from the real map output. Hot dates are split over as many writers as
+      their bytes need, and small dates are merged, so files land near
+      ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` whatever the order
+      of the input. It needs no sampling pass (unlike a range layout), and a
+      retried task writes the same rows. The splitting and merging come from
+      AQE (``spark.sql.adaptive.enabled``, on by default). With AQE off the
+      hint is a plain hash repartition on ``by``.
     * ``"local"``: no shuffle. Each task sorts its own rows by ``by`` and
-      writes one file per value it holds. When the input is already clustered
-      by date (trip files are written in time order), that is about one file
-      per task, and a date holding a third of all rows is written by all the
-      tasks that read it. Nothing crosses the network, so this is the layout
-      for the 100 TB trip table.
-    * ``"rebalance"``: one hash shuffle on ``by``, re-sized by AQE from the
-      real map output. Hot dates are split over as many writers as their
-      bytes need, and small dates are merged, so files land near
-      ``spark.sql.adaptive.advisoryPartitionSizeInBytes``. This is the layout
-      for input that is not clustered by the partition column, such as one
-      weather file per station covering every date, where a local layout
-      would leave files-per-task × dates tiny files. It needs no sampling pass
-      (unlike a range layout), and a retried task writes the same rows. The
-      splitting and merging come from AQE (``spark.sql.adaptive.enabled``, on
-      by default). With AQE off the hint is a plain hash repartition on ``by``.
+      writes one file per value it holds. Only for input that is known to be
+      clustered by date (trip files written in time order), where that is
+      about one file per task; other input gives up to tasks × dates files.
     """
     cols = [by] if isinstance(by, str) else list(by)
     if layout == "rebalance":
