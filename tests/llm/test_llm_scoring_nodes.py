@@ -1,0 +1,49 @@
+"""Scores on a corpus of over 2**24 training symbols, where nodes met once are
+a smaller share of them than 2**-23."""
+
+import math
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from zonehour.llm.ppm_scoring import DEPTH, score_documents
+
+COMMON, TIMES = b"the cat sat on the mat, and the dog ran off with a bone. " * 4000, 90
+RARE = ["zwölf boxkämpfer jagen viktor", "съешь ещё этих булок", "the quartz"]
+HELD_OUT = ["zwölf jagen", "ещё булок", "the cat", "quiz 7", ""]
+
+
+def brute_scores(train, texts):
+    """log10 p of ``texts`` under whole counts of ``train`` (text: times)."""
+    seen: dict = {}
+    for t, times in train.items():
+        s = [255] * DEPTH + [*t.lower(), 255]
+        met = Counter(tuple(s[i - order : i + 1]) for i in range(DEPTH, len(s)) for order in range(DEPTH + 1))
+        for g, n in met.items():
+            seen.setdefault(g[:-1], Counter())[g[-1]] += n * times
+
+    def p(context, symbol):
+        out, excluded = 1.0, set()
+        for order in range(DEPTH, -1, -1):
+            left = {s: n for s, n in seen.get(context[DEPTH - order :], {}).items() if s not in excluded}
+            if left:
+                bottom = sum(left.values()) + len(left)
+                if symbol in left:
+                    return out * left[symbol] / bottom
+                out *= len(left) / bottom
+                excluded |= set(left)
+        return out / (256 - len(excluded))
+
+    framed = [(255,) * DEPTH + (*t.lower(), 255) for t in texts]
+    return [sum(math.log10(p(s[i - DEPTH : i], s[i])) for i in range(DEPTH, len(s))) for s in framed]
+
+
+@pytest.mark.parametrize("block_bytes", [32 << 20, 1 << 20])
+def test_nodes_of_any_share_count(spark, block_bytes):
+    assert len(COMMON) * TIMES > 2**24
+    common = spark.range(TIMES).select((F.col("id") + 1000).alias("doc_id"), F.repeat(F.lit(COMMON[: len(COMMON) // 4000].decode()), 4000).alias("text"), F.lit(True).alias("train"))
+    own = spark.createDataFrame([(k, t, k < len(RARE)) for k, t in enumerate(RARE + HELD_OUT)], "doc_id bigint, text string, train boolean")
+    got = {r.doc_id: r.score for r in score_documents(common.unionByName(own), block_bytes).where("doc_id < 1000").collect()}
+    want = brute_scores({COMMON: TIMES, **{t.encode(): 1 for t in RARE}}, [t.encode() for t in RARE + HELD_OUT])
+    assert [got[k] for k in range(len(want))] == pytest.approx(want)

@@ -2,18 +2,18 @@
 bytes, beside a smoothed unigram score of words.
 
 A node of the byte-context trie is a context of up to DEPTH bytes and the
-symbol after it. It stays in the trie if it makes up at least SHARE of the
-training symbols, so there are at most 1 / SHARE nodes of a length whatever
-the corpus: that bounds what the driver and every task hold. A symbol not
+symbol after it; every node met in training is kept. A symbol not
 met in a context escapes to the next shorter one with probability d / (t + d)
 (t symbols met there, d different ones; method C), and symbols of the longer
 context are excluded there. Below the empty context the symbols not met are
 alike.
 
-The full counts are not bounded and never meet in one place. Each task sums
-its own and deals them to buckets, one row with sorted keys per bucket; a
-bucket's rows are merged in one task. Documents go into blocks, and each
-block gets the corpus counts of its own words back.
+The counts grow with the corpus and never meet in one place. Documents go
+into blocks. Each block sums its own and deals them to buckets, one row with
+sorted keys per bucket; a bucket's rows are merged in one task, and each
+block gets the corpus counts of its own words and the probabilities of its
+own nodes back. A bucket holds all nodes whose contexts end in the same LOW
+bytes, so only the nodes of shorter contexts, at most 256**LOW, meet.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from zonehour.llm.common import stored, text_bytes
 
 EDGE = 0xFF  # never a byte of UTF-8: stands before a text, and is its end symbol
 DEPTH = 5
-SHARE = 2.0**-23
+LOW = 2  # contexts of fewer bytes are counted over all buckets
 BLOCK_BYTES = 32 << 20  # text of a block, besides its last document
 BUFFER = 1 << 22  # symbols counted at a time
 CHUNK = 1 << 18  # symbols scored at a time
@@ -144,7 +144,10 @@ class Trie:
 
     def log_probs(self, s: np.ndarray) -> np.ndarray:
         """log10 p of each symbol of a framed text."""
-        codes = node_codes(s, DEPTH)
+        return self.code_log_probs(node_codes(s, DEPTH))
+
+    def code_log_probs(self, codes: np.ndarray) -> np.ndarray:
+        """log10 p of the symbols of nodes of DEPTH bytes of context."""
         out = np.zeros(len(codes))
         hit, at = find(self.levels[DEPTH].nodes, codes)
         out[hit] = self.top[at[hit]]
@@ -195,12 +198,13 @@ def in_blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
 
 
 def count_rows(blocks: DataFrame, buckets: int) -> DataFrame:
-    """COUNT_SCHEMA rows of each task: the words of a block with their counts
-    in its training texts, 0 for words of other texts only (the empty word is
-    the end), and the trie's deepest nodes of the training texts.
+    """COUNT_SCHEMA rows of each block, stored: its words (the empty word is
+    the end) and the trie's deepest nodes with their counts in its training
+    texts, 0 for those of other texts only.
 
-    A word's bucket comes from its hash, a node's from its last two bytes, so
-    that the shorter contexts of a symbol fall into the same bucket.
+    A word's bucket comes from its hash, a node's from the last LOW bytes of
+    its context, so that all symbols of a context of LOW bytes or more and of
+    those that it ends in fall into the same bucket.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,16 +212,18 @@ def count_rows(blocks: DataFrame, buckets: int) -> DataFrame:
 
         codes, n_codes = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         held: list[np.ndarray] = []
+        unseen: list[np.ndarray] = []
         held_size = 0
         words: Counter = Counter()
         others: set[bytes] = set()
         current = None
 
         def merge() -> None:
-            nonlocal codes, n_codes, held, held_size
+            nonlocal codes, n_codes, held, unseen, held_size
             new, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *held]), return_counts=True)
-            codes, n_codes = summed(np.concatenate([codes, new]), np.concatenate([n_codes, n]))
-            held, held_size = [], 0
+            other = np.unique(np.concatenate([np.zeros(0, np.uint64), *unseen]))
+            codes, n_codes = summed(np.concatenate([codes, new, other]), np.concatenate([n_codes, n, np.zeros(len(other), np.int64)]))
+            held, unseen, held_size = [], [], 0
 
         def rows(kind: int, block: int, bucket: np.ndarray, keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
             order = np.lexsort((keys, bucket))
@@ -236,45 +242,62 @@ def count_rows(blocks: DataFrame, buckets: int) -> DataFrame:
                 names=["kind", "bucket", "block", "keys", "n"],
             )
 
-        def flush() -> pa.RecordBatch:
+        def flush() -> Iterator[pa.RecordBatch]:
+            nonlocal codes, n_codes
             extra = others.difference(words)
             keys = np.array([word_key(w) for part in (words, extra) for w in part], np.uint64)
             n = np.zeros(len(keys), np.int64)
             n[: len(words)] = np.fromiter(words.values(), np.int64, len(words))
             words.clear()
             others.clear()
-            return rows(WORDS, current, keys % np.uint64(buckets), keys, n)
+            yield rows(WORDS, current, keys % np.uint64(buckets), keys, n)
+            merge()
+            ends = codes >> np.uint64(8) & np.uint64((1 << 8 * LOW) - 1)
+            yield rows(NODES, current, (ends * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)) % np.uint64(buckets), codes, n_codes)
+            codes, n_codes = np.zeros(0, np.uint64), np.zeros(0, np.int64)
 
         for batch in batches:
             for block, train, text in zip(batch.column("block").to_pylist(), batch.column("train").to_pylist(), text_bytes(batch.column("text"))):
                 if block != current:
                     if current is not None:
-                        yield flush()
+                        yield from flush()
                     current = block
                 tokens = (text or b"").lower().split()
                 tokens.append(b"")
-                if not train:
-                    others.update(tokens)
-                    continue
-                words.update(tokens)
-                held.append(node_codes(framed(text or b""), DEPTH))
-                held_size += len(held[-1])
+                (words if train else others).update(tokens)
+                new = node_codes(framed(text or b""), DEPTH)
+                (held if train else unseen).append(new)
+                held_size += len(new)
                 if held_size >= BUFFER:
                     merge()
         if current is not None:
-            yield flush()
-        merge()
-        if len(codes):
-            yield rows(NODES, -1, shorter(codes, 1) * np.uint64(0x9E3779B97F4A7C15) % np.uint64(buckets), codes, n_codes)
+            yield from flush()
+
+    return stored(blocks.mapInArrow(run, COUNT_SCHEMA), "scoring-rows")
 
-    return blocks.mapInArrow(run, COUNT_SCHEMA)
+
+def low_nodes(rows: DataFrame) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The trie's nodes with contexts shorter than LOW bytes, by length."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for keys, n in zip(batch.column("keys").to_pylist(), batch.column("n").to_pylist()):
+                codes, n = summed(shorter(unsqueeze(keys), LOW - 1), unsqueeze(n).astype(np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array(codes[n > 0].astype(np.int64)), pa.array(n[n > 0])], names=["code", "n"])
+
+    counts = rows.where(F.col("kind") == NODES).select("keys", "n").mapInArrow(run, "code bigint, n bigint")
+    found = counts.groupBy("code").agg(F.sum("n").alias("n")).toPandas()
+    codes, n = found["code"].to_numpy(np.uint64), found["n"].to_numpy(np.int64)
+    return [summed(shorter(codes, order), n) for order in range(LOW)]
 
 
 def merged_counts(rows: DataFrame) -> DataFrame:
     """COUNT_SCHEMA rows of whole buckets, stored: the words of each block
-    with their counts in the corpus; the deepest nodes with theirs; and a row
+    with their counts in the corpus; the deepest nodes of each block with the
+    log10 p of their symbols (the bits of a double as ``n``); and a row
     of SUMS per bucket of words with the sum of all counts (``keys``) and the
     number of words met in training (``n``)."""
+    shipped = rows.sparkSession.sparkContext.broadcast(low_nodes(rows))
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         kind, bucket = key[0].as_py(), key[1].as_py()
@@ -282,10 +305,14 @@ def merged_counts(rows: DataFrame) -> DataFrame:
         keys = np.concatenate(parts)
         n = np.concatenate([unsqueeze(x) for x in table.column("n").to_pylist()]).astype(np.int64)
         found, total = summed(keys, n)
+        value = total
         if kind == NODES:
-            made = [(NODES, bucket, -1, squeeze(found), squeeze(total))]
-        else:
-            made = [(WORDS, bucket, block, squeeze(k), squeeze(total[np.searchsorted(found, k)])) for block, k in zip(table.column("block").to_pylist(), parts)]
+            nodes = [(found[total > 0], total[total > 0])]
+            for order in range(DEPTH - 1, LOW - 1, -1):
+                nodes.insert(0, summed(shorter(nodes[0][0], order), nodes[0][1]))
+            value = Trie.build([*shipped.value, *nodes]).code_log_probs(found).view(np.uint64)
+        made = [(kind, bucket, block, squeeze(k), squeeze(value[np.searchsorted(found, k)])) for block, k in zip(table.column("block").to_pylist(), parts)]
+        if kind == WORDS:
             made.append((SUMS, bucket, -1, squeeze(total.sum(keepdims=True)), squeeze(np.array([(total > 0).sum()]))))
         kinds = (pa.int8(), pa.int32(), pa.int64(), pa.binary(), pa.binary())
         return pa.table([pa.array(c, k) for c, k in zip(zip(*made), kinds)], names=["kind", "bucket", "block", "keys", "n"])
@@ -293,40 +320,16 @@ def merged_counts(rows: DataFrame) -> DataFrame:
     return stored(rows.groupBy("kind", "bucket").applyInArrow(run, COUNT_SCHEMA), "scoring-counts")
 
 
-def pruned_nodes(counts: DataFrame, n_symbols: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """The trie's nodes by context length: those with SHARE of the symbols."""
-    least = SHARE * n_symbols
+def count_words(counts: DataFrame) -> tuple[int, int]:
+    """Training tokens, different training words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for keys, n in zip(batch.column("keys").to_pylist(), batch.column("n").to_pylist()):
-                codes, n = unsqueeze(keys), unsqueeze(n).astype(np.int64)
-                for order in range(DEPTH, 0, -1):
-                    codes, n = summed(shorter(codes, order), n)
-                    keep = n >= least
-                    yield pa.RecordBatch.from_arrays([pa.array([order], pa.int32()), pa.array([squeeze(codes[keep])], pa.binary()), pa.array([squeeze(n[keep])], pa.binary())], names=["order", "keys", "n"])
-                codes, n = summed(shorter(codes, 0), n)
-                yield pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([squeeze(codes)], pa.binary()), pa.array([squeeze(n)], pa.binary())], names=["order", "keys", "n"])
-
-    rows = counts.where(F.col("kind") == NODES).select("keys", "n").mapInArrow(run, "order int, keys binary, n binary").collect()
-    out = []
-    for order in range(DEPTH + 1):
-        own = [r for r in rows if r.order == order]
-        codes, n = (np.concatenate([np.zeros(0, np.uint64), *(unsqueeze(bytes(r[c])) for r in own)]) for c in ("keys", "n"))
-        out.append(summed(codes, n.astype(np.int64)))
-    return out
-
-
-def count_symbols(counts: DataFrame) -> tuple[int, int, int]:
-    """Training symbols, training tokens, different training words."""
+            got = [(int(unsqueeze(k)[0]), int(unsqueeze(n)[0])) for k, n in zip(*(batch.column(c).to_pylist() for c in ("keys", "n")))]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*got) if got else [()] * 2)], names=["tokens", "words"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            got = [(int(unsqueeze(n).sum()), 0, 0) if kind == NODES else (0, int(unsqueeze(k)[0]), int(unsqueeze(n)[0])) for kind, k, n in zip(*(batch.column(c).to_pylist() for c in ("kind", "keys", "n")))]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*got) if got else [()] * 3)], names=["symbols", "tokens", "words"])
-
-    sums = counts.where(F.col("kind") != WORDS).select("kind", "keys", "n").mapInArrow(run, "symbols bigint, tokens bigint, words bigint")
-    return tuple(sums.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("symbols", "tokens", "words")]).first())
+    sums = counts.where(F.col("kind") == SUMS).select("keys", "n").mapInArrow(run, "tokens bigint, words bigint")
+    return tuple(sums.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("tokens", "words")]).first())
 
 
 def score_documents(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -349,16 +352,29 @@ def score_documents(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFram
     blocks = in_blocks(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("train", F.lit(False)).alias("train"), "text"), block_bytes)
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     counts = merged_counts(count_rows(blocks, buckets))
-    n_symbols, n_train, n_words = count_symbols(counts)
-    shipped = spark.sparkContext.broadcast(Trie.build(pruned_nodes(counts, n_symbols)))
-    known = counts.where(F.col("kind") == WORDS).select("block", "keys", "n")
-
-    def run(texts: pa.Table, vocab: pa.Table) -> pa.Table:
-        model = shipped.value
-        # a word of several files of a block is there more than once, with one count
-        keys, c = (np.concatenate([np.zeros(0, np.uint64), *map(unsqueeze, vocab.column(x).to_pylist())]) for x in ("keys", "n"))
-        keys, first = np.unique(keys, return_index=True)
-        c = c[first]
+    n_train, n_words = count_words(counts)
+    known = counts.where(F.col("kind") != SUMS).select("block", "kind", "keys", "n")
+
+    def run(texts: pa.Table, known: pa.Table) -> pa.Table:
+        import pandas as pd
+
+        def table_of(kind: int) -> tuple[np.ndarray, np.ndarray]:
+            own = known.filter(pa.array([k == kind for k in known.column("kind").to_pylist()], pa.bool_()))
+            # a key of several files of a block is there more than once, with one value
+            keys, values = (np.concatenate([np.zeros(0, np.uint64), *map(unsqueeze, own.column(x).to_pylist())]) for x in ("keys", "n"))
+            keys, first = np.unique(keys, return_index=True)
+            return keys, values[first]
+
+        keys, c = table_of(WORDS)
+        codes, log_p = table_of(NODES)
+        place, log_p = pd.Index(codes), log_p.view(np.float64)
+
+        def score(text: bytes) -> float:
+            s, total = framed(text), 0.0
+            for lo in range(0, len(s) - DEPTH, CHUNK):
+                total += float(log_p[place.get_indexer(node_codes(s[lo : lo + CHUNK + DEPTH], DEPTH))].sum())
+            return total
+
         bottom = np.log10(n_train + 0.5 * (n_words + 1))
         lp_of: dict[bytes, float] = {}
         unknown = float(np.log10(0.5) - bottom)
@@ -376,7 +392,7 @@ def score_documents(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFram
                     lp_of.update(zip(new, lp.tolist()))
                 got = np.array([lp_of.get(w, np.nan) for w in tokens])
                 missing = int(np.isnan(got).sum())
-                out.append((len(tokens), len(tokens) - missing, float(np.nansum(got)) + missing * unknown, model.score(text)))
+                out.append((len(tokens), len(tokens) - missing, float(np.nansum(got)) + missing * unknown, score(text)))
         n_tokens, n_known, base, score = zip(*out) if out else ((), (), (), ())
         return pa.table(
             {
