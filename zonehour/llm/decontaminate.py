@@ -6,8 +6,12 @@ word that some benchmark item has. Of each item window the rarest terms'
 postings are moved back by the terms' offsets in the item; where the moved
 lists meet, the document may hold the item's window. Such alignments are
 checked word by word against the whole document: runs of equal words that
-fill a window are phrase matches, and many of the item's words near the
-alignment are a proximity match.
+fill a window are phrase matches.
+
+Proximity matches have candidates of their own. If an item may lack l of its
+words, each match holds one of its l + 1 rarest words, those that no document
+has included; the text around every posting of these is checked for enough
+of the item's words.
 """
 
 from __future__ import annotations
@@ -27,8 +31,8 @@ NOT_WORD = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 class MatchSpec:
     """``window`` words make a phrase (the whole item if it has fewer).
     ``lists``: postings lists of a window that must meet. ``near_share`` of
-    an item's distinct words within ``slop`` words of its aligned place are
-    a proximity match. ``block_rows``: terms or anchors that are broadcast
+    an item's distinct words, in any order, within a stretch of ``slop`` words
+    on either side more than the item has are a proximity match. ``block_rows``: terms or anchors that are broadcast
     at a time, and a tenth of the words of items; a benchmark with more takes
     several turns."""
 
@@ -67,6 +71,20 @@ def item_windows(items: DataFrame, df: DataFrame, spec: MatchSpec) -> DataFrame:
     return known.groupBy("ino", "start").agg(F.slice(by_rarity, 1, spec.lists).alias("anchors")).where("anchors[0].n > 0")
 
 
+def near_anchors(items: DataFrame, df: DataFrame, spec: MatchSpec) -> DataFrame:
+    """word and ino: of each item's distinct words the rarest, one more than a
+    proximity match may lack, as far as they occur."""
+    known = items.select("ino", F.explode(F.array_distinct("item_words")).alias("word")).join(df, "word", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    ranked = known.groupBy("ino").agg(F.array_sort(F.collect_list(F.struct("n", "word"))).alias("terms"))
+    lacking = F.size("terms") - near_need(F.size("terms"), spec)
+    return ranked.select("ino", F.explode(F.slice("terms", F.lit(1), lacking + 1)).alias("a")).where("a.n > 0").select("a.word", "ino")
+
+
+def near_need(n_distinct: Column, spec: MatchSpec) -> Column:
+    """How many of an item's distinct words a proximity match has."""
+    return F.greatest(F.lit(1), F.ceil(spec.near_share * n_distinct).cast("int"))
+
+
 def match_benchmark(docs: DataFrame, benchmark: DataFrame, spec: MatchSpec = MatchSpec()) -> DataFrame:
     """``docs`` (doc_id, text, ...) with n_words, hits (sorted positions of
     the words in phrase matches), item_ids and near_ids (sorted, as strings:
@@ -101,7 +119,14 @@ def match_benchmark(docs: DataFrame, benchmark: DataFrame, spec: MatchSpec = Mat
     wanted = stored(wanted, "benchmark-wanted")
     words = F.sum(F.size("item_words") + F.lit(spec.lists) * F.size("wanted"))
     aligned = joined_in_blocks(met, wanted, "ino", words, 10 * spec.block_rows).where(F.exists("wanted", lambda w: F.size(F.array_except(w, F.col("found"))) == 0))
-    places = aligned.groupBy("k", "h").agg(F.collect_list(F.struct("item_id", "diag", "item_words")).alias("places"))
+    places = aligned.select("k", "h", F.struct("item_id", "diag", "item_words").alias("place"))
+
+    # places of the words one of which a proximity match must hold
+    rare = stored(near_anchors(items, df, spec), "benchmark-near-anchors")
+    spots = joined_in_blocks(index, rare, "word", F.count("*"), spec.block_rows).groupBy("k", "h", "ino").agg(F.collect_set("pos").alias("at"))
+    spots = joined_in_blocks(spots, items, "ino", F.sum(F.size("item_words")), 10 * spec.block_rows)
+    spots = spots.select("k", "h", F.struct("item_id", "at", "item_words").alias("spot"))
+    places = places.unionByName(spots, allowMissingColumns=True).groupBy("k", "h").agg(F.collect_list("place").alias("places"), F.collect_list("spot").alias("spots"))
     places = stored(places, "alignments")
 
     # word by word, against the whole text
@@ -110,22 +135,35 @@ def match_benchmark(docs: DataFrame, benchmark: DataFrame, spec: MatchSpec = Mat
         full = F.least(m, F.lit(spec.window))
         equal = F.transform(F.sequence(F.lit(0), m - 1), lambda i: F.coalesce(F.get(words, a["diag"] + i) == F.get(a["item_words"], i), F.lit(False)))
         starts = F.filter(F.sequence(F.lit(0), m - full), lambda s: F.forall(F.slice(equal, s + 1, full), lambda x: x))
-        around = F.slice(words, F.greatest(a["diag"] - spec.slop, F.lit(0)) + 1, m + 2 * spec.slop)
-        near = F.size(F.array_intersect(around, a["item_words"])) >= spec.near_share * F.size(F.array_distinct(a["item_words"]))
-        return F.struct(a["item_id"].alias("item_id"), F.flatten(F.transform(starts, lambda s: F.sequence(a["diag"] + s, a["diag"] + s + full - 1))).alias("hits"), near.alias("near"))
+        return F.struct(a["item_id"].alias("item_id"), F.flatten(F.transform(starts, lambda s: F.sequence(a["diag"] + s, a["diag"] + s + full - 1))).alias("hits"))
 
-    def ids(keep) -> Column:
-        found = F.filter("checked", lambda c: keep(c) & c["item_id"].isNotNull())
+    def near(a: Column, words: Column) -> Column:
+        stretch = F.size(a["item_words"]) + 2 * spec.slop
+
+        def enough(part: Column) -> Column:
+            return F.size(F.array_intersect(part, a["item_words"])) >= near_need(F.size(F.array_distinct(a["item_words"])), spec)
+
+        def first(at: Column) -> Column:
+            return F.greatest(at - stretch + 1, F.lit(0))
+
+        # all stretches around a place at once, then one by one
+        return F.exists(a["at"], lambda at: enough(F.slice(words, first(at) + 1, at - first(at) + stretch)) & F.exists(F.sequence(first(at), at), lambda s: enough(F.slice(words, s + 1, stretch))))
+
+    def ids(column: str, keep) -> Column:
+        found = F.filter(column, lambda c: keep(c) & c["item_id"].isNotNull())
         return F.coalesce(F.array_sort(F.array_distinct(F.transform(found, lambda c: c["item_id"]))), F.array().cast("array<string>"))
 
     both = keyed.withColumn("n_words", F.size(words_of("text")).cast("long")).join(places.hint("merge"), ["k", "h"], "left")
     # split again where there is something to check, once per document
-    checked = F.when(F.col("places").isNotNull(), F.get(F.transform(F.array(words_of("text")), lambda words: F.transform("places", lambda a: check(a, words))), 0))
+    def judged(words: Column) -> Column:
+        return F.struct(F.transform("places", lambda a: check(a, words)).alias("checked"), F.filter("spots", lambda a: near(a, words)).alias("near"))
+
+    judgement = F.when(F.col("places").isNotNull(), F.get(F.transform(F.array(words_of("text")), judged), 0))
     hits = F.array_sort(F.array_distinct(F.flatten(F.transform("checked", lambda c: c["hits"]))))
-    return both.select("row", "text", "n_words", checked.alias("checked")).select(
+    return both.select("row", "text", "n_words", judgement.alias("judgement")).select("row", "text", "n_words", "judgement.*").select(
         *[F.col("text") if c == "text" else F.col("row").getField(c).alias(c) for c in kept],
         "n_words",
         F.coalesce(hits, F.array().cast("array<int>")).alias("hits"),
-        ids(lambda c: F.size(c["hits"]) > 0).alias("item_ids"),
-        ids(lambda c: c["near"]).alias("near_ids"),
+        ids("checked", lambda c: F.size(c["hits"]) > 0).alias("item_ids"),
+        ids("near", lambda c: F.lit(True)).alias("near_ids"),
     )
