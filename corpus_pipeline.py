@@ -66,7 +66,8 @@ STAGES = [
     ("packing", pack_bins),
 ]
 
-# the fitted models of the first two stages have no SQL; tests compare run() with a brute-force version
+# the fitted models of the first two stages have no SQL; tests compare the stages after the first with brute-force
+# versions, each on its own input, and run() with the stages in a chain
 ORACLE_SQL = None
 
 
