@@ -1,0 +1,71 @@
+"""Near-duplicate clusters against all pairs, and bins without two members."""
+
+import random
+from itertools import combinations
+
+import pytest
+from pyspark.sql import functions as F
+
+from zonehour.llm import queries as Q
+from zonehour.llm.near_clusters import near_clusters
+
+
+def brute_groups(texts):
+    """The least number of each text's group over all pairs of texts."""
+    sets = []
+    for t in texts:
+        w = (t or "").lower().split()
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    root = list(range(len(texts)))
+
+    def top(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    for a, b in combinations(range(len(texts)), 2):
+        if sets[a] and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+            root[max(top(a), top(b))] = min(top(a), top(b))
+    return [top(k) for k in range(len(texts))]
+
+
+def made_texts():
+    rng = random.Random(5)
+    vocab = [f"w{k}" for k in range(300)]
+    texts = ["", " ", "one two", "One  two", "one two three"]
+    for _ in range(25):
+        base = rng.choices(vocab, k=rng.randint(20, 200))
+        for _ in range(rng.randint(1, 12)):
+            own = list(base)
+            for _ in range(rng.randint(0, max(1, len(base) // 25))):
+                own[rng.randrange(len(own))] = rng.choice(vocab)
+            texts.append(" ".join([*own, *rng.choices(vocab, k=rng.randint(0, 4))]))
+            base = own if rng.random() < 0.5 else base
+    return texts
+
+
+@pytest.mark.parametrize("block_bytes", [32 << 20, 3000])
+def test_clusters_equal_all_pairs(spark, block_bytes):
+    texts = sorted(set(made_texts()))
+    want = {}
+    for k, g in enumerate(brute_groups(texts)):
+        want.setdefault(g, set()).add(k)
+    rows = spark.createDataFrame(list(enumerate(texts)), "k bigint, text string").withColumn("hash", F.xxhash64("text"))
+    got = {}
+    for r in rows.join(near_clusters(rows.select("text"), block_bytes=block_bytes), "hash").collect():
+        got.setdefault(r.cluster, set()).add(r.k)
+    assert sorted(map(sorted, got.values())) == sorted(sorted(x) for x in want.values() if len(x) > 1)
+    assert len(got) > 10 and max(map(len, got.values())) > 3
+
+
+def test_no_bin_holds_two_near_duplicates(spark, tmp_path):
+    """Near copies under different sources, few enough to share bins."""
+    texts = made_texts()
+    docs = spark.createDataFrame([(k, t, f"source{k}") for k, t in enumerate(texts)], "doc_id bigint, text string, source string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    group = brute_groups(texts)
+    bins = {}
+    for r in Q.op3_best_fit_packing(spark, str(tmp_path)).collect():
+        bins.setdefault(r.bin_id, []).append(group[r.doc_id])
+    assert sum(map(len, bins.values())) == len(texts)
+    assert all(len(x) == len(set(x)) for x in bins.values()) and max(map(len, bins.values())) > 1

@@ -65,13 +65,14 @@ def pack(lengths: list[int], sources: list, clusters: list, capacity: int) -> li
     return out
 
 
-def best_fit_packing(docs: DataFrame, capacity: int = 8192, cluster: Column | None = None, group_pieces: int = 4096) -> DataFrame:
+def best_fit_packing(docs: DataFrame, capacity: int = 8192, cluster: Column | None = None, group_pieces: int = 4096, clusters: DataFrame | None = None) -> DataFrame:
     """Pack ``docs`` (doc_id, text, source) into bins of ``capacity`` tokens.
 
     One row per piece: bin_id, slot and bin_offset (place in the bin), doc_id,
     piece, start (first token of the piece in its document), n_tokens. No bin
     holds two pieces of one source or of one duplicate cluster. ``cluster``
-    is the cluster id (default: a hash of the text, so exact copies conflict).
+    is the cluster id (default: a hash of the text, so exact copies conflict);
+    ``clusters`` (hash, cluster) has another id for some of these hashes.
 
     Every row is packed, repeated rows and rows with a null doc_id too. A null
     or empty text is its end token alone. A null source or cluster (the
@@ -91,6 +92,9 @@ def best_fit_packing(docs: DataFrame, capacity: int = 8192, cluster: Column | No
         ),
         "packing-rows",
     )
+    if clusters is not None:
+        found = clusters.select("hash", F.col("cluster").alias("found"))
+        rows = stored(rows.join(found, "hash", "left").withColumn("hash", F.coalesce("found", "hash")).drop("found"), "packing-clusters")
     cap = F.lit(capacity)
     pieces = rows.select(
         "row",

@@ -19,6 +19,7 @@ from zonehour.llm.common import id_remainder, read_table
 from zonehour.llm.decontaminate import match_benchmark
 from zonehour.llm.exact_shuffle import exact_shuffle
 from zonehour.llm.language_id import fit_language_model, predict_languages
+from zonehour.llm.near_clusters import near_clusters
 from zonehour.llm.ngram_quality import MEASURES, judge_quality
 from zonehour.llm.ppm_scoring import score_documents
 from zonehour.llm.simhash_dedup import simhash_components
@@ -44,7 +45,8 @@ def op2_ngram_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return best_fit_packing(read_table(spark, sf_dir, "documents"))
+    docs = read_table(spark, sf_dir, "documents")
+    return best_fit_packing(docs, clusters=near_clusters(docs.select("text")))
 
 
 def page_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
