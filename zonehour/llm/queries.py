@@ -6,6 +6,7 @@ table and derives the contract's columns from what the operator returns.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import corpus_pipeline
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 
 from zonehour.llm.best_fit_packing import best_fit_packing
 from zonehour.llm.chat_format import END, TURN, format_conversations, load_tokenizer, read_back
-from zonehour.llm.common import id_remainder, read_table
+from zonehour.llm.common import id_remainder, joined_small, read_table, stored
 from zonehour.llm.decontaminate import match_benchmark
 from zonehour.llm.exact_shuffle import exact_shuffle
 from zonehour.llm.language_id import fit_language_model, predict_languages
@@ -23,8 +24,11 @@ from zonehour.llm.near_clusters import near_clusters
 from zonehour.llm.ngram_quality import MEASURES, judge_quality
 from zonehour.llm.ppm_scoring import score_documents
 from zonehour.llm.simhash_dedup import simhash_components
+from zonehour.llm.source_divergence import DivergenceSpec, audit_sources
+from zonehour.llm.source_mixing import MixSpec, measured, mix_sources
 from zonehour.llm.token_codes import encode_documents
 from zonehour.llm.url_reputation import ReputationSpec, Rule, filter_urls
+from zonehour.llm.vector_codes import MOST, CodeSpec, compress_vectors
 
 # path of the tokenizer file (a parameter; the file is not part of this repository)
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -101,6 +105,23 @@ def op10_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(read_table(spark, sf_dir, "documents"), load_tokenizer(TOKENIZER))
 
 
+def op11_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = measured(read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")).drop("text")
+    return mix_sources(docs).select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_sources(read_table(spark, sf_dir, "documents"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, codebooks = compress_vectors(read_table(spark, sf_dir, "embeddings"), "embedding", "vec_id")
+    total = F.least(F.sum(F.col("error").cast("decimal(38,0)")), F.lit(MOST).cast("decimal(38,0)")).cast("long")
+    by_label = stored(coded.groupBy("label").agg(total.alias("label_error")), "label-errors")
+    digest = hashlib.sha256(",".join(str(c) for part in codebooks for c in part.ravel()).encode()).hexdigest()
+    return joined_small(coded, by_label, "label", "vec_id").select("vec_id", "code", "error", "label_error", F.lit(digest).alias("codebooks_sha256"))
+
+
 OP1_SQL = rf"""
 with turns as (
   select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
@@ -193,6 +214,111 @@ from doc_words left join hits using (r) left join items using (r)
 """
 
 
+def op11_sql(spec: MixSpec = MixSpec()) -> str:
+    weight = " ".join(f"when {k} then {float(w)}::double" for k, w in enumerate(spec.weights))
+    return rf"""
+with sized as (
+  select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as size,
+    cast('0x' || substr(md5(coalesce(cast(doc_id as varchar), '') || ':' || coalesce(text, '')), 1, 15) as bigint) as hash
+  from documents
+), sources as (
+  select source, cast(sum(size) as bigint) as source_size, {spec.most}::double * cast(sum(size) as double) as most,
+    case (row_number() over (order by source nulls last) - 1) % {len(spec.weights)} {weight} end as weight
+  from sized group by source
+), stops as (
+  -- sources stop in the order of most / weight; level after the first k of them have
+  select *, {spec.share} * cast(sum(source_size) over () as double) as total, row_number() over by_stop as k,
+    coalesce(sum(most) over (by_stop rows between unbounded preceding and 1 preceding), 0) as held,
+    sum(weight) over (by_stop rows between current row and unbounded following) as open
+  from sources window by_stop as (order by most / weight, source nulls last)
+), level as (
+  select coalesce((select arg_min((total - held) / open, k) from stops where most >= weight * ((total - held) / open)), 'infinity'::double) as level
+), targets as (
+  select source, source_size, least(most, weight * level) as target from sources, level
+), budgets as (
+  select *, case when source_size > 0 then least({spec.most}, floor(target / source_size)) else 0 end as whole from targets
+), placed as (
+  select doc_id, size, source_size, target, whole, target - whole * source_size as rest,
+    coalesce(sum(size) over (partition by s.source order by hash rows between unbounded preceding and 1 preceding), 0) as before
+  from sized s join budgets b on s.source is not distinct from b.source
+)
+select doc_id, size, source_size, target,
+  cast(size * (whole + case when size > 0 and before + size / 2.0 <= rest then 1 else 0 end) as bigint) as taken
+from placed
+"""
+
+
+def op12_sql(spec: DivergenceSpec = DivergenceSpec()) -> str:
+    def share(count: str, total: str) -> str:
+        return f"(1 + (1000000000 * ({count} + {spec.smooth})::hugeint) // ({total} + {spec.smooth} * terms))"
+
+    return rf"""
+with docs as (
+  select row_number() over () as r, coalesce(lang, '') as lang, coalesce(source, '') as source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as words
+  from documents
+), found as (
+  select lang, source, term, count(*) as n, count(distinct r) as docs from (select r, lang, source, unnest(words) as term from docs) group by all
+), kept as (
+  select lang, term, sum(n)::bigint as in_lang from found group by lang, term having sum(docs) >= {spec.min_docs}
+), langs as (
+  select lang, count(term) as terms, coalesce(sum(in_lang), 0)::bigint as lang_total from (select distinct lang from docs) left join kept using (lang) group by lang
+), totals as (
+  select g.lang, g.source, terms, lang_total, coalesce((select sum(n) from found f join kept k using (lang, term) where f.lang = g.lang and f.source = g.source), 0)::bigint as total
+  from (select distinct lang, source from docs) g join langs using (lang)
+), grid as (
+  select t.lang, t.source, k.term, coalesce(f.n, 0) as n, {share('coalesce(f.n, 0)', 'total')} as p, {share('in_lang', 'lang_total')} as q
+  from totals t join kept k using (lang) left join found f on f.lang = t.lang and f.source = t.source and f.term = k.term
+), apart as (
+  select a.lang, a.source, b.source as item, sum(abs(a.p - b.p)) as value from grid a join grid b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all
+), pairs as (
+  select a.lang, a.source, b.source as item, coalesce(value, 0)::bigint as value
+  from totals a join totals b on a.lang = b.lang and a.source <> b.source left join apart x on x.lang = a.lang and x.source = a.source and x.item = b.source
+), ranked as (
+  select lang, source, 'pair' as part, item, value from pairs
+  union all select lang, source, 'term', term, (p - q)::bigint from grid where n > 0 and p > q
+)
+select * from (
+  select *, cast(row_number() over (partition by lang, source, part order by value desc, item) as integer) as rank from ranked
+) where part = 'pair' or rank <= {spec.top}
+"""
+
+
+def op13_sql(spec: CodeSpec = CodeSpec()) -> str:
+    def assign(k: int) -> str:
+        return f"""apart{k} as (
+  select r, v.part, entry, cast(sum((x - c) * (x - c)) as bigint) as d from cells v join entries{k} e on v.part = e.part and v.place = e.place group by all
+), codes{k} as (
+  select r, part, arg_min(entry, (d, entry)) as entry, min(d) as d from apart{k} group by r, part
+)"""
+
+    def move(k: int) -> str:
+        return f"""entries{k + 1} as (
+  select part, entry, place, coalesce(cast(floor(total / n) as bigint), c) as c from entries{k}
+  left join (select part, entry, place, sum(x) as total, count(*) as n from codes{k} join cells using (r, part) group by all) using (part, entry, place)
+)"""
+
+    steps = ",\n".join(f"{assign(k)}, {move(k)}" for k in range(spec.rounds))
+    last = spec.rounds
+    return f"""
+with kept as (
+  select row_number() over (order by vec_id nulls last, embedding) as r, vec_id, label, embedding from embeddings
+  where len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
+), cells as materialized (
+  select r, (k - 1) // (n // {spec.parts}) as part, (k - 1) % (n // {spec.parts}) as place, cast(floor({spec.scale}::double * embedding[k]) as bigint) as x
+  from (select r, embedding, len(embedding) as n, unnest(range(1, len(embedding) + 1)) as k from kept)
+), entries0 as (
+  select part, r - 1 as entry, place, x as c from cells where r <= {spec.entries}
+), {steps}, {assign(last)}, rows as (
+  select r, string_agg(printf('%02x', entry), '' order by part) as code, cast(sum(d) as bigint) as error from codes{last} group by r
+), labels as (
+  select label, cast(sum(error) as bigint) as label_error from rows join kept using (r) group by label
+)
+select vec_id, code, error, label_error, (select sha256(string_agg(cast(c as varchar), ',' order by part, entry, place)) from entries{last}) as codebooks_sha256
+from rows join kept using (r) join labels on labels.label is not distinct from kept.label
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_ngram_quality": op2_ngram_quality,
@@ -204,7 +330,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_shuffle": op8_exact_shuffle,
     "op9_language_id": op9_language_id,
     "op10_token_codes": op10_token_codes,
+    "op11_source_mixing": op11_source_mixing,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_vector_codes": op13_vector_codes,
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLE_SQL: dict[str, str] = {"op1_chat_format": OP1_SQL, "op4_url_reputation": op4_sql(), "op6_decontaminate": OP6_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op1_chat_format": OP1_SQL,
+    "op4_url_reputation": op4_sql(),
+    "op6_decontaminate": OP6_SQL,
+    "op11_source_mixing": op11_sql(),
+    "op12_source_divergence": op12_sql(),
+    "op13_vector_codes": op13_sql(),
+}
