@@ -6,12 +6,14 @@ over all requested columns, so the input is scanned once per profile.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from zonehour.config import TripSpec, WeatherSpec
+from zonehour.operators.positions import dense_positions
 from zonehour.operators.weather import decode_weather, parse_weather
 from zonehour.session import scratch_path
 from zonehour.sources.readers import require_columns
@@ -46,7 +48,10 @@ SAMPLE_ROWS = 20
 MODE_TOP_N = 10
 # --- end of fixed values -----------------------------------------------------
 
-MEDIAN_BUCKETS = 4096
+# layout of a double, for value_image; bits that a level of the median's selection tells apart
+LEAST_EXPONENT, GREATEST_EXPONENT, MANTISSA_BITS, IMAGE_BITS = -1022, 1023, 52, 64
+RADIX_BITS = 12
+STATS_SCHEMA = "column_name string, non_null_count bigint, mean_value double, median_value double, stddev_value double, min_value double, max_value double"
 
 
 def null_count_aggs(columns: Mapping[str, str] | Sequence[str]) -> list[Column]:
@@ -89,58 +94,99 @@ def value_histogram(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return long.where(F.col("value").isNotNull()).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("count"))
 
 
+def value_image(value: Column) -> Column:
+    """A bigint that orders as the double does: its exponent and mantissa,
+    negated for a negative value. Both zeros are 0; NaN comes last.
+
+    Every step is exact: the logarithm only guesses the exponent, a quotient
+    by a power of two keeps the mantissa, and a guess that is one off moves
+    the mantissa into the range next to it.
+    """
+    size, one = F.abs(value), 1 << MANTISSA_BITS
+    guess = F.least(F.lit(GREATEST_EXPONENT), F.greatest(F.lit(LEAST_EXPONENT), F.floor(F.log2(size))))
+    part = size / F.pow(F.lit(2.0), guess.cast("double"))
+    off = F.when(part >= 2, F.lit(1)).when((part < 1) & (guess > LEAST_EXPONENT), F.lit(-1)).otherwise(F.lit(0))
+    mantissa = F.when(part >= 2, part / 2).when((part < 1) & (guess > LEAST_EXPONENT), part * 2).otherwise(part)
+    finite = (guess + off - LEAST_EXPONENT) * F.lit(one) + (mantissa * F.lit(float(one))).cast("long")
+    beyond = (GREATEST_EXPONENT - LEAST_EXPONENT + 2) * one
+    image = F.when(F.isnan(value), F.lit(beyond + 1)).when(size == math.inf, F.lit(beyond)).when(size > 0, finite).otherwise(F.lit(0))
+    return F.when(value < 0, -image).otherwise(image).cast("long")
+
+
+def count_ranges(histogram: DataFrame, shift: int) -> dict[str, list[Row]]:
+    """Per column the ranges of values whose images agree down to bit
+    ``shift``, in order: n, total, least and greatest value."""
+    n, x = F.col("count"), F.col("value")
+    counted = histogram.groupBy("column_name", F.shiftright("image", shift).alias("digit")).agg(
+        F.sum(n).alias("n"), F.sum(n * x).alias("total"), F.min(x).alias("lo"), F.max(x).alias("hi")
+    )
+    out: dict[str, list[Row]] = {}
+    for r in sorted(counted.collect(), key=lambda r: r.digit):
+        out.setdefault(r.column_name, []).append(r)
+    return out
+
+
+def ranked_values(histogram: DataFrame, ranges: dict[str, list[Row]], ranks: Mapping[str, int]) -> dict[str, float]:
+    """The value at a rank (from 1) of each column, by radix selection: the
+    range that holds the rank is counted by the next RADIX_BITS of the image,
+    until it holds one value. ``ranges`` are the top level's."""
+    found, rest, shift = {}, dict(ranks), IMAGE_BITS - RADIX_BITS
+    while rest:
+        inside = F.lit(False)
+        for c in list(rest):
+            for r in ranges[c]:
+                if rest[c] <= r.n:
+                    break
+                rest[c] -= r.n
+            if r.lo == r.hi or shift == 0:
+                found[c] = r.lo
+                del rest[c]
+            else:
+                inside = inside | (F.col("column_name") == c) & (F.shiftright("image", shift) == r.digit)
+        if rest:
+            histogram, shift = histogram.where(inside), max(0, shift - RADIX_BITS)
+            ranges = count_ranges(histogram, shift)
+    return found
+
+
 def numeric_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """A8 + F5: per column the non-null count, mean, median (the least value
     with half of the values up to it), sample standard deviation, min and
-    max; one row per column, nulls and zero for a column without values."""
-    return histogram_stats(value_histogram(df, columns), columns)
+    max; one row per column, nulls and zero for a column without values.
+    ``df`` is read once, here, for a histogram in the shared scratch folder."""
+    return histogram_stats(stored_histogram(df, columns), columns)
 
 
-def histogram_stats(histogram: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """A8 from a ``value_histogram``; see ``numeric_stats``.
+def stored_histogram(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``value_histogram`` with each value's ``image``, written to the shared
+    scratch folder."""
+    path = scratch_path(df.sparkSession, "histogram")
+    histogram = value_histogram(df, columns).withColumn("image", value_image(F.col("value")))
+    write_table(histogram, path)
+    return df.sparkSession.read.schema(histogram.schema).parquet(path)
 
-    The median is exact. Values are counted in MEDIAN_BUCKETS ranges of a
-    column first, and only the range that holds the median is ordered by
-    value, so no task orders a whole column.
-    """
-    n, x = F.col("count"), F.col("value")
-    moments = histogram.groupBy("column_name").agg(
-        F.sum(n).alias("n"), (F.sum(n * x) / F.sum(n)).alias("mean"), F.min(x).alias("lo"), F.max(x).alias("hi")
-    )
-    placed = histogram.join(F.broadcast(moments), "column_name")  # a row per column asked for
-    width = (F.col("hi") - F.col("lo")) / MEDIAN_BUCKETS
-    bucket = F.when(width > 0, F.least(F.lit(MEDIAN_BUCKETS - 1), F.floor((x - F.col("lo")) / width))).otherwise(F.lit(0))
-    placed = placed.withColumn("bucket", bucket.cast("int"))
-    spread = F.sum(n * F.pow(x - F.col("mean"), F.lit(2.0))).alias("spread")
-    buckets = placed.groupBy("column_name", "n", "bucket").agg(F.sum(n).alias("in_bucket"), spread)
-    in_order = Window.partitionBy("column_name").orderBy("bucket")
-    buckets = buckets.withColumn("before", F.sum("in_bucket").over(in_order) - F.col("in_bucket"))
-    half = F.ceil(F.col("n") / 2)
-    middle = buckets.where((F.col("before") < half) & (half <= F.col("before") + F.col("in_bucket"))).select("column_name", "bucket", "before")
-    by_value = Window.partitionBy("column_name").orderBy("value")
-    inside = placed.join(F.broadcast(middle), ["column_name", "bucket"]).withColumn("upto", F.col("before") + F.sum(n).over(by_value))
-    medians = inside.where(F.col("upto") >= half).groupBy("column_name").agg(F.min(x).alias("median"))
-    spreads = buckets.groupBy("column_name").agg(F.sum("spread").alias("spread"))
-    names = df_of_names(histogram, columns)
-    return (
-        names.join(moments, "column_name", "left")
-        .join(medians, "column_name", "left")
-        .join(spreads, "column_name", "left")
-        .select(
-            "column_name",
-            F.coalesce("n", F.lit(0)).cast("bigint").alias("non_null_count"),
-            F.col("mean").alias("mean_value"),
-            F.col("median").alias("median_value"),
-            F.when(F.col("n") > 1, F.sqrt(F.col("spread") / (F.col("n") - 1))).alias("stddev_value"),
-            F.col("lo").alias("min_value"),
-            F.col("hi").alias("max_value"),
-        )
-    )
 
+def histogram_stats(histogram: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """A8 from a ``stored_histogram``; see ``numeric_stats``.
 
-def df_of_names(like: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """column_name, one row per given column."""
-    return like.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in columns])).alias("column_name"))
+    The median is exact (``ranked_values``). A level of the selection has at
+    most 2**RADIX_BITS ranges per column whatever the values, and these come
+    to the driver, as does the row of each column; no task orders a column,
+    however its values are spread.
+    """
+    ranges = count_ranges(histogram.where(F.col("column_name").isin(list(columns))), IMAGE_BITS - RADIX_BITS)
+    n = {c: sum(r.n for r in found) for c, found in ranges.items()}
+    mean = {c: sum(r.total for r in found) / n[c] for c, found in ranges.items()}
+    median = ranked_values(histogram, ranges, {c: -(-k // 2) for c, k in n.items()})
+
+    apart = F.col("value") - F.create_map(*[F.lit(x) for pair in mean.items() for x in pair])[F.col("column_name")] if mean else F.lit(0.0)
+    squares = {r.column_name: r.squares for r in histogram.groupBy("column_name").agg(F.sum(F.col("count") * apart * apart).alias("squares")).collect()}
+    rows = []
+    for c in columns:
+        found = ranges.get(c)
+        spread = math.sqrt(squares[c] / (n[c] - 1)) if found and n[c] > 1 else None
+        rows.append((c, n.get(c, 0), mean.get(c), median.get(c), spread, found and found[0].lo, found and found[-1].hi))
+    return histogram.sparkSession.createDataFrame(rows, STATS_SCHEMA)
 
 
 def distinct_values(
@@ -168,16 +214,19 @@ def distinct_lists(
     columns: Sequence[str],
     exclude: Mapping[str, Sequence] | None = None,
     n: int | None = None,
+    positions: bool = False,
 ) -> DataFrame:
-    """A11 + O1 over several columns in one scan: (column_name, value,
-    position) with ``value`` as text and each column ordered by its own type
-    (numbers numerically, text as text). Nulls and the ``exclude`` values of
-    a column are left out.
-
-    With ``n``, the first n values per column come from ``row_number()``,
-    planned with a partial group limit before the shuffle. Without ``n`` the
-    whole list is a distributed sort; no column's values are gathered into
-    one window partition.
+    """A11 + O1 over several columns in one scan: (column_name, value) with
+    ``value`` as text and each column ordered by its own type (numbers
+    numerically, text as text). Nulls and the ``exclude`` values of a column
+    are left out.
+
+    With ``n``, the first n values per column and their ``position`` (from 1)
+    come from ``row_number()``, planned with a partial group limit before the
+    shuffle. Without ``n`` the whole list is a distributed sort; no column's
+    values are gathered into one window partition. ``positions`` then numbers
+    the whole lists, from counts per sorted range (``dense_positions``; the
+    list is written to the shared scratch folder here).
     """
     exclude = exclude or {}
     types = dict(df.dtypes)
@@ -200,6 +249,9 @@ def distinct_lists(
         w = Window.partitionBy("column_name").orderBy(*order)
         ranked = distinct.withColumn("position", F.row_number().over(w)).where(F.col("position") <= n)
         return ranked.select("column_name", "value", "position")
+    if positions:
+        numbered = dense_positions(distinct, [F.col("column_name"), *order], within=["column_name"])
+        return numbered.select("column_name", "value", (F.col("position") + 1).alias("position"))
     return distinct.orderBy(F.col("column_name"), *order).select("column_name", "value")
 
 
@@ -222,10 +274,10 @@ def mode_top(df: DataFrame, columns: Sequence[str], n: int = MODE_TOP_N) -> Data
 
 
 def histogram_modes(histogram: DataFrame, n: int = MODE_TOP_N) -> DataFrame:
-    """A12 from a ``value_histogram``; see ``mode_top``."""
+    """A12 from a ``value_histogram`` or a stored one; see ``mode_top``."""
     w = Window.partitionBy("column_name").orderBy(F.desc("count"), F.asc("value"))
     ranked = histogram.withColumn("rank", F.row_number().over(w))
-    return ranked.where(F.col("rank") <= n)
+    return ranked.where(F.col("rank") <= n).select("column_name", "value", "count", "rank")
 
 
 def keyed_count(df: DataFrame, key: str = "record_count") -> DataFrame:
@@ -272,9 +324,7 @@ def profile_weather(lines: DataFrame, spec: WeatherSpec = WeatherSpec(), preview
     from one histogram, written to the shared scratch folder here, so the
     lines are read once for both."""
     parsed = decode_weather(parse_weather(lines, spec), spec)
-    path = scratch_path(lines.sparkSession, "weather-histogram")
-    write_table(value_histogram(parsed, WEATHER_STAT_COLUMNS), path)
-    histogram = lines.sparkSession.read.parquet(path)
+    histogram = stored_histogram(parsed, WEATHER_STAT_COLUMNS)
     return {
         "line_count": keyed_count(lines, "raw_line_count"),
         "distinct_values": distinct_lists(
