@@ -1,5 +1,5 @@
 """Every catalogue query against its DuckDB twin (the driver's correctness
-gate), plus the rows-only model queries and the entry contract."""
+gate), the default model's recorded values and the entry contract."""
 
 import sys
 from pathlib import Path
@@ -11,6 +11,8 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1] / "tools"))
 import __spark_entry__ as E  # noqa: E402
 from check_oracle import canon, duck, type_diff  # noqa: E402
 
+from zonehour.operators.forecast import evaluate  # noqa: E402
+from zonehour.plans import catalog as C  # noqa: E402
 from zonehour.plans.catalog import QUERIES  # noqa: E402
 from zonehour.plans.oracle import ORACLE_SQL  # noqa: E402
 
@@ -23,10 +25,8 @@ def con():
     return duck(SF)
 
 
-def test_every_query_has_sql_or_is_model():
-    missing = set(QUERIES) - set(SQL)
-    assert missing == {"linear_predictions", "model_metrics"}
-    assert set(SQL) <= set(QUERIES)
+def test_every_query_has_sql():
+    assert set(SQL) == set(QUERIES)
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
@@ -42,20 +42,15 @@ def test_query_matches_duckdb(spark, con, name):
     assert sr == dr
 
 
-@pytest.mark.parametrize("name", ["linear_predictions", "model_metrics"])
-def test_model_queries_return_rows(spark, name):
-    df = QUERIES[name](spark, SF)
-    rows = df.collect()
-    assert rows
-    if name == "model_metrics":
-        by = {r.model_name: r for r in rows}
-        assert set(by) == {"baseline_zone_hour_mean", "weather_aware_linear_regression"}
-        assert all(r.test_rows == 722 for r in rows)
-        # regression values recorded for sf0.01
-        assert by["weather_aware_linear_regression"].mae == pytest.approx(0.157236, abs=1e-5)
-        assert by["weather_aware_linear_regression"].rmse == pytest.approx(0.282014, abs=1e-5)
-    else:
-        assert len(rows) == 722 and all(r.prediction is not None for r in rows)
+def test_default_model_metrics(spark):
+    """The regression values recorded for sf0.01, unrounded."""
+    _, predictions, metrics = evaluate(C.features_df(spark, SF).cache(), C.QUERY_CONFIG.forecast)
+    by = {r.model_name: r for r in metrics.collect()}
+    assert set(by) == {"baseline_zone_hour_mean", "weather_aware_linear_regression"}
+    assert all(r.test_rows == 722 for r in by.values())
+    assert by["weather_aware_linear_regression"].mae == pytest.approx(0.157236, abs=1e-5)
+    assert by["weather_aware_linear_regression"].rmse == pytest.approx(0.282014, abs=1e-5)
+    assert predictions.where("prediction IS NOT NULL").count() == 722
 
 
 def test_regression_values(spark):

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zonehour.config import MSG_NO_TEST_ROWS, MSG_NO_TRAIN_ROWS, ForecastSpec
+from zonehour.operators.linear import fit_normal, predict_normal
 from zonehour.operators.metrics import compare_models
 
 # --- fixed values: column order of the prediction tables ---
@@ -85,10 +86,11 @@ def baseline_forecast(train: DataFrame, test: DataFrame, target: str = "trip_cou
 
 
 def linear_pipeline(spec: ForecastSpec = ForecastSpec(), target: str = "trip_count") -> Pipeline:
-    """M1-M4: zone index (unseen zones kept) -> sparse one-hot -> assembled
-    vector -> elastic-net linear regression. Up to 4,096 features the solver
-    takes the normal equations: one distributed pass sums a d x d / 2 matrix,
-    which the driver holds and iterates on (d = zones + 5)."""
+    """M1-M4 as Spark ML stages, for callers that want a ``PipelineModel``:
+    zone index (unseen zones kept) -> sparse one-hot -> assembled vector ->
+    elastic-net linear regression. It keeps every zone's label on the driver
+    and, up to 4,096 features, a d x d / 2 matrix (d = zones + 5); the jobs use
+    ``linear.fit_normal``, which does not."""
     indexer = StringIndexer(inputCol="PULocationID", outputCol="PULocationID_indexed", handleInvalid="keep")
     encoder = OneHotEncoder(inputCol="PULocationID_indexed", outputCol="PULocationID_ohe", handleInvalid="keep")
     assembler = VectorAssembler(inputCols=list(spec.features), outputCol="features")
@@ -104,30 +106,26 @@ def linear_pipeline(spec: ForecastSpec = ForecastSpec(), target: str = "trip_cou
 
 
 def fit_linear(train: DataFrame, spec: ForecastSpec = ForecastSpec(), target: str = "trip_count") -> PipelineModel:
-    """M5: fit on the training split (runs Spark jobs)."""
+    """M5 by Spark ML: fit on the training split (runs Spark jobs)."""
     return linear_pipeline(spec, target).fit(train)
 
 
+def prediction_columns(scored: DataFrame, target: str = "trip_count") -> DataFrame:
+    """The columns of the model's prediction table."""
+    return scored.withColumn("label", F.col(target)).select(*MODEL_OUTPUT_COLUMNS)
+
+
 def score_linear(model: PipelineModel, test: DataFrame, target: str = "trip_count") -> DataFrame:
-    """M6: score the test split; the vectors are not part of the output."""
-    return model.transform(test).select(
-        "pickup_date",
-        "pickup_hour",
-        "PULocationID",
-        F.col(target).alias("label"),
-        "prediction",
-        "avg_temp_c",
-        "avg_wind_speed_mps",
-        "avg_precipitation_1hr_mm",
-        "is_rain_hour",
-    )
+    """M6 by a fitted pipeline; the vectors are not part of the output."""
+    return prediction_columns(model.transform(test), target)
 
 
 def linear_forecast(
     train: DataFrame, test: DataFrame, spec: ForecastSpec = ForecastSpec(), target: str = "trip_count"
 ) -> DataFrame:
-    """M5 + M6."""
-    return score_linear(fit_linear(train, spec, target), test, target)
+    """M5 + M6: the exact elastic net (``linear.fit_normal``), scored by a join
+    with the zones' coefficients. The fit runs here."""
+    return prediction_columns(predict_normal(fit_normal(train, spec, target), test), target)
 
 
 def evaluate(features: DataFrame, spec: ForecastSpec = ForecastSpec(), target: str = "trip_count"):

@@ -12,8 +12,6 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.ml import Pipeline
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,14 +20,13 @@ from zonehour.operators.features import build_features, hourly_demand, hourly_we
 from zonehour.operators.forecast import (
     baseline_forecast,
     evaluate,
-    fit_linear,
     global_mean,
     linear_forecast,
-    linear_pipeline,
     split_counts,
     time_split,
     zone_hour_mean,
 )
+from zonehour.operators.linear import ZONE, ZONE_FEATURE, assemble_features, fit_normal, zone_index
 from zonehour.operators.metrics import model_metrics
 from zonehour.operators.profile import (
     TRIP_NULL_COUNT_NAMES,
@@ -133,7 +130,7 @@ def q_hourly_demand(spark, sf_dir):
 def q_weather_parse(spark, sf_dir):
     # of the path, the station's folder; what comes before it names a scratch folder
     parsed = parse_weather(weather_lines(spark, sf_dir), QUERY_CONFIG.weather)
-    folder = F.regexp_extract("source_path_normalized", "([^/]*)/[^/]*$", 1).alias("source_folder")
+    folder = F.substring_index(F.substring_index("source_path_normalized", "/", -2), "/", 1).alias("source_folder")
     return parsed.select("*", folder).drop("source_path_normalized")
 
 
@@ -194,12 +191,12 @@ def q_baseline_metrics(spark, sf_dir):
 
 def q_linear_predictions(spark, sf_dir):
     train, test = _written_splits(spark, sf_dir)
-    return linear_forecast(train, test, QUERY_CONFIG.forecast)
+    return rounded(linear_forecast(train, test, QUERY_CONFIG.forecast), 4)
 
 
 def q_model_metrics(spark, sf_dir):
     _, _, metrics = evaluate(_written_features(spark, sf_dir), QUERY_CONFIG.forecast)
-    return metrics
+    return rounded(metrics, 4)
 
 
 OLS = replace(QUERY_CONFIG.forecast, features=("avg_temp_c",), reg_param=0.0, elastic_net=0.0, linear_name="ols_temperature")
@@ -216,36 +213,41 @@ def q_model_comparison(spark, sf_dir):
 
 
 def q_elastic_net_coefficients(spark, sf_dir):
-    """Slope and intercept of a one-feature elastic net, at 4 decimals (the
-    fit is iterative)."""
+    """Slope and intercept of a one-feature elastic net, at 4 decimals."""
     train, _ = _written_splits(spark, sf_dir)
-    fitted = fit_linear(train, replace(OLS, reg_param=0.02, elastic_net=0.1)).stages[-1]
-    row = spark.range(1).select(F.lit(float(fitted.coefficients[0])).alias("slope"), F.lit(float(fitted.intercept)).alias("intercept"))
+    fitted = fit_normal(train, replace(OLS, reg_param=0.02, elastic_net=0.1))
+    row = spark.range(1).select(F.lit(fitted.coefficients["avg_temp_c"]).alias("slope"), F.lit(fitted.intercept).alias("intercept"))
     return rounded(row, 4)
 
 
+def q_linear_coefficients(spark, sf_dir):
+    """Every coefficient of the default model, at 4 decimals: the intercept,
+    the features and the zones."""
+    train, _ = _written_splits(spark, sf_dir)
+    fitted = fit_normal(train, QUERY_CONFIG.forecast)
+    terms = {"intercept": fitted.intercept, **fitted.coefficients}
+    named = spark.createDataFrame(list(terms.items()), "term string, coefficient double")
+    zones = fitted.zones.select(F.concat(F.lit("zone "), F.col(ZONE).cast("string")).alias("term"), F.col("zone_coefficient").alias("coefficient"))
+    return rounded(named.unionByName(zones), 4)
+
+
 def q_model_features(spark, sf_dir):
     """M1-M3 of the training rows: zone index, place of the zone's 1 in the
     assembled vector, the vector's size and its values beside the one-hot."""
     train, _ = _written_splits(spark, sf_dir)
     fc = QUERY_CONFIG.forecast
-    prepared = Pipeline(stages=linear_pipeline(fc).getStages()[:-1]).fit(train).transform(train)
-    vector = vector_to_array("features")
-    zones = fc.features.index("PULocationID_ohe")
-    others = len(fc.features) - 1
-    hot = F.slice(vector, F.lit(zones + 1), F.size(vector) - others)
-    back = {c: k - len(fc.features) for k, c in enumerate(fc.features) if k > zones}  # counted from the end
-    at = {c: k + 1 for k, c in enumerate(fc.features) if k < zones} | back
+    vector = assemble_features(train, zone_index(train), fc)
+    zones = fc.features.index(ZONE_FEATURE)
     return rounded(
-        prepared.select(
+        vector.select(
             "pickup_date",
             "pickup_hour",
-            "PULocationID",
-            F.col("PULocationID_indexed").cast("int").alias("zone_index"),
-            (F.array_position(hot, 1.0) - 1).alias("hot_place"),
-            F.aggregate(hot, F.lit(0.0), lambda a, x: a + x).alias("hot_sum"),
-            F.size(vector).alias("vector_size"),
-            *[F.element_at(vector, k).alias(f"x_{c}") for c, k in at.items()],
+            ZONE,
+            F.col("zone_index").cast("int").alias("zone_index"),
+            (F.col("features.indices")[zones] - zones).alias("hot_place"),
+            F.col("features.values")[zones].alias("hot_sum"),
+            F.col("features.size").cast("int").alias("vector_size"),
+            *[F.col("features.values")[k].alias(f"x_{c}") for k, c in enumerate(fc.features) if k != zones],
         )
     )
 
@@ -335,6 +337,11 @@ def q_distinct_lists(spark, sf_dir):
     return distinct_lists(raw_trips(spark, sf_dir), list(TRIP_DISTINCT_COLUMNS))
 
 
+def q_distinct_positions(spark, sf_dir):
+    """The whole lists with the place of each value."""
+    return distinct_lists(raw_trips(spark, sf_dir), list(TRIP_DISTINCT_COLUMNS), positions=True)
+
+
 def q_distinct_values(spark, sf_dir):
     return distinct_values(raw_trips(spark, sf_dir), "RatecodeID")
 
@@ -420,6 +427,7 @@ QUERIES: dict[str, Query] = {
     "ols_predictions": q_ols_predictions,
     "model_comparison": q_model_comparison,
     "elastic_net_coefficients": q_elastic_net_coefficients,
+    "linear_coefficients": q_linear_coefficients,
     "model_features": q_model_features,
     "pipeline_features": q_pipeline_features,
     "pipeline_baseline_predictions": q_pipeline_baseline_predictions,
@@ -432,6 +440,7 @@ QUERIES: dict[str, Query] = {
     "trip_overview": q_trip_overview,
     "distinct_values": q_distinct_values,
     "distinct_lists": q_distinct_lists,
+    "distinct_positions": q_distinct_positions,
     "distinct_store_flags": q_distinct_store_flags,
     "distinct_stations": q_distinct_stations,
     "distinct_sky_cover_codes": q_distinct_sky_cover_codes,

@@ -263,6 +263,15 @@ def _distinct_lists_sql() -> str:
     return _with(_TRIPS_RAW) + "\nUNION ALL\n".join(parts)
 
 
+def _distinct_positions_sql() -> str:
+    parts = [
+        f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, row_number() OVER (ORDER BY {c}) AS position "
+        f"FROM (SELECT DISTINCT {c} FROM trips_raw WHERE {c} IS NOT NULL)"
+        for c in ("VendorID", "RatecodeID", "payment_type", "store_and_fwd_flag")
+    ]
+    return _with(_TRIPS_RAW) + "\nUNION ALL\n".join(parts)
+
+
 _OLS_PREDS = """ols_preds AS (
   SELECT pickup_date, pickup_hour, PULocationID, trip_count AS label, i + s * avg_temp_c AS prediction,
          avg_temp_c, avg_wind_speed_mps, avg_precipitation_1hr_mm, is_rain_hour
@@ -285,11 +294,47 @@ _ELASTIC_NET = """SELECT round(slope, 4) AS slope, round(my - slope * mx, 4) AS
     SELECT covar_pop(avg_temp_c, trip_count) / (stddev_samp(avg_temp_c) * stddev_samp(trip_count)) AS c, CAST(count(*) AS DOUBLE) AS n,
            stddev_samp(avg_temp_c) AS sx, stddev_samp(trip_count) AS sy, avg(avg_temp_c) AS mx, avg(trip_count) AS my FROM train))"""
 
-
-def _metrics_sql(name: str, table: str) -> str:
-    return f"""SELECT '{name}' AS model_name, round(avg(abs(prediction - label)), 6) AS mae,
-       round(sqrt(avg(pow(prediction - label, 2))), 6) AS rmse,
-       round(coalesce(avg(CASE WHEN label > 0 THEN abs((prediction - label) / label) END), 'NaN'::DOUBLE), 6) AS mape,
+# the default model as a plain proximal gradient descent on the whole Gram matrix of standardised features,
+# one-hot columns written out; each step of the recursion multiplies the matrix with the coefficients once
+_FC = QUERY_CONFIG.forecast
+_LINEAR_STEPS = 3000
+_LINEAR = f"""target AS (SELECT avg(trip_count) AS my, stddev_samp(trip_count) AS sy, CAST(count(*) AS DOUBLE) AS n FROM train),
+penalty AS (SELECT {_FC.reg_param} / sy * {_FC.elastic_net} AS l1, {_FC.reg_param} / sy * (1 - {_FC.elastic_net}) AS l2 FROM target),
+numbered AS (SELECT row_number() OVER () AS r, * FROM train),
+dense AS (UNPIVOT (SELECT r, {", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _DENSE)} FROM numbered) ON {", ".join(_DENSE)} INTO NAME term VALUE x),
+hot AS (SELECT r, 'zone ' || zone AS term, CASE WHEN PULocationID = zone THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS x
+  FROM numbered, (SELECT DISTINCT PULocationID AS zone FROM train)),
+cells AS (SELECT * FROM dense UNION ALL SELECT * FROM hot),
+terms AS (SELECT *, row_number() OVER (ORDER BY term) AS i FROM (SELECT term, avg(x) AS mx, stddev_samp(x) AS sx FROM cells GROUP BY term) WHERE sx > 0),
+scaled AS MATERIALIZED (SELECT r, i, (x - mx) / sx AS x FROM cells JOIN terms USING (term)),
+gram AS (SELECT a.i AS i, b.i AS j, avg(a.x * b.x) AS g FROM scaled a JOIN scaled b USING (r) GROUP BY a.i, b.i),
+pull AS (SELECT i, avg(x * (trip_count - my) / sy) AS c FROM scaled JOIN numbered USING (r), target GROUP BY i),
+matrix AS MATERIALIZED (SELECT list(g_row ORDER BY i) AS m, list(c ORDER BY i) AS c, max(high) AS high FROM
+  (SELECT i, list(g ORDER BY j) AS g_row, sum(abs(g)) AS high FROM gram GROUP BY i) JOIN pull USING (i)),
+steps AS (
+  SELECT 0 AS k, list_transform(c, lambda x: 0.0::DOUBLE) AS w FROM matrix
+  UNION ALL
+  SELECT k + 1, list_transform(moved, lambda v: sign(v) * greatest(abs(v) - l1 / (high + l2), 0)) FROM (
+    SELECT k, high, l1, l2, list_transform(range(1, len(w) + 1), lambda i: w[i] - (list_dot_product(m[i], w) + l2 * w[i] - c[i]) / (high + l2)) AS moved
+    FROM steps, matrix, penalty WHERE k < {_LINEAR_STEPS})
+),
+weights AS MATERIALIZED (SELECT term, sx, mx, sy * (SELECT w FROM steps WHERE k = {_LINEAR_STEPS})[i] / sx AS b FROM terms, target),
+intercept AS MATERIALIZED (SELECT my - (SELECT sum(b * mx) FROM weights) AS b FROM target),
+linear_preds AS (
+  SELECT pickup_date, pickup_hour, PULocationID, trip_count AS label, (SELECT b FROM intercept)
+    + {" + ".join(f"{c} * coalesce((SELECT b FROM weights WHERE term = '{c}'), 0)" for c in _DENSE)} + coalesce(z.b, 0) AS prediction,
+    avg_temp_c, avg_wind_speed_mps, avg_precipitation_1hr_mm, is_rain_hour
+  FROM test LEFT JOIN weights z ON z.term = 'zone ' || PULocationID)"""
+
+
+def _recursive(*ctes: str) -> str:
+    return "WITH RECURSIVE " + ",\n".join(ctes) + "\n"
+
+
+def _metrics_sql(name: str, table: str, places: int = 6) -> str:
+    return f"""SELECT '{name}' AS model_name, round(avg(abs(prediction - label)), {places}) AS mae,
+       round(sqrt(avg(pow(prediction - label, 2))), {places}) AS rmse,
+       round(coalesce(avg(CASE WHEN label > 0 THEN abs((prediction - label) / label) END), 'NaN'::DOUBLE), {places}) AS mape,
        count(*) AS test_rows, '{_END}' AS train_end_date FROM {table}"""
 
 
@@ -331,6 +376,7 @@ FROM baseline_preds WHERE prediction IS NOT NULL AND label IS NOT NULL""",
     "record_count": _with(_TRIPS_RAW) + "SELECT 'record_count' AS metric, count(*) AS value FROM trips_raw",
     "trip_overview": _trip_overview_sql(),
     "distinct_lists": _distinct_lists_sql(),
+    "distinct_positions": _distinct_positions_sql(),
     "distinct_values": _with(_TRIPS_RAW)
     + "SELECT DISTINCT RatecodeID FROM trips_raw WHERE RatecodeID IS NOT NULL ORDER BY RatecodeID",
     "distinct_store_flags": _with(_TRIPS_RAW)
@@ -347,6 +393,13 @@ FROM baseline_preds WHERE prediction IS NOT NULL AND label IS NOT NULL""",
     + "SELECT pickup_date, pickup_hour, PULocationID, label, round(prediction, 6) AS prediction, "
     "round(avg_temp_c, 6) AS avg_temp_c, round(avg_wind_speed_mps, 6) AS avg_wind_speed_mps, "
     "round(avg_precipitation_1hr_mm, 6) AS avg_precipitation_1hr_mm, is_rain_hour FROM ols_preds",
+    "linear_predictions": _recursive(*_FEATURE_CTES, _SPLITS, _LINEAR)
+    + "SELECT pickup_date, pickup_hour, PULocationID, label, round(prediction, 4) AS prediction, "
+    "round(avg_temp_c, 4) AS avg_temp_c, round(avg_wind_speed_mps, 4) AS avg_wind_speed_mps, "
+    "round(avg_precipitation_1hr_mm, 4) AS avg_precipitation_1hr_mm, is_rain_hour FROM linear_preds",
+    "linear_coefficients": _recursive(*_FEATURE_CTES, _SPLITS, _LINEAR)
+    + "SELECT term, round(coalesce(b, 0), 4) AS coefficient FROM weights RIGHT JOIN (SELECT DISTINCT term FROM cells) USING (term) "
+    "UNION ALL SELECT 'intercept', round(b, 4) FROM intercept",
     "elastic_net_coefficients": _with(*_FEATURE_CTES, _SPLITS) + _ELASTIC_NET,
     "model_features": _with(*_FEATURE_CTES, _SPLITS, _ZONES) + _MODEL_FEATURES,
     "pipeline_features": "",
@@ -370,3 +423,7 @@ ORACLE_SQL["model_comparison"] = (
     _with(*_FEATURE_CTES, _SPLITS, _BASELINE_PREDS, _OLS_PREDS)
     + "\nUNION ALL\n".join(_metrics_sql(name, table) for name, table in ((_BASELINE, "baseline_preds"), ("ols_temperature", "ols_preds")))
 )
+ORACLE_SQL["model_metrics"] = (
+    _recursive(*_FEATURE_CTES, _SPLITS, _BASELINE_PREDS, _LINEAR)
+    + "\nUNION ALL\n".join(_metrics_sql(name, table, 4) for name, table in ((_BASELINE, "baseline_preds"), (_FC.linear_name, "linear_preds")))
+)

@@ -22,7 +22,7 @@ from zonehour.operators.features import (
     hourly_demand,
     hourly_weather,
 )
-from zonehour.operators.forecast import baseline_forecast, fit_linear, require_both_sides, score_linear, time_split
+from zonehour.operators.forecast import baseline_forecast, linear_forecast, require_both_sides, time_split
 from zonehour.operators.metrics import compare_models
 from zonehour.operators.profile import profile_trips, profile_weather
 from zonehour.operators.trips import clean_trips
@@ -125,7 +125,7 @@ def evaluate_job(spark: SparkSession, features: DataFrame, paths: PipelinePaths,
     model_path = paths.out("model_predictions")
 
     def model_predictions() -> None:
-        write_table(score_linear(fit_linear(train, fc), test), model_path)
+        write_table(linear_forecast(train, test, fc), model_path)
 
     # the baseline write and the model fit are independent jobs
     with ThreadPoolExecutor(max_workers=2) as pool:
