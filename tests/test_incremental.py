@@ -1,0 +1,61 @@
+"""Re-runs of single dates and features from mergeable states."""
+
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from zonehour.operators.features import hourly_demand, hourly_weather
+from zonehour.operators.incremental import demand_of, demand_state, read_states, weather_of, weather_state, write_batch
+from zonehour.plans import catalog as C
+from zonehour.sources.readers import read_clean
+from zonehour.sources.sinks import overwrite_dates, write_partitioned
+
+SF = "/root/testdata/sf0.001"
+
+
+def files(root):
+    return {str(p.relative_to(root)): (p.stat().st_mtime_ns, p.stat().st_size) for p in Path(root).rglob("*.parquet")}
+
+
+def test_rerun_of_dates_leaves_the_others_untouched(spark, tmp_out):
+    trips = C.trips_clean_df(spark, SF).cache()
+    path = f"{tmp_out}/trips"
+    write_partitioned(trips, path, "pickup_date")
+    before = files(path)
+    cheap = trips.withColumn("fare_amount", F.lit(1.0)).where("pickup_date <> '2024-01-07'")
+    overwrite_dates(cheap, path, "pickup_date", ["2024-01-05", "2024-01-07", "2024-03-01"])
+    after = files(path)
+    touched = ("pickup_date=2024-01-05", "pickup_date=2024-01-07")
+    assert {k: v for k, v in before.items() if not k.startswith(touched)} == {k: v for k, v in after.items() if not k.startswith(touched)}
+    assert not any(k.startswith("pickup_date=2024-01-07") for k in after)
+    got = {str(r[0]): (r[1], r[2]) for r in read_clean(spark, path).groupBy("pickup_date").agg(F.count("*"), F.max("fare_amount")).collect()}
+    want = {str(r[0]): (r[1], r[2]) for r in trips.groupBy("pickup_date").agg(F.count("*"), F.max("fare_amount")).collect()}
+    assert got.pop("2024-01-05") == (want.pop("2024-01-05")[0], 1.0)
+    assert want.pop("2024-01-07") and got == want
+    overwrite_dates(trips, path, "pickup_date", ["2024-01-05", "2024-01-07"])
+    assert read_clean(spark, path).count() == trips.count()
+
+
+def canon(df):
+    return sorted((tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in df.select(*sorted(df.columns)).collect()), key=str)
+
+
+@pytest.mark.parametrize("split", ["DOLocationID % 3", "pickup_hour % 2 + pickup_day_of_week % 2"])
+def test_states_of_batches_equal_one_batch(spark, tmp_out, split):
+    trips = C.trips_clean_df(spark, SF).withColumn("fare_amount", F.when(F.col("fare_amount") > 10, F.col("fare_amount"))).withColumn("part", F.expr(split)).cache()
+    for batch in (0, 1, 2, 1):  # batch 1 twice
+        write_batch(demand_state(trips.where(F.col("part") == batch)), f"{tmp_out}/demand", f"{batch}")
+    assert canon(demand_of(read_states(spark, f"{tmp_out}/demand"))) == canon(hourly_demand(trips))
+    some = read_states(spark, f"{tmp_out}/demand", ("2024-01-05", "2024-01-06"))
+    assert canon(demand_of(some)) == canon(hourly_demand(trips.where("pickup_date BETWEEN '2024-01-05' AND '2024-01-06'")))
+    assert "PartitionFilters: [isnotnull(pickup_date" in some._jdf.queryExecution().executedPlan().toString()
+
+
+def test_weather_states_count_a_station_once(spark, tmp_out):
+    schema = "observation_date_local date, observation_hour_local int, station_id string, air_temp_c double, wind_speed_mps double, precipitation_1hr_mm double, is_rain_1hr int"
+    rows = [("2024-01-01", 5, "a", 1.0, None, 0.5, 1), ("2024-01-01", 5, "a", 2.0, None, None, 0), ("2024-01-01", 5, "b", None, None, 0.0, 0), ("2024-01-01", 5, None, 4.0, None, 0.0, 0), ("2024-01-02", 0, "b", None, None, None, 0)]
+    weather = spark.createDataFrame(rows, schema.replace("date,", "string,", 1)).withColumn("observation_date_local", F.to_date("observation_date_local"))
+    for k in range(3):
+        write_batch(weather_state(weather.where(F.coalesce(F.col("air_temp_c"), F.lit(0.0)).cast("int") % 3 == k)), f"{tmp_out}/weather", f"{k}")
+    assert canon(weather_of(read_states(spark, f"{tmp_out}/weather"))) == canon(hourly_weather(weather))

@@ -26,6 +26,7 @@ from zonehour.operators.forecast import (
     time_split,
     zone_hour_mean,
 )
+from zonehour.operators.incremental import demand_of, demand_state, read_states, weather_of, weather_state, write_batch
 from zonehour.operators.linear import ZONE, ZONE_FEATURE, assemble_features, fit_normal, zone_index
 from zonehour.operators.metrics import model_metrics
 from zonehour.operators.profile import (
@@ -51,13 +52,16 @@ from zonehour.plans.pipeline import METRICS_CSV_SCHEMA, PipelinePaths, evaluate_
 from zonehour.session import file_identity, scratch_path
 from zonehour.sources.adapters import trips_from_events, weather_lines_from_events
 from zonehour.sources.readers import read_clean
-from zonehour.sources.sinks import preview, write_metrics, write_partitioned, write_table
+from zonehour.sources.sinks import overwrite_dates, preview, write_metrics, write_partitioned, write_table
 
 # --- fixed values: the query configuration (FIXTURES section 3.3) -----------
 # Windows narrower than the data, so both window filters drop rows.
 QUERY_TRIP_WINDOW = ("2024-01-03", "2024-01-28")
 QUERY_WEATHER_WINDOW = ("2024-01-01", "2024-01-28")
 QUERY_TRAIN_END = "2024-01-24"
+# dates that trips_rerun_roundtrip runs again, and one without trips
+RERUN_DATES = ("2024-01-05", "2024-01-09", "2024-01-20")
+NO_ROWS_DATE = "2024-02-29"
 # --- end of fixed values -----------------------------------------------------
 
 QUERY_CONFIG = Config().with_windows(QUERY_TRIP_WINDOW, QUERY_WEATHER_WINDOW, QUERY_TRAIN_END)
@@ -399,6 +403,32 @@ def q_trips_roundtrip(spark, sf_dir):
     return read_clean(spark, path).select(*TRIPS_CLEAN_COLUMNS)
 
 
+def q_trips_rerun_roundtrip(spark, sf_dir):
+    """The clean table after a re-run of a few dates: they were written wrong
+    first, some without rows, and one date is there that must go."""
+    path = scratch_path(spark, "trips-rerun")
+    trips = trips_clean_df(spark, sf_dir)
+    wrong = trips.where(~F.col("pickup_date").isin(*[F.lit(d).cast("date") for d in RERUN_DATES[1:]])).withColumn(
+        "fare_amount", F.when(F.col("pickup_date") == F.lit(RERUN_DATES[0]).cast("date"), F.lit(-1.0)).otherwise(F.col("fare_amount"))
+    )
+    write_partitioned(wrong.unionByName(trips.withColumn("pickup_date", F.lit(NO_ROWS_DATE).cast("date"))), path, "pickup_date")
+    overwrite_dates(trips, path, "pickup_date", [*RERUN_DATES, NO_ROWS_DATE])
+    return read_clean(spark, path).select(*TRIPS_CLEAN_COLUMNS)
+
+
+def q_features_incremental(spark, sf_dir):
+    """The features from states of two batches that share hours and stations:
+    trips by drop-off zone, weather by sky cover, the second batch written twice."""
+    trips, weather = trips_clean_df(spark, sf_dir), weather_clean_df(spark, sf_dir)
+    demand, hourly = scratch_path(spark, "demand-state"), scratch_path(spark, "weather-state")
+    for batch in (0, 1, 1):
+        write_batch(demand_state(trips.where(F.col("DOLocationID") % 2 == batch)), demand, f"{batch}")
+        write_batch(weather_state(weather.where(F.pmod(F.coalesce(F.col("sky_cover_code"), F.lit(0)), F.lit(2)) == batch)), hourly, f"{batch}")
+    cfg = QUERY_CONFIG
+    merged = build_features(demand_of(read_states(spark, demand)), weather_of(read_states(spark, hourly)), cfg.forecast, cfg.weather, cfg.scale)
+    return rounded(merged)
+
+
 def q_weather_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "weather-clean")
     write_partitioned(weather_clean_df(spark, sf_dir), path, "observation_date_local", QUERY_CONFIG.scale.weather_layout)
@@ -449,6 +479,8 @@ QUERIES: dict[str, Query] = {
     "mode_top10": q_mode_top10,
     "stage_counts": q_stage_counts,
     "trips_roundtrip": q_trips_roundtrip,
+    "trips_rerun_roundtrip": q_trips_rerun_roundtrip,
+    "features_incremental": q_features_incremental,
     "weather_roundtrip": q_weather_roundtrip,
     "trips_preview": q_trips_preview,
 }

@@ -404,6 +404,8 @@ FROM baseline_preds WHERE prediction IS NOT NULL AND label IS NOT NULL""",
     "model_features": _with(*_FEATURE_CTES, _SPLITS, _ZONES) + _MODEL_FEATURES,
     "pipeline_features": "",
     "pipeline_baseline_predictions": "",
+    "trips_rerun_roundtrip": "",
+    "features_incremental": "",
     "profile_trip_tables": "",
     "profile_weather_tables": _profile_weather_sql(),
     "metrics_csv_roundtrip": "",
@@ -416,6 +418,8 @@ FROM baseline_preds WHERE prediction IS NOT NULL AND label IS NOT NULL""",
 
 # what the jobs write equals what the functions return
 ORACLE_SQL["pipeline_features"] = ORACLE_SQL["features"]
+ORACLE_SQL["trips_rerun_roundtrip"] = ORACLE_SQL["trips_clean"]
+ORACLE_SQL["features_incremental"] = ORACLE_SQL["features"]
 ORACLE_SQL["pipeline_baseline_predictions"] = ORACLE_SQL["baseline_predictions"]
 ORACLE_SQL["profile_trip_tables"] = ORACLE_SQL["distinct_lists"]
 ORACLE_SQL["metrics_csv_roundtrip"] = ORACLE_SQL["baseline_metrics"]

@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def write_partitioned(df: DataFrame, path: str, by: str | Sequence[str], layout: str = "rebalance") -> None:
-    """K1: overwrite ``path`` with one directory per value of ``by``.
+def write_partitioned(df: DataFrame, path: str, by: str | Sequence[str], layout: str = "rebalance", mode: str = "static") -> None:
+    """K1: overwrite ``path`` with one directory per value of ``by``. With
+    ``mode="dynamic"`` only the directories that ``df`` has rows for are
+    replaced; see ``overwrite_dates``.
 
     ``layout`` picks how rows reach the writers:
 
@@ -33,7 +35,27 @@ def write_partitioned(df: DataFrame, path: str, by: str | Sequence[str], layout:
         laid_out = df.sortWithinPartitions(*cols)
     else:
         raise ValueError(f"unknown layout {layout!r}")
-    laid_out.write.mode("overwrite").partitionBy(*cols).parquet(path)
+    laid_out.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(*cols).parquet(path)
+
+
+def overwrite_dates(df: DataFrame, path: str, by: str, dates: Sequence[str], layout: str = "rebalance") -> None:
+    """K1 for a re-run: the directories of ``dates`` in the table at ``path``
+    become the rows of ``df`` with these dates; all others stay as they are,
+    file by file. A date without rows loses its directory. Run again after a
+    failure, it ends in the same table.
+
+    The dates that have rows are counted first (one column of ``df``, a row
+    per date), so that the others can be told from a write that never came.
+    """
+    spark, wanted = df.sparkSession, sorted({str(d) for d in dates})
+    rows = df.where(F.col(by).cast("date").isin([F.lit(d).cast("date") for d in wanted]))
+    present = {str(r[0]) for r in rows.select(F.col(by).cast("date")).distinct().collect()}
+    if present:
+        write_partitioned(rows, path, by, layout, mode="dynamic")
+    for d in wanted:
+        if d not in present:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{by}={d}")
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def write_table(df: DataFrame, path: str) -> None:
