@@ -1,0 +1,144 @@
+"""The resumable chain, staged weather text and drifting trip files."""
+
+import json
+import subprocess
+import sys
+import textwrap
+from collections import Counter
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from zonehour.config import RAW_TRIP_TYPES
+from zonehour.operators.trips import clean_trips
+from zonehour.plans import catalog as C
+from zonehour.plans import pipeline
+from zonehour.plans.manifest import Manifest
+from zonehour.plans.pipeline import PipelinePaths, run_pipeline
+from zonehour.sources.adapters import write_weather_files
+from zonehour.sources.drift import footer_schemas, parquet_files, read_drifting
+from zonehour.sources.readers import read_trips, read_weather_lines, stage_weather_lines
+
+SF = "/root/testdata/sf0.001"
+STAGES = ("stage_weather_lines", "profile_job", "clean_trips_job", "clean_weather_job", "features_job", "evaluate_job")
+
+
+@pytest.fixture
+def paths(spark, tmp_path):
+    C.raw_trips(spark, SF).write.parquet(str(tmp_path / "raw_trips"))
+    weather = write_weather_files(spark.read.parquet(f"{SF}/events.parquet"), str(tmp_path / "raw_weather"))
+    return PipelinePaths(str(tmp_path / "raw_trips"), weather, str(tmp_path / "out"))
+
+
+def test_killed_run_goes_on_where_it_ended(spark, paths, monkeypatch):
+    ran = Counter()
+
+    def counted(name, fail=False, work=None):
+        work = work or getattr(pipeline, name)
+
+        def call(*args, **kwargs):
+            ran[name] += 1
+            if fail:
+                raise RuntimeError("driver lost")
+            return work(*args, **kwargs)
+
+        return call
+
+    own = {name: getattr(pipeline, name) for name in STAGES}
+    for name in STAGES:
+        monkeypatch.setattr(pipeline, name, counted(name))
+    monkeypatch.setattr(pipeline, "features_job", counted("features_job", fail=True))
+    with pytest.raises(RuntimeError, match="driver lost"):
+        run_pipeline(spark, paths, C.QUERY_CONFIG, resume=True)
+    assert set(ran) == set(STAGES) - {"evaluate_job"}
+    ran.clear()
+    monkeypatch.setattr(pipeline, "features_job", counted("features_job", work=own["features_job"]))
+    second = run_pipeline(spark, paths, C.QUERY_CONFIG, resume=True)
+    assert ran == {"features_job": 1, "evaluate_job": 1}
+    ran.clear()
+    third = run_pipeline(spark, paths, C.QUERY_CONFIG, resume=True)
+    assert not ran and third["counts"] == second["counts"] and third["profiles"] == second["profiles"]
+    whole = run_pipeline(spark, PipelinePaths(paths.raw_trips, paths.raw_weather, paths.output_root + "-whole"), C.QUERY_CONFIG)
+    assert whole["counts"] == third["counts"]
+    assert sorted(map(str, whole["metrics"].collect())) == sorted(map(str, third["metrics"].collect()))
+    # other settings, new trip files and a lost output each ask for their stages again
+    ran.clear()
+    other = C.QUERY_CONFIG.with_windows(train_end="2024-01-20")
+    run_pipeline(spark, paths, other, profile=False, resume=True)
+    assert ran["stage_weather_lines"] == 0 and ran["evaluate_job"] == 1
+    ran.clear()
+    C.raw_trips(spark, SF).limit(50).write.mode("append").parquet(paths.raw_trips)
+    run_pipeline(spark, paths, other, profile=False, resume=True)
+    assert ran["clean_trips_job"] == 1 and ran["clean_weather_job"] == 0 and ran["features_job"] == 1
+
+
+def test_manifest_is_whole_or_absent(spark, tmp_path):
+    done = Manifest(spark, str(tmp_path / "m"))
+    out = tmp_path / "out"
+    out.mkdir()
+    calls = []
+    work = lambda: calls.append(1) or {"n": len(calls)}
+    (tmp_path / "in").write_text("a")
+    args = ("s", [str(tmp_path / "in")], [str(out)], {"x": 1}, work)
+    assert done.run(*args) == {"n": 1}
+    assert done.run(*args) == {"n": 2}  # the output has no success mark
+    (out / "_SUCCESS").touch()
+    assert done.run(*args) == {"n": 2}
+    assert Manifest(spark, str(tmp_path / "m"), enabled=False).run(*args) == {"n": 3}
+    assert [p.name for p in (tmp_path / "m").glob("*.json")] == ["s.json"]
+    (tmp_path / "in").write_text("ab")
+    assert done.run(*args) == {"n": 4}
+
+
+def test_staged_lines_are_the_lines(spark, paths, tmp_path):
+    lines = read_weather_lines(spark, paths.raw_weather)
+    want = sorted(map(tuple, lines.select("value", "source_path").collect()))
+    staged = stage_weather_lines(lines, str(tmp_path / "staged"))
+    assert sorted(map(tuple, staged.collect())) == want
+    empty = tmp_path / "empty.txt"
+    empty.write_text("")
+    assert stage_weather_lines(read_weather_lines(spark, str(empty)), str(tmp_path / "none")).count() == 0
+
+
+def test_text_is_read_by_one_job_of_the_chain(paths, tmp_path):
+    """Counted in the event log of a session of its own."""
+    log = tmp_path / "events"
+    log.mkdir()
+    code = f"""
+        from zonehour.plans import catalog as C
+        from zonehour.plans.pipeline import PipelinePaths, run_pipeline
+        from zonehour.session import build_session
+        spark = build_session("local[4]", 4, extra={{"spark.eventLog.enabled": "true", "spark.eventLog.dir": "file://{log}", "spark.eventLog.compress": "false", "spark.eventLog.rolling.enabled": "false"}})
+        run_pipeline(spark, PipelinePaths({paths.raw_trips!r}, {paths.raw_weather!r}, {paths.output_root!r}), C.QUERY_CONFIG)
+        spark.stop()
+    """
+    subprocess.run([sys.executable, "-c", textwrap.dedent(code)], check=True, cwd=Path(__file__).resolve().parents[1], timeout=600)
+    starts = [e for f in log.iterdir() for e in map(json.loads, f.read_text().splitlines()) if e["Event"].endswith("SparkListenerSQLExecutionStart")]
+    assert sum("Scan text" in e["physicalPlanDescription"] for e in starts) == 1
+
+
+def test_two_schemas_read_as_one(spark, tmp_path):
+    trips = C.raw_trips(spark, SF)
+    trips.where("VendorID = 1").write.parquet(str(tmp_path / "t/2024-01"))
+    whole = {"passenger_count": F.col("passenger_count").cast("int"), "PULocationID": F.col("PULocationID").cast("double"), "fare_amount": F.col("fare_amount").cast("decimal(12,4)")}
+    trips.where("VendorID = 2").withColumns(whole).withColumnRenamed("RatecodeID", "ratecodeid").withColumn("extra", F.lit(1)).write.parquet(str(tmp_path / "t/2024-02"))
+    path = str(tmp_path / "t")
+    assert len(footer_schemas(spark, parquet_files(spark, path))) == 2
+    read = read_trips(spark, path, dict(RAW_TRIP_TYPES))
+    assert read.dtypes == list(RAW_TRIP_TYPES)
+    cleaned = clean_trips(read, C.QUERY_CONFIG.trips)
+    key = lambda df: sorted((str(tuple(round(x, 3) if isinstance(x, float) else x for x in r)) for r in df.collect()))
+    assert key(cleaned) == key(clean_trips(trips, C.QUERY_CONFIG.trips))
+    plan = spark._jvm.PythonSQLUtils.explainString(cleaned._jdf.queryExecution(), "formatted")
+    pushed = [line for line in plan.splitlines() if line.startswith("PushedFilters")]
+    assert len(pushed) == 2 and all("GreaterThanOrEqual(tpep_pickup_datetime,2024-01-03T00:00)" in line and "GreaterThan(trip_distance,0.0)" in line for line in pushed)
+
+
+def test_drift_of_missing_columns_and_bad_values(spark, tmp_path):
+    types = {"a": "bigint", "b": "double"}
+    spark.createDataFrame([("7",), ("x",), (None,)], "a string").write.parquet(str(tmp_path / "d/1"))
+    spark.createDataFrame([(1.9, 2)], "a double, b int").write.parquet(str(tmp_path / "d/2"))
+    assert sorted(map(tuple, read_drifting(spark, str(tmp_path / "d"), types).collect()), key=str) == sorted([(7, None), (None, None), (None, None), (1, 2.0)], key=str)
+    with pytest.raises(ValueError, match="no parquet files"):
+        read_drifting(spark, str(tmp_path / "nothing*"), types)

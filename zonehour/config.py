@@ -19,6 +19,20 @@ DEFAULT_TRAIN_END = "2024-01-24"
 # Trip flags: long trip when distance >= 5.0, high fare when fare >= 20.0.
 LONG_TRIP_MILES = 5.0
 HIGH_FARE_AMOUNT = 20.0
+# Raw trip columns and their types.
+RAW_TRIP_TYPES = (
+    ("tpep_pickup_datetime", "timestamp_ntz"),
+    ("VendorID", "bigint"),
+    ("PULocationID", "bigint"),
+    ("DOLocationID", "bigint"),
+    ("passenger_count", "double"),
+    ("trip_distance", "double"),
+    ("RatecodeID", "bigint"),
+    ("payment_type", "bigint"),
+    ("store_and_fwd_flag", "string"),
+    ("fare_amount", "double"),
+    ("total_amount", "double"),
+)
 # Weather text: missing-value sentinel, trace-precipitation code and its value
 # in mm, tenths scale, minimum token count, station id pattern in the path.
 WEATHER_MISSING = -9999
@@ -93,6 +107,10 @@ def window_days(window: tuple[str, str] | None) -> int | None:
     return (hi - lo).days + 1
 
 
+def day_before(value: str | date) -> str:
+    return (_as_date(value) - timedelta(days=1)).isoformat()
+
+
 def day_after(value: str | date) -> str:
     return (_as_date(value) + timedelta(days=1)).isoformat()
 

@@ -11,17 +11,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonehour.config import Config
+from zonehour.config import RAW_TRIP_TYPES, Config, day_before
 from zonehour.operators.features import build_features, hourly_demand, hourly_weather
 from zonehour.operators.forecast import (
     baseline_forecast,
     evaluate,
     global_mean,
     linear_forecast,
+    require_both_sides,
     split_counts,
     time_split,
     zone_hour_mean,
@@ -48,10 +50,10 @@ from zonehour.operators.profile import (
 )
 from zonehour.operators.trips import TRIPS_CLEAN_COLUMNS, clean_trips, typed_trips, valid_trip_condition, window_condition
 from zonehour.operators.weather import WEATHER_CLEAN_COLUMNS, clean_weather, decode_weather, local_timestamp, parse_weather, weather_records
-from zonehour.plans.pipeline import METRICS_CSV_SCHEMA, PipelinePaths, evaluate_job, features_job
+from zonehour.plans.pipeline import METRICS_CSV_SCHEMA, PipelinePaths, evaluate_job, features_job, run_pipeline
 from zonehour.session import file_identity, scratch_path
-from zonehour.sources.adapters import trips_from_events, weather_lines_from_events
-from zonehour.sources.readers import read_clean
+from zonehour.sources.adapters import trips_from_events, weather_lines_from_events, write_weather_files
+from zonehour.sources.readers import read_clean, read_trips, require_columns
 from zonehour.sources.sinks import overwrite_dates, preview, write_metrics, write_partitioned, write_table
 
 # --- fixed values: the query configuration (FIXTURES section 3.3) -----------
@@ -440,6 +442,66 @@ def q_trips_preview(spark, sf_dir):
     return preview(trips_clean_df(spark, sf_dir), None, 20)
 
 
+def q_trips_drift(spark, sf_dir):
+    """Clean trips from a folder of two schemas: one vendor's files hold whole
+    passenger counts, zones as int, decimal rate codes and no flag."""
+    path = scratch_path(spark, "trips-drift")
+    trips = raw_trips(spark, sf_dir)
+    write_table(trips.where("VendorID = 1"), f"{path}/vendor1")
+    other = trips.where("VendorID = 2").drop("store_and_fwd_flag").withColumns(
+        {"passenger_count": F.col("passenger_count").cast("int"), "PULocationID": F.col("PULocationID").cast("int"), "RatecodeID": F.col("RatecodeID").cast("double")}
+    )
+    write_table(other, f"{path}/vendor2")
+    return clean_trips(read_trips(spark, path, dict(RAW_TRIP_TYPES)), QUERY_CONFIG.trips)
+
+
+def q_contracts(spark, sf_dir):
+    """The errors for a missing column and for split dates that
+    leave a side empty; null where the contract holds."""
+    raw = raw_trips(spark, sf_dir)
+    features = _written_features(spark, sf_dir)
+    first, last = (str(x) for x in features.agg(F.min("pickup_date"), F.max("pickup_date")).first())
+
+    def message(check, *args):
+        try:
+            check(*args)
+        except ValueError as e:
+            return str(e)
+        return None
+
+    rows = [("columns", c, message(require_columns, raw.drop(c), TRIP_RANGE_COLUMNS, "trips")) for c in raw.columns]
+    rows += [("rows", d, message(require_both_sides, features, d)) for d in (day_before(first), first, last)]
+    return spark.createDataFrame(rows, "contract string, subject string, message string")
+
+
+def q_chain_report(spark, sf_dir):
+    """What the whole chain wrote and returned, one row per figure: counts of
+    its stages, profiles, predictions and metrics (4 decimals)."""
+    root = scratch_path(spark, "chain")
+    write_table(raw_trips(spark, sf_dir), f"{root}/raw_trips")
+    weather = write_weather_files(spark.read.parquet(f"{sf_dir}/events.parquet"), f"{root}/raw_weather")
+    paths = PipelinePaths(f"{root}/raw_trips", weather, f"{root}/out")
+    result = run_pipeline(spark, paths, QUERY_CONFIG)
+    read = {name: spark.read.parquet(path) for name, path in result["profiles"].items()}
+
+    def figures(part, df, name, *columns):
+        wide = df.select(F.lit(part).alias("part"), F.col(name).alias("name") if name else F.lit("").alias("name"), *[F.col(c).cast("double").alias(c) for c in columns])
+        return wide.unpivot(["part", "name"], list(columns), "figure", "value")
+
+    parts = [spark.createDataFrame([("counts", "", k, float(v)) for k, v in result["counts"].items()], "part string, name string, figure string, value double")]
+    parts.append(figures("trips_overview", read["trips_overview"], None, *read["trips_overview"].columns))
+    parts.append(figures("weather_line_count", read["weather_line_count"], "metric", "value"))
+    parts += [figures(p, read[p].groupBy("column_name").agg(F.count("value").alias("values")), "column_name", "values") for p in ("trips_distinct_values", "weather_distinct_values")]
+    parts.append(figures("weather_numeric_stats", read["weather_numeric_stats"], "column_name", "non_null_count", "mean_value", "median_value", "stddev_value", "min_value", "max_value"))
+    parts.append(figures("weather_mode_top10", read["weather_mode_top10"].where("rank = 1"), "column_name", "value", "count"))
+    parts += [figures(p, read[p].agg(F.count(F.lit(1)).alias("rows")), None, "rows") for p in ("trips_sample", "weather_sample")]
+    for table in ("baseline_predictions", "model_predictions"):
+        sums = spark.read.parquet(paths.out(table)).agg(F.count(F.lit(1)).alias("rows"), F.sum("label").alias("labels"), F.avg("prediction").alias("mean_prediction"))
+        parts.append(figures(table, sums, None, "rows", "labels", "mean_prediction"))
+    parts.append(figures("metrics", result["metrics"], "model_name", "mae", "rmse", "mape", "test_rows"))
+    return rounded(reduce(DataFrame.unionByName, parts), 4)
+
+
 QUERIES: dict[str, Query] = {
     "trips_clean": q_trips_clean,
     "hourly_demand": q_hourly_demand,
@@ -479,6 +541,9 @@ QUERIES: dict[str, Query] = {
     "mode_top10": q_mode_top10,
     "stage_counts": q_stage_counts,
     "trips_roundtrip": q_trips_roundtrip,
+    "trips_drift": q_trips_drift,
+    "contracts": q_contracts,
+    "chain_report": q_chain_report,
     "trips_rerun_roundtrip": q_trips_rerun_roundtrip,
     "features_incremental": q_features_incremental,
     "weather_roundtrip": q_weather_roundtrip,

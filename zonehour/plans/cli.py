@@ -36,8 +36,8 @@ from zonehour.plans.pipeline import (  # noqa: E402
     features_job,
     run_pipeline,
 )
-from zonehour.session import ensure_checkpoint_dir  # noqa: E402
-from zonehour.sources.readers import read_clean, read_trips, read_weather_lines  # noqa: E402
+from zonehour.session import ensure_checkpoint_dir, scratch_path  # noqa: E402
+from zonehour.sources.readers import read_clean, read_trips, read_weather_lines, stage_weather_lines  # noqa: E402
 from zonehour.sources.sinks import write_table  # noqa: E402
 
 
@@ -85,6 +85,8 @@ def parser() -> argparse.ArgumentParser:
     w.add_argument("--output-root", required=True)
     w.add_argument("--train-end-date")
     w.add_argument("--no-profile", action="store_true")
+    w.add_argument("--resume", action="store_true", help="skip stages that an earlier call finished on the same inputs")
+    w.add_argument("--drifting", action="store_true", help="the trip files may differ in types and columns")
     _windows(w)
     return ap
 
@@ -109,7 +111,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         frames = (
             profile_trips(read_trips(spark, args.input), cfg.trips)
             if args.command == "profile-trips"
-            else profile_weather(read_weather_lines(spark, args.input), cfg.weather)
+            else profile_weather(stage_weather_lines(read_weather_lines(spark, args.input), scratch_path(spark, "weather-lines")), cfg.weather)
         )
         result = {}
         for name, df in frames.items():
@@ -136,8 +138,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
             "metrics": [r.asDict() for r in metrics.collect()],  # two rows, one per model
         }
     else:
-        paths = PipelinePaths(args.raw_trips, args.raw_weather, args.output_root)
-        out = run_pipeline(spark, paths, cfg, profile=not args.no_profile)
+        paths = PipelinePaths(args.raw_trips, args.raw_weather, args.output_root, drifting=args.drifting)
+        out = run_pipeline(spark, paths, cfg, profile=not args.no_profile, resume=args.resume)
         result = {"counts": out["counts"], "metrics": [r.asDict() for r in out["metrics"].collect()]}
     print(json.dumps(result, default=str))
     return result

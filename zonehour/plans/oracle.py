@@ -10,7 +10,8 @@ BIGINT. Aggregated doubles are rounded to 6 places as on the Spark side.
 
 from __future__ import annotations
 
-from zonehour.config import WEATHER_FIELDS
+from zonehour.config import MSG_MISSING_COLUMNS, MSG_NO_TEST_ROWS, MSG_NO_TRAIN_ROWS, WEATHER_FIELDS
+from zonehour.operators.profile import TRIP_DISTINCT_COLUMNS, TRIP_NULL_COUNT_NAMES, TRIP_RANGE_COLUMNS
 from zonehour.plans.catalog import QUERY_CONFIG
 from zonehour.sources.adapters import (
     TRIP_COLUMNS,
@@ -33,7 +34,8 @@ _TRIPS_RAW = (
 )
 
 _TRIPS_CLEAN = f"""trips_clean AS (
-  SELECT CAST(tpep_pickup_datetime AS DATE) AS pickup_date,
+  SELECT VendorID,
+         CAST(tpep_pickup_datetime AS DATE) AS pickup_date,
          CAST(hour(tpep_pickup_datetime) AS INTEGER) AS pickup_hour,
          CAST(dayofweek(tpep_pickup_datetime) + 1 AS INTEGER) AS pickup_day_of_week,
          CAST(PULocationID AS INTEGER) AS PULocationID,
@@ -327,6 +329,49 @@ linear_preds AS (
   FROM test LEFT JOIN weights z ON z.term = 'zone ' || PULocationID)"""
 
 
+def _contracts_sql() -> str:
+    missing = MSG_MISSING_COLUMNS.format(name="trips", columns="")
+    needed = ", ".join(f"'{c}'" for c in TRIP_RANGE_COLUMNS)
+    columns = ", ".join(f"('{c}')" for c, _ in TRIP_COLUMNS)
+    no_train, no_test = MSG_NO_TRAIN_ROWS.format(date="@"), MSG_NO_TEST_ROWS.format(date="@")
+    return _with(*_FEATURE_CTES) + f"""SELECT 'columns' AS contract, c AS subject, CASE WHEN c IN ({needed}) THEN '{missing}' || c END AS message FROM (VALUES {columns}) v(c)
+UNION ALL
+SELECT 'rows', CAST(d AS VARCHAR), CASE WHEN NOT EXISTS (SELECT 1 FROM features WHERE pickup_date <= d) THEN replace('{no_train}', '@', CAST(d AS VARCHAR))
+  WHEN NOT EXISTS (SELECT 1 FROM features WHERE pickup_date > d) THEN replace('{no_test}', '@', CAST(d AS VARCHAR)) END
+FROM (SELECT CAST(min(pickup_date) - INTERVAL 1 DAY AS DATE) AS d FROM features UNION ALL SELECT min(pickup_date) FROM features UNION ALL SELECT max(pickup_date) FROM features)"""
+
+
+def _chain_report_sql() -> str:
+    rows = []
+
+    def figures(part: str, name: str, figs: dict[str, str], source: str) -> None:
+        rows.extend(f"SELECT '{part}' AS part, {name} AS name, '{f}' AS figure, round(CAST({x} AS DOUBLE), 4) AS value FROM {source}" for f, x in figs.items())
+
+    for stage, table in (("raw_trips", "trips_raw"), ("trips_clean", "trips_clean"), ("weather_lines", "wlines"), ("weather_clean", "weather_clean"), ("features", "features"), ("train", "train"), ("test", "test")):
+        figures("counts", "''", {stage: "count(*)"}, table)
+    overview = {"record_count": "count(*)"} | {out: f"count(*) - count({c})" for c, out in TRIP_NULL_COUNT_NAMES}
+    overview |= {f"{f}_{c}": f"{f}({c})" for c in TRIP_RANGE_COLUMNS for f in ("min", "max", "avg")}
+    figures("trips_overview", "''", overview, "trips_raw")
+    figures("weather_line_count", "'raw_line_count'", {"value": "count(*)"}, "wlines")
+    for c in TRIP_DISTINCT_COLUMNS:
+        figures("trips_distinct_values", f"'{c}'", {"values": f"count(DISTINCT {c})"}, "trips_raw")
+    for c in ("station_id", "wind_direction_degrees", "sky_cover_code"):
+        figures("weather_distinct_values", f"'{c}'", {"values": f"count(DISTINCT {c})"}, f"weather_decoded WHERE CAST({c} AS VARCHAR) <> '-9999'")
+    for c in _STAT_COLUMNS:
+        stats = {"non_null_count": f"count({c})", "mean_value": f"avg({c})", "median_value": f"quantile_disc({c}, 0.5)", "stddev_value": f"stddev_samp({c})", "min_value": f"min({c})", "max_value": f"max({c})"}
+        figures("weather_numeric_stats", f"'{c}'", stats, "weather_decoded")
+        top = f"(SELECT {c} AS x, count(*) AS n FROM weather_decoded WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY n DESC, {c} LIMIT 1)"
+        figures("weather_mode_top10", f"'{c}'", {"value": "x", "count": "n"}, top)
+    figures("trips_sample", "''", {"rows": "least(20, count(*))"}, "trips_raw")
+    figures("weather_sample", "''", {"rows": "least(20, count(*))"}, "weather_decoded")
+    for part, table in (("baseline_predictions", "baseline_preds"), ("model_predictions", "linear_preds")):
+        figures(part, "''", {"rows": "count(*)", "labels": "sum(label)", "mean_prediction": "avg(prediction)"}, table)
+    figures("metrics", "model_name", {c: c for c in ("mae", "rmse", "mape", "test_rows")}, "metrics")
+    names = ((_BASELINE, "baseline_preds"), (_FC.linear_name, "linear_preds"))
+    metrics = "metrics AS (" + " UNION ALL ".join(_metrics_sql(name, table) for name, table in names) + ")"
+    return _recursive(*_FEATURE_CTES, _SPLITS, _BASELINE_PREDS, _LINEAR, metrics) + "\nUNION ALL\n".join(rows)
+
+
 def _recursive(*ctes: str) -> str:
     return "WITH RECURSIVE " + ",\n".join(ctes) + "\n"
 
@@ -404,6 +449,10 @@ FROM baseline_preds WHERE prediction IS NOT NULL AND label IS NOT NULL""",
     "model_features": _with(*_FEATURE_CTES, _SPLITS, _ZONES) + _MODEL_FEATURES,
     "pipeline_features": "",
     "pipeline_baseline_predictions": "",
+    "contracts": _contracts_sql(),
+    "chain_report": _chain_report_sql(),
+    "trips_drift": _with(*_TRIP_CTES)
+    + f"SELECT {_CLEAN_COLS.replace('store_and_fwd_flag_normalized', 'CASE WHEN VendorID = 1 THEN store_and_fwd_flag_normalized END AS store_and_fwd_flag_normalized')} FROM trips_clean",
     "trips_rerun_roundtrip": "",
     "features_incremental": "",
     "profile_trip_tables": "",

@@ -2,19 +2,26 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zonehour.config import MSG_MISSING_COLUMNS
+from zonehour.sources.drift import read_drifting
 
 
-def read_trips(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def read_trips(spark: SparkSession, path: str | list[str], types: Mapping[str, str] | None = None) -> DataFrame:
     """Raw trip parquet. Projection and filters applied later are pushed
-    into this scan by Catalyst (``ReadSchema`` / ``PushedFilters``)."""
+    into this scan by Catalyst (``ReadSchema`` / ``PushedFilters``). With
+    ``types`` (``dict(RAW_TRIP_TYPES)``) the files' schemas may differ; see
+    ``drift.read_drifting``."""
     paths = [path] if isinstance(path, str) else list(path)
-    return spark.read.parquet(*paths)
+    if types is None:
+        return spark.read.parquet(*paths)
+    parts = [read_drifting(spark, p, types) for p in paths]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def read_weather_lines(
@@ -36,6 +43,15 @@ def read_weather_lines(
     return lines
 
 
+def stage_weather_lines(lines: DataFrame, path: str) -> DataFrame:
+    """S2 in one pass: the lines and their source paths as splittable parquet
+    of even parts at ``path``, read back. A gzip file is decompressed by one
+    task, once; what follows (profiles, cleaning) reads the copy, in as many
+    tasks as its size asks for. ``path`` is overwritten."""
+    lines.select("value", "source_path").hint("rebalance").write.mode("overwrite").parquet(path)
+    return lines.sparkSession.read.schema("value string, source_path string").parquet(path)
+
+
 def with_source_path(df: DataFrame, name: str = "source_path") -> DataFrame:
     """File of origin from the hidden ``_metadata`` column of file sources."""
     return df.withColumn(name, F.col("_metadata.file_path"))
