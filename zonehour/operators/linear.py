@@ -155,7 +155,7 @@ def fit_normal(train: DataFrame, spec: ForecastSpec = ForecastSpec(), target: st
     # names of their own, in case a feature is called like a sum
     key = F.col(zone) if has_zones else F.lit(None).cast("int")
     plain = train.select(key.alias("zone"), *[F.col(c).cast("double").alias(f"c{k}") for k, c in enumerate(inputs)])
-    each = [f(f"c{k}") for k in range(len(inputs)) for f in (F.count, F.avg, F.stddev_samp)]
+    each = [F.expr(f"{f}(c{k})") for k in range(len(inputs)) for f in ("count", "avg", "stddev_samp")]
     rows, about, *stats = plain.agg(F.count(F.lit(1)), F.approx_count_distinct("zone"), *each).first()
     if not rows:
         raise ValueError(MSG_NO_TRAIN_ROWS.format(date=spec.train_end))
@@ -172,8 +172,8 @@ def fit_normal(train: DataFrame, spec: ForecastSpec = ForecastSpec(), target: st
     pairs = [(i, j) for i in range(size + 1) for j in range(max(1, i), size + 1)]
     held = ["n", "t", *[f"s{k}" for k in range(size)]]
     moments = [f"m{i}_{j}" for i, j in pairs]
-    sums = [F.count(F.lit(1)), *[F.sum(f"x{i}") for i in range(size + 1)], *[F.sum(F.col(f"x{i}") * F.col(f"x{j}")) for i, j in pairs]]
-    grouped = scaled.groupBy("zone").agg(*[x.alias(name) for x, name in zip(sums, held + moments)])
+    sums = ["count(1)", *[f"sum(x{i})" for i in range(size + 1)], *[f"sum(x{i} * x{j})" for i, j in pairs]]
+    grouped = scaled.groupBy("zone").agg(*[F.expr(f"{x} AS {name}") for x, name in zip(sums, held + moments)])
     collected = grouped.limit(driver_zones + 1).collect() if about <= driver_zones else []
     table = None
     if not 0 < len(collected) <= driver_zones:
@@ -221,7 +221,8 @@ def fit_normal(train: DataFrame, spec: ForecastSpec = ForecastSpec(), target: st
     if table is None:
         found = [(r.zone, float(x) * spread[0]) for r, x in zip(collected, zones.coefficients(at))]
         without = [x for z, x in found if z is None]
-        frame = train.sparkSession.createDataFrame(found, StructType([StructField(zone, train.schema[zone].dataType), StructField("zone_coefficient", DoubleType())]))
+        kind = StructType([StructField(zone, train.schema[zone].dataType), StructField("zone_coefficient", DoubleType())])
+        frame = F.broadcast(train.sparkSession.createDataFrame(found, kind))  # driver_zones rows at most
     else:
         frame = table.select(F.col("zone").alias(zone), (zones.coefficient(at) * F.lit(spread[0])).alias("zone_coefficient"))
         without = [r.zone_coefficient for r in frame.where(F.col(zone).isNull()).collect()]

@@ -105,20 +105,8 @@ def clean_trips(raw: DataFrame, spec: TripSpec = TripSpec(), carry: tuple[str, .
     pass, and the window and non-null tests reach the parquet reader."""
     typed = typed_trips(raw, spec, carry)
     kept = typed.where(valid_trip_condition(spec))
-    return with_calendar(kept, "pickup_ts", "pickup").select(
-        "pickup_date",
-        "pickup_hour",
-        "pickup_day_of_week",
-        "PULocationID",
-        "DOLocationID",
-        "passenger_count",
-        "trip_distance",
-        "RatecodeID",
-        "payment_type",
-        "store_and_fwd_flag_normalized",
-        "fare_amount",
-        "total_amount",
-        threshold_flag("trip_distance", spec.long_trip_miles).alias("is_long_trip"),
-        threshold_flag("fare_amount", spec.high_fare_amount).alias("is_high_fare"),
-        *carry,
-    )
+    flags = {
+        "is_long_trip": threshold_flag("trip_distance", spec.long_trip_miles),
+        "is_high_fare": threshold_flag("fare_amount", spec.high_fare_amount),
+    }
+    return with_calendar(kept, "pickup_ts", "pickup").withColumns(flags).select(*TRIPS_CLEAN_COLUMNS, *carry)

@@ -95,23 +95,12 @@ def clean_weather(lines: DataFrame, spec: WeatherSpec = WeatherSpec(), path_col:
     zone; the local date decides the window, which also drops null dates.
     Wind direction and sky cover keep their sentinel."""
     decoded = decode_weather(parse_weather(lines, spec, path_col), spec)
-    ts_utc = utc_timestamp("year", "month", "day", "hour_utc")
     ts_local = local_timestamp(spec)
-    out = decoded.select(
-        "station_id",
-        "source_path_normalized",
-        ts_utc.alias("observation_ts_utc"),
-        ts_local.alias("observation_ts_local"),
-        local_date(ts_local).alias("observation_date_local"),
-        local_hour(ts_local).alias("observation_hour_local"),
-        "air_temp_c",
-        "dew_point_c",
-        "sea_level_pressure_hpa",
-        "wind_direction_degrees",
-        "wind_speed_mps",
-        "sky_cover_code",
-        "precipitation_1hr_mm",
-        "precipitation_6hr_mm",
-        rain_flag("precipitation_1hr_mm").alias("is_rain_1hr"),
-    )
-    return date_window(out, "observation_ts_local", spec.window)
+    own = {
+        "observation_ts_utc": utc_timestamp("year", "month", "day", "hour_utc"),
+        "observation_ts_local": ts_local,
+        "observation_date_local": local_date(ts_local),
+        "observation_hour_local": local_hour(ts_local),
+        "is_rain_1hr": rain_flag("precipitation_1hr_mm"),
+    }
+    return date_window(decoded.withColumns(own).select(*WEATHER_CLEAN_COLUMNS), "observation_ts_local", spec.window)
