@@ -285,6 +285,13 @@ def keyed_count(df: DataFrame, key: str = "record_count") -> DataFrame:
     return df.groupBy(F.lit(key).alias("metric")).agg(F.count(F.lit(1)).alias("value"))
 
 
+def schema_report(df: DataFrame) -> DataFrame:
+    """The schema as rows: (position, column_name, data_type), as a profile
+    prints it. Reads no data."""
+    rows = [(k, f.name, f.dataType.simpleString()) for k, f in enumerate(df.schema.fields, 1)]
+    return df.sparkSession.createDataFrame(rows, "position int, column_name string, data_type string")
+
+
 def stage_counts(inputs: Sequence[tuple[DataFrame, Mapping[str, Column | None]]]) -> DataFrame:
     """(stage, rows). Each input is read once: a stage counts its rows
     that meet the condition, all rows for None."""
@@ -307,11 +314,12 @@ def standard_trip_columns(raw: DataFrame, spec: TripSpec) -> DataFrame:
 
 
 def profile_trips(raw: DataFrame, spec: TripSpec = TripSpec(), preview_n: int | None = None) -> dict[str, DataFrame]:
-    """The trip profile: the overview and the distinct lists (lazy, two
-    scans of the raw table) and a 20-row sample, taken here. The lists are
-    whole unless ``preview_n`` cuts them."""
+    """The trip profile: the schema, the overview and the distinct lists
+    (lazy, two scans of the raw table) and a 20-row sample, taken here. The
+    lists are whole unless ``preview_n`` cuts them."""
     trips = standard_trip_columns(raw, spec)
     return {
+        "schema": schema_report(raw),
         "overview": overview(trips, dict(TRIP_NULL_COUNT_NAMES), TRIP_RANGE_COLUMNS),
         "distinct_values": distinct_lists(trips, list(TRIP_DISTINCT_COLUMNS), n=preview_n),
         "sample": sample_rows(trips.select(*TRIP_SAMPLE_COLUMNS), SAMPLE_ROWS),
@@ -320,12 +328,16 @@ def profile_trips(raw: DataFrame, spec: TripSpec = TripSpec(), preview_n: int |
 
 def profile_weather(lines: DataFrame, spec: WeatherSpec = WeatherSpec(), preview_n: int | None = None) -> dict[str, DataFrame]:
     """The weather profile over parsed, decoded (not windowed) lines. The
-    lists are whole unless ``preview_n`` cuts them. Statistics and modes come
-    from one histogram, written to the shared scratch folder here, so the
-    lines are read once for both."""
-    parsed = decode_weather(parse_weather(lines, spec), spec)
+    lists are whole unless ``preview_n`` cuts them. The lines are parsed once:
+    the records go to the shared scratch folder here, and every profile reads
+    its columns of them."""
+    decoded = decode_weather(parse_weather(lines, spec), spec).drop("source_path_normalized")
+    path = scratch_path(lines.sparkSession, "weather-parsed")
+    write_table(decoded, path)
+    parsed = lines.sparkSession.read.schema(decoded.schema).parquet(path)
     histogram = stored_histogram(parsed, WEATHER_STAT_COLUMNS)
     return {
+        "schema": schema_report(parsed),
         "line_count": keyed_count(lines, "raw_line_count"),
         "distinct_values": distinct_lists(
             parsed,
@@ -335,5 +347,5 @@ def profile_weather(lines: DataFrame, spec: WeatherSpec = WeatherSpec(), preview
         ),
         "numeric_stats": histogram_stats(histogram, WEATHER_STAT_COLUMNS),
         "mode_top10": histogram_modes(histogram, MODE_TOP_N),
-        "sample": sample_rows(parsed.drop("source_path_normalized"), SAMPLE_ROWS),
+        "sample": sample_rows(parsed, SAMPLE_ROWS),
     }

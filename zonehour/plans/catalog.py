@@ -46,6 +46,7 @@ from zonehour.operators.profile import (
     overview,
     profile_trips,
     profile_weather,
+    schema_report,
     stage_counts,
 )
 from zonehour.operators.trips import TRIPS_CLEAN_COLUMNS, clean_trips, typed_trips, valid_trip_condition, window_condition
@@ -292,6 +293,8 @@ def q_profile_weather_tables(spark, sf_dir):
     line count, the whole distinct lists, the medians and the modes."""
     tables = {}
     for name, df in profile_weather(weather_lines(spark, sf_dir), QUERY_CONFIG.weather).items():
+        if name in ("schema", "sample"):
+            continue
         path = scratch_path(spark, f"profile-{name}")
         write_table(df, path)
         tables[name] = spark.read.schema(df.schema).parquet(path)
@@ -331,6 +334,13 @@ def q_numeric_range(spark, sf_dir):
     return rounded(numeric_range(raw_trips(spark, sf_dir), TRIP_RANGE_COLUMNS))
 
 
+def q_schema_report(spark, sf_dir):
+    """The schemas that the two profiles report."""
+    reports = {"trips": raw_trips(spark, sf_dir), "weather": _weather_decoded(spark, sf_dir).drop("source_path_normalized")}
+    parts = [schema_report(df).select(F.lit(name).alias("profile"), "position", "column_name", "data_type") for name, df in reports.items()]
+    return parts[0].unionByName(parts[1])
+
+
 def q_record_count(spark, sf_dir):
     return keyed_count(raw_trips(spark, sf_dir))
 
@@ -528,6 +538,7 @@ QUERIES: dict[str, Query] = {
     "metrics_csv_roundtrip": q_metrics_csv_roundtrip,
     "null_counts": q_null_counts,
     "numeric_range": q_numeric_range,
+    "schema_report": q_schema_report,
     "record_count": q_record_count,
     "trip_overview": q_trip_overview,
     "distinct_values": q_distinct_values,

@@ -329,6 +329,16 @@ linear_preds AS (
   FROM test LEFT JOIN weights z ON z.term = 'zone ' || PULocationID)"""
 
 
+def _schema_report_sql() -> str:
+    kinds = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "TIMESTAMP": "timestamp_ntz"}
+    kind = " ".join(f"WHEN '{d}' THEN '{s}'" for d, s in kinds.items())
+    sources = (("trips", _with(_TRIPS_RAW) + "SELECT * FROM trips_raw"), ("weather", _with(*_WEATHER_PARSE_CTES) + "SELECT * FROM weather_decoded"))
+    return "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS profile, CAST(row_number() OVER () AS INTEGER) AS position, column_name, CASE column_type {kind} END AS data_type FROM (DESCRIBE {sql})"
+        for name, sql in sources
+    )
+
+
 def _contracts_sql() -> str:
     missing = MSG_MISSING_COLUMNS.format(name="trips", columns="")
     needed = ", ".join(f"'{c}'" for c in TRIP_RANGE_COLUMNS)
@@ -418,6 +428,7 @@ ORACLE_SQL: dict[str, str] = {
 FROM baseline_preds WHERE prediction IS NOT NULL AND label IS NOT NULL""",
     "null_counts": _null_counts_sql(),
     "numeric_range": _numeric_range_sql(),
+    "schema_report": _schema_report_sql(),
     "record_count": _with(_TRIPS_RAW) + "SELECT 'record_count' AS metric, count(*) AS value FROM trips_raw",
     "trip_overview": _trip_overview_sql(),
     "distinct_lists": _distinct_lists_sql(),

@@ -40,7 +40,7 @@ from zonehour.sources.sinks import write_metrics, write_partitioned, write_table
 
 METRICS_CSV_SCHEMA = "model_name string, mae double, rmse double, mape double, test_rows bigint, train_end_date string"
 # what profile_job writes
-PROFILES = ("trips_overview", "trips_distinct_values", "trips_sample", "weather_line_count", "weather_distinct_values", "weather_numeric_stats", "weather_mode_top10", "weather_sample")
+PROFILES = ("trips_schema", "trips_overview", "trips_distinct_values", "trips_sample", "weather_schema", "weather_line_count", "weather_distinct_values", "weather_numeric_stats", "weather_mode_top10", "weather_sample")
 # the columns that hourly_demand and hourly_weather read
 TAXI_REQUIRED = DEMAND_INPUT_COLUMNS
 WEATHER_REQUIRED = HOURLY_WEATHER_INPUT_COLUMNS
