@@ -3,6 +3,7 @@ whole smallest tables."""
 
 import math
 import re
+import string
 import zlib
 from collections import Counter
 from itertools import combinations
@@ -30,18 +31,35 @@ def folded(text):
     def symbol(c):
         k = ord(c)
         if k >= 128:
-            return 34 + k % 6
-        if c in "\t\n\v\f\r":
-            return 2
+            return 62 + k % 10
         if c == " ":
             return 1
         if c in "0123456789":
             return 3
-        return 8 + "abcdefghijklmnopqrstuvwxyz".index(c.lower()) if c.isalpha() else 4 + k % 4
+        if c.isalpha():
+            return 4 + "abcdefghijklmnopqrstuvwxyz".index(c.lower())
+        return 30 + sorted(string.punctuation).index(c) if c in string.punctuation else 2
 
     return (0,) * (ORDER - 1) + tuple(map(symbol, text))
 
 
+def brute_kept(langs, n_words, log_ppl, word_log_ppl):
+    """Ids (the keys of each) whose log perplexities both lie in the bands of
+    their language."""
+    spec, kept = QualitySpec(), set(langs)
+    for value, (lower, upper), least, step in ((log_ppl, spec.char_fences, spec.char_least, spec.char_step), (word_log_ppl, spec.word_fences, spec.word_least, spec.word_step)):
+        by_lang = {}
+        for k, lang in langs.items():
+            by_lang.setdefault(lang, []).append((math.floor(value[k] / step) + 0.5) * step)
+        for k, lang in langs.items():
+            steps = sorted(by_lang[lang])
+            q1, q3 = (steps[math.ceil(len(steps) * q / 4) - 1] for q in (1, 3))
+            wider = math.sqrt(1 + spec.short_words / n_words[k])
+            if not q1 - wider * max(least, lower * (q3 - q1)) <= value[k] <= q3 + wider * max(least, upper * (q3 - q1)):
+                kept.discard(k)
+    return kept
+
+
 def brute_kneser_ney(texts):
     """p(symbol | context) of interpolated modified Kneser-Ney, from the text
     book's sums over dictionaries."""
@@ -80,7 +98,7 @@ def brute_kneser_ney(texts):
 def test_quality_against_brute_force(spark, docs):
     got = {r.doc_id: r for r in Q.op2_ngram_quality(spark, SF).collect()}
     p, cache = brute_kneser_ney([r.text or "" for r in docs]), {}
-    spec, log_ppl = QualitySpec(), {}
+    n_words, log_ppl, word_log_ppl = {}, {}, {}
     for r in docs:
         words = WORD.findall((r.text or "").encode())
         windows = Counter(zip(words, words[1:], words[2:]))
@@ -101,20 +119,11 @@ def test_quality_against_brute_force(spark, docs):
                 g = s[i - ORDER + 1 : i + 1]
                 if g not in cache:
                     cache[g] = math.log(p(g[:-1], g[-1]))
-            log_ppl[r.doc_id] = -sum(cache[s[i - ORDER + 1 : i + 1]] for i in range(ORDER - 1, len(s))) / (len(s) - ORDER + 1)
+            total = -sum(cache[s[i - ORDER + 1 : i + 1]] for i in range(ORDER - 1, len(s)))
+            n_words[r.doc_id], log_ppl[r.doc_id], word_log_ppl[r.doc_id] = want[0], total / (len(s) - ORDER + 1), total / want[0]
             assert got[r.doc_id].log_ppl == pytest.approx(log_ppl[r.doc_id], abs=1e-9)
-    by_lang = {}
-    for r in docs:
-        if r.doc_id in log_ppl:
-            by_lang.setdefault(r.lang, []).append((math.floor(got[r.doc_id].log_ppl / spec.step) + 0.5) * spec.step)
-    for r in docs:
-        steps = sorted(by_lang.get(r.lang, []))
-        kept = False
-        if r.doc_id in log_ppl:
-            q1, q3 = (steps[math.ceil(len(steps) * k / 4) - 1] for k in (1, 3))
-            width = max(spec.least_width, spec.fences * (q3 - q1)) * math.sqrt(1 + spec.short_words / got[r.doc_id].n_words)
-            kept = q1 - width <= got[r.doc_id].log_ppl <= q3 + width
-        assert got[r.doc_id].kept == kept
+            assert got[r.doc_id].word_log_ppl == pytest.approx(word_log_ppl[r.doc_id], abs=1e-9)
+    assert {k for k, r in got.items() if r.kept} == brute_kept({r.doc_id: r.lang for r in docs if r.doc_id in log_ppl}, n_words, log_ppl, word_log_ppl)
 
 
 def brute_simhash(text):

@@ -2,17 +2,19 @@
 and what run() packs."""
 
 import math
+import re
 from collections import Counter
 
-from test_llm_brute import SF, WORD, brute_kneser_ney, folded
+from test_llm_brute import SF, WORD, brute_kept, brute_kneser_ney, folded
 
 import corpus_pipeline
+from zonehour.llm import queries as Q
 from zonehour.llm.ngram_quality import ORDER, QualitySpec
 
 
-def brute_kept(rows):
-    """doc_ids that pass the base rules and their language's band."""
-    spec, p, cache, log_ppl, n_words = QualitySpec(), brute_kneser_ney([r.text or "" for r in rows]), {}, {}, {}
+def stage_kept(rows):
+    """doc_ids that pass the base rules and their language's bands."""
+    spec, p, cache, per_char, per_word, n_words = QualitySpec(), brute_kneser_ney([r.text or "" for r in rows]), {}, {}, {}, {}
     for r in rows:
         words = WORD.findall((r.text or "").encode())
         windows = Counter(zip(words, words[1:], words[2:]))
@@ -24,19 +26,27 @@ def brute_kept(rows):
         for g in grams:
             if g not in cache:
                 cache[g] = math.log(p(g[:-1], g[-1]))
-        log_ppl[r.doc_id], n_words[r.doc_id] = -sum(cache[g] for g in grams) / len(grams), len(words)
-    kept, by_lang = set(), {}
-    for r in rows:
-        if r.doc_id in log_ppl:
-            by_lang.setdefault(r.lang, []).append(r.doc_id)
-    for ids in by_lang.values():
-        steps = sorted((math.floor(log_ppl[k] / spec.step) + 0.5) * spec.step for k in ids)
-        q1, q3 = (steps[math.ceil(len(steps) * k / 4) - 1] for k in (1, 3))
-        for k in ids:
-            width = max(spec.least_width, spec.fences * (q3 - q1)) * math.sqrt(1 + spec.short_words / n_words[k])
-            if q1 - width <= log_ppl[k] <= q3 + width:
-                kept.add(k)
-    return kept
+        total = -sum(cache[g] for g in grams)
+        per_char[r.doc_id], per_word[r.doc_id], n_words[r.doc_id] = total / len(grams), total / len(words), len(words)
+    return brute_kept({r.doc_id: r.lang for r in rows if r.doc_id in per_char}, n_words, per_char, per_word)
+
+
+def test_symbols_and_tables_are_rejected_and_prose_is_kept(spark):
+    """On sf0.1: of the texts that pass the base rules, those with symbols
+    glued to their words go, most tables of words go, prose stays."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    odd = re.compile(r"[^A-Za-zÀ-ÿ\s.,;:'\"!?()-]")
+    judged = {r.doc_id: r for r in Q.op2_ngram_quality(spark, "/root/testdata/sf0.1").where("not base_failed").select("doc_id", "kept").collect()}
+    kept = {"glued": [], "table": [], "prose": []}
+    for r in docs.collect():
+        if r.doc_id in judged:
+            share = len(odd.findall(r.text)) / len(r.text)
+            kind = "table" if r.text.count(" | ") > len(r.text.split()) / 4 else "glued" if share > 0.15 else "prose" if share < 0.02 else None
+            if kind:
+                kept[kind].append(judged[r.doc_id].kept)
+    rate = {kind: sum(x) / len(x) for kind, x in kept.items()}
+    assert len(kept["glued"]) > 300 and len(kept["prose"]) > 7000
+    assert rate["glued"] <= 0.02 and rate["table"] <= 0.5 and rate["prose"] >= 0.99
 
 
 def test_quality_stage_and_run(spark):
@@ -46,7 +56,7 @@ def test_quality_stage_and_run(spark):
         if name == "quality":
             rows = before.collect()
             kept = {r.doc_id for r in docs.collect()}
-            assert kept == brute_kept(rows) and kept < {r.doc_id for r in rows}
+            assert kept == stage_kept(rows) and kept < {r.doc_id for r in rows}
     size = {r.doc_id: len((r.text or "").encode()) + 1 for r in docs.collect()}
     packed = Counter()
     for r in corpus_pipeline.run(spark, SF).collect():

@@ -45,7 +45,7 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_ngram_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = judge_quality(read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
-    return judged.select("doc_id", *MEASURES, "base_failed", "kept", "log_ppl")
+    return judged.select("doc_id", *MEASURES, "base_failed", "kept", "log_ppl", "word_log_ppl")
 
 
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
