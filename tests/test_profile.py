@@ -79,7 +79,7 @@ def test_profile_jobs_return_dicts(spark):
     sf = "/root/testdata/sf0.001"
     raw = C.raw_trips(spark, sf)
     trips = profile_trips(raw)
-    assert set(trips) == {"overview", "distinct_values", "sample"}
+    assert set(trips) == {"schema", "overview", "distinct_values", "sample"}
     sample = trips["sample"].collect()
     assert len(sample) == 20 and len(sample[0]) == 9
     (o,) = trips["overview"].collect()
