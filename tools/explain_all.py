@@ -16,7 +16,7 @@ sys.path.insert(0, str(ROOT))
 def main() -> None:
     from zonehour.session import build_session
 
-    import __spark_entry__ as E
+    from zonehour.plans.catalog import QUERIES
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     out = ROOT / "docs" / "plans"
@@ -32,7 +32,7 @@ def main() -> None:
         "| query | scans | shuffles | broadcasts | subqueries | generators | scans with pushed filters | Python nodes |",
         "| --- | --- | --- | --- | --- | --- | --- | --- |",
     ]
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         df = fn(spark, sf_dir)
         text = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
         # scratch folder names change every run; keep the plans diff-stable
