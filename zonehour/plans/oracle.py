@@ -451,8 +451,8 @@ FROM baseline_preds WHERE prediction IS NOT NULL AND label IS NOT NULL""",
     "round(avg_precipitation_1hr_mm, 6) AS avg_precipitation_1hr_mm, is_rain_hour FROM ols_preds",
     "linear_predictions": _recursive(*_FEATURE_CTES, _SPLITS, _LINEAR)
     + "SELECT pickup_date, pickup_hour, PULocationID, label, round(prediction, 4) AS prediction, "
-    "round(avg_temp_c, 4) AS avg_temp_c, round(avg_wind_speed_mps, 4) AS avg_wind_speed_mps, "
-    "round(avg_precipitation_1hr_mm, 4) AS avg_precipitation_1hr_mm, is_rain_hour FROM linear_preds",
+    "round(avg_temp_c, 6) AS avg_temp_c, round(avg_wind_speed_mps, 6) AS avg_wind_speed_mps, "
+    "round(avg_precipitation_1hr_mm, 6) AS avg_precipitation_1hr_mm, is_rain_hour FROM linear_preds",
     "linear_coefficients": _recursive(*_FEATURE_CTES, _SPLITS, _LINEAR)
     + "SELECT term, round(coalesce(b, 0), 4) AS coefficient FROM weights RIGHT JOIN (SELECT DISTINCT term FROM cells) USING (term) "
     "UNION ALL SELECT 'intercept', round(b, 4) FROM intercept",
