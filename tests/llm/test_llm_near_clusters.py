@@ -3,9 +3,11 @@
 import random
 from itertools import combinations
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from zonehour.llm import near_clusters as near
 from zonehour.llm import queries as Q
 from zonehour.llm.near_clusters import near_clusters
 
@@ -69,3 +71,64 @@ def test_no_bin_holds_two_near_duplicates(spark, tmp_path):
         bins.setdefault(r.bin_id, []).append(group[r.doc_id])
     assert sum(map(len, bins.values())) == len(texts)
     assert all(len(x) == len(set(x)) for x in bins.values()) and max(map(len, bins.values())) > 1
+
+
+def test_hashes_of_words_and_pieces(monkeypatch):
+    """Equal words hash alike wherever they stand, in whole texts and pieces."""
+    text = " a bb\tCc\n\n" + "long" * 50 + " bb  \r\x0bdéjà\x0c a"
+    words = text.lower().encode().split()
+    starts, got = near.word_hashes(text.encode())
+    assert [text.encode()[i : i + len(w)].lower() for i, w in zip(starts, words)] == words
+    assert len(got) == len(words) and len(set(got.tolist())) == len(set(words))
+    assert all((got[i] == got[k]) == (words[i] == words[k]) for i, k in combinations(range(len(words)), 2))
+    monkeypatch.setattr(near, "PIECE_BYTES", 3)
+    assert (near.word_hashes(text.encode())[1] == got).all() and len(near.word_hashes(b" \n ")[1]) == 0
+    texts = [text.encode(), b"", b" ", b"one two", text.encode() + b" x", b"One\ntwo", b"1 2 3 4 5"]
+    together = near.shingles(texts, 5)
+    assert list(map(len, together)) == [len(words) - 4, 0, 0, 1, len(words) - 3, 1, 1]
+    assert all((near.shingles([x], 5)[0] == h).all() for x, h in zip(texts, together))
+    assert together[3][0] == together[5][0] and (together[4][:-1] == together[0]).all()
+
+
+def test_bounds_of_a_list_keep_every_similar_pair(spark):
+    """At the first listed shingle that two similar texts share, the sizes,
+    ranks and sketches of their rows let them through."""
+    rng = random.Random(9)
+    order = [rng.getrandbits(63) for _ in range(2000)]
+    rows, kept = [], 0
+    for k in range(300):
+        m = rng.choice([1, 2, 5, 20, 200, 900])
+        a = set(rng.sample(order, m))
+        b = set(rng.sample(sorted(a), max(1, m - rng.randint(0, max(1, m // 5))))) | set(rng.sample(order, rng.randint(0, m // 8)))
+        if len(a & b) < 0.8 * len(a | b):
+            continue
+        kept += 1
+        meet = min((order.index(h), h) for h in a & b)[1]
+        both = []
+        for s in (a, b):
+            ranked = sorted(s, key=order.index)
+            both.append((len(s), ranked.index(meet), near.sketch(np.array(ranked, np.uint64)).tolist()))
+        rows.append(tuple(both))
+    fields = "struct<m:int,rank:int,sketch:array<bigint>>"
+    assert kept > 50
+    assert spark.createDataFrame(rows, f"a {fields}, b {fields}").where(~(near.may_be_similar("a", "b", 0.8) & near.sketches_near("a", "b", 0.8))).count() == 0
+
+
+def test_hot_list_cut_into_tasks_and_odd_tables(spark, monkeypatch):
+    """Texts that share a passage and little else meet in hot lists; null,
+    empty and repeated rows, and an empty table."""
+    monkeypatch.setattr(near, "LIST_ROWS", 4)
+    rng = random.Random(3)
+    passage = [f"p{k}" for k in range(30)]
+    texts = [" ".join([*passage, *(f"x{rng.randrange(40)}" for _ in range(rng.randint(0, 9)))]) for _ in range(60)]
+    texts = sorted(set(texts)) + ["", " \n"]
+    want = {}
+    for k, g in enumerate(brute_groups(texts)):
+        want.setdefault(g, set()).add(texts[k])
+    rows = spark.createDataFrame([(t, "u") for t in [*texts, *texts[:20], None, None]], "text string, block string")
+    hashes = {r.hash: r.text for r in rows.select("text", F.xxhash64("text").alias("hash")).where("text is not null").collect()}
+    got = {}
+    for r in near_clusters(rows).collect():
+        got.setdefault(r.cluster, set()).add(hashes[r.hash])
+    assert sorted(map(sorted, got.values())) == sorted(sorted(x) for x in want.values() if len(x) > 1)
+    assert near_clusters(rows.limit(0)).collect() == [] and near_clusters(rows.where("text is null")).collect() == []

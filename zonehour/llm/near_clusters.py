@@ -7,41 +7,97 @@ the rarest shingles, one more than may be missing, are listed, and each pair
 meets in a list. First every text is compared with the least of its lists;
 then, in lists where several components are left, the texts of different
 ones are compared. Copies of one text count once.
+
+What a list carries of a text is of a fixed size: its number of shingles, the
+rank of the listed one and, in the second comparison, a parity sketch (each
+shingle flips one of its bits). Sizes and ranks bound what two texts can share, and sketches
+differ in no more bits than the sets in shingles, so pairs that fail these
+tests are not similar. Only the others fetch their shingles.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zonehour.llm.common import stored, text_bytes
 from zonehour.llm.components import connected_components
-from zonehour.llm.ppm_scoring import BLOCK_BYTES, in_blocks, squeeze, summed, unsqueeze
+from zonehour.llm.ppm_scoring import BLOCK_BYTES, squeeze, summed, unsqueeze
 
 ROW_SCHEMA = "bucket int, block bigint, keys binary, n binary"
+SPACE = b" \t\n\r\x0b\x0c"
+GAP = re.compile(b"[" + SPACE + b"]")
+PIECE_BYTES = 1 << 20  # a text is hashed in pieces of about this size, cut at white space
+ROW_BYTES = 1 << 20  # of the texts that are compressed together
+SKETCH_LONGS = 4
+LIST_ROWS = 4096  # rows of a list that one task compares with the list
+
+
+def byte_values() -> np.ndarray:
+    """A random odd number for each byte: A-Z as a-z, white space 0."""
+    values = np.random.Generator(np.random.PCG64(42)).integers(1, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
+    values[65:91] = values[97:123]
+    values[list(SPACE)] = 0
+    return values
+
+
+VALUES = byte_values()
+FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
-def shingles(words: list[bytes], size: int, hash_of: dict[bytes, int]) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the runs of ``size`` words, of all
-    words if there are fewer; ``hash_of`` keeps the hashes of words."""
-    import xxhash
+def mixed_bits(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(32))) * FACTOR
+    return h ^ (h >> np.uint64(29))
 
-    if not words:
-        return np.zeros(0, np.uint64)
-    for w in words:
-        if w not in hash_of:
-            hash_of[w] = xxhash.xxh64_intdigest(w, 42)
-    a = np.array([hash_of[w] for w in words], np.uint64)
-    size = min(size, len(a))
-    h = np.full(len(a) - size + 1, size, np.uint64)
+
+def word_hashes(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The starts of the words of ``text`` and their 64-bit hashes, each a
+    polynomial in FACTOR over its bytes' values."""
+    places, parts, at = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], 0
+    while at < len(text):
+        cut = GAP.search(text, at + PIECE_BYTES)
+        end = cut.start() if cut else len(text)
+        values = VALUES[np.frombuffer(text, np.uint8, end - at, at)]
+        inside = values != 0
+        inside[1:] &= values[:-1] == 0
+        starts = np.flatnonzero(inside)
+        if len(starts):
+            lengths = np.diff(starts, append=len(values))
+            offset = np.arange(starts[0], len(values)) - np.repeat(starts, lengths)
+            powers = np.cumprod(np.full(int(lengths.max()), FACTOR))
+            parts.append(np.add.reduceat(values[starts[0] :] * powers[offset], starts - starts[0]))
+            places.append(starts + at)
+        at = end
+    return np.concatenate(places), mixed_bits(np.concatenate(parts))
+
+
+def windows(a: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of the runs of ``size`` words, given the words' hashes."""
+    h = np.full(max(0, len(a) - size + 1), size, np.uint64)
     for k in range(size):
-        h = (h ^ a[k : len(a) - size + 1 + k]) * np.uint64(0x9E3779B97F4A7C15)
-        h ^= h >> np.uint64(29)
-    return np.unique(h)
+        h = mixed_bits(h ^ a[k : len(h) + k])
+    return h
+
+
+def shingles(texts: list[bytes], size: int) -> list[np.ndarray]:
+    """By text, the 64-bit hashes of its runs of ``size`` words in order, of
+    all words if there are fewer."""
+    starts, a = word_hashes(b" ".join(texts))
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    last = np.searchsorted(starts, ends).tolist()
+    h = windows(a, size)
+    return [h[i : j - size + 1] if j - i >= size else windows(a[i:j], j - i) if j > i else a[:0] for i, j in zip([0, *last], last)]
+
+
+def sketch(h: np.ndarray) -> np.ndarray:
+    """SKETCH_LONGS numbers of 64 bits, each bit the parity of its shingles."""
+    odd = np.bincount((h % np.uint64(64 * SKETCH_LONGS)).astype(np.int64), minlength=64 * SKETCH_LONGS) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
 
 def may_lack(m: int, share: float) -> int:
@@ -49,33 +105,64 @@ def may_lack(m: int, share: float) -> int:
     return m - int(np.ceil(share * m - 1e-9))
 
 
-def shared_shingles(blocks: DataFrame, size: int, buckets: int) -> DataFrame:
-    """ROW_SCHEMA rows: each block's shingles that several rows have, with the
-    number of these."""
+def text_blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
+    """``docs`` (id, text) in compressed rows of about ROW_BYTES, stored:
+    block (a number of consecutive rows of one task), size, ids, and payload,
+    an Arrow stream of the ids and texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow.compute as pc
+        from pyspark import TaskContext
+
+        first, before = TaskContext.get().partitionId() << 32, 0
+        for batch in batches:
+            sizes = pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False).astype(np.int64) + 16
+            cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // ROW_BYTES, prepend=0)).tolist()
+            for i, j in zip([0, *cuts], [*cuts, len(sizes)]):
+                if i == j:
+                    continue
+                sink, part, size = pa.BufferOutputStream(), pa.table(batch.slice(i, j - i).columns, names=["id", "text"]), int(sizes[i:j].sum())
+                with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+                    writer.write_table(part)
+                row = {"block": [first + before // block_bytes], "size": [size], "ids": [part.column("id").to_pylist()], "payload": [sink.getvalue().to_pybytes()]}
+                yield pa.RecordBatch.from_pydict(row, schema=pa.schema([("block", pa.int64()), ("size", pa.int64()), ("ids", pa.list_(pa.int64())), ("payload", pa.binary())]))
+                before += size
+
+    return stored(docs.mapInArrow(run, "block bigint, size bigint, ids array<bigint>, payload binary"), "near-texts")
+
+
+def texts_of(payload: bytes) -> tuple[list[int], list[bytes]]:
+    table = pa.ipc.open_stream(payload).read_all()
+    return table.column("id").to_pylist(), [x for c in table.column("text").chunks for x in text_bytes(c)]
+
+
+def counted_keys(h: np.ndarray, bits: int) -> np.ndarray:
+    return h >> np.uint64(64 - bits)
+
+
+def shared_shingles(blocks: DataFrame, size: int, buckets: int, bits: int) -> DataFrame:
+    """ROW_SCHEMA rows: the leading ``bits`` of each block's shingles that
+    occur several times, with the number of their occurrences."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hash_of: dict[bytes, int] = {}
         held: list[np.ndarray] = []
         current = None
 
         def flush() -> pa.RecordBatch:
             keys, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *held]), return_counts=True)
-            bucket = keys % np.uint64(buckets)
-            order = np.argsort(bucket, kind="stable")
-            bucket, keys, n = bucket[order], keys[order], n[order]
+            bucket = (keys >> np.uint64(max(0, bits - 32))) * np.uint64(buckets) >> np.uint64(min(bits, 32))  # equal ranges: keys stay sorted
             found, first = np.unique(bucket, return_index=True)
             parts = list(zip(first.tolist(), [*first[1:].tolist(), len(keys)]))
             held.clear()
-            hash_of.clear()
             cols = [found.tolist(), [current] * len(parts), [squeeze(keys[a:b]) for a, b in parts], [squeeze(n[a:b]) for a, b in parts]]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int64(), pa.binary(), pa.binary()))], names=["bucket", "block", "keys", "n"])
 
         for batch in batches:
-            for block, text in zip(batch.column("block").to_pylist(), text_bytes(batch.column("text"))):
+            for block, payload in zip(batch.column("block").to_pylist(), batch.column("payload")):
                 if block != current and current is not None:
                     yield flush()
                 current = block
-                held.append(shingles((text or b"").lower().split(), size, hash_of))
+                held.extend(counted_keys(h, bits) for h in shingles(texts_of(payload.as_py())[1], size))
         if current is not None:
             yield flush()
 
@@ -90,77 +177,98 @@ def shared_shingles(blocks: DataFrame, size: int, buckets: int) -> DataFrame:
     return stored(blocks.mapInArrow(count, ROW_SCHEMA).groupBy("bucket").applyInArrow(merge, ROW_SCHEMA), "near-shingles")
 
 
-def candidates(blocks: DataFrame, shared: DataFrame, size: int, share: float) -> DataFrame:
-    """id, shingles and rare (those to list) of each text that may be in a
-    pair, once for all its copies."""
+def candidates(blocks: DataFrame, shared: DataFrame, size: int, share: float, bits: int) -> DataFrame:
+    """id, shingles, sketch and rare (those to list, rarest first) of each text
+    that may be in a pair, once for all its copies, from the first block that
+    has one; alone: how many of its shingles occur nowhere else, which are
+    before those in the order."""
+    first = blocks.select("block", F.explode("ids").alias("id")).groupBy("id").agg(F.min("block").alias("block"))
+    own_ids = first.groupBy("block").agg(F.collect_list("id").alias("ids"))
+    known_of = shared.select("block", "keys", "n", F.lit(None).cast("array<bigint>").alias("ids")).unionByName(own_ids.select("block", F.lit(None).cast("binary").alias("keys"), F.lit(None).cast("binary").alias("n"), "ids"))
 
     def run(texts: pa.Table, known: pa.Table) -> pa.Table:
-        keys, n = (np.concatenate([np.zeros(0, np.uint64), *map(unsqueeze, known.column(c).to_pylist())]) for c in ("keys", "n"))
-        keys, first = np.unique(keys, return_index=True)
-        n = n[first]
-        hash_of: dict[bytes, int] = {}
+        keys, n = (np.concatenate([np.zeros(0, np.uint64), *(unsqueeze(x) for x in known.column(c).to_pylist() if x is not None)]) for c in ("keys", "n"))
+        order = np.argsort(keys, kind="stable")
+        keys, n = keys[order], n[order]
+        todo = {i for ids in known.column("ids").to_pylist() for i in ids or ()}
         out: dict[int, tuple] = {}
-        for i, text in zip(texts.column("doc_id").to_pylist(), (x for c in texts.column("text").chunks for x in text_bytes(c))):
-            if i in out:
-                continue
-            own = shingles((text or b"").lower().split(), size, hash_of)
-            if not len(own) or not len(keys):
-                continue
-            at = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
-            met = keys[at] == own
-            left = may_lack(len(own), share) - int((~met).sum())
-            if left < 0:
-                continue
-            rarest = np.lexsort((own[met], n[at[met]]))[: left + 1]
-            out[i] = (own.view(np.int64), own[met][rarest].view(np.int64))
-        sets, rare = zip(*out.values()) if out else ((), ())
-        return pa.table({"id": pa.array(list(out), pa.int64()), "shingles": pa.array(list(sets), pa.list_(pa.int64())), "rare": pa.array(list(rare), pa.list_(pa.int64()))})
-
-    found = blocks.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(run, "id bigint, shingles array<bigint>, rare array<bigint>")
-    once = stored(found, "near-found").groupBy("id").agg(F.first("shingles").alias("shingles"), F.first("rare").alias("rare"))
-    return stored(once, "near-candidates")
+        for payload in texts.column("payload"):
+            ids, held = texts_of(payload.as_py())
+            for i, h in zip(ids, shingles(held, size)):
+                if i not in todo or not len(h) or not len(keys):
+                    continue
+                todo.remove(i)
+                own = np.unique(h)
+                key = counted_keys(own, bits)
+                at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+                met = keys[at] == key
+                alone = int((~met).sum())
+                left = may_lack(len(own), share) - alone
+                if left < 0:
+                    continue
+                rarest = np.lexsort((own[met], n[at[met]]))[: left + 1]
+                out[i] = (own.view(np.int64), sketch(own), own[met][rarest].view(np.int64), alone)
+        columns = list(zip(*out.values())) or [()] * 4
+        kinds = [("shingles", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64())), ("rare", pa.list_(pa.int64())), ("alone", pa.int32())]
+        return pa.table({"id": pa.array(list(out), pa.int64()), **{c: pa.array(list(x), kind) for (c, kind), x in zip(kinds, columns)}})
 
+    found = blocks.select("block", "payload").groupBy("block").cogroup(known_of.groupBy("block")).applyInArrow(run, "id bigint, shingles array<bigint>, sketch array<bigint>, rare array<bigint>, alone int")
+    return stored(found, "near-candidates")
 
-def near_pairs(pairs: DataFrame, sets: DataFrame, share: float) -> DataFrame:
-    """The ``pairs`` (u, v) of ids whose sets are similar, stored."""
-    both = pairs.distinct().join(sets.select(F.col("id").alias("u"), F.col("shingles").alias("a")), "u").join(sets.select(F.col("id").alias("v"), F.col("shingles").alias("b")), "v")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for a, b in zip(batch.column("a"), batch.column("b")):
-                a, b = np.asarray(a.values), np.asarray(b.values)
-                common = 0 if min(len(a), len(b)) < share * max(len(a), len(b)) - 1e-9 else len(np.intersect1d(a, b, assume_unique=True))
-                keep.append(common >= share * (len(a) + len(b) - common) - 1e-9)
-            yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
+def listed_texts(sets: DataFrame) -> DataFrame:
+    """One row per listed shingle h of a text: id, m (its number of shingles)
+    and rank of h among them."""
+    of = sets.select("id", F.size("shingles").alias("m"), "alone", F.posexplode("rare").alias("rank", "h"))
+    return stored(of.withColumn("rank", F.col("rank") + F.col("alone")).drop("alone"), "near-lists")
 
-    return stored(both.select("u", "v", "a", "b").mapInArrow(run, "u bigint, v bigint"), "near-links")
+
+def may_be_similar(a: str, b: str, share: float) -> Column:
+    """Whether two rows of one list can be of similar texts, by the shingles
+    that they share at most, h and those after it."""
+    common = F.least(F.col(f"{a}.m") - F.col(f"{a}.rank"), F.col(f"{b}.m") - F.col(f"{b}.rank"))
+    sizes = F.least(f"{a}.m", f"{b}.m") >= share * F.greatest(f"{a}.m", f"{b}.m") - 1e-9
+    return sizes & (common * (1 + share) >= share * (F.col(f"{a}.m") + F.col(f"{b}.m")) - 1e-9)
+
+
+def sketches_near(a: str, b: str, share: float) -> Column:
+    """Whether the sketches allow two texts to be similar: two sets differ in
+    as many shingles as their sketches in bits, or more."""
+    differ = sum(F.bit_count(F.col(f"{a}.sketch")[k].bitwiseXOR(F.col(f"{b}.sketch")[k])) for k in range(SKETCH_LONGS))
+    return differ * (1 + share) <= (1 - share) * (F.col(f"{a}.m") + F.col(f"{b}.m")) + 1e-9
+
+
+def near_pairs(pairs: DataFrame, sets: DataFrame, share: float) -> DataFrame:
+    """The ``pairs`` (u, v) of ids whose sets are similar, stored."""
+    both = stored(pairs.distinct(), "near-pairs").join(sets.select(F.col("id").alias("u"), F.col("shingles").alias("a")), "u").join(sets.select(F.col("id").alias("v"), F.col("shingles").alias("b")), "v")
+    common = F.size(F.array_intersect("a", "b"))
+    return stored(both.where(common >= share * (F.size("a") + F.size("b") - common) - 1e-9).select("u", "v"), "near-links")
 
 
 def near_clusters(docs: DataFrame, size: int = 5, share: float = 0.8, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """hash (XXH64 of a text, as by xxhash64) and cluster of the texts of
     ``docs`` (text) that are similar to another one. Words are A-Z lower-cased
-    runs of other bytes than ASCII white space; a text without words and a
-    null one are in no pair."""
+    runs of other bytes than ASCII white space. A text without words and a
+    null one are in no pair; repeated rows are one text; an empty table gives
+    no rows; other columns are not read. A text of any length is hashed whole,
+    in pieces; its shingles must fit into a task."""
     spark = docs.sparkSession
-    blocks = in_blocks(docs.where("text is not null").select(F.xxhash64("text").alias("doc_id"), F.lit(True).alias("train"), "text"), block_bytes)
-    buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sets = candidates(blocks, shared_shingles(blocks, size, buckets), size, share)
-    listed = stored(sets.select("id", F.explode("rare").alias("h")), "near-lists")
-    least = listed.groupBy("h").agg(F.min("id").alias("u"), F.max("id").alias("last")).where("u < last").select("h", "u")
-    links = near_pairs(listed.join(least, "h").where("u < id").select("u", F.col("id").alias("v")), sets, share)
+    blocks = text_blocks(docs.where("text is not null").select(F.xxhash64("text").alias("id"), "text"), block_bytes)
+    n_blocks, n_bytes = blocks.agg(F.count_distinct("block"), F.coalesce(F.sum("size"), F.lit(1))).first()
+    buckets = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), n_blocks)
+    bits = min(64, 6 + int(n_bytes).bit_length())  # a clash makes a shingle look less rare, which loses no pair
+    sets = candidates(blocks, shared_shingles(blocks, size, buckets, bits), size, share, bits)
+    listed = listed_texts(sets)
+    fields = [c for c in listed.columns if c != "h"]
+    least = listed.groupBy("h").agg(F.min(F.struct(*fields)).alias("u"), F.max("id").alias("last")).where("u.id < last").select("h", "u.*")
+    first = listed.alias("b").join(least.alias("a"), "h").where(F.col("a.id") < F.col("b.id")).where(may_be_similar("a", "b", share))
+    links = near_pairs(first.select(F.col("a.id").alias("u"), F.col("b.id").alias("v")), sets, share)
     parts = stored(connected_components(links), "near-parts")
-    of = listed.join(parts, listed["id"] == parts["node"], "left").select("h", "id", F.coalesce("component", "id").alias("part"))
-    mixed = of.groupBy("h").agg(F.collect_list(F.struct("part", "id")).alias("held"), F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi")
-
-    def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for held in batch.column("held"):
-                part, ids = (np.asarray(held.values.field(c)) for c in ("part", "id"))
-                for k in range(len(ids)):
-                    other = ids[k + 1 :][part[k + 1 :] != part[k]]
-                    if len(other):
-                        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(other, ids[k])), pa.array(np.maximum(other, ids[k]))], names=["u", "v"])
-
-    more = near_pairs(mixed.select("held").mapInArrow(across, "u bigint, v bigint"), sets, share)
+    of = stored(listed.join(parts, listed["id"] == parts["node"], "left").select("h", *fields, F.coalesce("component", "id").alias("part")), "near-listed-parts")
+    mixed = of.groupBy("h").agg(F.count("*").alias("n"), F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi").select("h", F.ceil(F.col("n") / LIST_ROWS).cast("int").alias("cuts"))
+    rows = of.join(mixed, "h").join(sets.select("id", "sketch"), "id")
+    cut = rows.withColumn("cut", F.pmod(F.xxhash64("id"), F.col("cuts")).cast("int")).alias("a")
+    whole = rows.withColumn("cut", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1))).alias("b")
+    across = cut.join(whole, ["h", "cut"]).where((F.col("a.id") < F.col("b.id")) & (F.col("a.part") != F.col("b.part"))).where(may_be_similar("a", "b", share) & sketches_near("a", "b", share))
+    more = near_pairs(across.select(F.col("a.id").alias("u"), F.col("b.id").alias("v")), sets, share)
     return connected_components(links.unionByName(more)).select(F.col("node").alias("hash"), F.col("component").alias("cluster"))
