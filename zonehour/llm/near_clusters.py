@@ -4,9 +4,9 @@ sets of word shingles have a Jaccard similarity of at least a bound.
 A text of m shingles in such a pair shares at least share * m of them. So a
 text with too many shingles that no other has is in no pair; of the others
 the rarest shingles, one more than may be missing, are listed, and each pair
-meets in a list. First every text is compared with the least of its lists;
-then, in lists where several components are left, the texts of different
-ones are compared. Copies of one text count once.
+meets in a list. First every text is compared with the centre of each of its
+lists, so that large groups grow together; then, in lists where several
+components are left, the texts of different ones are compared. Copies of one text count once.
 
 What a list carries of a text is of a fixed size: its number of shingles, the
 rank of the listed one and, in the second comparison, a parity sketch (each
@@ -259,10 +259,12 @@ def near_clusters(docs: DataFrame, size: int = 5, share: float = 0.8, block_byte
     bits = min(64, 6 + int(n_bytes).bit_length())  # a clash makes a shingle look less rare, which loses no pair
     sets = candidates(blocks, shared_shingles(blocks, size, buckets, bits), size, share, bits)
     listed = listed_texts(sets)
-    fields = [c for c in listed.columns if c != "h"]
-    least = listed.groupBy("h").agg(F.min(F.struct(*fields)).alias("u"), F.max("id").alias("last")).where("u.id < last").select("h", "u.*")
-    first = listed.alias("b").join(least.alias("a"), "h").where(F.col("a.id") < F.col("b.id")).where(may_be_similar("a", "b", share))
-    links = near_pairs(first.select(F.col("a.id").alias("u"), F.col("b.id").alias("v")), sets, share)
+    # a list's text with the fewest rarer shingles has the fewest changes of its own, so most copies are near to it
+    fields = ["id", "m", "rank"]
+    earliest = F.min_by(F.struct(*fields), F.struct("rank", "id"))
+    centre = listed.groupBy("h").agg(earliest.alias("u"), F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("h", "u.*")
+    met = listed.alias("b").join(centre.alias("a"), "h").where((F.col("a.id") != F.col("b.id")) & may_be_similar("a", "b", share))
+    links = near_pairs(met.select(F.least("a.id", "b.id").alias("u"), F.greatest("a.id", "b.id").alias("v")), sets, share)
     parts = stored(connected_components(links), "near-parts")
     of = stored(listed.join(parts, listed["id"] == parts["node"], "left").select("h", *fields, F.coalesce("component", "id").alias("part")), "near-listed-parts")
     mixed = of.groupBy("h").agg(F.count("*").alias("n"), F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi").select("h", F.ceil(F.col("n") / LIST_ROWS).cast("int").alias("cuts"))
