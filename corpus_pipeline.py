@@ -30,31 +30,42 @@ def packed(docs: DataFrame, *columns: str) -> DataFrame:
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Learns from the rows' own lang; rejects texts without a language (no
     letter) or with a score under MIN_LANGUAGE_SCORE. lang becomes the
-    predicted one."""
+    predicted one. A null or empty text goes; a row with a null lang is
+    judged but not learned from; if no row has a text and a lang, no
+    language is known and every row goes. Repeated rows are judged alike;
+    texts of any length are read whole."""
     found = predict_languages(packed(docs, "text"), fit_language_model(docs))
     sure = found.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= MIN_LANGUAGE_SCORE))
     return sure.select(*[F.col("lang_pred").alias("lang") if c == "lang" else F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def filter_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects what fails the base rules or its language's perplexity band."""
+    """Rejects what fails the base rules or its language's perplexity bands.
+    A null or empty text has no words and goes. Repeated rows are judged
+    alike; texts of any length are read whole."""
     return judge_quality(packed(docs, "text", "lang")).where("kept").select("row.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the least doc_id of each group of near-duplicates."""
+    """Keeps the least doc_id of each group of near-duplicates, a null doc_id
+    last, of rows with equal ids any one. Texts without words, null and empty
+    ones too, have one fingerprint, so they are one group."""
     return keep_one(docs, SHINGLE_WORDS, MAX_BITS)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents that hold a window of a benchmark item."""
+    """Rejects documents that hold a window of a benchmark item. A null or
+    empty text and an empty benchmark match nothing, so such rows stay.
+    Repeated rows are judged alike."""
     matched = match_benchmark(docs.withColumnsRenamed({c: f"doc.{c}" for c in docs.columns if c not in ("doc_id", "text")}), read_table(spark, sf_dir, "benchmark"))
     clean = matched.where(F.size("hits") == 0)
     return clean.select(*[F.col(c if c in ("doc_id", "text") else f"`doc.{c}`").alias(c) for c in docs.columns])
 
 
 def pack_bins(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packs what is left into bins of CAPACITY tokens."""
+    """Packs what is left into bins of CAPACITY tokens. Every row is packed,
+    repeated ones and null and empty texts (an end token) too; a text beyond
+    CAPACITY is cut into pieces. No rows give no bins."""
     return best_fit_packing(docs, CAPACITY)
 
 
