@@ -4,8 +4,10 @@ moved."""
 import random
 import re
 
+import duckdb
 import pytest
 
+from zonehour.llm import queries as Q
 from zonehour.llm.decontaminate import MatchSpec, match_benchmark
 
 ITEM = "alder birch cedar elm fir hazel larch maple oak pine".split()
@@ -59,3 +61,20 @@ def test_a_replaced_word_that_occurs_nowhere_else(spark, at):
     """The whole corpus lacks the word, in every place of the item."""
     rows = match_benchmark(spark.createDataFrame([(1, " ".join(changed(at, "other"))), (2, "far off")], "doc_id bigint, text string"), spark.createDataFrame([(1, " ".join(ITEM))], "item_id bigint, text string")).collect()
     assert {r.doc_id: (r.near_ids, r.item_ids) for r in rows} == {1: (["1"], []), 2: ([], [])}
+
+
+def test_query_equals_its_sql_on_changed_passages(spark, tmp_path):
+    """Rows alike, null and empty texts, null and repeated item ids included."""
+    docs = [*enumerate(documents()), (0, " ".join(ITEM)), (0, " ".join(ITEM)), (900, None), (901, ""), (None, " ".join(LONG))]
+    items = [(1, " ".join(ITEM)), (2, " ".join(LONG)), (2, " ".join(LONG)), (2, "absent words"), (3, "nobody has any of this"), (None, "pine, oak; hazel"), (5, None), (6, "...")]
+    spark.createDataFrame(docs, "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(items, "item_id bigint, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"create view {t} as select * from read_parquet('{tmp_path}/{t}.parquet/*.parquet')")
+    got = Q.op6_decontaminate(spark, str(tmp_path))
+    want = con.execute(Q.ORACLE_SQL["op6_decontaminate"])
+    assert [c[0] for c in want.description] == got.columns
+    rows = sorted(map(tuple, got.collect()), key=repr)
+    assert rows == sorted(want.fetchall(), key=repr)
+    assert any(r[6] and not r[2] for r in rows) and any(r[2] for r in rows)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from zonehour.llm.best_fit_packing import best_fit_packing
 from zonehour.llm.chat_format import END, TURN, format_conversations, load_tokenizer, read_back
 from zonehour.llm.common import id_remainder, joined_small, read_table, stored
-from zonehour.llm.decontaminate import match_benchmark
+from zonehour.llm.decontaminate import MatchSpec, match_benchmark
 from zonehour.llm.exact_shuffle import exact_shuffle
 from zonehour.llm.language_id import fit_language_model, predict_languages
 from zonehour.llm.near_clusters import near_clusters
@@ -79,6 +79,8 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("item_ids").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", "item_ids").cast("binary"), 256).alias("items_sha256"),
         (F.size("hits") > 0).alias("contaminated"),
+        F.size("near_ids").cast("long").alias("n_near"),
+        F.sha2(F.concat_ws(",", "near_ids").cast("binary"), 256).alias("near_sha256"),
     )
 
 
@@ -191,14 +193,16 @@ select page_id, host, path, {rules_sql("name")} as rule,
 from parts left join bounds using (host)
 """
 
-OP6_SQL = """
+
+def op6_sql(spec: MatchSpec = MatchSpec()) -> str:
+    return rf"""
 with doc_words as (
-  select row_number() over () as r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\\x{80}-\\x{10FFFF}]+') as w from documents
+  select row_number() over () as r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{{80}}-\x{{10FFFF}}]+') as w from documents
 ), item_words as (
-  select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\\x{80}-\\x{10FFFF}]+') as w from benchmark
+  select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{{80}}-\x{{10FFFF}}]+') as w from benchmark
 ), item_windows as (
-  select distinct item_id, least(len(w), 10) as n, array_to_string(w[s:s + least(len(w), 10) - 1], ' ') as phrase
-  from (select *, unnest(range(1, greatest(len(w) - 10, 0) + 2)) as s from item_words where len(w) > 0)
+  select distinct item_id, least(len(w), {spec.window}) as n, array_to_string(w[s:s + least(len(w), {spec.window}) - 1], ' ') as phrase
+  from (select *, unnest(range(1, greatest(len(w) - {spec.window}, 0) + 2)) as s from item_words where len(w) > 0)
 ), doc_windows as (
   select r, n, s, array_to_string(w[s:s + n - 1], ' ') as phrase
   from (select r, w, n, unnest(range(1, len(w) - n + 2)) as s from doc_words, (select distinct n from item_windows))
@@ -208,9 +212,25 @@ with doc_words as (
   select r, count(distinct p) as n_hit from (select r, unnest(range(s, s + n)) as p from found) group by r
 ), items as (
   select r, count(*) as n_items, string_agg(i, ',' order by i) as ids from (select distinct r, cast(item_id as varchar) as i from found where item_id is not null) group by r
+), item_terms as (
+  select i, item_id, len(w) + 2 * {spec.slop} as stretch, greatest(1, ceil({spec.near_share}::double * len(list_distinct(w)))) as need, unnest(list_distinct(w)) as word
+  from (select row_number() over () as i, * from item_words where len(w) > 0)
+), postings as (
+  select r, p, word from (select r, unnest(w) as word, generate_subscripts(w, 1) as p from doc_words) semi join item_terms using (word)
+), shared as (
+  select r, i from (select distinct r, word from postings) join item_terms using (word) group by r, i, need having count(*) >= need
+), met as (
+  select r, i, p, word, item_id, stretch, need from postings join item_terms using (word) join shared using (r, i)
+), near as (
+  -- a stretch with enough words can begin at one of them
+  select distinct a.r, cast(a.item_id as varchar) as id from met a join met b on a.r = b.r and a.i = b.i and b.p between a.p and a.p + a.stretch - 1
+  where a.item_id is not null group by a.r, a.i, a.p, a.item_id, a.need having count(distinct b.word) >= a.need
+), near_items as (
+  select r, count(*) as n_near, string_agg(id, ',' order by id) as near_ids from near group by r
 )
-select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, sha256(coalesce(ids, '')) as items_sha256, n_hit is not null as contaminated
-from doc_words left join hits using (r) left join items using (r)
+select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, sha256(coalesce(ids, '')) as items_sha256, n_hit is not null as contaminated,
+  coalesce(n_near, 0) as n_near, sha256(coalesce(near_ids, '')) as near_sha256
+from doc_words left join hits using (r) left join items using (r) left join near_items using (r)
 """
 
 
@@ -339,7 +359,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op1_chat_format": OP1_SQL,
     "op4_url_reputation": op4_sql(),
-    "op6_decontaminate": OP6_SQL,
+    "op6_decontaminate": op6_sql(),
     "op11_source_mixing": op11_sql(),
     "op12_source_divergence": op12_sql(),
     "op13_vector_codes": op13_sql(),
