@@ -3,7 +3,7 @@ whole smallest tables."""
 
 import math
 import re
-import string
+import struct
 import zlib
 from collections import Counter
 from itertools import combinations
@@ -28,19 +28,9 @@ def docs(spark):
 
 
 def folded(text):
-    def symbol(c):
-        k = ord(c)
-        if k >= 128:
-            return 62 + k % 10
-        if c == " ":
-            return 1
-        if c in "0123456789":
-            return 3
-        if c.isalpha():
-            return 4 + "abcdefghijklmnopqrstuvwxyz".index(c.lower())
-        return 30 + sorted(string.punctuation).index(c) if c in string.punctuation else 2
-
-    return (0,) * (ORDER - 1) + tuple(map(symbol, text))
+    """The starts and the UTF-16 units of a text, none folded."""
+    units = text.encode("utf-16-le")
+    return (0xD800,) * (ORDER - 1) + struct.unpack(f"<{len(units) // 2}H", units)
 
 
 def brute_kept(langs, n_words, log_ppl, word_log_ppl):

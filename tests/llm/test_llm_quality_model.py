@@ -1,0 +1,69 @@
+"""op2's character model: a distribution over all symbols, in which no two
+characters are one; and n-grams that are joined, not sent to every task."""
+
+import math
+
+import numpy as np
+import pytest
+
+from zonehour.llm import ngram_quality as quality
+
+WORDS = [f"w{i} the théâtre №{i % 7} мир{i % 5} 日{i % 3}本" for i in range(12)]
+
+
+def rows_of(spark, texts):
+    return spark.createDataFrame([(k, x, "xx") for k, x in enumerate(texts)], "doc_id long, text string, lang string")
+
+
+def unsigned(gram):
+    return gram % (1 << 64)
+
+
+def test_model_is_a_distribution(spark):
+    model = quality.fit_kneser_ney(rows_of(spark, ["the cat sat", "é 12 the théâtre 😀 мир", None, ""])).collect()
+    met = {}
+    for r in model:
+        met.setdefault(unsigned(r.gram) >> quality.BITS, []).append(math.exp(-r.cost * quality.COST_UNIT))
+    assert sum(r.n for r in model) == 11 + 22 + 1  # the smiley is two symbols
+    assert all(0 < sum(p) < 1 for p in met.values())  # the rest is that of the symbols not met after a context
+    lower = quality.estimate(quality.count_grams(rows_of(spark, ["abab", "ba"]))).collect()
+    assert all(0 < r.p < 1 for r in lower)
+    assert quality.fit_kneser_ney(rows_of(spark, [])).count() == 0
+
+
+def test_texts_that_differ_in_a_symbol_differ_in_the_model():
+    for a, b in (("a1", "a2"), ("мир", "мщр"), ("a\t", "a\x01"), ("é", "ó"), ("日", "本"), ("😀", "😂"), ("A", "a")):
+        assert not np.array_equal(quality.symbols(a.encode()), quality.symbols(b.encode()))
+
+
+def test_a_digit_and_a_letter_that_no_other_text_has_cost_more(spark):
+    common = " ".join(f"слово {k} 1" for k in "abcdefghij" * 6)
+    texts = [common] * 8 + [common.replace("1", "7", 1), common.replace("с", "ы", 1)]  # 1 and 7, and с and ы (10 apart), were one symbol
+    got = {r.doc_id: r.log_ppl for r in quality.judge_quality(rows_of(spark, texts), quality.QualitySpec(max_repeat_pct=100)).collect()}
+    assert len({got[k] for k in range(8)}) == 1
+    assert got[8] > got[0] and got[9] > got[0]
+
+
+@pytest.mark.parametrize("most", [0, 30])
+def test_joined_grams_give_the_same_costs(spark, monkeypatch, most):
+    docs = rows_of(spark, [" ".join(WORDS[k % 3 :] * (1 + k % 4)) for k in range(9)] + [None, ""]).unionByName(rows_of(spark, [" ".join(WORDS)]))
+    spec = quality.QualitySpec(min_words=10, max_repeat_pct=100)
+
+    def judged():
+        return sorted((tuple(r) for r in quality.judge_quality(docs, spec, carry_text=True).collect()), key=str)
+
+    want = judged()
+    assert any(r is not None for row in want for r in row)
+    monkeypatch.setattr(quality, "HEAD", most)
+    model = quality.fit_kneser_ney(docs)
+    known, costs, rest = quality.split_model(model, most)
+    assert len(known) <= most and len(known) == len(costs) and len(known) + rest.count() == model.count()
+    assert judged() == want
+
+
+def test_counts_of_a_task_beyond_its_buffer(spark, monkeypatch):
+    docs = rows_of(spark, WORDS * 3).coalesce(1)
+    want = sorted(map(tuple, quality.count_grams(docs).collect()))
+    monkeypatch.setattr(quality, "BUFFER", 40)
+    monkeypatch.setattr(quality, "CHUNK", 7)
+    assert sorted(map(tuple, quality.count_grams(docs).collect())) == want
