@@ -1,6 +1,7 @@
 """Near-duplicate clusters against all pairs, and bins without two members."""
 
 import random
+import tracemalloc
 from itertools import combinations
 
 import numpy as np
@@ -132,3 +133,27 @@ def test_hot_list_cut_into_tasks_and_odd_tables(spark, monkeypatch):
         got.setdefault(r.cluster, set()).add(hashes[r.hash])
     assert sorted(map(sorted, got.values())) == sorted(sorted(x) for x in want.values() if len(x) > 1)
     assert near_clusters(rows.limit(0)).collect() == [] and near_clusters(rows.where("text is null")).collect() == []
+
+
+@pytest.mark.parametrize("bits, buckets", [(7, 844), (33, 844), (64, 7)])
+def test_key_rows_are_whole_and_copy_little(bits, buckets):
+    """The rows of a block have all its keys by bucket, and making them takes
+    a fraction of the keys' memory."""
+    own = np.sort(np.random.default_rng(3).integers(0, 1 << 64, 2_000_000, np.uint64) >> np.uint64(64 - bits))
+    own[1::3] = own[::3][: len(own[1::3])]
+    own.sort()
+    keys, n, found, peak = [], [], [], 0
+    tracemalloc.start()
+    for batch in near.key_rows(own, 5, buckets, bits):
+        peak = max(peak, tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        found += batch.column("bucket").to_pylist()
+        keys += [near.unsqueeze(x) for x in batch.column("keys").to_pylist()]
+        n += [near.unsqueeze(x) for x in batch.column("n").to_pylist()]
+        tracemalloc.start()
+    tracemalloc.stop()
+    want, times = np.unique(own, return_counts=True)
+    assert np.array_equal(np.concatenate(keys), want) and np.array_equal(np.concatenate(n).astype(np.int64), times)
+    top = max(0, bits - 32)
+    assert found == sorted(set(found)) and all(int(k) == (int(x) >> top) * buckets >> min(bits, 32) for k, part in zip(found, keys) for x in (part[0], part[-1]))
+    assert peak < own.nbytes * (0.5 if buckets > 7 else 1)

@@ -140,6 +140,23 @@ def counted_keys(h: np.ndarray, bits: int) -> np.ndarray:
     return h >> np.uint64(64 - bits)
 
 
+def key_rows(own: np.ndarray, block: int, buckets: int, bits: int) -> Iterator[pa.RecordBatch]:
+    """ROW_SCHEMA rows of the sorted keys (of ``bits`` bits) of a block, one
+    per bucket that has some, about ROW_BYTES at a time. A bucket is an equal
+    range of keys; only its keys are copied at a time."""
+    shift, width = max(0, bits - 32), min(bits, 32)
+    starts = np.array([-(-(k << width) // buckets) << shift for k in range(buckets)], np.uint64)
+    cuts = [*np.searchsorted(own, starts).tolist(), len(own)]
+    rows, size = [], 0
+    for bucket, (a, b) in enumerate(zip(cuts, cuts[1:])):
+        if a < b:
+            rows.append((bucket, block, *map(squeeze, np.unique(own[a:b], return_counts=True))))
+            size += len(rows[-1][2]) + len(rows[-1][3])
+        if rows and (size > ROW_BYTES or b == len(own)):
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int64(), pa.binary(), pa.binary()))], names=["bucket", "block", "keys", "n"])
+            rows, size = [], 0
+
+
 def shared_shingles(blocks: DataFrame, size: int, buckets: int, bits: int) -> DataFrame:
     """ROW_SCHEMA rows: the leading ``bits`` of each block's shingles that
     occur several times, with the number of their occurrences."""
@@ -148,23 +165,20 @@ def shared_shingles(blocks: DataFrame, size: int, buckets: int, bits: int) -> Da
         held: list[np.ndarray] = []
         current = None
 
-        def flush() -> pa.RecordBatch:
-            keys, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *held]), return_counts=True)
-            bucket = (keys >> np.uint64(max(0, bits - 32))) * np.uint64(buckets) >> np.uint64(min(bits, 32))  # equal ranges: keys stay sorted
-            found, first = np.unique(bucket, return_index=True)
-            parts = list(zip(first.tolist(), [*first[1:].tolist(), len(keys)]))
+        def flush() -> Iterator[pa.RecordBatch]:
+            own = np.concatenate([np.zeros(0, np.uint64), *held])
             held.clear()
-            cols = [found.tolist(), [current] * len(parts), [squeeze(keys[a:b]) for a, b in parts], [squeeze(n[a:b]) for a, b in parts]]
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int64(), pa.binary(), pa.binary()))], names=["bucket", "block", "keys", "n"])
+            own.sort()
+            yield from key_rows(own, current, buckets, bits)
 
         for batch in batches:
             for block, payload in zip(batch.column("block").to_pylist(), batch.column("payload")):
                 if block != current and current is not None:
-                    yield flush()
+                    yield from flush()
                 current = block
                 held.extend(counted_keys(h, bits) for h in shingles(texts_of(payload.as_py())[1], size))
         if current is not None:
-            yield flush()
+            yield from flush()
 
     def merge(key: tuple, table: pa.Table) -> pa.Table:
         parts = [unsqueeze(x) for x in table.column("keys").to_pylist()]
@@ -187,13 +201,18 @@ def candidates(blocks: DataFrame, shared: DataFrame, size: int, share: float, bi
     known_of = shared.select("block", "keys", "n", F.lit(None).cast("array<bigint>").alias("ids")).unionByName(own_ids.select("block", F.lit(None).cast("binary").alias("keys"), F.lit(None).cast("binary").alias("n"), "ids"))
 
     def run(texts: pa.Table, known: pa.Table) -> pa.Table:
-        keys, n = (np.concatenate([np.zeros(0, np.uint64), *(unsqueeze(x) for x in known.column(c).to_pylist() if x is not None)]) for c in ("keys", "n"))
-        order = np.argsort(keys, kind="stable")
-        keys, n = keys[order], n[order]
+        parts = [unsqueeze(x) for x in known.column("keys").to_pylist() if x is not None]
+        order = sorted((k for k, part in enumerate(parts) if len(part)), key=lambda k: parts[k][0])  # buckets are ranges
+        keys = np.concatenate([np.zeros(0, np.uint64), *(parts[k] for k in order)])
+        del parts
+        packed = [x for x in known.column("n").to_pylist() if x is not None]
+        n = np.concatenate([np.zeros(0, np.uint64), *(unsqueeze(packed[k]) for k in order)])
         todo = {i for ids in known.column("ids").to_pylist() for i in ids or ()}
-        out: dict[int, tuple] = {}
-        for payload in texts.column("payload"):
-            ids, held = texts_of(payload.as_py())
+        kinds = [("shingles", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64())), ("rare", pa.list_(pa.int64())), ("alone", pa.int32())]
+
+        def rows(payload: bytes) -> pa.Table:
+            out: dict[int, tuple] = {}
+            ids, held = texts_of(payload)
             for i, h in zip(ids, shingles(held, size)):
                 if i not in todo or not len(h) or not len(keys):
                     continue
@@ -208,9 +227,11 @@ def candidates(blocks: DataFrame, shared: DataFrame, size: int, share: float, bi
                     continue
                 rarest = np.lexsort((own[met], n[at[met]]))[: left + 1]
                 out[i] = (own.view(np.int64), sketch(own), own[met][rarest].view(np.int64), alone)
-        columns = list(zip(*out.values())) or [()] * 4
-        kinds = [("shingles", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64())), ("rare", pa.list_(pa.int64())), ("alone", pa.int32())]
-        return pa.table({"id": pa.array(list(out), pa.int64()), **{c: pa.array(list(x), kind) for (c, kind), x in zip(kinds, columns)}})
+            columns = list(zip(*out.values())) or [()] * 4
+            return pa.table({"id": pa.array(list(out), pa.int64()), **{c: pa.array(list(x), kind) for (c, kind), x in zip(kinds, columns)}})
+
+        none = pa.table({"id": pa.array([], pa.int64()), **{c: pa.array([], kind) for c, kind in kinds}})
+        return pa.concat_tables([none, *(rows(x.as_py()) for x in texts.column("payload"))])
 
     found = blocks.select("block", "payload").groupBy("block").cogroup(known_of.groupBy("block")).applyInArrow(run, "id bigint, shingles array<bigint>, sketch array<bigint>, rare array<bigint>, alone int")
     return stored(found, "near-candidates")
