@@ -155,3 +155,25 @@ PARTS = st.sampled_from([" ", "  ", "\n", "a", "é", "'s", "!", "1", "\xa0", "\x
 def test_piece_encoder_equals_the_library(texts):
     want = [e.ids for e in CODER.tok.encode_batch_fast(texts, add_special_tokens=False)]
     assert [x.tolist() for x in CODER.encode(texts)] == want
+
+
+def test_the_tokenizers_own_cache_is_off(monkeypatch):
+    """Each piece is encoded once, so its cache only cost time."""
+
+    class Model:
+        sizes = []
+        _resize_cache = sizes.append
+
+    class Spy:
+        model = Model
+
+        @staticmethod
+        def from_str(_):
+            return Spy()
+
+        def get_vocab(self):
+            return {"a": 0}
+
+    monkeypatch.setattr("tokenizers.Tokenizer", Spy)
+    PieceEncoder("{}")
+    assert Model.sizes == [0]

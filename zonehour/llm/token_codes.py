@@ -124,6 +124,7 @@ class PieceEncoder:
 
         self.tok = Tokenizer.from_str(tokenizer_json)
         self.tok.encode_special_tokens = True
+        self.tok.model._resize_cache(0)  # the pieces are kept here, and each is encoded once
         vocab = self.tok.get_vocab()
         self.n_bytes = np.zeros(max(vocab.values()) + 1, np.int64)
         for token, k in vocab.items():
