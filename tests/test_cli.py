@@ -19,7 +19,7 @@ def test_job_by_job(spark, tmp_out):
     w = main(["clean-weather", "--input", weather, "--output", tmp_out + "/weather_clean", *WIN], spark)
     assert w["weather_clean"] == C.weather_clean_df(spark, SF).count()
     p = main(["profile-trips", "--input", raw, "--output", tmp_out + "/profile_trips"], spark)
-    assert set(p) == {"overview", "distinct_values", "sample"}
+    assert set(p) == {"schema", "overview", "distinct_values", "sample"}
     a = main(
         [
             "analyze",
