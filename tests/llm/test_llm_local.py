@@ -177,3 +177,35 @@ def test_the_tokenizers_own_cache_is_off(monkeypatch):
     monkeypatch.setattr("tokenizers.Tokenizer", Spy)
     PieceEncoder("{}")
     assert Model.sizes == [0]
+
+
+SIGNED = st.sampled_from([" ", "\n", "foo", "é", "ж", "中", "ª", "7", "_", "'", "'s", ",", ".", ")", "]", "^", "\\", "`", "\x1f", "\x1f,", "\r", "…"])
+
+
+@settings(deadline=None, max_examples=300)
+@given(st.lists(st.lists(SIGNED, max_size=20).map("".join), min_size=1, max_size=20))
+def test_words_before_signs_equal_the_library(texts):
+    want = [e.ids for e in CODER.tok.encode_batch_fast(texts, add_special_tokens=False)]
+    assert [x.tolist() for x in CODER.encode(texts)] == want
+    assert [x.tolist() for x in CODER.encode(texts)] == want  # from the cache
+
+
+def new_coder():
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        return PieceEncoder(f.read())
+
+
+def test_a_word_is_encoded_once_whatever_signs_follow():
+    coder = new_coder()
+    text = "a qzword qzword, qzword. qzword); qzword\nqzword.\nThen qzword,"
+    assert coder.encode([text])[0].tolist() == CODER.tok.encode(text, add_special_tokens=False).ids
+    assert [p for p in coder.cache if "qzword" in p] == ["qzword", "qzword\nqzword"]
+
+
+def test_a_failed_batch_leaves_no_empty_pieces(monkeypatch):
+    coder = new_coder()
+    with monkeypatch.context() as m:
+        m.setattr(coder, "joined", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            coder.encode(["a word"])
+    assert coder.encode(["a word"])[0].tolist() == CODER.tok.encode("a word", add_special_tokens=False).ids

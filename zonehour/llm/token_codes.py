@@ -19,7 +19,9 @@ import re
 import sys
 import types
 import zlib
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -98,16 +100,23 @@ def access_range(chunks: list[bytes], more: list[bytes], ranks: list[bytes], lo:
     return out.astype(np.uint32)
 
 
+LETTERS = "A-Za-zÀ-ÖØ-öø-ʯΑ-ΡΣ-ώЀ-ҁ"  # letters in every version of Unicode
+SIGNS = r"!-&(-/:-@\[-`{-~"  # of ASCII, without the apostrophe
+MARK = "\x1f"  # leads a piece that has no space before it
+
+
 class PieceEncoder:
     """Encodes texts through a tokenizer of byte-level BPE whose words may
     take one space before them, with a cache of pieces.
 
     Such a tokenizer splits before a space that a visible character follows,
-    so a text's ids are those of its pieces, each encoded by the tokenizer
-    once.
+    and between letters and the signs after them, so a text's ids are those
+    of its pieces, each encoded by the tokenizer once. Signs that end a word
+    are a piece of their own: there are far fewer words than words with signs.
     """
 
-    CACHE = 700_000  # pieces kept; the cache starts anew beyond it
+    CACHE = 600_000  # the cache starts anew once it has more pieces
+    JOINED = 500  # pieces given to the tokenizer as one text
 
     @staticmethod
     def of_worker(tokenizer_json: str) -> PieceEncoder:
@@ -129,39 +138,59 @@ class PieceEncoder:
         self.n_bytes = np.zeros(max(vocab.values()) + 1, np.int64)
         for token, k in vocab.items():
             self.n_bytes[k] = len(token)
-        self.cache: dict[str, bytes] = {}  # of pieces after a space, without it
+        self.cache: defaultdict[str, bytes | bytearray] = defaultdict(bytearray)  # of pieces, the space before them left out
         self.odd = re.compile(r" (?![!-~\w])")
         self.cut = re.compile(r"(?<=[!-~\w]) (?=[!-~\w])")
+        self.cut_marked = re.compile(rf"(?<=[!-~\w]) (?=[!-~\w{MARK}])")
+        self.signs = re.compile(rf"[{SIGNS}](?<=[{LETTERS}].)[{SIGNS}]*(?=[ \n]|\Z)")
 
     def alone(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, np.uint32).tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def learn(self, pieces: set[str]) -> None:
-        """Put the ids of new pieces into the cache."""
-        plain = [p for p in pieces if not p[-1:].isspace()]
-        for at in range(0, len(plain), 20_000):
-            part = plain[at : at + 20_000]
-            ids = np.array(self.tok.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)[0].ids, np.uint32)
-            ends = np.cumsum([len(p.encode()) + 1 for p in part])
+    def joined(self, parts: list[str], before: str) -> Iterator[bytes]:
+        """The ids of parts that end visibly, each with ``before`` before it."""
+        for at in range(0, len(parts), self.JOINED):
+            some = parts[at : at + self.JOINED]
+            ids = np.array(self.tok.encode_batch_fast([before + before.join(some)], add_special_tokens=False)[0].ids, np.uint32)
+            ends = np.cumsum([len(p.encode()) + len(before) for p in some])
             cuts = (4 * (np.searchsorted(np.cumsum(self.n_bytes[ids]), ends) + 1)).tolist()
             raw = ids.tobytes()
-            self.cache.update(zip(part, [raw[a:b] for a, b in zip([0, *cuts], cuts)]))
-        rest = list(pieces.difference(plain))
-        self.cache.update(zip(rest, self.alone([" " + p for p in rest])))
+            yield from (raw[a:b] for a, b in zip([0, *cuts], cuts))
+
+    def learned(self, pieces: Iterable[str]) -> Iterator[tuple[str, bytes]]:
+        """The pieces with their ids."""
+        plain, signs, rest = [], [], []
+        for p in pieces:
+            (rest if p[-1].isspace() else signs if p[0] == MARK else plain).append(p)
+        yield from zip(plain, self.joined(plain, " "))
+        word = " a"  # signs are encoded after a word, whose ids are left out
+        n = len(self.alone([word])[0])
+        yield from ((p, ids[n:]) for p, ids in zip(signs, self.joined([p[1:] for p in signs], word)))
+        yield from zip(rest, self.alone([p[1:] if p[0] == MARK else " " + p for p in rest]))
+
+    def pieces(self, text: str) -> list[str]:
+        cut = self.cut if MARK in text else self.cut_marked
+        odd = self.odd.search(text)
+        if cut is self.cut_marked:
+            text = self.signs.sub(rf" {MARK}\g<0>", text)
+        return cut.split(text) if odd else text.split(" ")
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        split = [self.cut.split(x) if self.odd.search(x) else x.split(" ") for x in texts]
+        split = [self.pieces(x) for x in texts]
         first = self.alone([x[0] for x in split])
-        rest = [x[1:] for x in split]
-        wanted = set().union(*rest)
-        new = wanted.difference(self.cache)
-        if len(self.cache) + len(new) > self.CACHE:
+        if len(self.cache) > self.CACHE:
+            self.cache.clear()
+        known = len(self.cache)
+        try:
+            found = [list(map(self.cache.__getitem__, x[1:])) for x in split]
+            new = dict(islice(reversed(self.cache.items()), len(self.cache) - known))  # still empty, in ``found`` too
+            for p, ids in self.learned(new):
+                new[p].extend(ids)
+                self.cache[p] = ids
+        except BaseException:
             self.cache.clear()
-            new = wanted
-        if new:
-            self.learn(new)
-        get = self.cache.__getitem__
-        return [np.frombuffer(a + b"".join(map(get, x)), np.uint32) for a, x in zip(first, rest)]
+            raise
+        return [np.frombuffer(a + b"".join(x), np.uint32) for a, x in zip(first, found)]
 
 
 def write_ids(docs: DataFrame, path: str, tokenizer_json: str, end_id: int = 0) -> None:
