@@ -157,3 +157,34 @@ def test_key_rows_are_whole_and_copy_little(bits, buckets):
     top = max(0, bits - 32)
     assert found == sorted(set(found)) and all(int(k) == (int(x) >> top) * buckets >> min(bits, 32) for k, part in zip(found, keys) for x in (part[0], part[-1]))
     assert peak < own.nbytes * (0.5 if buckets > 7 else 1)
+
+
+def test_texts_in_no_pair_are_left_by_their_first_third(monkeypatch):
+    rng = np.random.default_rng(8)
+    asked = []
+    counted = near.counted_keys
+    monkeypatch.setattr(near, "counted_keys", lambda h, bits: asked.append(len(h)) or counted(h, bits))
+    left = 0
+    for _ in range(400):
+        h = rng.integers(0, 1 << 63, rng.integers(1, 90), np.uint64)
+        known = counted(h[rng.random(len(h)) < rng.random()], 40)
+        h = np.concatenate((h, rng.choice(h[np.isin(counted(h, 40), known)], 20))) if len(known) else h
+        keys = np.unique(np.concatenate((known, rng.integers(0, 1 << 40, 50, np.uint64))))
+        own = np.unique(h)
+        alone = np.count_nonzero(~np.isin(counted(own, 40), keys))
+        rng.shuffle(h)
+        out = near.lacks_too_many(h, keys, 0.8, 40)
+        assert asked[-1] == len(h) // 3 + 1 or len(h) < 2
+        assert not out or alone > near.may_lack(len(own), 0.8)
+        left += out
+    assert left > 50
+    assert near.lacks_too_many(h, keys[:0], 0.8, 40)
+
+
+@pytest.mark.parametrize("have", [[], [3], [2, 5, 9]])
+def test_places_and_run_lengths(have):
+    keys = np.array([0, 3, 9, 10], np.uint64)
+    at, met = near.places(np.array(have, np.uint64), keys)
+    assert [(k, have[i]) for k, i in zip(keys[met].tolist(), at[met].tolist())] == [(k, k) for k in keys.tolist() if k in have]
+    own = np.sort(np.array(have * 3 + [4], np.uint64))
+    assert [x.tolist() for x in near.run_lengths(own)] == [x.tolist() for x in np.unique(own, return_counts=True)]

@@ -105,6 +105,22 @@ def may_lack(m: int, share: float) -> int:
     return m - int(np.ceil(share * m - 1e-9))
 
 
+def places(sorted_keys: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each of ``keys`` is among distinct sorted ones, and whether it is there."""
+    if not len(sorted_keys):
+        return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+    at = np.minimum(np.searchsorted(sorted_keys, keys), len(sorted_keys) - 1)
+    return at, sorted_keys[at] == keys
+
+
+def lacks_too_many(h: np.ndarray, keys: np.ndarray, share: float, bits: int) -> bool:
+    """Whether the first third of a text's shingles shows that it is in no
+    pair. A shingle that occurs nowhere else occurs once in the text, and
+    repeats of others only raise the bound."""
+    met = places(keys, counted_keys(h[: len(h) // 3 + 1], bits))[1]
+    return len(met) - np.count_nonzero(met) > may_lack(len(h), share)
+
+
 def text_blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
     """``docs`` (id, text) in compressed rows of about ROW_BYTES, stored:
     block (a number of consecutive rows of one task), size, ids, and payload,
@@ -140,6 +156,12 @@ def counted_keys(h: np.ndarray, bits: int) -> np.ndarray:
     return h >> np.uint64(64 - bits)
 
 
+def run_lengths(own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ones of sorted numbers, and how often each occurs."""
+    starts = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
+    return own[starts], np.diff(starts, append=len(own))
+
+
 def key_rows(own: np.ndarray, block: int, buckets: int, bits: int) -> Iterator[pa.RecordBatch]:
     """ROW_SCHEMA rows of the sorted keys (of ``bits`` bits) of a block, one
     per bucket that has some, about ROW_BYTES at a time. A bucket is an equal
@@ -150,7 +172,7 @@ def key_rows(own: np.ndarray, block: int, buckets: int, bits: int) -> Iterator[p
     rows, size = [], 0
     for bucket, (a, b) in enumerate(zip(cuts, cuts[1:])):
         if a < b:
-            rows.append((bucket, block, *map(squeeze, np.unique(own[a:b], return_counts=True))))
+            rows.append((bucket, block, *map(squeeze, run_lengths(own[a:b]))))
             size += len(rows[-1][2]) + len(rows[-1][3])
         if rows and (size > ROW_BYTES or b == len(own)):
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int64(), pa.binary(), pa.binary()))], names=["bucket", "block", "keys", "n"])
@@ -184,7 +206,7 @@ def shared_shingles(blocks: DataFrame, size: int, buckets: int, bits: int) -> Da
         parts = [unsqueeze(x) for x in table.column("keys").to_pylist()]
         found, total = summed(np.concatenate(parts), np.concatenate([unsqueeze(x) for x in table.column("n").to_pylist()]).astype(np.int64))
         found, total = found[total > 1], total[total > 1]
-        mine = [np.intersect1d(found, k, assume_unique=True, return_indices=True)[:2] for k in parts]
+        mine = [(k[met], at[met]) for k in parts for at, met in [places(found, k)]]
         cols = [[key[0].as_py()] * len(parts), table.column("block").to_pylist(), [squeeze(k) for k, _ in mine], [squeeze(total[at]) for _, at in mine]]
         return pa.table([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int64(), pa.binary(), pa.binary()))], names=["bucket", "block", "keys", "n"])
 
@@ -217,10 +239,10 @@ def candidates(blocks: DataFrame, shared: DataFrame, size: int, share: float, bi
                 if i not in todo or not len(h) or not len(keys):
                     continue
                 todo.remove(i)
+                if lacks_too_many(h, keys, share, bits):
+                    continue
                 own = np.unique(h)
-                key = counted_keys(own, bits)
-                at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-                met = keys[at] == key
+                at, met = places(keys, counted_keys(own, bits))
                 alone = int((~met).sum())
                 left = may_lack(len(own), share) - alone
                 if left < 0:
